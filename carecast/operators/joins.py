@@ -51,7 +51,7 @@ def ministry_keys(ministry_case: DataFrame) -> DataFrame:
 
 def with_claim_flags(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
                      dedupe_claims: bool = False) -> DataFrame:
-    """Add ``covid`` and ``minsal`` 0/1 flags and the row weight ``w``.
+    """Add ``covid_flag`` and ``minsal_flag`` (0/1) and the row weight ``w``.
 
     ``w`` is how many rows the visit contributes after the covid join
     (1 without a match, the number of matching claim rows otherwise).
@@ -67,7 +67,7 @@ def with_claim_flags(visit: DataFrame, covid_claim: DataFrame, ministry_case: Da
     )
     return out.select(
         *[visit[c] for c in visit.columns],
-        F.col("covid_key").isNotNull().cast("int").alias("covid"),
-        F.col("minsal_key").isNotNull().cast("int").alias("minsal"),
+        F.col("covid_key").isNotNull().cast("int").alias("covid_flag"),
+        F.col("minsal_key").isNotNull().cast("int").alias("minsal_flag"),
         F.coalesce(F.col("covid_n"), F.lit(1).cast("long")).alias("w"),
     )

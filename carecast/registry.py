@@ -18,7 +18,10 @@ from .functions import (
     weekday_num, year_month, year_week,
 )
 from .params import DEFAULT, Params
-from .plans import visits
+from .functions import claim_number, date_literal
+from .operators.joins import ministry_keys
+from .operators.measures import VISIT_KEYS, movement_measures
+from .plans import covid, visits
 from .sources.adapters import DomainTables
 
 DOUBLE_SCALE = 6
@@ -121,3 +124,45 @@ def _org_unit_filter(t, p):
         .groupBy("uo_tratamiento", "uo_medica", F.col("centro_m").alias("centro"))
         .agg(F.count(F.lit(1)).alias("n_visitas"))
     )
+
+
+# ------------------------------------------------------------------ P2 / P3
+@query("covid_flag_join")
+def _covid_flag_join(t, p):
+    v = visit(t, p).select("episodio", "siniestro")
+    claims = t.covid_claim.select(
+        "siniestro_covid19", claim_number(F.col("siniestro_covid19")).alias("covid_key")
+    )
+    j = v.join(claims, v.siniestro == claims.covid_key, "left")
+    return j.select("episodio", "siniestro", "siniestro_covid19",
+                    F.col("covid_key").isNotNull().cast("int").alias("covid"))
+
+
+@query("ministry_flag_join")
+def _ministry_flag_join(t, p):
+    v = visit(t, p).select("episodio", "siniestro")
+    keys = ministry_keys(t.ministry_case)
+    j = v.join(keys, v.siniestro == keys.minsal_key, "left")
+    return j.select("episodio", "siniestro",
+                    F.col("minsal_key").isNotNull().cast("int").alias("minsal"))
+
+
+@query("movement_measures")
+def _movement_measures(t, p):
+    v = visit(t, p).where(F.col("fecha_inicio") > date_literal(p.since))
+    return movement_measures(v, VISIT_KEYS, "narrow")
+
+
+@query("movement_measures_wide")
+def _movement_measures_wide(t, p):
+    return covid.covid_measures(visit(t, p), t.covid_claim, t.ministry_case, p)
+
+
+@query("movement_detail")
+def _movement_detail(t, p):
+    return covid.movement_detail(visit(t, p), t.covid_claim, t.ministry_case, p)
+
+
+@query("covid_daily")
+def _covid_daily(t, p):
+    return covid.covid_daily(visit(t, p), t.covid_claim, t.ministry_case, p)
