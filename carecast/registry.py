@@ -21,7 +21,7 @@ from .params import DEFAULT, Params
 from .functions import claim_number, date_literal
 from .operators.joins import ministry_keys
 from .operators.measures import VISIT_KEYS, movement_measures
-from .plans import covid, visits
+from .plans import covid, demand, visits
 from .sources.adapters import DomainTables
 
 DOUBLE_SCALE = 6
@@ -166,3 +166,24 @@ def _movement_detail(t, p):
 @query("covid_daily")
 def _covid_daily(t, p):
     return covid.covid_daily(visit(t, p), t.covid_claim, t.ministry_case, p)
+
+
+# ------------------------------------------------------------------ P4
+@query("party_bridge_join")
+def _party_bridge_join(t, p):
+    return demand.timed_visits(t.queue_log, t.party, visit(t, p), p)
+
+
+@query("service_time_daily")
+def _service_time_daily(t, p):
+    return demand.service_time_daily(t.queue_log, t.party, visit(t, p), p)
+
+
+@query("service_time_pivot")
+def _service_time_pivot(t, p):
+    return demand.service_time_pivot(demand.service_time_daily(t.queue_log, t.party, visit(t, p), p))
+
+
+@query("demand_vs_capacity")
+def _demand_vs_capacity(t, p):
+    return demand.demand_vs_capacity(t.queue_log, t.party, visit(t, p), t.capacity, p)
