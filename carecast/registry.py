@@ -21,7 +21,8 @@ from .params import DEFAULT, Params
 from .functions import claim_number, date_literal
 from .operators.joins import ministry_keys
 from .operators.measures import VISIT_KEYS, movement_measures
-from .plans import covid, demand, visits
+from .operators import slots
+from .plans import covid, demand, shift, visits
 from .sources.adapters import DomainTables
 
 DOUBLE_SCALE = 6
@@ -187,3 +188,53 @@ def _service_time_pivot(t, p):
 @query("demand_vs_capacity")
 def _demand_vs_capacity(t, p):
     return demand.demand_vs_capacity(t.queue_log, t.party, visit(t, p), t.capacity, p)
+
+
+# ------------------------------------------------------------------ P5
+def _stages(t: DomainTables, p: Params) -> dict[str, DataFrame]:
+    return shift.shift_stages(visit(t, p), t.queue_log, t.party, t.calendar,
+                              t.opening_hours_wide, p)
+
+
+def _stage_query(name: str, stage: str, **overrides):
+    @query(name)
+    def _q(t, p):
+        return _stages(t, p.with_(**overrides) if overrides else p)[stage]
+    return _q
+
+
+_stage_query("opening_hours_unpivot", "hours")
+_stage_query("calendar_slot_grid", "grid")
+_stage_query("weekly_load", "weekly")
+_stage_query("weekly_p75", "weekly_p75")
+_stage_query("queue_first_attention", "first")
+_stage_query("synthetic_attention", "synthetic")
+_stage_query("union_positional", "union")
+_stage_query("union_by_name", "union", fix_union_order=True)
+_stage_query("slot_demand", "slots")
+_stage_query("slot_gap_fill", "filled")
+_stage_query("slot_p75", "slot_p75")
+_stage_query("slot_stddev", "stddev")
+_stage_query("demand_curve", "curve")
+_stage_query("hourly_demand", "hourly")
+_stage_query("shift_demand", "result")
+
+
+@query("centres_without_queue")
+def _centres_without_queue(t, p):
+    v = visit(t, p)
+    centres = t.queue_log.select(F.col("centro").alias("q_centro")).distinct()
+    return (v.join(centres, v.centro == centres.q_centro, "left_anti")
+            .groupBy("centro").agg(F.count(F.lit(1)).alias("n_visitas")))
+
+
+@query("shift_tool_append")
+def _shift_tool_append(t, p):
+    from .session import shared_dir
+    import os
+    import uuid
+
+    result = _stages(t, p)["result"]
+    path = os.path.join(shared_dir(t.spark), f"shift_tool-{uuid.uuid4().hex[:12]}")
+    shift.append_shift_tool(result, path)
+    return t.spark.read.parquet(path)
