@@ -7,75 +7,75 @@
 * day and month names are Spanish literals from ``rules`` (never locale
   formatting, whose capitalisation differs);
 * half-hour slots are "HH:mm:ss" strings, the canonical slot key.
+
+Arguments and results are Spark SQL expression text.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .. import rules
+from .text import lit
+
+
+def _names(values: list[str]) -> str:
+    return "array(" + ", ".join(lit(v) for v in values) + ")"
 
 
-def weekday_num(d: Column) -> Column:
-    return (F.weekday(d) + 1).cast("int")
+def weekday_num(d: str) -> str:
+    return f"(weekday({d}) + 1)"
 
 
-def weekday_name(d: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in rules.WEEKDAY_ES]), weekday_num(d))
+def weekday_name(d: str) -> str:
+    return f"element_at({_names(rules.WEEKDAY_ES)}, weekday({d}) + 1)"
 
 
-def weekday_label(d: Column) -> Column:
+def weekday_label(d: str) -> str:
     """Weekday name with the fallback label for a missing date."""
-    return F.coalesce(weekday_name(d), F.lit(rules.WEEKDAY_FALLBACK))
+    return f"coalesce({weekday_name(d)}, {lit(rules.WEEKDAY_FALLBACK)})"
 
 
-def month_name(d: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in rules.MONTH_ES]), F.month(d))
+def month_name(d: str) -> str:
+    return f"element_at({_names(rules.MONTH_ES)}, month({d}))"
 
 
-def week_number(d: Column) -> Column:
-    offset = F.weekday(F.trunc(d, "year"))  # Monday = 0 for 1 January's weekday
-    return (F.floor((F.dayofyear(d) - 1 + offset) / 7) + 1).cast("int")
+def week_number(d: str) -> str:
+    # weekday(1 January) is Monday = 0; day-of-year counts from 1.
+    return f"CAST(((dayofyear({d}) - 1 + weekday(trunc({d}, 'year'))) div 7) + 1 AS INT)"
 
 
-def year_week(d: Column) -> Column:
+def year_week(d: str) -> str:
     """'YYYY-W' without zero padding, e.g. '2024-3'."""
-    return F.concat_ws("-", F.year(d).cast("string"), week_number(d).cast("string"))
+    return f"concat_ws('-', CAST(year({d}) AS STRING), CAST({week_number(d)} AS STRING))"
 
 
-def year_month(d: Column) -> Column:
+def year_month(d: str) -> str:
     """'YYYY-M' without zero padding, e.g. '2024-1'."""
-    return F.concat_ws("-", F.year(d).cast("string"), F.month(d).cast("string"))
+    return f"concat_ws('-', CAST(year({d}) AS STRING), CAST(month({d}) AS STRING))"
 
 
-def half_hour(ts: Column) -> Column:
+def half_hour(ts: str) -> str:
     """Floor a time of day to its half hour, as 'HH:mm:ss' (seconds ignored)."""
-    return F.format_string(
-        "%02d:%s", F.hour(ts), F.when(F.minute(ts) >= 30, F.lit("30:00")).otherwise(F.lit("00:00"))
-    )
+    return (f"format_string('%02d:%s', hour({ts}), "
+            f"CASE WHEN minute({ts}) >= 30 THEN '30:00' ELSE '00:00' END)")
 
 
-def slot_label(slot_index: Column) -> Column:
+def slot_label(slot_index: str) -> str:
     """Slot 0..47 of the day -> 'HH:mm:ss'."""
-    return F.format_string(
-        "%02d:%s",
-        F.floor(slot_index / 2).cast("int"),
-        F.when(slot_index % 2 == 1, F.lit("30:00")).otherwise(F.lit("00:00")),
-    )
+    return (f"format_string('%02d:%s', CAST({slot_index} div 2 AS INT), "
+            f"CASE WHEN {slot_index} % 2 = 1 THEN '30:00' ELSE '00:00' END)")
 
 
-def add_minutes(ts: Column, minutes: float) -> Column:
+def add_minutes(ts: str, minutes: float) -> str:
     """``ts + minutes``; a fractional count truncates toward zero (36.6 -> 36)."""
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(minutes)))
+    return f"({ts} + make_dt_interval(0, 0, {int(minutes)}))"
 
 
-def ts_literal(value: dt.datetime) -> Column:
+def ts_literal(value: dt.datetime) -> str:
     """A TIMESTAMP_NTZ literal (no session time zone involved)."""
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{value.strftime('%Y-%m-%d %H:%M:%S')}'"
 
 
-def date_literal(value: dt.date) -> Column:
-    return F.lit(value.isoformat()).cast("date")
+def date_literal(value: dt.date) -> str:
+    return f"DATE '{value.isoformat()}'"

@@ -1,110 +1,92 @@
 """Lookups over movement codes, claim types and flags (CASE expressions).
 
-Rule tables live in ``rules``; these turn them into one JVM-side CASE
-chain each, so classification stays inside whole-stage codegen.
+Rule tables live in ``rules``; each lookup becomes one CASE expression,
+evaluated inside whole-stage codegen. Arguments and results are Spark
+SQL expression text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .. import rules
-from .text import ci_eq, ci_in, fold
+from .calendar import add_minutes
+from .text import case, ci_eq, ci_in, lit
 
 
-def _claim_cond(claim_type: Column, cond: str | None) -> Column:
+def claim_cond(claim_type: str, cond: str | None) -> str:
+    """Claim condition of a rule: None (any), "ep" (occupational) or "not_ep"."""
     if cond is None:
-        return F.lit(True)
+        return "TRUE"
     is_ep = ci_eq(claim_type, rules.OCCUPATIONAL)
-    return is_ep if cond == "ep" else ~is_ep
+    return is_ep if cond == "ep" else f"(NOT {is_ep})"
 
 
-def classify_movement(code: Column, table: dict[str, str] = rules.MOVEMENT_CLASS) -> Column:
+def classify_movement(code: str, table: dict[str, str] = rules.MOVEMENT_CLASS) -> str:
     """Movement code -> visit class; unknown or NULL codes -> 'Otros'."""
-    expr = None
-    for src, cls in table.items():
-        cond = ci_eq(code, src)
-        expr = F.when(cond, F.lit(cls)) if expr is None else expr.when(cond, F.lit(cls))
-    return expr.otherwise(F.lit(rules.OTHER))
+    return case(((ci_eq(code, src), lit(cls)) for src, cls in table.items()), lit(rules.OTHER))
 
 
-def decode_claim_type(code: Column) -> Column:
-    expr = None
-    for k, label in rules.CLAIM_TYPE.items():
-        expr = F.when(code == k, F.lit(label)) if expr is None else expr.when(code == k, F.lit(label))
-    return expr.otherwise(F.lit(rules.OTHER))
+def decode_claim_type(code: str) -> str:
+    return case(((f"{code} = {k}", lit(v)) for k, v in rules.CLAIM_TYPE.items()), lit(rules.OTHER))
 
 
-def time_type(code: Column, claim_type: Column) -> Column:
+def time_type(code: str, claim_type: str) -> str:
     """Movement code + claim type -> service-time label; first rule wins."""
-    expr = None
-    for codes, cond, label in rules.TIME_TYPE_RULES:
-        c = ci_in(code, codes) & _claim_cond(claim_type, cond)
-        expr = F.when(c, F.lit(label)) if expr is None else expr.when(c, F.lit(label))
-    return expr.otherwise(F.lit(rules.OTHER))
+    return case(
+        ((f"{ci_in(code, codes)} AND {claim_cond(claim_type, cond)}", lit(label))
+         for codes, cond, label in rules.TIME_TYPE_RULES),
+        lit(rules.OTHER),
+    )
 
 
-def flag_label(covid: Column, ministry: Column) -> Column:
-    expr = None
-    for (cv, mn), label in rules.FLAG_LABELS.items():
-        c = (covid == cv) & (ministry == mn)
-        expr = F.when(c, F.lit(label)) if expr is None else expr.when(c, F.lit(label))
-    return expr.otherwise(F.lit(rules.FLAG_LABELS[(0, 0)]))
+def flag_label(covid: str, ministry: str) -> str:
+    return case(
+        ((f"{covid} = {cv} AND {ministry} = {mn}", lit(label))
+         for (cv, mn), label in rules.FLAG_LABELS.items()),
+        lit(rules.FLAG_LABELS[(0, 0)]),
+    )
 
 
-def claim_number(code: Column) -> Column:
+def claim_number(code: str) -> str:
     """Numeric part of a prefixed claim code ('C123' -> 123).
 
     An empty remainder reads as 0, like the source dialect's cast of ''.
     Non-numeric text still raises under ANSI casting.
     """
-    rest = F.trim(F.substring(F.rtrim(code), 2, 1 << 30))
-    return F.when(rest == "", F.lit(0).cast("long")).otherwise(rest.cast("long"))
+    rest = f"trim(substring(rtrim({code}), 2))"
+    return f"CASE WHEN {rest} = '' THEN CAST(0 AS BIGINT) ELSE CAST({rest} AS BIGINT) END"
 
 
-def measure_flags(clasif: Column, claim_type: Column, rule_set: str = "narrow") -> dict[str, Column]:
+def measure_flags(clasif: str, claim_type: str, rule_set: str = "narrow") -> dict[str, str]:
     """0/1 indicator per movement measure for one visit row.
 
     ``rule_set`` is "narrow" (telemedicine and phone visits fall in
     'otros') or "wide" (they fold into ingreso / control agendado).
     """
     table = rules.NARROW_MEASURES if rule_set == "narrow" else rules.WIDE_MEASURES
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     listed: list[str] = []
     for name, (classes, cond) in table.items():
-        out[name] = F.when(ci_in(clasif, classes) & _claim_cond(claim_type, cond), 1).otherwise(0)
+        out[name] = f"CASE WHEN {ci_in(clasif, classes)} AND {claim_cond(claim_type, cond)} THEN 1 ELSE 0 END"
         listed.extend(classes)
     # NOT IN over a NULL class is unknown -> 0, as in the source.
-    out["otros"] = F.when(~ci_in(clasif, listed), 1).otherwise(0)
+    out["otros"] = f"CASE WHEN NOT {ci_in(clasif, listed)} THEN 1 ELSE 0 END"
     return {k: out[k] for k in rules.MEASURE_ORDER}
 
 
-def synthetic_end_time(start: Column, clasif: Column, claim_type: Column) -> Column:
+def synthetic_end_time(start: str, clasif: str, claim_type: str) -> str:
     """Estimated end of an attention from its class (no match -> NULL)."""
-    from .calendar import add_minutes
-
-    expr = None
-    for cls, cond, minutes in rules.SYNTHETIC_MINUTES:
-        c = ci_eq(clasif, cls) & _claim_cond(claim_type, cond)
-        v = add_minutes(start, minutes)
-        expr = F.when(c, v) if expr is None else expr.when(c, v)
-    return expr
+    return case(
+        (f"{ci_eq(clasif, cls)} AND {claim_cond(claim_type, cond)}", add_minutes(start, minutes))
+        for cls, cond, minutes in rules.SYNTHETIC_MINUTES
+    )
 
 
-def box_count(state: Column, clasif: Column, claim_type: Column, cls: str, cond: str | None,
-              n: Column) -> Column:
+def box_count(state: str, clasif: str, claim_type: str, cls: str, cond: str | None, n: str) -> str:
     """``n`` when the ticket row is in a box state and matches the class, else 0."""
-    return F.when(
-        ci_in(state, rules.BOX_STATES) & ci_eq(clasif, cls) & _claim_cond(claim_type, cond), n
-    ).otherwise(F.lit(0).cast("long"))
-
-
-def class_count(clasif: Column, claim_type: Column, cls: str, cond: str | None, n: Column) -> Column:
-    return F.when(ci_eq(clasif, cls) & _claim_cond(claim_type, cond), n).otherwise(F.lit(0).cast("long"))
+    return (f"CASE WHEN {ci_in(state, rules.BOX_STATES)} AND {ci_eq(clasif, cls)} "
+            f"AND {claim_cond(claim_type, cond)} THEN {n} ELSE CAST(0 AS BIGINT) END")
 
 
-__all__ = [
-    "classify_movement", "decode_claim_type", "time_type", "flag_label", "claim_number",
-    "measure_flags", "synthetic_end_time", "box_count", "class_count", "fold",
-]
+def class_count(clasif: str, claim_type: str, cls: str, cond: str | None, n: str) -> str:
+    return (f"CASE WHEN {ci_eq(clasif, cls)} AND {claim_cond(claim_type, cond)} "
+            f"THEN {n} ELSE CAST(0 AS BIGINT) END")

@@ -1,10 +1,14 @@
 """Join building blocks.
 
-Broadcast policy: a side is broadcast only after a bounded row count
-proves it small (``broadcast_if_bounded``); otherwise the join is left to
-the planner, which broadcasts from size statistics when they are under
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, with
-AQE re-planning at runtime (skew splitting, late broadcast).
+Broadcast policy: no side is broadcast by hint. The planner checks each
+join side against ``spark.sql.autoBroadcastJoinThreshold`` using plan
+statistics (file sizes after pruning), so dimensions read from small
+tables broadcast up front; sides whose size is only known at runtime
+(aggregates of large tables) start as shuffle joins and AQE re-checks
+them with the actual shuffle sizes (``spark.sql.adaptive.
+autoBroadcastJoinThreshold``), switching to a broadcast only when they
+are small and splitting skewed partitions otherwise. Every broadcast is
+therefore size-checked by Spark, with the shuffle join as the fallback.
 """
 
 from __future__ import annotations
@@ -14,21 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.claims import claim_number
 
-# Dimension sizes that are safe to ship to every executor. Rows, not bytes:
-# every side we check is a handful of short columns.
-DIMENSION_ROWS = 200_000
-KEY_SET_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows, else return it as is.
-
-    The check is ``limit(max_rows + 1).count()``: a bounded action that
-    stops once the bound is exceeded and never brings rows to the driver.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def covid_key_counts(covid_claim: DataFrame, dedupe: bool = False) -> DataFrame:
     """Claim number -> number of covid claim rows carrying it.
@@ -37,16 +26,17 @@ def covid_key_counts(covid_claim: DataFrame, dedupe: bool = False) -> DataFrame:
     the visit); keeping the multiplicity as a count gives the same totals
     without materialising the duplicates. ``dedupe`` counts each once.
     """
-    keys = covid_claim.select(claim_number(F.col("siniestro_covid19")).alias("covid_key"))
-    keys = keys.where(F.col("covid_key").isNotNull())
+    keys = covid_claim.selectExpr(f"{claim_number('siniestro_covid19')} AS covid_key").where(
+        "covid_key IS NOT NULL"
+    )
     if dedupe:
-        return keys.distinct().withColumn("covid_n", F.lit(1).cast("long"))
+        return keys.distinct().selectExpr("covid_key", "CAST(1 AS BIGINT) AS covid_n")
     return keys.groupBy("covid_key").agg(F.count(F.lit(1)).alias("covid_n"))
 
 
 def ministry_keys(ministry_case: DataFrame) -> DataFrame:
     """Distinct ministry claim ids (existence flag, no fan-out)."""
-    return ministry_case.select(F.col("id_siniestro").alias("minsal_key")).distinct()
+    return ministry_case.selectExpr("id_siniestro AS minsal_key").distinct()
 
 
 def with_claim_flags(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
@@ -65,9 +55,9 @@ def with_claim_flags(visit: DataFrame, covid_claim: DataFrame, ministry_case: Da
         visit.join(covid, visit.siniestro == covid.covid_key, "left")
         .join(minsal, visit.siniestro == minsal.minsal_key, "left")
     )
-    return out.select(
-        *[visit[c] for c in visit.columns],
-        F.col("covid_key").isNotNull().cast("int").alias("covid_flag"),
-        F.col("minsal_key").isNotNull().cast("int").alias("minsal_flag"),
-        F.coalesce(F.col("covid_n"), F.lit(1).cast("long")).alias("w"),
+    return out.selectExpr(
+        *visit.columns,
+        "CAST(covid_key IS NOT NULL AS INT) AS covid_flag",
+        "CAST(minsal_key IS NOT NULL AS INT) AS minsal_flag",
+        "coalesce(covid_n, CAST(1 AS BIGINT)) AS w",
     )

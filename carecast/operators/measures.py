@@ -21,23 +21,19 @@ TOTAL_MEASURES = ["ingreso", "ingreso_ep", "preingreso_ep", "control_agendado",
                   "control_espnt", "administrativo"]
 
 
-def measure_sums(rule_set: str = "narrow", weight: Column | None = None) -> list[Column]:
-    """``sum`` of each movement indicator (times ``weight``), one column per measure."""
-    flags = measure_flags(F.col("clasif"), F.col("tipo_siniestro_origen"), rule_set)
-    w = weight if weight is not None else F.lit(1).cast("long")
-    return [F.sum(flag * w).cast("long").alias(name) for name, flag in flags.items()]
+def measure_sums(rule_set: str = "narrow", weight: str | None = None) -> list[Column]:
+    """``sum`` of each movement indicator (times the ``weight`` column), one per measure."""
+    flags = measure_flags("clasif", "tipo_siniestro_origen", rule_set)
+    w = f" * {weight}" if weight else ""
+    return [F.expr(f"CAST(sum(({flag}){w}) AS BIGINT)").alias(name) for name, flag in flags.items()]
 
 
 def movement_measures(visit: DataFrame, keys: Sequence[str] = VISIT_KEYS,
                       rule_set: str = "narrow", weight: str | None = None) -> DataFrame:
-    w = F.col(weight) if weight else None
-    return visit.groupBy(*keys).agg(*measure_sums(rule_set, w))
+    return visit.groupBy(*keys).agg(*measure_sums(rule_set, weight))
 
 
-def total_indicator(rule_set: str = "wide") -> Column:
+def total_indicator(rule_set: str = "wide") -> str:
     """1 when the visit falls in one of the six counted measures (not 'otros')."""
-    flags = measure_flags(F.col("clasif"), F.col("tipo_siniestro_origen"), rule_set)
-    expr = None
-    for m in TOTAL_MEASURES:
-        expr = flags[m] if expr is None else expr + flags[m]
-    return expr
+    flags = measure_flags("clasif", "tipo_siniestro_origen", rule_set)
+    return "(" + " + ".join(f"({flags[m]})" for m in TOTAL_MEASURES) + ")"

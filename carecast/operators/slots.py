@@ -7,18 +7,14 @@ union of branches and the grid join never convert types).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import (
-    box_count, ci_in, class_count, half_hour, null_safe_concat, synthetic_end_time, weekday_label,
+    box_count, ci_in, class_count, half_hour, lit, null_safe_concat, num, synthetic_end_time,
+    weekday_label, year_week,
 )
-from .joins import broadcast_if_bounded
-
-# Grid dimensions: at most (#centres x 7 x 48) opening-hours rows.
-HOURS_ROWS_BOUND = 2_000_000
-CENTRE_ROWS_BOUND = 100_000
 
 ATTENTION_COLUMNS = [
     "centro", "rut_paciente", "fecha", "hora_inicia", "hora_fin", "cargo", "estado", "minutos",
@@ -51,48 +47,31 @@ def slot_grid(calendar: DataFrame, hours_long: DataFrame) -> DataFrame:
     A weekday without any slot keeps one row with NULL centre, weekday
     and slot (the left joins of the source keep it).
     """
-    hours = broadcast_if_bounded(hours_long, HOURS_ROWS_BOUND)
-    slots = hours.select("diasem", "mediahora").distinct()
-    days = calendar.select("fecha", weekday_label(F.col("fecha")).alias("diasem"))
-    series = days.join(F.broadcast(slots), "diasem", "left").select("fecha", "diasem", "mediahora")
-    series = series.distinct()
-    series_key = null_safe_concat(F.col("diasem"), "-", F.col("mediahora"))
-    hc = hours.select(
-        F.col("centro"), F.col("diasem").alias("hc_diasem"), F.col("mediahora").alias("hc_mediahora"),
-        F.col("horario"),
-        null_safe_concat(F.col("diasem"), "-", F.col("mediahora")).alias("hc_key"),
-    )
-    g = series.withColumn("t_key", series_key).join(hc, F.col("t_key") == F.col("hc_key"), "left")
-    return g.select(
-        "centro", "fecha", F.col("hc_diasem").alias("diasem"), "horario",
-        F.col("hc_mediahora").alias("mediahora"),
-    )
+    key = null_safe_concat("diasem", lit("-"), "mediahora")
+    slots = hours_long.select("diasem", "mediahora").distinct()
+    days = calendar.selectExpr("fecha", f"{weekday_label('fecha')} AS diasem")
+    series = days.join(slots, "diasem", "left").select("fecha", "diasem", "mediahora").distinct()
+    series = series.selectExpr("fecha", f"{key} AS t_key")
+    hc = hours_long.selectExpr("centro", "diasem", "mediahora", "horario", f"{key} AS hc_key")
+    g = series.join(hc, series.t_key == hc.hc_key, "left")
+    return g.select("centro", "fecha", "diasem", "horario", "mediahora")
 
 
 # ------------------------------------------------------------------ weekly SAP load
 def weekly_load(visit_window: DataFrame) -> DataFrame:
     """Per centre and calendar week: variable / scheduled minutes and visit counts."""
-    from ..functions import year_week
-
-    clas, claim, one = F.col("clasif"), F.col("tipo_siniestro_origen"), F.lit(1).cast("long")
-    m = {name: F.sum(class_count(clas, claim, cls, cond, one))
-         for name, cls, cond in ATTENTION_MEASURES}
     w = rules.SLOT_WEIGHTS
-    agg = visit_window.groupBy("centro", year_week(F.col("fecha_inicio")).alias("anno_semana")).agg(
-        *[v.alias(k) for k, v in m.items()]
+    agg = visit_window.groupBy("centro", F.expr(year_week("fecha_inicio")).alias("anno_semana")).agg(
+        *[F.expr(f"sum({class_count('clasif', 'tipo_siniestro_origen', cls, cond, '1')})").alias(name)
+          for name, cls, cond in ATTENTION_MEASURES]
     )
-    return agg.select(
+    variable = ["preingreso_ep", "ingreso", "ingreso_ep", "control_espontaneo", "tareas_administrativas"]
+    return agg.selectExpr(
         "centro", "anno_semana",
-        (F.col("preingreso_ep") * w["preingreso_ep"] + F.col("ingreso") * w["ingreso"]
-         + F.col("ingreso_ep") * w["ingreso_ep"]
-         + F.col("control_espontaneo") * w["control_espontaneo"]
-         + F.col("tareas_administrativas") * w["tareas_administrativas"])
-        .cast("double").alias("tiempo_demanda_variable"),
-        (F.col("control_agendado") * w["control_agendado"]).cast("double").alias("tiempo_controles"),
-        (F.col("preingreso_ep") + F.col("ingreso") + F.col("ingreso_ep")
-         + F.col("control_espontaneo") + F.col("tareas_administrativas"))
-        .alias("cantidad_demanda_variable"),
-        F.col("control_agendado").alias("cantidad_controles"),
+        "CAST(" + " + ".join(f"{m} * {num(w[m])}" for m in variable) + " AS DOUBLE) AS tiempo_demanda_variable",
+        f"CAST(control_agendado * {num(w['control_agendado'])} AS DOUBLE) AS tiempo_controles",
+        "(" + " + ".join(variable) + ") AS cantidad_demanda_variable",
+        "control_agendado AS cantidad_controles",
     )
 
 
@@ -103,7 +82,7 @@ WEEKLY_MEASURES = ["tiempo_demanda_variable", "tiempo_controles", "cantidad_dema
 def weekly_p75(weekly: DataFrame) -> DataFrame:
     """Exact 75th percentile per centre of each weekly measure (weeks present only)."""
     return weekly.groupBy("centro").agg(
-        *[F.percentile(F.col(m), rules.PERCENTILE).alias(f"{m}_p75") for m in WEEKLY_MEASURES]
+        *[F.expr(f"percentile({m}, {rules.PERCENTILE})").alias(f"{m}_p75") for m in WEEKLY_MEASURES]
     )
 
 
@@ -116,23 +95,21 @@ def queue_visit_groups(queue_rows: DataFrame, party: DataFrame, visit_rows: Data
     visit side is pre-counted per (partner, day, class columns), so a
     patient with many identical visits adds one row, not many.
     """
-    v = visit_rows.groupBy(
+    v = visit_rows.withColumnRenamed("media_hora", "media_hora_visita").groupBy(
         "bp_paciente", "fecha_inicio", "centro", "uo_medica", "clasif", "anno", "numero_semana",
-        "dia_semana", F.col("media_hora").alias("media_hora_visita"), "tipo_siniestro_origen",
+        "dia_semana", "media_hora_visita", "tipo_siniestro_origen",
     ).agg(F.count(F.lit(1)).alias("n_v"))
     q = queue_rows.drop("centro")
-    j = q.join(party, q.rut_paciente == party.rut, "inner").join(
-        v, (F.col("numero_bp") == v.bp_paciente) & (q.fecha == v.fecha_inicio), "inner"
-    )
+    qp = q.join(party, q.rut_paciente == party.rut, "inner")
+    j = qp.join(v, (qp.numero_bp == v.bp_paciente) & (qp.fecha == v.fecha_inicio), "inner")
     keys = ["centro", "rut_paciente", "ticket", "fecha", "hora_inicia", "hora_fin", "cargo", "estado",
             "minutos", "uo_medica", "clasif", "hr_inicio", "anno", "numero_semana", "dia_semana",
             "media_hora_visita", "tipo_siniestro_origen", "fila"]
     g = j.groupBy(*keys).agg(F.sum("n_v").alias("n"))
-    st, cl, claim = F.col("estado"), F.col("clasif"), F.col("tipo_siniestro_origen")
-    return g.select(
+    return g.selectExpr(
         *keys,
-        half_hour(F.col("hora_inicia")).alias("media_hora"),
-        *[box_count(st, cl, claim, cls, cond, F.col("n")).alias(name)
+        f"{half_hour('hora_inicia')} AS media_hora",
+        *[f"{box_count('estado', 'clasif', 'tipo_siniestro_origen', cls, cond, 'n')} AS {name}"
           for name, cls, cond in ATTENTION_MEASURES],
     )
 
@@ -151,44 +128,43 @@ def first_attention(groups: DataFrame, box_only: bool = False) -> DataFrame:
     ``row_number() == 1`` is planned with a partial WindowGroupLimit
     before the shuffle, so each map task forwards one row per ticket.
     """
-    g = groups.where(ci_in(F.col("estado"), rules.BOX_STATES)) if box_only else groups
-    w = Window.partitionBy("centro", "fecha", "rut_paciente", "ticket").orderBy(
-        *[F.col(c).asc_nulls_first() for c in FIRST_ATTENTION_ORDER]
+    g = groups.where(ci_in("estado", rules.BOX_STATES)) if box_only else groups
+    rank = (
+        "row_number() OVER (PARTITION BY centro, fecha, rut_paciente, ticket ORDER BY "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in FIRST_ATTENTION_ORDER) + ")"
     )
-    ranked = g.withColumn("numerofila", F.row_number().over(w)).where(F.col("numerofila") == 1)
-    return ranked.select(
-        *[c if c != "dia_semana_nombre" else F.col("dia_semana").alias(c) for c in QUEUE_BRANCH_ORDER]
+    ranked = g.selectExpr("*", f"{rank} AS numerofila").where("numerofila = 1")
+    return ranked.selectExpr(
+        *[c if c != "dia_semana_nombre" else f"dia_semana AS {c}" for c in QUEUE_BRANCH_ORDER]
     )
 
 
 def synthetic_attention(visit: DataFrame, queue_centres: DataFrame) -> DataFrame:
     """Attention rows estimated from visits of centres that have no queue data."""
-    centres = broadcast_if_bounded(queue_centres.select(F.col("centro").alias("q_centro")),
-                                   CENTRE_ROWS_BOUND)
+    centres = queue_centres.selectExpr("centro AS q_centro")
     v = visit.join(centres, visit.centro == centres.q_centro, "left_anti")
     keys = ["centro", "fecha_inicio", "hora_inicio", "numero_semana", "dia_semana", "uo_medica",
             "clasif", "tipo_siniestro_origen"]
     g = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    cl, claim, n = F.col("clasif"), F.col("tipo_siniestro_origen"), F.col("n")
-    counts = {name: class_count(cl, claim, cls, cond, n) for name, cls, cond in ATTENTION_MEASURES}
     cols = {
-        "centro": F.col("centro"),
-        "rut_paciente": F.lit(" "),
-        "fecha": F.col("fecha_inicio"),
-        "hora_inicia": F.col("hora_inicio"),
-        "hora_fin": synthetic_end_time(F.col("hora_inicio"), cl, claim),
-        "cargo": F.lit(" "),
-        "estado": F.lit(rules.SYNTHETIC_STATE),
-        "minutos": F.lit(0.0),
-        "uo_medica": F.col("uo_medica"),
-        "clasif": cl,
-        "anno": F.year(F.col("fecha_inicio")),
-        "numero_semana": F.col("numero_semana"),
-        "dia_semana_nombre": F.col("dia_semana"),
-        "media_hora": half_hour(F.col("hora_inicio")),
-        **counts,
+        "centro": "centro",
+        "rut_paciente": "' '",
+        "fecha": "fecha_inicio",
+        "hora_inicia": "hora_inicio",
+        "hora_fin": synthetic_end_time("hora_inicio", "clasif", "tipo_siniestro_origen"),
+        "cargo": "' '",
+        "estado": lit(rules.SYNTHETIC_STATE),
+        "minutos": "CAST(0 AS DOUBLE)",
+        "uo_medica": "uo_medica",
+        "clasif": "clasif",
+        "anno": "year(fecha_inicio)",
+        "numero_semana": "numero_semana",
+        "dia_semana_nombre": "dia_semana",
+        "media_hora": half_hour("hora_inicio"),
+        **{name: class_count("clasif", "tipo_siniestro_origen", cls, cond, "n")
+           for name, cls, cond in ATTENTION_MEASURES},
     }
-    return g.select(*[cols[c].alias(c) for c in SYNTHETIC_BRANCH_ORDER])
+    return g.selectExpr(*[f"{cols[c]} AS {c}" for c in SYNTHETIC_BRANCH_ORDER])
 
 
 # ------------------------------------------------------------------ slot totals
@@ -200,58 +176,51 @@ def slot_demand(attention: DataFrame) -> DataFrame:
     """
     w, slot = rules.SLOT_WEIGHTS, rules.SLOT_MINUTES
 
-    def whole(col: str, weight) -> F.Column:
-        return F.expr(f"({col} * {weight}) div {slot}")  # integer division per row
+    def per_row(col: str) -> str:
+        weight = w[col]
+        if float(weight).is_integer():
+            return f"sum(({col} * {int(weight)}) div {slot})"  # integer division per row
+        return f"sum({col} * {num(weight)} / {slot})"
 
+    variable = ["preingreso_ep", "ingreso", "ingreso_ep", "control_espontaneo", "tareas_administrativas"]
     return attention.groupBy("centro", "fecha", "numero_semana", "dia_semana_nombre", "media_hora").agg(
-        (F.sum("preingreso_ep") + F.sum("ingreso") + F.sum("ingreso_ep")
-         + F.sum("control_espontaneo") + F.sum("tareas_administrativas"))
-        .alias("total_demanda_variable"),
-        F.sum("control_agendado").alias("total_controles"),
-        (F.sum(whole("preingreso_ep", w["preingreso_ep"]))
-         + F.sum(F.col("ingreso") * w["ingreso"] / slot)
-         + F.sum(whole("ingreso_ep", w["ingreso_ep"]))
-         + F.sum(whole("control_espontaneo", w["control_espontaneo"]))
-         + F.sum(whole("tareas_administrativas", w["tareas_administrativas"])))
-        .cast("double").alias("tiempo_dmd_var"),
-        F.sum(whole("control_agendado", w["control_agendado"])).cast("double")
-        .alias("tiempo_dmd_controles"),
+        F.expr(" + ".join(f"sum({c})" for c in variable)).alias("total_demanda_variable"),
+        F.expr("sum(control_agendado)").alias("total_controles"),
+        F.expr("CAST(" + " + ".join(per_row(c) for c in variable) + " AS DOUBLE)").alias("tiempo_dmd_var"),
+        F.expr(f"CAST({per_row('control_agendado')} AS DOUBLE)").alias("tiempo_dmd_controles"),
     )
 
 
 def gap_fill(grid: DataFrame, facts: DataFrame) -> DataFrame:
     """Every grid slot with its measures, 0 where nothing happened."""
-    f = facts.select(
-        F.col("centro").alias("f_centro"), F.col("fecha").alias("f_fecha"),
-        F.col("dia_semana_nombre").alias("f_diasem"), F.col("media_hora").alias("f_mediahora"),
-        *SLOT_MEASURES,
-    )
+    f = facts.selectExpr("centro AS f_centro", "fecha AS f_fecha", "dia_semana_nombre AS f_diasem",
+                         "media_hora AS f_mediahora", *SLOT_MEASURES)
     j = grid.join(
         f,
         (grid.centro == f.f_centro) & (grid.fecha == f.f_fecha) & (grid.diasem == f.f_diasem)
         & (grid.mediahora == f.f_mediahora),
         "left",
     )
-    zero = {"total_demanda_variable": F.lit(0).cast("long"), "total_controles": F.lit(0).cast("long"),
-            "tiempo_dmd_var": F.lit(0.0), "tiempo_dmd_controles": F.lit(0.0)}
-    return j.select("centro", "diasem", "fecha", "mediahora",
-                    *[F.coalesce(F.col(m), zero[m]).alias(m) for m in SLOT_MEASURES])
+    zero = {"total_demanda_variable": "CAST(0 AS BIGINT)", "total_controles": "CAST(0 AS BIGINT)",
+            "tiempo_dmd_var": "CAST(0 AS DOUBLE)", "tiempo_dmd_controles": "CAST(0 AS DOUBLE)"}
+    return j.selectExpr("centro", "diasem", "fecha", "mediahora",
+                        *[f"coalesce({m}, {zero[m]}) AS {m}" for m in SLOT_MEASURES])
 
 
 def slot_p75(filled: DataFrame) -> DataFrame:
     """75th percentile per slot over DISTINCT (variable, scheduled) pairs."""
     pairs = filled.select(*SLOT_KEYS, "total_demanda_variable", "total_controles").distinct()
     return pairs.groupBy(*SLOT_KEYS).agg(
-        F.percentile(F.col("total_demanda_variable"), rules.PERCENTILE).alias("total_demanda_variable_p75"),
-        F.percentile(F.col("total_controles"), rules.PERCENTILE).alias("total_controles_p75"),
+        F.expr(f"percentile(total_demanda_variable, {rules.PERCENTILE})").alias("total_demanda_variable_p75"),
+        F.expr(f"percentile(total_controles, {rules.PERCENTILE})").alias("total_controles_p75"),
     )
 
 
 def slot_stddev(filled: DataFrame) -> DataFrame:
     """Sample standard deviation of slot times over all grid days (one day -> 0)."""
     return filled.groupBy(*SLOT_KEYS).agg(
-        F.coalesce(F.stddev_samp("tiempo_dmd_var"), F.lit(0.0)).alias("devest_variable"),
-        F.coalesce(F.stddev_samp("tiempo_dmd_controles"), F.lit(0.0)).alias("devest_controles"),
+        F.expr("coalesce(stddev_samp(tiempo_dmd_var), CAST(0 AS DOUBLE))").alias("devest_variable"),
+        F.expr("coalesce(stddev_samp(tiempo_dmd_controles), CAST(0 AS DOUBLE))").alias("devest_controles"),
     )
 
 
@@ -262,32 +231,30 @@ def demand_curve(p75: DataFrame) -> DataFrame:
     centre); a centre whose p75s are all 0, or a NULL centre, gets 0.
     Operands are fixed to 5 decimals before dividing, as the source does.
     """
-    by_centre = Window.partitionBy("centro")
-
-    def share(col: str) -> F.Column:
-        total = F.sum(F.col(col)).over(by_centre)
-        ratio = (F.col(col).cast("decimal(10,5)") / total.cast("decimal(10,5)")).cast("double")
-        return F.when(F.col("centro").isNotNull() & (total > 0), ratio).otherwise(F.lit(0.0))
+    def share(col: str) -> str:
+        total = f"sum({col}) OVER (PARTITION BY centro)"
+        ratio = f"CAST(CAST({col} AS DECIMAL(10,5)) / CAST({total} AS DECIMAL(10,5)) AS DOUBLE)"
+        return f"CASE WHEN centro IS NOT NULL AND {total} > 0 THEN {ratio} ELSE CAST(0 AS DOUBLE) END"
 
-    return p75.select(
+    return p75.selectExpr(
         *SLOT_KEYS,
-        share("total_demanda_variable_p75").alias("porcentaje_demanda_variable"),
-        share("total_controles_p75").alias("porcentaje_controles"),
+        f"{share('total_demanda_variable_p75')} AS porcentaje_demanda_variable",
+        f"{share('total_controles_p75')} AS porcentaje_controles",
     )
 
 
 def hourly_demand(curve: DataFrame, weekly: DataFrame, scale: int = rules.ROUND_SCALE) -> DataFrame:
     """Curve x weekly p75: minutes (tdv3, tca3) and visits (qdv3, qca3) per slot."""
-    wk = broadcast_if_bounded(weekly.withColumnRenamed("centro", "w_centro"), CENTRE_ROWS_BOUND)
+    wk = weekly.withColumnRenamed("centro", "w_centro")
     j = curve.join(wk, curve.centro == wk.w_centro, "left")
 
-    def demand(share: str, weekly_col: str) -> F.Column:
-        return F.coalesce(F.round(F.col(share) * F.col(weekly_col) * 1.00, scale), F.lit(0.0))
+    def demand(share: str, weekly_col: str) -> str:
+        return f"coalesce(round({share} * {weekly_col} * 1.00, {scale}), CAST(0 AS DOUBLE))"
 
-    return j.select(
+    return j.selectExpr(
         *SLOT_KEYS,
-        demand("porcentaje_demanda_variable", "tiempo_demanda_variable_p75").alias("tdv3"),
-        demand("porcentaje_controles", "tiempo_controles_p75").alias("tca3"),
-        demand("porcentaje_demanda_variable", "cantidad_demanda_variable_p75").alias("qdv3"),
-        demand("porcentaje_controles", "cantidad_controles_p75").alias("qca3"),
+        f"{demand('porcentaje_demanda_variable', 'tiempo_demanda_variable_p75')} AS tdv3",
+        f"{demand('porcentaje_controles', 'tiempo_controles_p75')} AS tca3",
+        f"{demand('porcentaje_demanda_variable', 'cantidad_demanda_variable_p75')} AS qdv3",
+        f"{demand('porcentaje_controles', 'cantidad_controles_p75')} AS qca3",
     )

@@ -16,11 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions import date_literal, flag_label
 from ..operators.joins import with_claim_flags
 from ..operators.measures import VISIT_KEYS, measure_sums, total_indicator
 from ..params import DEFAULT, Params
-from .. import rules
 
 EXCLUSIVE_TOTALS = [  # output name, covid flag, ministry flag
     ("minsal", 1, 1),
@@ -32,7 +32,7 @@ EXCLUSIVE_TOTALS = [  # output name, covid flag, ministry flag
 
 def flagged_visits(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
                    params: Params = DEFAULT) -> DataFrame:
-    v = visit.where(F.col("fecha_inicio") > date_literal(params.since))
+    v = visit.where(f"fecha_inicio > {date_literal(params.since)}")
     return with_claim_flags(v, covid_claim, ministry_case, params.dedupe_claims)
 
 
@@ -40,18 +40,16 @@ def movement_detail(visit: DataFrame, covid_claim: DataFrame, ministry_case: Dat
                     params: Params = DEFAULT) -> DataFrame:
     """Seven movement measures (narrow rules) per centre-day and covid x ministry label."""
     f = flagged_visits(visit, covid_claim, ministry_case, params)
-    agg = f.groupBy(*VISIT_KEYS, "covid_flag", "minsal_flag").agg(*measure_sums("narrow", F.col("w")))
-    return agg.select(
-        *VISIT_KEYS,
-        flag_label(F.col("covid_flag"), F.col("minsal_flag")).alias("tipo"),
-        *rules.MEASURE_ORDER,
+    agg = f.groupBy(*VISIT_KEYS, "covid_flag", "minsal_flag").agg(*measure_sums("narrow", "w"))
+    return agg.selectExpr(
+        *VISIT_KEYS, f"{flag_label('covid_flag', 'minsal_flag')} AS tipo", *rules.MEASURE_ORDER
     )
 
 
-def _exclusive_totals(tot) -> list:
+def _exclusive_totals(tot: str) -> list:
     return [
-        F.sum(F.when((F.col("covid_flag") == cv) & (F.col("minsal_flag") == mn), tot).otherwise(0))
-        .cast("long").alias(name)
+        F.expr(f"CAST(sum(CASE WHEN covid_flag = {cv} AND minsal_flag = {mn} THEN {tot} ELSE 0 END)"
+               f" AS BIGINT)").alias(name)
         for name, cv, mn in EXCLUSIVE_TOTALS
     ]
 
@@ -63,11 +61,11 @@ def covid_measures(visit: DataFrame, covid_claim: DataFrame, ministry_case: Data
     Only the total matching the row's flag pair can be non-zero.
     """
     f = flagged_visits(visit, covid_claim, ministry_case, params)
-    tot = total_indicator("wide") * F.col("w")
+    tot = f"({total_indicator('wide')} * w)"
     agg = f.groupBy(*VISIT_KEYS, "covid_flag", "minsal_flag").agg(
         *_exclusive_totals(tot),
-        F.sum(tot).cast("long").alias("atenciones_totales"),
-        *measure_sums("wide", F.col("w")),
+        F.expr(f"CAST(sum({tot}) AS BIGINT)").alias("atenciones_totales"),
+        *measure_sums("wide", "w"),
     )
     return agg.drop("covid_flag", "minsal_flag")
 
@@ -76,7 +74,7 @@ def covid_daily(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFra
                 params: Params = DEFAULT) -> DataFrame:
     """Four mutually exclusive visit totals per centre and day."""
     f = flagged_visits(visit, covid_claim, ministry_case, params)
-    tot = total_indicator("wide") * F.col("w")
+    tot = f"({total_indicator('wide')} * w)"
     return f.groupBy(*VISIT_KEYS).agg(*_exclusive_totals(tot)).select(
         *VISIT_KEYS, "minsal", "minsal_no_covid", "atenciones", "atenciones_covid"
     )

@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions import ci_contains, ci_eq, ci_not_in, date_literal, time_type
-from ..operators.joins import broadcast_if_bounded
+from ..functions import ci_contains, ci_eq, ci_not_in, date_literal, lit, time_type
 from ..operators.measures import VISIT_KEYS, movement_measures
 from ..params import DEFAULT, Params
 
@@ -57,13 +56,12 @@ DEMAND_TERMS = [
 
 
 def timed_tickets(queue_log: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    c = F.col("centro")
     return queue_log.where(
-        (F.col("fecha") > date_literal(params.since))
-        & ci_not_in(c, rules.DEMAND_EXCLUDED_CENTRES)
-        & ~ci_contains(c, rules.DEMAND_EXCLUDED_PATTERN)
-        & ci_eq(F.col("estado"), rules.TIMED_STATE)
-        & ci_eq(F.col("descripcion_tipo"), rules.TIMED_DESCRIPTION)
+        f"fecha > {date_literal(params.since)}"
+        f" AND {ci_not_in('centro', rules.DEMAND_EXCLUDED_CENTRES)}"
+        f" AND NOT {ci_contains('centro', rules.DEMAND_EXCLUDED_PATTERN)}"
+        f" AND {ci_eq('estado', rules.TIMED_STATE)}"
+        f" AND {ci_eq('descripcion_tipo', rules.TIMED_DESCRIPTION)}"
     )
 
 
@@ -81,8 +79,7 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     )
     p = party.groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
     v = (
-        visit.where(F.col("cl_mov_desc").isNotNull()
-                    & (F.col("fecha_inicio") > date_literal(params.since)))
+        visit.where(f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.since)}")
         .groupBy("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
         .agg(F.count(F.lit(1)).alias("n_v"))
     )
@@ -100,8 +97,8 @@ def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
                        params: Params = DEFAULT) -> DataFrame:
     """Average measured minutes per centre, service-time type and day."""
     tv = timed_visits(queue_log, party, visit, params)
-    typed = tv.select("centro", "fecha", "minutos",
-                      time_type(F.col("cl_mov_desc"), F.col("tipo_siniestro_origen")).alias("tipo"))
+    typed = tv.selectExpr("centro", "fecha", "minutos",
+                          f"{time_type('cl_mov_desc', 'tipo_siniestro_origen')} AS tipo")
     return typed.groupBy("centro", "tipo", "fecha").agg(
         F.avg(F.col("minutos").cast("double")).alias("minutos")
     )
@@ -115,7 +112,7 @@ def service_time_pivot(daily: DataFrame) -> DataFrame:
     aggregation round.
     """
     aggs = [
-        F.coalesce(F.avg(F.when(F.col("tipo") == label, F.col("minutos"))), F.lit(default))
+        F.expr(f"coalesce(avg(CASE WHEN tipo = {lit(label)} THEN minutos END), {default!r})")
         .alias(name)
         for label, (name, default) in TIME_COLUMNS.items()
     ]
@@ -124,34 +121,30 @@ def service_time_pivot(daily: DataFrame) -> DataFrame:
 
 def demand_minutes(measures: DataFrame, times: DataFrame) -> DataFrame:
     """Visit counts x service minutes per centre-day (NULL when no timed attention)."""
-    m, t = measures.alias("m"), times.alias("t")
-    j = m.join(t, (F.col("m.fecha_inicio") == F.col("t.fecha")) & (F.col("m.centro") == F.col("t.centro")),
-               "left")
-    total = None
-    for measure, minutes in DEMAND_TERMS:
-        term = F.col(f"m.{measure}") * F.col(f"t.{minutes}")
-        total = term if total is None else total + term
-    return j.select(*[F.col(f"m.{k}").alias(k) for k in VISIT_KEYS if k != "numero_semana"],
-                    total.alias("tiempo_total"))
+    t = times.withColumnsRenamed({"centro": "t_centro", "fecha": "t_fecha"})
+    j = measures.join(
+        t, (measures.fecha_inicio == t.t_fecha) & (measures.centro == t.t_centro), "left"
+    )
+    total = " + ".join(f"{m} * {mins}" for m, mins in DEMAND_TERMS)
+    return j.selectExpr(*[k for k in VISIT_KEYS if k != "numero_semana"], f"{total} AS tiempo_total")
 
 
 def staffed_capacity(capacity: DataFrame) -> DataFrame:
     return capacity.where(
-        ci_eq(F.col("cargo"), rules.STAFF_ROLE) & ci_eq(F.col("estado"), rules.APPROVED)
-    ).select("centro", F.col("fte").alias("oferta"))
+        f"{ci_eq('cargo', rules.STAFF_ROLE)} AND {ci_eq('estado', rules.APPROVED)}"
+    ).selectExpr("centro", "fte AS oferta")
 
 
 def demand_vs_capacity(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
                        capacity: DataFrame, params: Params = DEFAULT) -> DataFrame:
     times = service_time_pivot(service_time_daily(queue_log, party, visit, params))
-    v = visit.where(F.col("fecha_inicio") > date_literal(params.since))
+    v = visit.where(f"fecha_inicio > {date_literal(params.since)}")
     demand = demand_minutes(movement_measures(v, VISIT_KEYS, "narrow"), times)
-    staff = broadcast_if_bounded(staffed_capacity(capacity))
+    staff = staffed_capacity(capacity)
     out = (
-        demand.where(F.col("tiempo_total").isNotNull())
+        demand.where("tiempo_total IS NOT NULL")
         .join(staff, "centro", "inner")  # filtered LEFT JOIN == INNER; duplicate rows fan out
-        .select("territorio", "agencia", "centro", "fecha_inicio",
-                (F.col("tiempo_total") / rules.MINUTES_PER_FTE_DAY).alias("tiempo_total"),
-                "oferta")
+        .selectExpr("territorio", "agencia", "centro", "fecha_inicio",
+                    f"tiempo_total / {rules.MINUTES_PER_FTE_DAY} AS tiempo_total", "oferta")
     )
     return out.orderBy("territorio", "agencia", "centro", "fecha_inicio")

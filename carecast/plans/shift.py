@@ -22,16 +22,16 @@ Partitioning: everything after ``filled`` is keyed by centre. ``filled``
 is repartitioned once by centre; the slot percentile, std dev and the
 centre-level window sum then run without further exchanges. Its size is
 bounded by centres x calendar days x 48, whatever the visit volume. The
-weekly p75 table (one row per centre) is broadcast after a size check.
+weekly p75 table (one row per centre) is small at runtime, so AQE turns
+its join into a broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions import ci_in, ci_not_in, date_literal
+from ..functions import ci_in, ci_not_in, date_literal, lit
 from ..operators import reshape, slots
 from ..params import DEFAULT, Params
 from ..session import materialize
@@ -42,7 +42,7 @@ RESULT_COLUMNS = ["centro", "diasem", "mediahora", "tdv3", "tca3", "qdv3", "qca3
 
 def window_visits(visit: DataFrame, params: Params) -> DataFrame:
     """Visits on or after ``as_of - weeks`` (a date at midnight vs a datetime)."""
-    return visit.where(F.col("fecha_inicio") >= date_literal(params.window_first_date))
+    return visit.where(f"fecha_inicio >= {date_literal(params.window_first_date)}")
 
 
 def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calendar: DataFrame,
@@ -57,8 +57,8 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     st["weekly"] = slots.weekly_load(recent)
     st["weekly_p75"] = slots.weekly_p75(st["weekly"])
 
-    queue_rows = queue_log.where(ci_in(F.col("fila"), rules.QUEUE_ROWS) & (F.col("validacion") == 1))
-    visit_rows = recent.where(ci_not_in(F.col("centro"), rules.SHIFT_EXCLUDED_CENTRES))
+    queue_rows = queue_log.where(f"{ci_in('fila', rules.QUEUE_ROWS)} AND validacion = 1")
+    visit_rows = recent.where(ci_not_in("centro", rules.SHIFT_EXCLUDED_CENTRES))
     st["groups"] = slots.queue_visit_groups(queue_rows, party, visit_rows)
     st["first"] = slots.first_attention(st["groups"], params.box_only)
 
@@ -76,10 +76,8 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     st["stddev"] = slots.slot_stddev(filled)
     st["curve"] = slots.demand_curve(st["slot_p75"])
     st["hourly"] = slots.hourly_demand(st["curve"], st["weekly_p75"])
-    result = st["hourly"].join(st["stddev"], slots.SLOT_KEYS, "left").withColumn(
-        "lapse", F.lit(params.lapse)
-    )
-    st["result"] = result.select(*RESULT_COLUMNS)
+    result = st["hourly"].join(st["stddev"], slots.SLOT_KEYS, "left")
+    st["result"] = result.selectExpr(*RESULT_COLUMNS[:-1], f"{lit(params.lapse)} AS lapse")
     return st
 
 

@@ -4,9 +4,9 @@ visit_raw joined to its treating unit (primary-care units only), cancelled
 and future visits dropped, calendar attributes, claim type and visit class
 added, exact duplicates removed.
 
-Plan: the unit filter runs on the small ``org_unit`` side, which is then
-broadcast after a bounded size check; the visit filters are plain column
-predicates that reach the scan. The only shuffle is the final DISTINCT,
+Plan: the unit filter runs on the small ``org_unit`` side, which the
+planner broadcasts from its size statistics; the visit filters are plain
+column predicates that reach the scan. The only shuffle is the final DISTINCT,
 which aggregates map-side first, so repeated rows collapse before the
 exchange.
 """
@@ -16,65 +16,62 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import (
-    ci_contains, ci_in, classify_movement, date_literal, decode_claim_type, half_hour,
+    ci_contains, ci_in, classify_movement, date_literal, decode_claim_type, half_hour, lit,
     month_name, null_safe_concat, week_number, weekday_name, weekday_num, year_month,
 )
-from ..operators.joins import broadcast_if_bounded
 from ..params import DEFAULT, Params
 from ..sources import schemas
 
 
 def primary_care_units(org_unit: DataFrame) -> DataFrame:
     """Units whose medical unit contains 'MAPRI' and is not an excluded code."""
-    m = F.col("uo_medica")
     return org_unit.where(
-        ci_contains(m, rules.PRIMARY_CARE_UNIT_PATTERN) & ~ci_in(m, rules.EXCLUDED_MEDICAL_UNITS)
+        f"{ci_contains('uo_medica', rules.PRIMARY_CARE_UNIT_PATTERN)} "
+        f"AND NOT {ci_in('uo_medica', rules.EXCLUDED_MEDICAL_UNITS)}"
     )
 
 
 def live_visits(visit_raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Drop cancelled rows (NULL flags too, as ``<>`` does), future dates, old years."""
-    flag = F.col("ind_anulacion")
-    d = F.col("fecha_inicio")
-    keep = ~ci_in(flag, rules.CANCELLED_FLAGS)  # NULL -> unknown -> dropped
-    keep &= d <= date_literal(params.last_date)
-    keep &= d >= date_literal(dt.date(params.min_year, 1, 1))  # year(d) >= min_year, prunable
-    return visit_raw.where(keep)
+    return visit_raw.where(
+        f"NOT {ci_in('ind_anulacion', rules.CANCELLED_FLAGS)}"  # NULL -> unknown -> dropped
+        f" AND fecha_inicio <= {date_literal(params.last_date)}"
+        # year(d) >= min_year, written as a range so it prunes
+        f" AND fecha_inicio >= {date_literal(dt.date(params.min_year, 1, 1))}"
+    )
 
 
-def visit_attributes() -> list:
-    d, t = F.col("fecha_inicio"), F.col("hora_inicio")
+def visit_attributes(d: str = "fecha_inicio", t: str = "hora_inicio") -> list[str]:
     return [
-        F.month(d).alias("mes"),
-        F.coalesce(month_name(d), F.lit(rules.OTHER)).alias("nmes"),
-        F.year(d).alias("anno"),
-        F.dayofmonth(d).alias("dia"),
-        F.hour(t).alias("hora"),
-        half_hour(t).alias("media_hora"),
-        weekday_name(d).alias("dia_semana"),
-        week_number(d).alias("numero_semana"),
-        decode_claim_type(F.col("tipo_siniestro_orig")).alias("tipo_siniestro_origen"),
-        classify_movement(F.col("cl_mov_desc")).alias("clasif"),
-        null_safe_concat(weekday_num(d), "-", weekday_name(d)).alias("dia_semana_esp"),
-        F.coalesce(weekday_num(d), F.lit(99)).alias("dia_semana_num"),
-        year_month(d).alias("anno_mes"),
+        f"month({d}) AS mes",
+        f"coalesce({month_name(d)}, {lit(rules.OTHER)}) AS nmes",
+        f"year({d}) AS anno",
+        f"dayofmonth({d}) AS dia",
+        f"hour({t}) AS hora",
+        f"{half_hour(t)} AS media_hora",
+        f"{weekday_name(d)} AS dia_semana",
+        f"{week_number(d)} AS numero_semana",
+        f"{decode_claim_type('tipo_siniestro_orig')} AS tipo_siniestro_origen",
+        f"{classify_movement('cl_mov_desc')} AS clasif",
+        f"{null_safe_concat(weekday_num(d), lit('-'), weekday_name(d))} AS dia_semana_esp",
+        f"coalesce({weekday_num(d)}, 99) AS dia_semana_num",
+        f"{year_month(d)} AS anno_mes",
     ]
 
 
 def classify_visits(visit_raw: DataFrame, org_unit: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    units = broadcast_if_bounded(primary_care_units(org_unit))
+    units = primary_care_units(org_unit)
     v = live_visits(visit_raw, params)
     joined = v.join(units, "uo_tratamiento", "inner")  # filtered LEFT JOIN == INNER
-    out = joined.select(
-        *[F.col(c) for c in schemas.VISIT_RAW.fieldNames()],
+    out = joined.selectExpr(
+        *schemas.VISIT_RAW.fieldNames(),
         *visit_attributes(),
-        F.col("territorio_m").alias("territorio"),
-        F.col("agencia_m").alias("agencia"),
-        F.col("centro_m").alias("centro"),
-        F.col("uo_medica"),
+        "territorio_m AS territorio",
+        "agencia_m AS agencia",
+        "centro_m AS centro",
+        "uo_medica",
     )
-    return schemas.conform(out.distinct(), schemas.VISIT)
+    return out.distinct()

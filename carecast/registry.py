@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import (
-    half_hour, month_name, null_safe_concat, synthetic_end_time, week_number, weekday_name,
-    weekday_num, year_month, year_week,
+    claim_number, date_literal, half_hour, lit, month_name, null_safe_concat, synthetic_end_time,
+    week_number, weekday_name, weekday_num, year_month, year_week,
 )
-from .params import DEFAULT, Params
-from .functions import claim_number, date_literal
 from .operators.joins import ministry_keys
 from .operators.measures import VISIT_KEYS, movement_measures
-from .operators import slots
+from .params import DEFAULT, Params
 from .plans import covid, demand, shift, visits
 from .sources.adapters import DomainTables
 
@@ -39,16 +37,16 @@ def query(name: str):
 
 
 def round_doubles(df: DataFrame, scale: int = DOUBLE_SCALE) -> DataFrame:
-    cols = [
-        F.round(F.col(f.name), scale).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f.name)
+    if not any(isinstance(f.dataType, T.DoubleType) for f in df.schema.fields):
+        return df
+    return df.selectExpr(*[
+        f"round({f.name}, {scale}) AS {f.name}" if isinstance(f.dataType, T.DoubleType) else f.name
         for f in df.schema.fields
-    ]
-    return df.select(*cols)
+    ])
 
 
 def run(name: str, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataFrame:
-    return round_doubles(_REGISTRY[name](DomainTables(spark, sf_dir), params))
+    return round_doubles(_REGISTRY[name](DomainTables.of(spark, sf_dir), params))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -67,53 +65,49 @@ def _visit_classification(t, p):
 
 @query("calendar_attributes")
 def _calendar_attributes(t, p):
-    d, ts = F.col("fecha_inicio"), F.col("hora_inicio")
-    return t.visit_raw.select(
+    d, ts = "fecha_inicio", "hora_inicio"
+    return t.visit_raw.selectExpr(
         "episodio", "fecha_inicio",
-        F.month(d).alias("mes"),
-        F.coalesce(month_name(d), F.lit("Otros")).alias("nmes"),
-        F.year(d).alias("anno"), F.dayofmonth(d).alias("dia"), F.hour(ts).alias("hora"),
-        half_hour(ts).alias("media_hora"), weekday_name(d).alias("dia_semana"),
-        weekday_num(d).alias("dia_semana_num"), week_number(d).alias("numero_semana"),
-        year_month(d).alias("anno_mes"),
+        f"month({d}) AS mes", f"coalesce({month_name(d)}, {lit('Otros')}) AS nmes",
+        f"year({d}) AS anno", f"dayofmonth({d}) AS dia", f"hour({ts}) AS hora",
+        f"{half_hour(ts)} AS media_hora", f"{weekday_name(d)} AS dia_semana",
+        f"{weekday_num(d)} AS dia_semana_num", f"{week_number(d)} AS numero_semana",
+        f"{year_month(d)} AS anno_mes",
     )
 
 
 @query("week_number")
 def _week_number(t, p):
-    d = F.col("o_orderdate").cast("date")
-    return t.raw("orders").select(
-        "o_orderkey", d.alias("fecha"), week_number(d).alias("numero_semana"),
-        year_week(d).alias("anno_semana"),
+    d = "CAST(o_orderdate AS DATE)"
+    return t.raw("orders").selectExpr(
+        "o_orderkey", f"{d} AS fecha", f"{week_number(d)} AS numero_semana",
+        f"{year_week(d)} AS anno_semana",
     )
 
 
 @query("half_hour_bucket")
 def _half_hour_bucket(t, p):
-    ts = F.col("ts")
-    return t.raw("events").select(
-        "event_id", "ts", half_hour(ts).alias("media_hora"),
-        (F.hour(ts) * 60 + F.minute(ts)).alias("minuto_dia"),
+    return t.raw("events").selectExpr(
+        "event_id", "ts", f"{half_hour('ts')} AS media_hora",
+        "hour(ts) * 60 + minute(ts) AS minuto_dia",
     )
 
 
 @query("null_safe_concat")
 def _null_safe_concat(t, p):
-    d, flag = F.col("fecha_inicio"), F.col("ind_anulacion")
-    return t.visit_raw.select(
+    d = "fecha_inicio"
+    return t.visit_raw.selectExpr(
         "episodio",
-        null_safe_concat(weekday_num(d), "-", flag).alias("dia_anulacion"),
-        null_safe_concat(weekday_name(d), "-", flag).alias("nombre_anulacion"),
+        f"{null_safe_concat(weekday_num(d), lit('-'), 'ind_anulacion')} AS dia_anulacion",
+        f"{null_safe_concat(weekday_name(d), lit('-'), 'ind_anulacion')} AS nombre_anulacion",
     )
 
 
 @query("estimated_end_time")
 def _estimated_end_time(t, p):
-    v = visit(t, p)
-    return v.select(
+    return visit(t, p).selectExpr(
         "episodio", "clasif", "tipo_siniestro_origen", "hora_inicio",
-        synthetic_end_time(F.col("hora_inicio"), F.col("clasif"), F.col("tipo_siniestro_origen"))
-        .alias("hora_fin"),
+        f"{synthetic_end_time('hora_inicio', 'clasif', 'tipo_siniestro_origen')} AS hora_fin",
     )
 
 
@@ -131,12 +125,12 @@ def _org_unit_filter(t, p):
 @query("covid_flag_join")
 def _covid_flag_join(t, p):
     v = visit(t, p).select("episodio", "siniestro")
-    claims = t.covid_claim.select(
-        "siniestro_covid19", claim_number(F.col("siniestro_covid19")).alias("covid_key")
+    claims = t.covid_claim.selectExpr(
+        "siniestro_covid19", f"{claim_number('siniestro_covid19')} AS covid_key"
     )
     j = v.join(claims, v.siniestro == claims.covid_key, "left")
-    return j.select("episodio", "siniestro", "siniestro_covid19",
-                    F.col("covid_key").isNotNull().cast("int").alias("covid"))
+    return j.selectExpr("episodio", "siniestro", "siniestro_covid19",
+                        "CAST(covid_key IS NOT NULL AS INT) AS covid")
 
 
 @query("ministry_flag_join")
@@ -144,13 +138,12 @@ def _ministry_flag_join(t, p):
     v = visit(t, p).select("episodio", "siniestro")
     keys = ministry_keys(t.ministry_case)
     j = v.join(keys, v.siniestro == keys.minsal_key, "left")
-    return j.select("episodio", "siniestro",
-                    F.col("minsal_key").isNotNull().cast("int").alias("minsal"))
+    return j.selectExpr("episodio", "siniestro", "CAST(minsal_key IS NOT NULL AS INT) AS minsal")
 
 
 @query("movement_measures")
 def _movement_measures(t, p):
-    v = visit(t, p).where(F.col("fecha_inicio") > date_literal(p.since))
+    v = visit(t, p).where(f"fecha_inicio > {date_literal(p.since)}")
     return movement_measures(v, VISIT_KEYS, "narrow")
 
 
@@ -223,7 +216,7 @@ _stage_query("shift_demand", "result")
 @query("centres_without_queue")
 def _centres_without_queue(t, p):
     v = visit(t, p)
-    centres = t.queue_log.select(F.col("centro").alias("q_centro")).distinct()
+    centres = t.queue_log.selectExpr("centro AS q_centro").distinct()
     return (v.join(centres, v.centro == centres.q_centro, "left_anti")
             .groupBy("centro").agg(F.count(F.lit(1)).alias("n_visitas")))
 

@@ -23,11 +23,11 @@ The rules are deterministic so the DuckDB oracle spells the same tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import rules
 from ..functions.calendar import slot_label, weekday_num
+from ..functions.text import lit
 from . import schemas
 
 # ---------------------------------------------------------------- FIXED VALUES
@@ -50,100 +50,90 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(values: list, index: Column) -> Column:
-    """values[index] for a 0-based integer index (JVM-side array lookup)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _centre_of_user(user_id: Column) -> Column:
-    return (user_id % N_UNITS) % N_CENTRES
+def _pick(values: list, index: str) -> str:
+    """values[index] for a 0-based integer index expression."""
+    return f"element_at(array({', '.join(lit(v) for v in values)}), CAST({index} AS INT) + 1)"
 
 
 def visit_raw(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    df = events.select(
-        e.alias("episodio"),
-        F.col("user_id").alias("bp_paciente"),
-        F.col("ts").cast("date").alias("fecha_inicio"),
-        F.col("ts").alias("hora_inicio"),
-        _pick(MOVEMENT_CODES, e % len(MOVEMENT_CODES)).alias("cl_mov_desc"),
-        (F.floor(e / len(MOVEMENT_CODES)) % 6).alias("tipo_siniestro_orig"),
-        F.concat(F.lit("UO_"), (F.col("user_id") % N_UNITS).cast("string")).alias("uo_tratamiento"),
-        F.when(e % 17 == 0, F.lit("D")).when(e % 17 == 1, F.lit("X"))
-        .when(e % 17 == 2, F.lit(None).cast("string")).otherwise(F.lit("N")).alias("ind_anulacion"),
-        F.col("user_id").alias("siniestro"),
+    n = len(MOVEMENT_CODES)
+    df = events.selectExpr(
+        "event_id AS episodio",
+        "user_id AS bp_paciente",
+        "CAST(ts AS DATE) AS fecha_inicio",
+        "ts AS hora_inicio",
+        f"{_pick(MOVEMENT_CODES, f'event_id % {n}')} AS cl_mov_desc",
+        f"CAST((event_id div {n}) % 6 AS INT) AS tipo_siniestro_orig",
+        f"concat('UO_', CAST(user_id % {N_UNITS} AS STRING)) AS uo_tratamiento",
+        "CASE event_id % 17 WHEN 0 THEN 'D' WHEN 1 THEN 'X' WHEN 2 THEN NULL ELSE 'N' END"
+        " AS ind_anulacion",
+        "user_id AS siniestro",
     )
     return schemas.conform(df, schemas.VISIT_RAW)
 
 
 def org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
-    n = F.col("n_nationkey")
-    df = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.concat(F.lit("UO_"), n.cast("string")).alias("uo_tratamiento"),
-        _pick(UNIT_CODES, n % len(UNIT_CODES)).alias("uo_medica"),
-        F.col("r_name").alias("territorio_m"),
-        F.col("n_name").alias("agencia_m"),
-        F.concat(F.lit("C_"), (n % N_CENTRES).cast("string")).alias("centro_m"),
+    df = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "concat('UO_', CAST(n_nationkey AS STRING)) AS uo_tratamiento",
+        f"{_pick(UNIT_CODES, f'n_nationkey % {len(UNIT_CODES)}')} AS uo_medica",
+        "r_name AS territorio_m",
+        "n_name AS agencia_m",
+        f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING)) AS centro_m",
     )
     return schemas.conform(df, schemas.ORG_UNIT)
 
 
 def covid_claim(customer: DataFrame) -> DataFrame:
-    df = customer.where(F.col("c_custkey") % 7 == 0).select(
-        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("siniestro_covid19")
+    df = customer.where("c_custkey % 7 = 0").selectExpr(
+        "concat('C', CAST(c_custkey AS STRING)) AS siniestro_covid19"
     )
     return schemas.conform(df, schemas.COVID_CLAIM)
 
 
 def ministry_case(orders: DataFrame) -> DataFrame:
-    df = orders.where(F.col("o_custkey") % 3 == 0).select(F.col("o_custkey").alias("id_siniestro"))
+    df = orders.where("o_custkey % 3 = 0").selectExpr("o_custkey AS id_siniestro")
     return schemas.conform(df, schemas.MINISTRY_CASE)
 
 
 def party(customer: DataFrame) -> DataFrame:
-    df = customer.select(
-        F.concat(F.lit("R"), F.col("c_custkey").cast("string")).alias("rut"),
-        F.col("c_custkey").alias("numero_bp"),
+    df = customer.selectExpr(
+        "concat('R', CAST(c_custkey AS STRING)) AS rut", "c_custkey AS numero_bp"
     )
     return schemas.conform(df, schemas.PARTY)
 
 
 def queue_log(events: DataFrame) -> DataFrame:
-    e, u, t = F.col("event_id"), F.col("user_id"), F.col("ts")
-    centre = _centre_of_user(u)
-    df = events.where(centre.isin(QUEUE_CENTRES)).select(
-        F.concat(F.lit("C_"), centre.cast("string")).alias("centro"),
-        F.concat(F.lit("R"), u.cast("string")).alias("rut_paciente"),
-        (e % 3).alias("ticket"),
-        t.cast("date").alias("fecha"),
-        t.alias("hora_inicia"),
-        (t + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(20))).alias("hora_fin"),
-        F.lit("Médico").alias("cargo"),
-        F.when(F.col("event_type") == "view", F.lit("admision"))
-        .when(F.col("event_type") == "signup", F.lit("espera_box_atencion"))
-        .otherwise(F.lit("box_atencion")).alias("estado"),
-        F.col("value").alias("minutos"),
-        t.alias("hr_inicio"),
-        _pick(QUEUE_ROWS, e % len(QUEUE_ROWS)).alias("fila"),
-        F.when(e % 8 == 0, F.lit(0)).otherwise(F.lit(1)).alias("validacion"),
-        F.concat(F.lit("T"), (e % 2).cast("string")).alias("tipo_atencion"),
-        F.when(e % 9 == 0, F.lit("otra")).otherwise(F.lit("atencion")).alias("descripcion_tipo"),
+    centre = f"((user_id % {N_UNITS}) % {N_CENTRES})"
+    df = events.where(f"{centre} IN ({', '.join(map(str, QUEUE_CENTRES))})").selectExpr(
+        f"concat('C_', CAST({centre} AS STRING)) AS centro",
+        "concat('R', CAST(user_id AS STRING)) AS rut_paciente",
+        "event_id % 3 AS ticket",
+        "CAST(ts AS DATE) AS fecha",
+        "ts AS hora_inicia",
+        "ts + make_dt_interval(0, 0, 20) AS hora_fin",
+        f"{lit('Médico')} AS cargo",
+        "CASE event_type WHEN 'view' THEN 'admision' WHEN 'signup' THEN 'espera_box_atencion'"
+        " ELSE 'box_atencion' END AS estado",
+        "value AS minutos",
+        "ts AS hr_inicio",
+        f"{_pick(QUEUE_ROWS, f'event_id % {len(QUEUE_ROWS)}')} AS fila",
+        "CASE WHEN event_id % 8 = 0 THEN 0 ELSE 1 END AS validacion",
+        "concat('T', CAST(event_id % 2 AS STRING)) AS tipo_atencion",
+        "CASE WHEN event_id % 9 = 0 THEN 'otra' ELSE 'atencion' END AS descripcion_tipo",
     )
     return schemas.conform(df, schemas.QUEUE_LOG)
 
 
 def calendar(events: DataFrame) -> DataFrame:
-    return schemas.conform(events.select(F.col("ts").cast("date").alias("fecha")).distinct(),
-                           schemas.CALENDAR)
+    return events.selectExpr("CAST(ts AS DATE) AS fecha").distinct()
 
 
 def capacity(nation: DataFrame) -> DataFrame:
-    n = F.col("n_nationkey")
-    df = nation.where(n < N_CENTRES).select(
-        F.concat(F.lit("C_"), n.cast("string")).alias("centro"),
-        F.when(n % 4 == 0, F.lit("Enfermera")).otherwise(F.lit(rules.STAFF_ROLE)).alias("cargo"),
-        F.when(n == 9, F.lit("Borrador")).otherwise(F.lit(rules.APPROVED)).alias("estado"),
-        (n + 1.0).alias("fte"),
+    df = nation.where(f"n_nationkey < {N_CENTRES}").selectExpr(
+        "concat('C_', CAST(n_nationkey AS STRING)) AS centro",
+        f"CASE WHEN n_nationkey % 4 = 0 THEN 'Enfermera' ELSE {lit(rules.STAFF_ROLE)} END AS cargo",
+        f"CASE WHEN n_nationkey = 9 THEN 'Borrador' ELSE {lit(rules.APPROVED)} END AS estado",
+        "CAST(n_nationkey + 1 AS DOUBLE) AS fte",
     )
     return schemas.conform(df, schemas.CAPACITY)
 
@@ -154,34 +144,46 @@ def opening_hours_wide(events: DataFrame) -> DataFrame:
     Centre column C_k: NULL when (d + s + k) % 7 == 0 (no entry), 1 when
     the slot s lies in 16 .. 35 + k % 3 (open), else 0 (closed).
     """
-    t = F.col("ts")
     grid = (
-        events.select(weekday_num(t.cast("date")).alias("d"),
-                      (F.hour(t) * 2 + F.floor(F.minute(t) / 30)).cast("int").alias("s"))
-        .where(F.col("d") <= 6)
+        events.selectExpr(f"{weekday_num('CAST(ts AS DATE)')} AS d",
+                          "CAST(hour(ts) * 2 + minute(ts) div 30 AS INT) AS s")
+        .where("d <= 6")
         .distinct()
     )
-    d, s = F.col("d"), F.col("s")
     cols = [
-        F.when((d + s + k) % 7 == 0, F.lit(None).cast("int"))
-        .when((s >= 16) & (s <= 35 + k % 3), F.lit(1))
-        .otherwise(F.lit(0)).alias(f"C_{k}")
+        f"CASE WHEN (d + s + {k}) % 7 = 0 THEN CAST(NULL AS INT) "
+        f"WHEN s BETWEEN 16 AND {35 + k % 3} THEN 1 ELSE 0 END AS C_{k}"
         for k in range(N_CENTRES)
     ]
-    return grid.select(
-        F.element_at(F.array(*[F.lit(x) for x in rules.WEEKDAY_ES]), d).alias("diasem"),
-        slot_label(s).alias("mediahora"),
+    return grid.selectExpr(
+        f"element_at(array({', '.join(lit(x) for x in rules.WEEKDAY_ES)}), d) AS diasem",
+        f"{slot_label('s')} AS mediahora",
         *cols,
     )
 
 
 class DomainTables:
-    """Lazily built domain frames for one scale-factor directory."""
+    """Lazily built domain frames for one scale-factor directory.
+
+    ``of`` reuses the handles for the same session and folder: the frames
+    are lazy plans over read-only files, so sharing them between queries
+    only saves the file listing and plan construction.
+    """
+
+    _shared: dict[tuple[int, str], "DomainTables"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "DomainTables":
+        key = (id(spark), sf_dir)
+        t = cls._shared.get(key)
+        if t is None or t.spark is not spark:
+            t = cls._shared[key] = cls(spark, sf_dir)
+        return t
+
     def raw(self, name: str) -> DataFrame:
         key = "raw:" + name
         if key not in self._cache:

@@ -8,7 +8,6 @@ types without running a job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, L, I, D, DT, TS = (
@@ -64,7 +63,11 @@ DOMAIN = {
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, cast to the declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(*[
+        f.name if have.get(f.name) == f.dataType else f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in schema.fields
+    ])
 
 
 def check(df: DataFrame, schema: T.StructType) -> DataFrame:
