@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from .. import rules
 from .calendar import add_minutes
-from .text import case, ci_eq, ci_in, lit
+from .text import case, ci_eq, ci_in, fold, lit
 
 
 def claim_cond(claim_type: str, cond: str | None) -> str:
@@ -20,13 +20,23 @@ def claim_cond(claim_type: str, cond: str | None) -> str:
     return is_ep if cond == "ep" else f"(NOT {is_ep})"
 
 
+def _literal_map(pairs) -> str:
+    return "map(" + ", ".join(f"{k}, {v}" for k, v in pairs) + ")"
+
+
 def classify_movement(code: str, table: dict[str, str] = rules.MOVEMENT_CLASS) -> str:
-    """Movement code -> visit class; unknown or NULL codes -> 'Otros'."""
-    return case(((ci_eq(code, src), lit(cls)) for src, cls in table.items()), lit(rules.OTHER))
+    """Movement code -> visit class; unknown or NULL codes -> 'Otros'.
+
+    One lookup in a constant map keyed by the folded code (the CASE chain
+    of the source, as a hash lookup with a small generated body).
+    """
+    m = _literal_map((lit(src.rstrip(" ").lower()), lit(cls)) for src, cls in table.items())
+    return f"coalesce(try_element_at({m}, {fold(code)}), {lit(rules.OTHER)})"
 
 
 def decode_claim_type(code: str) -> str:
-    return case(((f"{code} = {k}", lit(v)) for k, v in rules.CLAIM_TYPE.items()), lit(rules.OTHER))
+    m = _literal_map((str(k), lit(v)) for k, v in rules.CLAIM_TYPE.items())
+    return f"coalesce(try_element_at({m}, CAST({code} AS INT)), {lit(rules.OTHER)})"
 
 
 def time_type(code: str, claim_type: str) -> str:

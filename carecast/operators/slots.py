@@ -49,8 +49,12 @@ def slot_grid(calendar: DataFrame, hours_long: DataFrame) -> DataFrame:
     """
     key = null_safe_concat("diasem", lit("-"), "mediahora")
     slots = hours_long.select("diasem", "mediahora").distinct()
-    days = calendar.selectExpr("fecha", f"{weekday_label('fecha')} AS diasem")
-    series = days.join(slots, "diasem", "left").select("fecha", "diasem", "mediahora").distinct()
+    # Distinct dates x distinct slots of their weekday are distinct rows, so
+    # the source's DISTINCT over the series moves to the (smaller) date list.
+    days = calendar.selectExpr("CAST(fecha AS DATE) AS fecha").distinct().selectExpr(
+        "fecha", f"{weekday_label('fecha')} AS diasem"
+    )
+    series = days.join(slots, "diasem", "left").select("fecha", "diasem", "mediahora")
     series = series.selectExpr("fecha", f"{key} AS t_key")
     hc = hours_long.selectExpr("centro", "diasem", "mediahora", "horario", f"{key} AS hc_key")
     g = series.join(hc, series.t_key == hc.hc_key, "left")
@@ -207,29 +211,41 @@ def gap_fill(grid: DataFrame, facts: DataFrame) -> DataFrame:
                         *[f"coalesce({m}, {zero[m]}) AS {m}" for m in SLOT_MEASURES])
 
 
-def slot_p75(filled: DataFrame) -> DataFrame:
-    """75th percentile per slot over DISTINCT (variable, scheduled) pairs."""
-    pairs = filled.select(*SLOT_KEYS, "total_demanda_variable", "total_controles").distinct()
+def slot_statistics(filled: DataFrame) -> DataFrame:
+    """Per slot: 75th percentiles and time standard deviations, in one pass.
+
+    * the percentiles run over DISTINCT (variable, scheduled) count pairs
+      of the slot (the source groups before its window percentile);
+    * the standard deviations run over every grid day of the slot, zeros
+      included (one day -> 0).
+
+    The std devs are window aggregates over the slot, so they ride along
+    the distinct pairs and both statistics come from one scan of the
+    gap-filled grid. With ``filled`` hash-partitioned by centre the window,
+    the DISTINCT and the grouping need no further exchange.
+    """
+    slot = "PARTITION BY centro, diasem, mediahora"
+    per_row = filled.selectExpr(
+        *SLOT_KEYS, "total_demanda_variable", "total_controles",
+        f"coalesce(stddev_samp(tiempo_dmd_var) OVER ({slot}), CAST(0 AS DOUBLE)) AS devest_variable",
+        f"coalesce(stddev_samp(tiempo_dmd_controles) OVER ({slot}), CAST(0 AS DOUBLE)) AS devest_controles",
+    )
+    pairs = per_row.distinct()
     return pairs.groupBy(*SLOT_KEYS).agg(
         F.expr(f"percentile(total_demanda_variable, {rules.PERCENTILE})").alias("total_demanda_variable_p75"),
         F.expr(f"percentile(total_controles, {rules.PERCENTILE})").alias("total_controles_p75"),
+        F.expr("max(devest_variable)").alias("devest_variable"),  # constant within the slot
+        F.expr("max(devest_controles)").alias("devest_controles"),
     )
 
 
-def slot_stddev(filled: DataFrame) -> DataFrame:
-    """Sample standard deviation of slot times over all grid days (one day -> 0)."""
-    return filled.groupBy(*SLOT_KEYS).agg(
-        F.expr("coalesce(stddev_samp(tiempo_dmd_var), CAST(0 AS DOUBLE))").alias("devest_variable"),
-        F.expr("coalesce(stddev_samp(tiempo_dmd_controles), CAST(0 AS DOUBLE))").alias("devest_controles"),
-    )
-
-
-def demand_curve(p75: DataFrame) -> DataFrame:
+def demand_curve(p75: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Share of each slot's p75 in its centre's total of slot p75s.
 
     The centre total is a window sum (the rows are already clustered by
     centre); a centre whose p75s are all 0, or a NULL centre, gets 0.
     Operands are fixed to 5 decimals before dividing, as the source does.
+    ``carry`` lists extra columns passed through.
     """
     def share(col: str) -> str:
         total = f"sum({col}) OVER (PARTITION BY centro)"
@@ -240,10 +256,12 @@ def demand_curve(p75: DataFrame) -> DataFrame:
         *SLOT_KEYS,
         f"{share('total_demanda_variable_p75')} AS porcentaje_demanda_variable",
         f"{share('total_controles_p75')} AS porcentaje_controles",
+        *carry,
     )
 
 
-def hourly_demand(curve: DataFrame, weekly: DataFrame, scale: int = rules.ROUND_SCALE) -> DataFrame:
+def hourly_demand(curve: DataFrame, weekly: DataFrame, scale: int = rules.ROUND_SCALE,
+                  carry: tuple[str, ...] = ()) -> DataFrame:
     """Curve x weekly p75: minutes (tdv3, tca3) and visits (qdv3, qca3) per slot."""
     wk = weekly.withColumnRenamed("centro", "w_centro")
     j = curve.join(wk, curve.centro == wk.w_centro, "left")
@@ -257,4 +275,5 @@ def hourly_demand(curve: DataFrame, weekly: DataFrame, scale: int = rules.ROUND_
         f"{demand('porcentaje_controles', 'tiempo_controles_p75')} AS tca3",
         f"{demand('porcentaje_demanda_variable', 'cantidad_demanda_variable_p75')} AS qdv3",
         f"{demand('porcentaje_controles', 'cantidad_controles_p75')} AS qca3",
+        *carry,
     )

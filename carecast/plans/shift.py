@@ -14,13 +14,16 @@ Stages (source temp tables in brackets):
   filled     grid left join slots, zeros for gaps           [SGPHC, sin null]
   slot_p75   p75 per slot over distinct value pairs         [percentil 75 media hora]
   stddev     per slot std dev of slot times                 [DEVS]
+             (both from one pass over ``filled``)
   curve      slot share of the centre's p75 total           [suma, porcentaje]
   hourly     share x weekly p75, rounded                    [demanda horaria, union1]
   result     hourly + std devs + lapse label                [Union_2, 3 Meses]
 
 Partitioning: everything after ``filled`` is keyed by centre. ``filled``
-is repartitioned once by centre; the slot percentile, std dev and the
-centre-level window sum then run without further exchanges. Its size is
+is repartitioned once by centre; the slot std dev (a window), the
+distinct pairs, the slot percentile and the centre-level window sum then
+run without further exchanges, and no join is needed to put the
+percentile and std dev side by side. Its size is
 bounded by centres x calendar days x 48, whatever the visit volume. The
 weekly p75 table (one row per centre) is small at runtime, so AQE turns
 its join into a broadcast.
@@ -72,12 +75,22 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     if persist:
         filled = materialize(filled, "slot_filled").repartition("centro")
     st["filled"] = filled
-    st["slot_p75"] = slots.slot_p75(filled)
-    st["stddev"] = slots.slot_stddev(filled)
-    st["curve"] = slots.demand_curve(st["slot_p75"])
-    st["hourly"] = slots.hourly_demand(st["curve"], st["weekly_p75"])
-    result = st["hourly"].join(st["stddev"], slots.SLOT_KEYS, "left")
-    st["result"] = result.selectExpr(*RESULT_COLUMNS[:-1], f"{lit(params.lapse)} AS lapse")
+    stats = slots.slot_statistics(filled)
+    st["slot_p75"] = stats.select(*slots.SLOT_KEYS, "total_demanda_variable_p75", "total_controles_p75")
+    st["stddev"] = stats.select(*slots.SLOT_KEYS, "devest_variable", "devest_controles")
+    devs = ("devest_variable", "devest_controles")
+    curve = slots.demand_curve(stats, carry=devs)
+    st["curve"] = curve.drop(*devs)
+    hourly = slots.hourly_demand(curve, st["weekly_p75"], carry=devs)
+    st["hourly"] = hourly.drop(*devs)
+    # The source attaches the std devs with a left join on the slot keys,
+    # which cannot match the all-NULL slot of a weekday without hours.
+    null_key = " OR ".join(f"{k} IS NULL" for k in slots.SLOT_KEYS)
+    st["result"] = hourly.selectExpr(
+        *RESULT_COLUMNS[:7],
+        *[f"CASE WHEN {null_key} THEN CAST(NULL AS DOUBLE) ELSE {d} END AS {d}" for d in devs],
+        f"{lit(params.lapse)} AS lapse",
+    )
     return st
 
 

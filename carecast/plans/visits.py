@@ -63,15 +63,20 @@ def visit_attributes(d: str = "fecha_inicio", t: str = "hora_inicio") -> list[st
 
 
 def classify_visits(visit_raw: DataFrame, org_unit: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    units = primary_care_units(org_unit)
-    v = live_visits(visit_raw, params)
-    joined = v.join(units, "uo_tratamiento", "inner")  # filtered LEFT JOIN == INNER
-    out = joined.selectExpr(
-        *schemas.VISIT_RAW.fieldNames(),
-        *visit_attributes(),
-        "territorio_m AS territorio",
-        "agencia_m AS agencia",
-        "centro_m AS centro",
+    """The source's ``SELECT DISTINCT ca.*, <attributes>, <unit columns>``.
+
+    Every attribute is a function of the visit and unit columns, so the
+    DISTINCT runs on those 14 columns and the attributes are computed
+    after it: the shuffle carries half the columns and the CASE chains run
+    once per distinct row, on the reduce side.
+    """
+    units = primary_care_units(org_unit).selectExpr(
+        "uo_tratamiento", "territorio_m AS territorio", "agencia_m AS agencia", "centro_m AS centro",
         "uo_medica",
     )
-    return out.distinct()
+    v = live_visits(visit_raw, params)
+    joined = v.join(units, "uo_tratamiento", "inner")  # filtered LEFT JOIN == INNER
+    distinct = joined.select(*schemas.VISIT_RAW.fieldNames(), "territorio", "agencia", "centro",
+                             "uo_medica").distinct()
+    return distinct.selectExpr(*schemas.VISIT.fieldNames()[:9], *visit_attributes(),
+                               "territorio", "agencia", "centro", "uo_medica")

@@ -21,6 +21,7 @@ from .operators.joins import ministry_keys
 from .operators.measures import VISIT_KEYS, movement_measures
 from .params import DEFAULT, Params
 from .plans import covid, demand, shift, visits
+from .session import materialize
 from .sources.adapters import DomainTables
 
 DOUBLE_SCALE = 6
@@ -57,6 +58,17 @@ def visit(t: DomainTables, p: Params) -> DataFrame:
     return visits.classify_visits(t.visit_raw, t.org_unit, p)
 
 
+def visit_table(t: DomainTables, p: Params) -> DataFrame:
+    """The visit table as the jobs that read it several times see it: written once.
+
+    The source keeps the classified visits as a permanent table that the
+    demand jobs scan; here it is written to the shared folder and read
+    back, so each branch scans parquet with its own filters pushed down
+    instead of re-running the classification.
+    """
+    return materialize(visit(t, p), "visit")
+
+
 # ------------------------------------------------------------------ P1 + scalars
 @query("visit_classification")
 def _visit_classification(t, p):
@@ -180,19 +192,24 @@ def _service_time_pivot(t, p):
 
 @query("demand_vs_capacity")
 def _demand_vs_capacity(t, p):
-    return demand.demand_vs_capacity(t.queue_log, t.party, visit(t, p), t.capacity, p)
+    return demand.demand_vs_capacity(t.queue_log, t.party, visit_table(t, p), t.capacity, p)
 
 
 # ------------------------------------------------------------------ P5
-def _stages(t: DomainTables, p: Params) -> dict[str, DataFrame]:
-    return shift.shift_stages(visit(t, p), t.queue_log, t.party, t.calendar,
-                              t.opening_hours_wide, p)
+# Stages computed from the hours and calendar alone (no visit table needed).
+GRID_STAGES = {"hours", "grid"}
+
+
+def _stages(t: DomainTables, p: Params, need_visits: bool = True) -> dict[str, DataFrame]:
+    v = visit_table(t, p) if need_visits else visit(t, p)  # lazy and unused for grid stages
+    return shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p)
 
 
 def _stage_query(name: str, stage: str, **overrides):
     @query(name)
     def _q(t, p):
-        return _stages(t, p.with_(**overrides) if overrides else p)[stage]
+        pp = p.with_(**overrides) if overrides else p
+        return _stages(t, pp, need_visits=stage not in GRID_STAGES)[stage]
     return _q
 
 

@@ -40,6 +40,10 @@ def cluster_conf(input_bytes: int | None = None, target_partition_bytes: int = 2
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Generated code for the rule CASE chains exceeds HotSpot's 8 KB
+        # JIT limit; without this flag those methods stay interpreted.
+        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     }
 
 
