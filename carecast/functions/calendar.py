@@ -57,14 +57,14 @@ def year_month(d: str) -> str:
 
 def half_hour(ts: str) -> str:
     """Floor a time of day to its half hour, as 'HH:mm:ss' (seconds ignored)."""
-    return (f"format_string('%02d:%s', hour({ts}), "
-            f"CASE WHEN minute({ts}) >= 30 THEN '30:00' ELSE '00:00' END)")
+    return (f"concat(lpad(CAST(hour({ts}) AS STRING), 2, '0'), "
+            f"CASE WHEN minute({ts}) >= 30 THEN ':30:00' ELSE ':00:00' END)")
 
 
 def slot_label(slot_index: str) -> str:
     """Slot 0..47 of the day -> 'HH:mm:ss'."""
-    return (f"format_string('%02d:%s', CAST({slot_index} div 2 AS INT), "
-            f"CASE WHEN {slot_index} % 2 = 1 THEN '30:00' ELSE '00:00' END)")
+    return (f"concat(lpad(CAST({slot_index} div 2 AS STRING), 2, '0'), "
+            f"CASE WHEN {slot_index} % 2 = 1 THEN ':30:00' ELSE ':00:00' END)")
 
 
 def add_minutes(ts: str, minutes: float) -> str:

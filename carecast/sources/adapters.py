@@ -19,11 +19,18 @@ opening_hours_wide  distinct (weekday, half hour) of events, Monday..Saturday,
 =================== ============================================================
 
 The rules are deterministic so the DuckDB oracle spells the same tables.
+
+Size bounds: ``nation`` and ``region`` have 25 and 5 rows at every scale
+factor (fixed by the TPC-H schema), so ``org_unit`` and ``capacity``
+have at most 25 rows; ``opening_hours_wide`` has at most 6 x 48 rows.
+Those three are marked for broadcast. Everything derived from events,
+customers or orders grows with the data and is left to the planner.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.calendar import slot_label, weekday_num
@@ -80,7 +87,7 @@ def org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
         "n_name AS agencia_m",
         f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING)) AS centro_m",
     )
-    return schemas.conform(df, schemas.ORG_UNIT)
+    return F.broadcast(schemas.conform(df, schemas.ORG_UNIT))  # <= 25 rows (one per nation)
 
 
 def covid_claim(customer: DataFrame) -> DataFrame:
@@ -135,7 +142,7 @@ def capacity(nation: DataFrame) -> DataFrame:
         f"CASE WHEN n_nationkey = 9 THEN 'Borrador' ELSE {lit(rules.APPROVED)} END AS estado",
         "CAST(n_nationkey + 1 AS DOUBLE) AS fte",
     )
-    return schemas.conform(df, schemas.CAPACITY)
+    return F.broadcast(schemas.conform(df, schemas.CAPACITY))  # <= 10 rows
 
 
 def opening_hours_wide(events: DataFrame) -> DataFrame:
@@ -155,11 +162,11 @@ def opening_hours_wide(events: DataFrame) -> DataFrame:
         f"WHEN s BETWEEN 16 AND {35 + k % 3} THEN 1 ELSE 0 END AS C_{k}"
         for k in range(N_CENTRES)
     ]
-    return grid.selectExpr(
+    return F.broadcast(grid.selectExpr(  # <= 6 weekdays x 48 slots
         f"element_at(array({', '.join(lit(x) for x in rules.WEEKDAY_ES)}), d) AS diasem",
         f"{slot_label('s')} AS mediahora",
         *cols,
-    )
+    ))
 
 
 class DomainTables:
