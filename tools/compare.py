@@ -25,6 +25,13 @@ VIEWS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem
          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+DUCK_TO_SPARK = {
+    "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "HUGEINT": "hugeint", "DECIMAL": "decimal",
+    "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint",
+}
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -63,6 +70,12 @@ def compare(spark, con, sf_dir, name, sql):
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}")
         return problems, len(s_rows), len(d_rows), t1 - t0, t2 - t1
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    for c in s_cols:
+        want = DUCK_TO_SPARK.get(d_types[c].split("(")[0].upper(), d_types[c])
+        if want != s_types[c]:
+            problems.append(f"type of {c}: spark={s_types[c]} duck={d_types[c]}")
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
