@@ -69,8 +69,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for materialised stages (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) is a
-    private folder created and registered.
+    Read from the session. Only a local-mode session (tests, one-machine
+    runs) without the setting gets a private folder; on a cluster an unset
+    folder is an error, since a machine-local path is not shared.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -80,6 +81,8 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             d = None
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="carecast-ckpt-")
         sc.setCheckpointDir(d)
     return d
