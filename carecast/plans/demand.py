@@ -31,6 +31,10 @@ from ..functions import ci_contains, ci_eq, ci_not_in, date_literal, lit, time_t
 from ..operators.measures import VISIT_KEYS, movement_measures
 from ..params import DEFAULT, Params
 
+# Visit columns the job reads (a written visit table needs only these).
+VISIT_COLUMNS = ["territorio", "agencia", "centro", "fecha_inicio", "numero_semana", "clasif",
+                 "tipo_siniestro_origen", "bp_paciente", "cl_mov_desc"]
+
 BRIDGE_KEYS = ["centro", "rut_paciente", "tipo_atencion", "fecha", "cl_mov_desc",
                "tipo_siniestro_origen"]
 

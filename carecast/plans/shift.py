@@ -39,6 +39,10 @@ from ..operators import reshape, slots
 from ..params import DEFAULT, Params
 from ..session import materialize
 
+# Visit columns the model reads (a written visit table needs only these).
+VISIT_COLUMNS = ["bp_paciente", "fecha_inicio", "hora_inicio", "centro", "uo_medica", "clasif",
+                 "tipo_siniestro_origen", "anno", "numero_semana", "dia_semana", "media_hora"]
+
 RESULT_COLUMNS = ["centro", "diasem", "mediahora", "tdv3", "tca3", "qdv3", "qca3",
                   "devest_variable", "devest_controles", "lapse"]
 

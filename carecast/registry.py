@@ -58,15 +58,15 @@ def visit(t: DomainTables, p: Params) -> DataFrame:
     return visits.classify_visits(t.visit_raw, t.org_unit, p)
 
 
-def visit_table(t: DomainTables, p: Params) -> DataFrame:
+def visit_table(t: DomainTables, p: Params, columns: list[str]) -> DataFrame:
     """The visit table as the jobs that read it several times see it: written once.
 
     The source keeps the classified visits as a permanent table that the
-    demand jobs scan; here it is written to the shared folder and read
-    back, so each branch scans parquet with its own filters pushed down
-    instead of re-running the classification.
+    demand jobs scan; here the columns a job reads are written to the
+    shared folder and read back, so each branch scans parquet with its own
+    filters pushed down instead of re-running the classification.
     """
-    return materialize(visit(t, p), "visit")
+    return materialize(visit(t, p).select(*columns), "visit")
 
 
 # ------------------------------------------------------------------ P1 + scalars
@@ -192,7 +192,8 @@ def _service_time_pivot(t, p):
 
 @query("demand_vs_capacity")
 def _demand_vs_capacity(t, p):
-    return demand.demand_vs_capacity(t.queue_log, t.party, visit_table(t, p), t.capacity, p)
+    return demand.demand_vs_capacity(t.queue_log, t.party, visit_table(t, p, demand.VISIT_COLUMNS),
+                                     t.capacity, p)
 
 
 # ------------------------------------------------------------------ P5
@@ -201,7 +202,7 @@ GRID_STAGES = {"hours", "grid"}
 
 
 def _stages(t: DomainTables, p: Params, need_visits: bool = True) -> dict[str, DataFrame]:
-    v = visit_table(t, p) if need_visits else visit(t, p)  # lazy and unused for grid stages
+    v = visit_table(t, p, shift.VISIT_COLUMNS) if need_visits else visit(t, p)  # unused for grid stages
     return shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p)
 
 
