@@ -40,6 +40,9 @@ def cluster_conf(input_bytes: int | None = None, target_partition_bytes: int = 2
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # One demand-model plan generates ~110 classes; the default cache of
+        # 100 compiled classes would evict them within a single run.
+        "spark.sql.codegen.cache.maxEntries": "2000",
         # Generated code for the rule CASE chains exceeds HotSpot's 8 KB
         # JIT limit; without this flag those methods stay interpreted.
         "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",

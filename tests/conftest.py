@@ -25,6 +25,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", ckpt)  # tests set their own shared folder
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
