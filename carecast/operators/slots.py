@@ -91,56 +91,87 @@ def weekly_p75(weekly: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ queue side
-def queue_visit_groups(queue_rows: DataFrame, party: DataFrame, visit_rows: DataFrame) -> DataFrame:
-    """Tickets bridged to the patient's visits that day, counted per group.
-
-    Grain: the ticket's own columns x the visit's class columns (the
-    source's 18 grouping keys); ``n`` is the number of joined rows. The
-    visit side is pre-counted per (partner, day, class columns), so a
-    patient with many identical visits adds one row, not many.
-    """
-    v = visit_rows.withColumnRenamed("media_hora", "media_hora_visita").groupBy(
-        "bp_paciente", "fecha_inicio", "centro", "uo_medica", "clasif", "anno", "numero_semana",
-        "dia_semana", "media_hora_visita", "tipo_siniestro_origen",
-    ).agg(F.count(F.lit(1)).alias("n_v"))
-    q = queue_rows.drop("centro")
-    qp = q.join(party, q.rut_paciente == party.rut, "inner")
-    j = qp.join(v, (qp.numero_bp == v.bp_paciente) & (qp.fecha == v.fecha_inicio), "inner")
-    keys = ["centro", "rut_paciente", "ticket", "fecha", "hora_inicia", "hora_fin", "cargo", "estado",
-            "minutos", "uo_medica", "clasif", "hr_inicio", "anno", "numero_semana", "dia_semana",
-            "media_hora_visita", "tipo_siniestro_origen", "fila"]
-    g = j.groupBy(*keys).agg(F.sum("n_v").alias("n"))
-    return g.selectExpr(
-        *keys,
-        f"{half_hour('hora_inicia')} AS media_hora",
-        *[f"{box_count('estado', 'clasif', 'tipo_siniestro_origen', cls, cond, 'n')} AS {name}"
-          for name, cls, cond in ATTENTION_MEASURES],
-    )
-
-
-# Total order for "first attention": the source orders by start time only;
-# the remaining group columns break ties so the pick is deterministic.
+# The source joins every ticket row of a patient-day to every visit class of
+# that day, counts identical (ticket, visit) rows on 18 keys, and keeps per
+# (visit centre, day, patient, ticket) the row first in this order (start
+# time first, as the source; the remaining keys break ties deterministically):
 FIRST_ATTENTION_ORDER = [
     "hora_inicia", "estado", "clasif", "tipo_siniestro_origen", "hora_fin", "cargo", "minutos",
     "uo_medica", "hr_inicio", "anno", "numero_semana", "dia_semana", "media_hora_visita", "fila",
 ]
+TICKET_KEYS = ["rut_paciente", "ticket", "fecha"]
+TICKET_COLUMNS = ["hora_inicia", "hora_fin", "cargo", "estado", "minutos", "hr_inicio", "fila"]
+CLASS_COLUMNS = ["uo_medica", "clasif", "anno", "numero_semana", "dia_semana", "media_hora_visita",
+                 "tipo_siniestro_origen"]
+# The order interleaves ticket and visit columns, and the candidates of a
+# partition are all (ticket row, visit class) pairs: a product set. The
+# lexicographic minimum of a product set is the pair of each side's own
+# minimum (each side ordered by its columns in the same relative order), so
+# the two sides are ranked separately and no pair is ever formed.
+TICKET_ORDER = [c for c in FIRST_ATTENTION_ORDER if c in TICKET_COLUMNS]
+CLASS_ORDER = [c for c in FIRST_ATTENTION_ORDER if c in CLASS_COLUMNS]
+
+
+def _first_by(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    """Rows first in ``order`` within ``partition`` (rows are distinct on both).
+
+    ``row_number() = 1`` runs as a partial WindowGroupLimit before the
+    shuffle and a final one after: each map task forwards one row per key.
+    """
+    rank = (f"row_number() OVER (PARTITION BY {', '.join(partition)} ORDER BY "
+            + ", ".join(f"{c} ASC NULLS FIRST" for c in order) + ")")
+    return df.selectExpr("*", f"{rank} AS numerofila").where("numerofila = 1").drop("numerofila")
+
+
+def first_tickets(queue_rows: DataFrame, box_only: bool = False) -> DataFrame:
+    """Per (patient, ticket, day): its first ticket row and how many copies it has (``n_q``)."""
+    q = queue_rows.where(ci_in("estado", rules.BOX_STATES)) if box_only else queue_rows
+    rows = q.groupBy(*TICKET_KEYS, *TICKET_COLUMNS).agg(F.count(F.lit(1)).alias("n_q"))
+    return _first_by(rows, TICKET_KEYS, TICKET_ORDER)
 
 
-def first_attention(groups: DataFrame, box_only: bool = False) -> DataFrame:
-    """Earliest row per (centre, day, patient, ticket), in the queue branch column order.
+def first_visit_classes(party: DataFrame, visit_rows: DataFrame) -> DataFrame:
+    """Per (patient rut, day, visit centre): the first visit class and its multiplicity ``m``.
 
-    ``row_number() == 1`` is planned with a partial WindowGroupLimit
-    before the shuffle, so each map task forwards one row per ticket.
+    ``m`` counts the (party link, visit) rows behind that class: visits are
+    pre-counted per (partner, day, class columns), party links per
+    (rut, partner), so a patient with many identical visits, or a rut with
+    many partners, is a few rows before any shuffle.
     """
-    g = groups.where(ci_in("estado", rules.BOX_STATES)) if box_only else groups
-    rank = (
-        "row_number() OVER (PARTITION BY centro, fecha, rut_paciente, ticket ORDER BY "
-        + ", ".join(f"{c} ASC NULLS FIRST" for c in FIRST_ATTENTION_ORDER) + ")"
-    )
-    ranked = g.selectExpr("*", f"{rank} AS numerofila").where("numerofila = 1")
-    return ranked.selectExpr(
-        *[c if c != "dia_semana_nombre" else f"dia_semana AS {c}" for c in QUEUE_BRANCH_ORDER]
+    v = visit_rows.withColumnRenamed("media_hora", "media_hora_visita").groupBy(
+        "bp_paciente", "fecha_inicio", "centro", *CLASS_COLUMNS
+    ).agg(F.count(F.lit(1)).alias("n_v"))
+    p = party.groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
+    classes = (
+        v.join(p, v.bp_paciente == p.numero_bp, "inner")
+        .groupBy("rut", "fecha_inicio", "centro", *CLASS_COLUMNS)
+        .agg(F.expr("sum(n_v * n_p)").alias("m"))
     )
+    return _first_by(classes, ["rut", "fecha_inicio", "centro"], CLASS_ORDER)
+
+
+def first_attention(queue_rows: DataFrame, party: DataFrame, visit_rows: DataFrame,
+                    box_only: bool = False) -> DataFrame:
+    """First attention per (visit centre, day, patient, ticket), queue branch column order.
+
+    The group count of the chosen (ticket row, visit class) pair is the
+    product of the two sides' counts, as the source's count over joined
+    rows; the six measures are that count where the ticket is in a box
+    state and the class matches, else 0.
+    """
+    t = first_tickets(queue_rows, box_only)
+    v = first_visit_classes(party, visit_rows)
+    j = t.join(v, (t.rut_paciente == v.rut) & (t.fecha == v.fecha_inicio), "inner")
+    cols = {
+        "centro": "centro", "rut_paciente": "rut_paciente", "fecha": "fecha",
+        "hora_inicia": "hora_inicia", "hora_fin": "hora_fin", "cargo": "cargo", "estado": "estado",
+        "minutos": "minutos", "uo_medica": "uo_medica", "clasif": "clasif", "anno": "anno",
+        "numero_semana": "numero_semana", "dia_semana_nombre": "dia_semana",
+        "media_hora": half_hour("hora_inicia"),
+        **{name: box_count("estado", "clasif", "tipo_siniestro_origen", cls, cond, "n_q * m")
+           for name, cls, cond in ATTENTION_MEASURES},
+    }
+    return j.selectExpr(*[f"{cols[c]} AS {c}" for c in QUEUE_BRANCH_ORDER])
 
 
 def synthetic_attention(visit: DataFrame, queue_centres: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ Stages (source temp tables in brackets):
   grid       calendar days x open slots x centres           [serie de tiempo, union]
   weekly     visits of the last N weeks per centre-week     [percentiles 0, 1]
   weekly_p75 p75 per centre of the weekly totals            [percentil 75 semanal]
-  groups     tickets bridged to same-day visits, counted    [evolucion semanal]
-  first      first attention per ticket                     [atenciones, evolucion 2]
+  first      first attention per ticket and visit centre    [evolucion semanal, atenciones,
+             (ticket and visit sides ranked apart, joined    evolucion 2]
+             once: no ticket x visit pairs)
   synthetic  visit-based rows for centres without tickets   [sin SGP]
   union      positional union of first + synthetic          [union]
   slots      per centre-day-slot totals and times           [union 2]
@@ -66,8 +67,7 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
 
     queue_rows = queue_log.where(f"{ci_in('fila', rules.QUEUE_ROWS)} AND validacion = 1")
     visit_rows = recent.where(ci_not_in("centro", rules.SHIFT_EXCLUDED_CENTRES))
-    st["groups"] = slots.queue_visit_groups(queue_rows, party, visit_rows)
-    st["first"] = slots.first_attention(st["groups"], params.box_only)
+    st["first"] = slots.first_attention(queue_rows, party, visit_rows, params.box_only)
 
     st["queue_centres"] = queue_log.select("centro").distinct()
     synth_source = recent if params.limit_synthetic else visit

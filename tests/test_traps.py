@@ -194,27 +194,36 @@ def test_t21_weekday_without_hours_gives_null_slot_row(spark):
     assert res["C"].qdv3 == pytest.approx(1.0)  # one visit, one slot: the whole weekly p75
 
 
-# ------------------------------------------------------------------ first attention
-def _groups(spark):
-    base = ("C", "R1", 0, D(2024, 1, 8))
-    rows = []
-    for hour, minute, estado in ((9, 0, "admision"), (9, 10, "box_atencion")):
+# ------------------------------------------------------------------ first attention (T14, counts)
+def _queue(spark, rows):
+    """rows: (rut, ticket, hour, minute, estado)."""
+    full = []
+    for rut, ticket, hour, minute, estado in rows:
         t = TS(2024, 1, 8, hour, minute)
-        rows.append((*base, t, t, "Médico", estado, 1.0, "U", "Ingreso", t, 2024, 2, "Lunes",
-                     "09:00:00", "Trabajo", "A", "09:00:00",
-                     0, 1 if estado == "box_atencion" else 0, 0, 0, 0, 0))
-    schema = ("centro string, rut_paciente string, ticket bigint, fecha date, hora_inicia timestamp_ntz, "
-              "hora_fin timestamp_ntz, cargo string, estado string, minutos double, uo_medica string, "
-              "clasif string, hr_inicio timestamp_ntz, anno int, numero_semana int, dia_semana string, "
-              "media_hora_visita string, tipo_siniestro_origen string, fila string, media_hora string, "
-              + ", ".join(f"{m} bigint" for m, _, _ in slots.ATTENTION_MEASURES))
-    return spark.createDataFrame(rows, schema)
+        full.append(("C", rut, ticket, D(2024, 1, 8), t, t, "Médico", estado, 1.0, t, "A", 1, "T0",
+                     "atencion"))
+    return spark.createDataFrame(full, schemas.QUEUE_LOG)
+
+
+def _visits_for(spark, n_copies=1):
+    v = _visit(spark, [("C", D(2024, 1, 8), TS(2024, 1, 8, 9), "Ingreso", "Trabajo")] * n_copies)
+    return v.withColumn("bp_paciente", v.bp_paciente * 0 + 7)
 
 
 def test_t14_first_attention_any_state_by_default(spark):
-    g = _groups(spark)
-    assert slots.first_attention(g).first().ingreso == 0
-    assert slots.first_attention(g, box_only=True).first().ingreso == 1
+    q = _queue(spark, [("R7", 0, 9, 0, "admision"), ("R7", 0, 9, 10, "box_atencion")])
+    party = spark.createDataFrame([("R7", 7)], schemas.PARTY)
+    v = _visits_for(spark)
+    assert slots.first_attention(q, party, v).first().ingreso == 0
+    assert slots.first_attention(q, party, v, box_only=True).first().ingreso == 1
+
+
+def test_first_attention_counts_joined_rows(spark):
+    # two identical ticket rows x two party links to the partner x three identical visits
+    q = _queue(spark, [("R7", 0, 9, 10, "box_atencion")] * 2)
+    party = spark.createDataFrame([("R7", 7), ("R7", 7)], schemas.PARTY)
+    r = slots.first_attention(q, party, _visits_for(spark, 3)).collect()
+    assert len(r) == 1 and r[0].ingreso == 2 * 2 * 3
 
 
 def test_rules_fixed_values_are_consistent():
