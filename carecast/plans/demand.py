@@ -10,15 +10,17 @@
    -> demand minutes, / (9 h * 60) -> FTE, beside the approved FTE.
 
 Plan notes. The bridge is many-to-many (several tickets and several
-visits per patient-day). Only the *maximum* minutes per group matter,
-so every side is reduced before joining: tickets to one row per
-(centre, patient, attention type, day) with their max and row count,
-party to distinct (rut, partner) counts, visits to distinct (partner,
-day, movement, claim type) counts. The join then emits one row per
-distinct combination instead of one per ticket x visit pair, and the
-pair count is kept as a product of counts. A patient holding a third of
-all tickets becomes a few rows per day after the partial aggregation.
-The pivot is one conditional aggregation (one shuffle).
+visits per patient-day). The service times never form ticket x visit
+pairs: tickets are reduced to one row per (centre, patient, attention
+type, day) with their longest minutes, the patient-day's visits to a
+count of distinct movement combinations per service-time type (at most 7
+rows), and the two meet once; the average weights each ticket group by
+that count, as the source's average over pairs does. ``timed_visits``
+(the source's intermediate at pair grain, a result in its own right)
+joins pre-counted sides: distinct keys with counts, the pair count kept
+as a product. A patient holding a third of all tickets is a few rows per
+day after the map-side aggregation. The pivot is one conditional
+aggregation (one shuffle).
 """
 
 from __future__ import annotations
@@ -99,12 +101,38 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
 
 def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
                        params: Params = DEFAULT) -> DataFrame:
-    """Average measured minutes per centre, service-time type and day."""
-    tv = timed_visits(queue_log, party, visit, params)
-    typed = tv.selectExpr("centro", "fecha", "minutos",
-                          f"{time_type('cl_mov_desc', 'tipo_siniestro_origen')} AS tipo")
-    return typed.groupBy("centro", "tipo", "fecha").agg(
-        F.avg(F.col("minutos").cast("double")).alias("minutos")
+    """Average measured minutes per centre, service-time type and day.
+
+    The source averages, per (centre, type, day), the longest minutes of
+    every (ticket group, visit movement/claim combination) of a patient-day
+    whose combination maps to that type. A ticket group therefore counts
+    once per such combination: with ``k`` = number of the patient-day's
+    distinct combinations of a type, the average is sum(max * k) / sum(k).
+    Each ticket group meets at most one row per type (7), never the
+    patient-day's visit combinations one by one.
+    """
+    q = (
+        timed_tickets(queue_log, params)
+        .groupBy("centro", "rut_paciente", "tipo_atencion", "fecha")
+        .agg(F.max("minutos").alias("minutos"))
+    )
+    links = party.select("rut", "numero_bp").distinct()
+    combos = (
+        visit.where(f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.since)}")
+        .select("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
+        .distinct()
+    )
+    per_type = (
+        combos.join(links, combos.bp_paciente == links.numero_bp, "inner")
+        .select("rut", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen").distinct()
+        .selectExpr("rut", "fecha_inicio",
+                    f"{time_type('cl_mov_desc', 'tipo_siniestro_origen')} AS tipo")
+        .groupBy("rut", "fecha_inicio", "tipo").agg(F.count(F.lit(1)).alias("k"))
+    )
+    j = q.join(per_type, (q.rut_paciente == per_type.rut) & (q.fecha == per_type.fecha_inicio),
+               "inner")
+    return j.groupBy("centro", "tipo", "fecha").agg(
+        F.expr("sum(CAST(minutos AS DOUBLE) * k) / sum(k)").alias("minutos")
     )
 
 
