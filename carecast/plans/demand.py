@@ -116,18 +116,15 @@ def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
         .groupBy("centro", "rut_paciente", "tipo_atencion", "fecha")
         .agg(F.max("minutos").alias("minutos"))
     )
-    links = party.select("rut", "numero_bp").distinct()
-    combos = (
-        visit.where(f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.since)}")
-        .select("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
-        .distinct()
-    )
+    visits = visit.where(
+        f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.since)}"
+    ).select("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
     per_type = (
-        combos.join(links, combos.bp_paciente == links.numero_bp, "inner")
-        .select("rut", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen").distinct()
-        .selectExpr("rut", "fecha_inicio",
-                    f"{time_type('cl_mov_desc', 'tipo_siniestro_origen')} AS tipo")
-        .groupBy("rut", "fecha_inicio", "tipo").agg(F.count(F.lit(1)).alias("k"))
+        visits.join(party.select("rut", "numero_bp"), visits.bp_paciente == party.numero_bp, "inner")
+        .groupBy("rut", "fecha_inicio",
+                 F.expr(time_type("cl_mov_desc", "tipo_siniestro_origen")).alias("tipo"))
+        # one shuffle: partial aggregate on (keys, combination), exchange on the keys
+        .agg(F.countDistinct("cl_mov_desc", "tipo_siniestro_origen").alias("k"))
     )
     j = q.join(per_type, (q.rut_paciente == per_type.rut) & (q.fecha == per_type.fecha_inicio),
                "inner")
