@@ -80,3 +80,16 @@ def test_service_time_defaults_fill_missing_types(spark):
             assert r.ingresos_ep == 37.0
         if (r.centro, r.fecha, "Tareas Admin") not in seen:
             assert r.tareas_admin == 6.0
+
+
+def test_limit_synthetic_applies_the_window(spark):
+    t = DomainTables.of(spark, SMALL_SF)
+    p = DEFAULT.with_(weeks=3)
+    v = visit(t, p)
+    plain = shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p)
+    limited = shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide,
+                                 p.with_(limit_synthetic=True))
+    first = p.window_first_date
+    assert limited["synthetic"].where(F.col("fecha") < F.lit(first)).count() == 0
+    assert plain["synthetic"].where(F.col("fecha") < F.lit(first)).count() > 0
+    assert limited["synthetic"].count() < plain["synthetic"].count()
