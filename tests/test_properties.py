@@ -93,3 +93,12 @@ def test_limit_synthetic_applies_the_window(spark):
     assert limited["synthetic"].where(F.col("fecha") < F.lit(first)).count() == 0
     assert plain["synthetic"].where(F.col("fecha") < F.lit(first)).count() > 0
     assert limited["synthetic"].count() < plain["synthetic"].count()
+
+
+def test_grid_is_days_times_open_entries(stages):
+    hours = stages["hours"].groupBy("diasem").count().collect()
+    per_weekday = {r.diasem: r["count"] for r in hours}
+    from carecast import rules
+    days = stages["grid"].select("fecha").distinct().collect()
+    expected = sum(per_weekday.get(rules.WEEKDAY_ES[d.fecha.weekday()], 1) for d in days)
+    assert stages["grid"].count() == expected

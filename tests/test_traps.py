@@ -230,3 +230,18 @@ def test_rules_fixed_values_are_consistent():
     assert len(rules.MOVEMENT_CLASS) == 12
     assert rules.WEEKDAY_ES[2] == "Miércoles"
     assert rules.SERVICE_MINUTES["ingreso"] == 20.6
+
+
+@pytest.mark.parametrize("code,claim,label", [
+    ("Consulta Urgenc", "Enfermedad profesional", "Ingreso EP"),
+    ("consulta urgenc", "Trabajo", "Ingreso"),
+    ("Consulta Ambula", "Trabajo", "Control Agendado"),
+    ("Consulta Espont", "Otros", "Control espontaneo"),
+    ("Preingreso EP", "Trabajo", "Preingreso EP"),
+    ("Apoyo Tratamien", "Trabajo", "Tareas Admin"),
+    ("Urgen.Telemed", "Trabajo", "Otros"),
+])
+def test_d2_service_time_types(spark, code, claim, label):
+    from carecast.functions import time_type
+    df = spark.createDataFrame([(code, claim)], "c string, t string")
+    assert df.select(col(time_type("c", "t")).alias("x")).first().x == label
