@@ -42,3 +42,14 @@ def load_tables(spark: SparkSession, locations: dict[str, str], opening_hours_wi
     hours = read_location(spark, opening_hours_wide)
     schemas.check(hours, schemas.OPENING_HOURS_KEYS)
     return Tables(opening_hours_wide=hours, **frames)
+
+
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio") -> DataFrame:
+    """Save ``df`` as a catalog table bucketed (and sorted) by ``key``; return it.
+
+    The visit classification's DISTINCT includes the episode id, so on a
+    ``visit_raw`` bucketed by it every duplicate lands in one bucket and
+    the DISTINCT runs bucket by bucket with no shuffle of the visits.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)

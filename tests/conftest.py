@@ -24,6 +24,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", ckpt)  # tests set their own shared folder
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="carecast-test-wh-"))
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()

@@ -57,3 +57,20 @@ def test_visit_table_is_written_once_and_scanned(plans):
     p = plans["demand_vs_capacity"]
     assert "events.parquet" in p          # tickets still come from events
     assert re.search(r"Location: InMemoryFileIndex[^\n]*visit-", p)  # visit table read back
+
+
+def test_bucketed_visits_classify_without_shuffle(spark):
+    from carecast.plans import visits
+    from carecast.sources import catalog
+    from carecast.sources.adapters import DomainTables
+
+    t = DomainTables.of(spark, SMALL_SF)
+    raw = catalog.write_bucketed(t.visit_raw, "visit_raw_bucketed", 4)
+    df = visits.classify_visits(raw, t.org_unit)
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    assert "hashpartitioning" not in final  # only the org-unit broadcast is exchanged
+    assert df.count() == visits.classify_visits(t.visit_raw, t.org_unit).count()
