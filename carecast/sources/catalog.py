@@ -47,9 +47,11 @@ def load_tables(spark: SparkSession, locations: dict[str, str], opening_hours_wi
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio") -> DataFrame:
     """Save ``df`` as a catalog table bucketed (and sorted) by ``key``; return it.
 
-    The visit classification's DISTINCT includes the episode id, so on a
-    ``visit_raw`` bucketed by it every duplicate lands in one bucket and
-    the DISTINCT runs bucket by bucket with no shuffle of the visits.
+    Use it for the large tables whose group keys all contain one column:
+    ``visit_raw`` by ``episodio`` (the classification's DISTINCT runs bucket
+    by bucket, no shuffle of the visits) and ``queue_log`` by
+    ``rut_paciente`` (ticket copies are combined and tickets ranked without
+    a shuffle).
     """
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return df.sparkSession.table(table)

@@ -74,3 +74,19 @@ def test_bucketed_visits_classify_without_shuffle(spark):
     final = buf.getvalue().split("== Initial Plan ==")[0]
     assert "hashpartitioning" not in final  # only the org-unit broadcast is exchanged
     assert df.count() == visits.classify_visits(t.visit_raw, t.org_unit).count()
+
+
+def test_bucketed_queue_ranks_tickets_without_shuffle(spark):
+    from carecast.operators import slots
+    from carecast.sources import catalog
+    from carecast.sources.adapters import DomainTables
+
+    t = DomainTables.of(spark, SMALL_SF)
+    q = catalog.write_bucketed(t.queue_log, "queue_log_bucketed", 4, key="rut_paciente")
+    df = slots.first_tickets(q)
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    assert "hashpartitioning" not in buf.getvalue().split("== Initial Plan ==")[0]
+    assert df.count() == slots.first_tickets(t.queue_log).count()
