@@ -99,17 +99,16 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     )
 
 
-def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
-                       params: Params = DEFAULT) -> DataFrame:
-    """Average measured minutes per centre, service-time type and day.
+def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
+                         params: Params = DEFAULT) -> DataFrame:
+    """Ticket groups with their longest minutes, per service-time type of their patient-day.
 
     The source averages, per (centre, type, day), the longest minutes of
     every (ticket group, visit movement/claim combination) of a patient-day
     whose combination maps to that type. A ticket group therefore counts
-    once per such combination: with ``k`` = number of the patient-day's
-    distinct combinations of a type, the average is sum(max * k) / sum(k).
-    Each ticket group meets at most one row per type (7), never the
-    patient-day's visit combinations one by one.
+    once per such combination: ``k`` = number of the patient-day's distinct
+    combinations of a type is its weight. Each ticket group meets at most
+    one row per type (7), never the patient-day's combinations one by one.
     """
     q = (
         timed_tickets(queue_log, params)
@@ -123,16 +122,37 @@ def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
         visits.join(party.select("rut", "numero_bp"), visits.bp_paciente == party.numero_bp, "inner")
         .groupBy("rut", "fecha_inicio",
                  F.expr(time_type("cl_mov_desc", "tipo_siniestro_origen")).alias("tipo"))
-        # one shuffle: partial aggregate on (keys, combination), exchange on the keys
         .agg(F.countDistinct("cl_mov_desc", "tipo_siniestro_origen").alias("k"))
     )
-    j = q.join(per_type, (q.rut_paciente == per_type.rut) & (q.fecha == per_type.fecha_inicio),
-               "inner")
-    return j.groupBy("centro", "tipo", "fecha").agg(
+    return q.join(per_type, (q.rut_paciente == per_type.rut) & (q.fecha == per_type.fecha_inicio),
+                  "inner").select("centro", "fecha", "tipo", "minutos", "k")
+
+
+def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
+                       params: Params = DEFAULT) -> DataFrame:
+    """Average measured minutes per centre, service-time type and day: sum(max * k) / sum(k)."""
+    rows = typed_ticket_minutes(queue_log, party, visit, params)
+    return rows.groupBy("centro", "tipo", "fecha").agg(
         F.expr("sum(CAST(minutos AS DOUBLE) * k) / sum(k)").alias("minutos")
     )
 
 
+def service_times(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
+                  params: Params = DEFAULT) -> DataFrame:
+    """``service_time_pivot(service_time_daily(..))`` in one aggregation.
+
+    The pivot's average of the single value per (centre, type, day) is
+    that value, so the weighted averages are pivoted directly.
+    """
+    rows = typed_ticket_minutes(queue_log, party, visit, params)
+    aggs = [
+        F.expr(f"coalesce(sum(CASE WHEN tipo = {lit(label)} THEN CAST(minutos AS DOUBLE) * k END)"
+               f" / sum(CASE WHEN tipo = {lit(label)} THEN k END), {default!r})").alias(name)
+        for label, (name, default) in TIME_COLUMNS.items()
+    ]
+    return rows.groupBy("centro", "fecha").agg(*aggs)
+
+
 def service_time_pivot(daily: DataFrame) -> DataFrame:
     """One row per centre-day, one column per service-time type, defaults filled.
 
@@ -166,7 +186,7 @@ def staffed_capacity(capacity: DataFrame) -> DataFrame:
 
 def demand_vs_capacity(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
                        capacity: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    times = service_time_pivot(service_time_daily(queue_log, party, visit, params))
+    times = service_times(queue_log, party, visit, params)
     v = visit.where(f"fecha_inicio > {date_literal(params.since)}")
     demand = demand_minutes(movement_measures(v, VISIT_KEYS, "narrow"), times)
     staff = staffed_capacity(capacity)
