@@ -133,19 +133,18 @@ def first_tickets(queue_rows: DataFrame, box_only: bool = False) -> DataFrame:
 def first_visit_classes(party: DataFrame, visit_rows: DataFrame) -> DataFrame:
     """Per (patient rut, day, visit centre): the first visit class and its multiplicity ``m``.
 
-    ``m`` counts the (party link, visit) rows behind that class: visits are
-    pre-counted per (partner, day, class columns), party links per
-    (rut, partner), so a patient with many identical visits, or a rut with
-    many partners, is a few rows before any shuffle.
+    ``m`` counts the (party link, visit) rows behind that class. Party links
+    are pre-counted per (rut, partner), so copies of a link are one row;
+    visits join as they are and the aggregation right after the join
+    combines identical visit classes map-side, before any shuffle.
     """
-    v = visit_rows.withColumnRenamed("media_hora", "media_hora_visita").groupBy(
-        "bp_paciente", "fecha_inicio", "centro", *CLASS_COLUMNS
-    ).agg(F.count(F.lit(1)).alias("n_v"))
+    v = visit_rows.withColumnRenamed("media_hora", "media_hora_visita").select(
+        "bp_paciente", "fecha_inicio", "centro", *CLASS_COLUMNS)
     p = party.groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
     classes = (
         v.join(p, v.bp_paciente == p.numero_bp, "inner")
         .groupBy("rut", "fecha_inicio", "centro", *CLASS_COLUMNS)
-        .agg(F.expr("sum(n_v * n_p)").alias("m"))
+        .agg(F.sum("n_p").alias("m"))
     )
     return _first_by(classes, ["rut", "fecha_inicio", "centro"], CLASS_ORDER)
 
