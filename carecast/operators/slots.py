@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
+from .reshape import HOURS_KEYS, unpivot_hours
 from ..functions import (
     box_count, ci_in, class_count, half_hour, lit, null_safe_concat, num, synthetic_end_time,
     weekday_label, year_week,
@@ -41,14 +42,20 @@ SLOT_MEASURES = ["total_demanda_variable", "total_controles", "tiempo_dmd_var",
 
 
 # ------------------------------------------------------------------ grid
-def slot_grid(calendar: DataFrame, hours_long: DataFrame) -> DataFrame:
+def slot_grid(calendar: DataFrame, hours_wide: DataFrame,
+              keys: tuple[str, ...] = HOURS_KEYS) -> DataFrame:
     """Calendar days x the open-hours slots of their weekday, per centre.
 
     A weekday without any slot keeps one row with NULL centre, weekday
-    and slot (the left joins of the source keep it).
+    and slot (the left joins of the source keep it). The weekday-slot list
+    is read off the wide table (a slot exists where any centre cell is
+    set, as after the unpivot), so both inputs of the grid read every
+    column of the hours table and share one scan.
     """
     key = null_safe_concat("diasem", lit("-"), "mediahora")
-    slots = hours_long.select("diasem", "mediahora").distinct()
+    centres = [c for c in hours_wide.columns if c not in keys]
+    slots = (hours_wide.where(f"coalesce({', '.join(centres)}) IS NOT NULL")
+             .select(*keys).distinct())
     # Distinct dates x distinct slots of their weekday are distinct rows, so
     # the source's DISTINCT over the series moves to the (smaller) date list.
     days = calendar.selectExpr("CAST(fecha AS DATE) AS fecha").distinct().selectExpr(
@@ -56,7 +63,8 @@ def slot_grid(calendar: DataFrame, hours_long: DataFrame) -> DataFrame:
     )
     series = days.join(slots, "diasem", "left").select("fecha", "diasem", "mediahora")
     series = series.selectExpr("fecha", f"{key} AS t_key")
-    hc = hours_long.selectExpr("centro", "diasem", "mediahora", "horario", f"{key} AS hc_key")
+    hc = unpivot_hours(hours_wide, keys).selectExpr(
+        "centro", "diasem", "mediahora", "horario", f"{key} AS hc_key")
     g = series.join(hc, series.t_key == hc.hc_key, "left")
     return g.select("centro", "fecha", "diasem", "horario", "mediahora")
 

@@ -59,7 +59,7 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     """All stages as lazy DataFrames (``persist`` writes the reused ones to the shared folder)."""
     st: dict[str, DataFrame] = {}
     st["hours"] = reshape.unpivot_hours(opening_hours_wide)
-    st["grid"] = slots.slot_grid(calendar, st["hours"])
+    st["grid"] = slots.slot_grid(calendar, opening_hours_wide)
 
     recent = window_visits(visit, params)
     st["weekly"] = slots.weekly_load(recent)
