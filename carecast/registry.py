@@ -1,12 +1,15 @@
 """Registered queries: one per operator / job, each reading the driver tables.
 
-``QUERIES[name](spark, sf_dir)`` returns a lazy DataFrame. Double columns
+``queries()[name](spark, sf_dir)`` returns a DataFrame (lazy, except that
+the jobs reading the visit table several times write it once first). Double columns
 are rounded to ``DOUBLE_SCALE`` decimals at the output (the oracle does
 the same) so results compare exactly across engines.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,7 @@ from .operators.joins import ministry_keys
 from .operators.measures import VISIT_KEYS, movement_measures
 from .params import DEFAULT, Params
 from .plans import covid, demand, shift, visits
-from .session import materialize
+from .session import materialize, shared_dir
 from .sources.adapters import DomainTables
 
 DOUBLE_SCALE = 6
@@ -241,10 +244,6 @@ def _centres_without_queue(t, p):
 
 @query("shift_tool_append")
 def _shift_tool_append(t, p):
-    from .session import shared_dir
-    import os
-    import uuid
-
     result = _stages(t, p)["result"]
     path = os.path.join(shared_dir(t.spark), f"shift_tool-{uuid.uuid4().hex[:12]}")
     shift.append_shift_tool(result, path)
