@@ -46,3 +46,28 @@ def test_run_all_jobs(spark):
     inline = covid.covid_daily(visits.classify_visits(t.visit_raw, t.org_unit), t.covid_claim,
                                t.ministry_case, DEFAULT)
     assert _rows(out["covid_daily"].select(*inline.columns)) == _rows(inline)
+
+
+def test_incremental_movement_detail_matches_batch(spark):
+    t = DomainTables.of(spark, SMALL_SF)
+    base = os.path.join(shared_dir(spark), f"stream-md-{uuid.uuid4().hex[:8]}")
+    incoming, out, ckpt = (os.path.join(base, x) for x in ("incoming", "out", "ckpt"))
+    raw = t.visit_raw
+    raw.where("fecha_inicio < DATE '2024-01-20'").write.parquet(os.path.join(incoming, "a"))
+    args = (spark, incoming + "/*", t.org_unit, t.covid_claim, t.ministry_case, out, ckpt,
+            "movement_detail")
+    start(*args).awaitTermination()
+    raw.where("fecha_inicio >= DATE '2024-01-20'").write.parquet(os.path.join(incoming, "b"))
+    start(*args).awaitTermination()
+    want = covid.movement_detail(visits.classify_visits(raw, t.org_unit), t.covid_claim,
+                                 t.ministry_case)
+    got = spark.read.parquet(out).select(*want.columns)
+    assert _rows(got) == _rows(want) and len(_rows(want)) > 0
+
+
+def test_cluster_conf_sizes_partitions_from_input():
+    from carecast.session import cluster_conf
+
+    assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
+    assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_conf()["spark.sql.adaptive.skewJoin.enabled"] == "true"
