@@ -101,3 +101,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package as a zip, once per Spark context.
+
+    Pandas and Arrow functions import the package on the executors, which
+    need not have it installed; ``addPyFile`` lets Spark distribute it.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_carecast_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="carecast-zip-"), "carecast_package.zip")  # read by the driver only
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(x for x in names if x.endswith(".py")):
+                full = os.path.join(folder, n)
+                z.write(full, os.path.join("carecast", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._carecast_shipped = True
