@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import chat, mixing, packing, quality_classifier, quality_rules, token_counts
+from . import chat, lines, mixing, near_duplicates, packing, quality_classifier, quality_rules, spans, token_counts
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,18 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(read(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(read(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.span_digest(read(spark, sf_dir, "documents"))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -48,8 +60,8 @@ def _shipped(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_quality_rules, op2_token_counts, op4_quality_classifier, op5_best_fit_packing, op6_chat_formatting,
-             op9_source_mixing)
+    found = (op1_quality_rules, op2_token_counts, op3_line_dedup, op4_quality_classifier, op5_best_fit_packing,
+             op6_chat_formatting, op7_substring_dedup, op9_source_mixing, op10_near_duplicates)
     return {f.__name__: _shipped(f) for f in found}
 
 
