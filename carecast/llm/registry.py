@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import chat, lines, mixing, near_duplicates, packing, quality_classifier, quality_rules, spans, token_counts
+from . import chat, lines, mixing, near_duplicates, neighbours, packing, quality_classifier, quality_rules, spans, token_counts
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.span_digest(read(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_classes(read(spark, sf_dir, "documents"))
 
@@ -61,7 +65,8 @@ def _shipped(f: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = (op1_quality_rules, op2_token_counts, op3_line_dedup, op4_quality_classifier, op5_best_fit_packing,
-             op6_chat_formatting, op7_substring_dedup, op9_source_mixing, op10_near_duplicates)
+             op6_chat_formatting, op7_substring_dedup, op8_nearest_neighbours, op9_source_mixing,
+             op10_near_duplicates)
     return {f.__name__: _shipped(f) for f in found}
 
 
