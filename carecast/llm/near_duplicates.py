@@ -7,11 +7,12 @@ probability about J^ORDERED if their common shingles stand in the same order.
 ``SKETCHES`` functions make a pair of similarity 0.8 miss with 3e-5.
 
 Texts that are equal form one node before anything else. In each bucket of
-equal sketches, every member is first paired with the bucket's smallest node
-only; pairs are verified, and the verified links' components leave few buckets
-with members of different components. Only those members are then paired with
-each other across components, so that no link between different texts is
-lost while a large group of copies never expands into all its pairs.
+equal sketches, every member is first paired with one central member only, the
+one that meets most others over all its buckets (the original among its edited
+copies). Pairs are verified; members whose components then differ are paired
+with the next central member, and after ``STARS`` rounds with each other across
+components, so that no link between different texts is lost while a large
+group of copies never expands into all its pairs.
 
 Verification aligns the labelled shingles of both texts: common shingles are
 matched, matches off the diagonal band that a similarity of 0.8 allows are
@@ -40,6 +41,8 @@ from .hashing import Words, mix, shingles
 SIMILARITY = 0.8
 SKETCHES = 20
 ORDERED = 4
+#: Rounds that pair a bucket with one central member before its remaining members are paired with each other.
+STARS = 3
 
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -142,30 +145,41 @@ def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) ->
     nodes = written.where("sketches IS NOT NULL").groupBy("a", "b").agg(F.first("sketches").alias("sketches"))
     entries = nodes.select(_node(), F.posexplode("sketches").alias("t", "sketch")).select(
         "node", F.xxhash64("t", "sketch").alias("bucket"))
-    least = entries.groupBy("bucket").agg(F.min("node.a").alias("low"), F.max("node.a").alias("high")).where("low < high")
-    members = materialize(entries.join(least.select("bucket", "low"), "bucket"), "near-duplicates-buckets")
-    centre = members.where("node.a = low").groupBy("bucket").agg(F.min("node").alias("u"))
-    stars = members.join(centre, "bucket").where("node <> u").select("u", F.col("node").alias("v")).distinct()
-    stars = materialize(stars, "near-duplicates-stars")
-    involved = members.select("node").distinct()
+    shared = (entries.groupBy("bucket").agg(F.min("node.a").alias("low"), F.max("node.a").alias("high"), F.count(F.lit(1)).alias("size"))
+              .where("low < high").select("bucket", "size"))
+    members = materialize(entries.join(shared, "bucket"), "near-duplicates-members")
+    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))  # how often a node meets others in buckets
+    members = materialize(members.select("bucket", "node").join(meets, "node"), "near-duplicates-buckets")
     a, b = fingerprint128(F.col("text"))
     texts = docs.select(text_column().alias("text")).withColumns({"a": a, "b": b}).select(_node(), "text")
-    texts = materialize(texts.join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
+    texts = materialize(texts.join(meets.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
                         "near-duplicates-texts")
-    first = materialize(verify(stars, texts, threshold), "near-duplicates-links")
-    found = materialize(components(first), "near-duplicates-components")
-    # buckets whose members are not all in one component yet: pairs across components
-    named = (members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")))
-    mixed = (named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .where("x <> y").select("bucket"))
-    open_ = materialize(named.join(mixed, "bucket"), "near-duplicates-open")
-    right = open_.select("bucket", F.col("node").alias("v"), F.col("component").alias("other"))
-    rest = (open_.withColumnRenamed("node", "u").join(right, "bucket").where("u < v AND component <> other")
-            .select("u", "v").distinct()
-            .join(stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti"))
-    second = verify(rest, texts, threshold)
-    every = materialize(first.unionByName(second), "near-duplicates-all-links")
-    return every, materialize(components(every), "near-duplicates-components")
+    open_ = members.withColumn("component", F.col("node"))
+    compared = every = found = None
+    for turn in range(STARS + 1):
+        if turn < STARS:
+            centre = open_.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), F.struct("meets", "node")).alias("c"))
+            paired = open_.join(centre, "bucket").where("component <> c.component")
+            pairs = paired.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v"))
+        else:  # whatever is left, pair by pair
+            right = open_.select("bucket", F.col("node").alias("v"), F.col("component").alias("other"))
+            pairs = open_.withColumnRenamed("node", "u").join(right, "bucket").where("u < v AND component <> other").select("u", "v")
+        pairs = pairs.distinct()
+        pairs = materialize(pairs if compared is None else pairs.join(compared, ["u", "v"], "left_anti"), "near-duplicates-pairs")
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        new = materialize(verify(pairs, texts, threshold), "near-duplicates-links")
+        every = new if every is None else every.unionByName(new)
+        found = materialize(components(every), "near-duplicates-components")
+        if turn < STARS:
+            # the centres are compared with all of their buckets; the others stay where components still differ
+            rest = open_.drop("component").join(centre.select("bucket", F.col("c.node").alias("node")), ["bucket", "node"], "left_anti")
+            rest = rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            mixed = (rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+                     .where("x <> y").select("bucket"))
+            open_ = materialize(rest.join(mixed, "bucket"), "near-duplicates-open")
+            if open_.isEmpty():
+                break
+    return every, found
 
 
 def _classes(docs: DataFrame, threshold: float) -> DataFrame:
