@@ -9,10 +9,11 @@ probability about J^ORDERED if their common shingles stand in the same order.
 Texts that are equal form one node before anything else. In each bucket of
 equal sketches, every member is first paired with one central member only, the
 one that meets most others over all its buckets (the original among its edited
-copies). Pairs are verified; members whose components then differ are paired
-with the next central member, and after ``STARS`` rounds with each other across
-components, so that no link between different texts is lost while a large
-group of copies never expands into all its pairs.
+copies). Pairs are verified; members whose components then differ are paired with the
+next central member, and after ``STARS`` rounds the members of buckets that
+still hold several components are joined exactly: two texts of similarity 0.8
+must share one of the rarest fifth of their shingles, so a passage that
+thousands of different texts have in common pairs none of them.
 
 Verification aligns the labelled shingles of both texts: common shingles are
 matched, matches off the diagonal band that a similarity of 0.8 allows are
@@ -31,6 +32,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +43,8 @@ from .hashing import Words, mix, shingles
 SIMILARITY = 0.8
 SKETCHES = 20
 ORDERED = 4
-#: Rounds that pair a bucket with one central member before its remaining members are paired with each other.
-STARS = 3
+#: Rounds that pair a bucket with one central member before the remaining members are joined by rare shingles.
+STARS = 2
 
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -137,6 +139,44 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         "named_struct('a', ua, 'b', ub) AS u", "named_struct('a', va, 'b', vb) AS v")
 
 
+def rare_pairs(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (u, v) of nodes in different components that may reach ``threshold``; ``nodes``: node, component.
+
+    Shingles are ranked by how many nodes have them, rarest first. Similar
+    texts of n and m shingles share at least threshold / (1 + threshold) *
+    (n + m) of them; so the first they share has no fewer from its place on,
+    in either text.
+    """
+
+    def explode(batches):
+        for b in batches:
+            at, found, sizes = [], [], []
+            w = Words(b.column("text").to_pylist())
+            for r, (i, j) in enumerate(zip(w.first, w.last, strict=True)):
+                s = shingles(w.hashes[i:j])
+                at.append(np.full(len(s), r))
+                found.append(s)
+                sizes.append(np.full(len(s), len(s)))
+            rows = pa.array(np.concatenate(at))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a").take(rows), b.column("b").take(rows), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(found).view(np.int64))],
+                names=["a", "b", "n", "shingle"])
+
+    own = nodes.join(texts, "node").selectExpr("node.a AS a", "node.b AS b", "text")
+    rows = materialize(own.mapInArrow(explode, "a long, b long, n long, shingle long"), "near-duplicates-shingles")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "shingle"))
+    rare = (rows.join(often, "shingle").withColumn("rank", rank)
+            .where((F.col("rank") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("often") > 1))
+            .select(F.struct("a", "b").alias("node"), "n", (F.col("n") - F.col("rank") + 1).alias("rest"), "shingle").join(nodes, "node"))
+    rare = materialize(rare, "near-duplicates-rare")
+    other = rare.select("shingle", F.col("node").alias("v"), F.col("n").alias("m"), F.col("rest").alias("left"),
+                        F.col("component").alias("apart"))
+    least = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("m")) - 1e-9
+    return (rare.withColumnRenamed("node", "u").join(other, "shingle")
+            .where(F.expr("u < v AND component <> apart") & (F.col("rest") >= least) & (F.col("left") >= least)).select("u", "v"))
+
+
 def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Verified links (u, v) between different texts that connect all similar ones, and (node, component).
 
@@ -161,9 +201,8 @@ def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) ->
             centre = open_.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), F.struct("meets", "node")).alias("c"))
             paired = open_.join(centre, "bucket").where("component <> c.component")
             pairs = paired.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v"))
-        else:  # whatever is left, pair by pair
-            right = open_.select("bucket", F.col("node").alias("v"), F.col("component").alias("other"))
-            pairs = open_.withColumnRenamed("node", "u").join(right, "bucket").where("u < v AND component <> other").select("u", "v")
+        else:
+            pairs = rare_pairs(open_.select("node", "component").distinct(), texts, threshold)
         pairs = pairs.distinct()
         pairs = materialize(pairs if compared is None else pairs.join(compared, ["u", "v"], "left_anti"), "near-duplicates-pairs")
         compared = pairs if compared is None else compared.unionByName(pairs)
