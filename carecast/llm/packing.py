@@ -1,8 +1,8 @@
 """Best-fit packing of tokenized documents into sequences of bounded length.
 
-Documents are tokenized word by word (a word is text between blanks or line
-feeds; the tokenizer drops white space, so words are encoded independently and
-remembered), an end id is appended, and documents longer than a sequence are
+Documents are tokenized word by word and the words' ids remembered: a Latin-1
+text is split by the tokenizer's own rule, whose pieces are encoded alone; any
+other text at its blanks and line feeds, which the tokenizer drops. An end id is appended, and documents longer than a sequence are
 cut. The pieces, a few numbers each, are written once and range-sorted by
 length, longest first, which gives every piece its rank among the pieces of
 its length without a task that holds one length whole.
@@ -23,7 +23,9 @@ piece; an empty table packs to none; only doc_id and text are read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -36,7 +38,21 @@ from .common import materialize, slices, text_column
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+# The tokenizer's splitting rule, written out for lower-case Latin-1 texts, and what keeps a text from it.
+PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
+                        "|[^ \t\na-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff0-9\u00b2\u00b3\u00b9\u00bc-\u00be]+").findall
+UNUSUAL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\xa0]|<\\|").search
+
+
+def _letters() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others move above U+0100."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(moved)) for b in range(256)]
+
+
+LETTERS = _letters()
 
 
 class WordEncoder:
@@ -48,16 +64,32 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
 
+    def learn(self, words: list[str], plain: bool) -> None:
+        """Remember the ids of ``words``; plain ones are single pre-tokens, normalized already."""
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+        if plain:
+            tokenize = self.library.model.tokenize
+            for w in words:
+                self.cache[w] = array("I", [t.id for t in tokenize("".join([LETTERS[b] for b in w.encode()]))]).tobytes()
+        else:
+            for w, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False), strict=True):
+                self.cache[w] = array("I", e.ids).tobytes()
+
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
+        try:
+            text.encode("latin-1")
+            plain = not UNUSUAL(text)
+        except UnicodeEncodeError:
+            plain = False
+        # words of other texts are marked by a blank, as they are not normalized
+        words = PRE_TOKENS(text.lower()) if plain else [" " + w for w in text.replace("\n", " ").split(" ")]
         cache = self.cache
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if new:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
+        if new := [w for w in set(words) if w not in cache]:
+            held = len(cache)
+            self.learn(new, plain)
+            if len(cache) < held:  # dropped: the text's other words are new, too
+                self.learn([w for w in set(words) if w not in cache], plain)
         return b"".join([cache[w] for w in words])
 
 
@@ -89,9 +121,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             texts = b.column("text").to_pylist()
             for part in slices(texts):
                 enc, rows = encoder(path), []
+                step = 4 * capacity
                 for i in range(part.start, part.stop):
                     data = enc.encode(texts[i]) + end
-                    step = 4 * capacity
                     for k in range(0, len(data), step):
                         own = data[k:k + step]
                         rows.append((i, k // step, k // 4, len(own) // 4, zlib.crc32(own)))
