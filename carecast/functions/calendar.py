@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 
 from .. import rules
-from .text import lit
+from .text import lit, null_safe_concat
 
 
 def _names(values: list[str]) -> str:
@@ -47,12 +47,12 @@ def week_number(d: str) -> str:
 
 def year_week(d: str) -> str:
     """'YYYY-W' without zero padding, e.g. '2024-3'."""
-    return f"concat_ws('-', CAST(year({d}) AS STRING), CAST({week_number(d)} AS STRING))"
+    return null_safe_concat(f"year({d})", lit("-"), week_number(d))
 
 
 def year_month(d: str) -> str:
     """'YYYY-M' without zero padding, e.g. '2024-1'."""
-    return f"concat_ws('-', CAST(year({d}) AS STRING), CAST(month({d}) AS STRING))"
+    return null_safe_concat(f"year({d})", lit("-"), f"month({d})")
 
 
 def half_hour(ts: str) -> str:

@@ -282,12 +282,13 @@ def demand_curve(p75: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     The centre total is a window sum (the rows are already clustered by
     centre); a centre whose p75s are all 0, or a NULL centre, gets 0.
-    Operands are fixed to 5 decimals before dividing, as the source does.
+    Operands are fixed to 5 decimals before dividing, as the source does,
+    without its ceiling of 99,999.99999 on a centre's total.
     ``carry`` lists extra columns passed through.
     """
     def share(col: str) -> str:
         total = f"sum({col}) OVER (PARTITION BY centro)"
-        ratio = f"CAST(CAST({col} AS DECIMAL(10,5)) / CAST({total} AS DECIMAL(10,5)) AS DOUBLE)"
+        ratio = f"CAST(CAST({col} AS DECIMAL(28,5)) AS DOUBLE) / CAST(CAST({total} AS DECIMAL(28,5)) AS DOUBLE)"
         return f"CASE WHEN centro IS NOT NULL AND {total} > 0 THEN {ratio} ELSE CAST(0 AS DOUBLE) END"
 
     return p75.selectExpr(

@@ -1,14 +1,15 @@
 """Job parameters.
 
 The source scripts read the wall clock (``getdate()``) and hard-code
-cut-off dates; here both are explicit so runs are reproducible and the
-oracle can use the same values.
+cut-off dates. Here "now" is when the parameters are made unless given, and
+no lower date applies unless given, so a job drops no visits unasked. The
+registered queries and their oracle use the fixed values in ``CHECK``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from . import rules
 
@@ -16,9 +17,11 @@ from . import rules
 @dataclass(frozen=True)
 class Params:
     # "now" of the run: visits after it are dropped, trailing windows end here.
-    as_of: dt.datetime = dt.datetime(2024, 1, 31, 12, 0, 0)
+    as_of: dt.datetime = field(default_factory=dt.datetime.now)
     # strict lower bound on visit dates for the daily reports (``fecha > since``).
-    since: dt.date = dt.date(2023, 12, 31)
+    since: dt.date = dt.date(1900, 1, 1)
+    # the same for measured demand, which starts later in the source; None: ``since``.
+    demand_since: dt.date | None = None
     # trailing window of the half-hour model, in weeks.
     weeks: int = rules.DEFAULT_WEEKS
     min_year: int = rules.MIN_YEAR
@@ -32,6 +35,10 @@ class Params:
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
+    @property
+    def demand_start(self) -> dt.date:
+        return self.since if self.demand_since is None else self.demand_since
+
     @property
     def as_of_literal(self) -> str:
         return self.as_of.strftime("%Y-%m-%d %H:%M:%S")
@@ -57,3 +64,7 @@ class Params:
 
 
 DEFAULT = Params()
+
+#: For the registered queries and tests: every date filter drops some of the driver's rows.
+CHECK = Params(as_of=dt.datetime(2024, 1, 28, 12, 0, 0), since=dt.date(2024, 1, 5),
+               demand_since=dt.date(2024, 1, 8), weeks=3)

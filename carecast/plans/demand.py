@@ -63,7 +63,7 @@ DEMAND_TERMS = [
 
 def timed_tickets(queue_log: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return queue_log.where(
-        f"fecha > {date_literal(params.since)}"
+        f"fecha > {date_literal(params.demand_start)}"
         f" AND {ci_not_in('centro', rules.DEMAND_EXCLUDED_CENTRES)}"
         f" AND NOT {ci_contains('centro', rules.DEMAND_EXCLUDED_PATTERN)}"
         f" AND {ci_eq('estado', rules.TIMED_STATE)}"
@@ -85,7 +85,7 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     )
     p = party.groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
     v = (
-        visit.where(f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.since)}")
+        visit.where(f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.demand_start)}")
         .groupBy("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
         .agg(F.count(F.lit(1)).alias("n_v"))
     )
@@ -116,13 +116,13 @@ def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFram
         .agg(F.max("minutos").alias("minutos"))
     )
     visits = visit.where(
-        f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.since)}"
+        f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.demand_start)}"
     ).select("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
     per_type = (
         visits.join(party.select("rut", "numero_bp"), visits.bp_paciente == party.numero_bp, "inner")
         .groupBy("rut", "fecha_inicio",
                  F.expr(time_type("cl_mov_desc", "tipo_siniestro_origen")).alias("tipo"))
-        .agg(F.countDistinct("cl_mov_desc", "tipo_siniestro_origen").alias("k"))
+        .agg(F.countDistinct(F.struct("cl_mov_desc", "tipo_siniestro_origen")).alias("k"))
     )
     return q.join(per_type, (q.rut_paciente == per_type.rut) & (q.fecha == per_type.fecha_inicio),
                   "inner").select("centro", "fecha", "tipo", "minutos", "k")
@@ -130,10 +130,10 @@ def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFram
 
 def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
                        params: Params = DEFAULT) -> DataFrame:
-    """Average measured minutes per centre, service-time type and day: sum(max * k) / sum(k)."""
+    """Average measured minutes per centre, service-time type and day: sum(max * k) / sum(k), groups without minutes left out."""
     rows = typed_ticket_minutes(queue_log, party, visit, params)
     return rows.groupBy("centro", "tipo", "fecha").agg(
-        F.expr("sum(CAST(minutos AS DOUBLE) * k) / sum(k)").alias("minutos")
+        F.expr("sum(CAST(minutos AS DOUBLE) * k) / sum(CASE WHEN minutos IS NOT NULL THEN k END)").alias("minutos")
     )
 
 
@@ -147,7 +147,7 @@ def service_times(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     rows = typed_ticket_minutes(queue_log, party, visit, params)
     aggs = [
         F.expr(f"coalesce(sum(CASE WHEN tipo = {lit(label)} THEN CAST(minutos AS DOUBLE) * k END)"
-               f" / sum(CASE WHEN tipo = {lit(label)} THEN k END), {default!r})").alias(name)
+               f" / sum(CASE WHEN tipo = {lit(label)} AND minutos IS NOT NULL THEN k END), {default!r})").alias(name)
         for label, (name, default) in TIME_COLUMNS.items()
     ]
     return rows.groupBy("centro", "fecha").agg(*aggs)
@@ -187,7 +187,7 @@ def staffed_capacity(capacity: DataFrame) -> DataFrame:
 def demand_vs_capacity(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
                        capacity: DataFrame, params: Params = DEFAULT) -> DataFrame:
     times = service_times(queue_log, party, visit, params)
-    v = visit.where(f"fecha_inicio > {date_literal(params.since)}")
+    v = visit.where(f"fecha_inicio > {date_literal(params.demand_start)}")
     demand = demand_minutes(movement_measures(v, VISIT_KEYS, "narrow"), times)
     staff = staffed_capacity(capacity)
     out = (

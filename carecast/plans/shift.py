@@ -32,6 +32,7 @@ its join into a broadcast.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from .. import rules
@@ -111,10 +112,12 @@ def append_shift_tool(result: DataFrame, path: str) -> None:
     """
     spark = result.sparkSession
     try:
-        target_cols = spark.read.parquet(path).columns
-    except Exception:  # noqa: BLE001 - new table: the result defines the columns
-        target_cols = result.columns
-    if len(target_cols) != len(result.columns):
-        raise ValueError(f"sink has {len(target_cols)} columns, result {len(result.columns)}")
-    positional = result.toDF(*target_cols)
+        target = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        target = result  # a new table: the result defines the columns
+    if [k for _, k in target.dtypes] != [k for _, k in result.dtypes]:
+        raise ValueError(f"sink has columns {target.dtypes}, result {result.dtypes}")
+    positional = result.toDF(*target.columns)
     positional.write.mode("append").parquet(path)

@@ -22,7 +22,7 @@ from .functions import (
 )
 from .operators.joins import ministry_keys
 from .operators.measures import VISIT_KEYS, movement_measures
-from .params import DEFAULT, Params
+from .params import CHECK, Params
 from .plans import covid, demand, shift, visits
 from .session import materialize, shared_dir
 from .sources.adapters import DomainTables
@@ -49,7 +49,7 @@ def round_doubles(df: DataFrame, scale: int = DOUBLE_SCALE) -> DataFrame:
     ])
 
 
-def run(name: str, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataFrame:
+def run(name: str, spark: SparkSession, sf_dir: str, params: Params = CHECK) -> DataFrame:
     return round_doubles(_REGISTRY[name](DomainTables.of(spark, sf_dir), params))
 
 

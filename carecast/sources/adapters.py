@@ -13,7 +13,7 @@ ministry_case       orders of customers whose key is a multiple of 3
 party               customers: rut 'R<key>' -> business partner <key>
 queue_log           events of users in centres 1, 2, 3, 5, 7
 calendar            distinct event dates
-capacity            the first ten nations as centres with staffed FTE
+capacity            all nations, dealt to ten centres, with staffed FTE
 opening_hours_wide  distinct (weekday, half hour) of events, Monday..Saturday,
                     one column per centre C_0..C_9
 =================== ============================================================
@@ -22,15 +22,13 @@ The rules are deterministic so the DuckDB oracle spells the same tables.
 
 Size bounds: ``nation`` and ``region`` have 25 and 5 rows at every scale
 factor (fixed by the TPC-H schema), so ``org_unit`` and ``capacity``
-have at most 25 rows; ``opening_hours_wide`` has at most 6 x 48 rows.
-Those three are marked for broadcast. Everything derived from events,
-customers or orders grows with the data and is left to the planner.
+have 25 rows; ``opening_hours_wide`` has at most 6 x 48 rows.
+Whether any of them is broadcast is left to the planner and its size check.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.calendar import slot_label, weekday_num
@@ -87,7 +85,7 @@ def org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
         "n_name AS agencia_m",
         f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING)) AS centro_m",
     )
-    return F.broadcast(schemas.conform(df, schemas.ORG_UNIT))  # <= 25 rows (one per nation)
+    return schemas.conform(df, schemas.ORG_UNIT)
 
 
 def covid_claim(customer: DataFrame) -> DataFrame:
@@ -136,13 +134,13 @@ def calendar(events: DataFrame) -> DataFrame:
 
 
 def capacity(nation: DataFrame) -> DataFrame:
-    df = nation.where(f"n_nationkey < {N_CENTRES}").selectExpr(
-        "concat('C_', CAST(n_nationkey AS STRING)) AS centro",
+    df = nation.selectExpr(
+        f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING)) AS centro",
         f"CASE WHEN n_nationkey % 4 = 0 THEN 'Enfermera' ELSE {lit(rules.STAFF_ROLE)} END AS cargo",
         f"CASE WHEN n_nationkey = 9 THEN 'Borrador' ELSE {lit(rules.APPROVED)} END AS estado",
         "CAST(n_nationkey + 1 AS DOUBLE) AS fte",
     )
-    return F.broadcast(schemas.conform(df, schemas.CAPACITY))  # <= 10 rows
+    return schemas.conform(df, schemas.CAPACITY)
 
 
 def opening_hours_wide(events: DataFrame) -> DataFrame:
@@ -162,11 +160,11 @@ def opening_hours_wide(events: DataFrame) -> DataFrame:
         f"WHEN s BETWEEN 16 AND {35 + k % 3} THEN 1 ELSE 0 END AS C_{k}"
         for k in range(N_CENTRES)
     ]
-    return F.broadcast(grid.selectExpr(  # <= 6 weekdays x 48 slots
+    return grid.selectExpr(
         f"element_at(array({', '.join(lit(x) for x in rules.WEEKDAY_ES)}), d) AS diasem",
         f"{slot_label('s')} AS mediahora",
         *cols,
-    ))
+    )
 
 
 class DomainTables:

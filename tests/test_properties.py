@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from carecast.params import DEFAULT
+from carecast.params import CHECK
 from carecast.plans import covid, demand, shift
 from carecast.registry import visit
 from carecast.sources.adapters import DomainTables
@@ -13,8 +13,8 @@ from tests.conftest import SMALL_SF
 @pytest.fixture(scope="module")
 def stages(spark):
     t = DomainTables.of(spark, SMALL_SF)
-    return shift.shift_stages(visit(t, DEFAULT), t.queue_log, t.party, t.calendar,
-                              t.opening_hours_wide, DEFAULT)
+    return shift.shift_stages(visit(t, CHECK), t.queue_log, t.party, t.calendar,
+                              t.opening_hours_wide, CHECK)
 
 
 def test_shares_sum_to_one_or_zero_per_centre(stages):
@@ -64,14 +64,14 @@ def test_std_devs_non_negative(stages):
 
 def test_four_totals_partition_the_total(spark):
     t = DomainTables.of(spark, SMALL_SF)
-    m = covid.covid_measures(visit(t, DEFAULT), t.covid_claim, t.ministry_case, DEFAULT)
+    m = covid.covid_measures(visit(t, CHECK), t.covid_claim, t.ministry_case, CHECK)
     bad = m.where("minsal + minsal_no_covid + atenciones_covid + atenciones <> atenciones_totales")
     assert m.count() > 0 and bad.count() == 0
 
 
 def test_service_time_defaults_fill_missing_types(spark):
     t = DomainTables.of(spark, SMALL_SF)
-    daily = demand.service_time_daily(t.queue_log, t.party, visit(t, DEFAULT), DEFAULT)
+    daily = demand.service_time_daily(t.queue_log, t.party, visit(t, CHECK), CHECK)
     piv = demand.service_time_pivot(daily).collect()
     assert piv
     seen = {(r.centro, r.fecha, r.tipo) for r in daily.collect()}

@@ -3,7 +3,7 @@
 import os
 import uuid
 
-from carecast.params import DEFAULT
+from carecast.params import CHECK
 from carecast.plans import covid, jobs, visits
 from carecast.registry import round_doubles
 from carecast.session import shared_dir
@@ -39,12 +39,12 @@ def test_run_all_jobs(spark):
     t = DomainTables.of(spark, SMALL_SF)
     tables = jobs.Tables(*(getattr(t, n) for n in jobs.Tables.__dataclass_fields__))
     base = os.path.join(shared_dir(spark), f"jobs-{uuid.uuid4().hex[:8]}")
-    out = jobs.run_all(spark, tables, os.path.join(base, "visit"), os.path.join(base, "shift_tool"))
+    out = jobs.run_all(spark, tables, os.path.join(base, "visit"), os.path.join(base, "shift_tool"), CHECK)
     assert out["covid_daily"].count() > 0 and out["demand_vs_capacity"].count() > 0
     sink = spark.read.parquet(os.path.join(base, "shift_tool"))
     assert sink.count() == out["shift_result"].count() > 0
-    inline = covid.covid_daily(visits.classify_visits(t.visit_raw, t.org_unit), t.covid_claim,
-                               t.ministry_case, DEFAULT)
+    inline = covid.covid_daily(visits.classify_visits(t.visit_raw, t.org_unit, CHECK), t.covid_claim,
+                               t.ministry_case, CHECK)
     assert _rows(out["covid_daily"].select(*inline.columns)) == _rows(inline)
 
 
