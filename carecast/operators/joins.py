@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.claims import claim_number
+from ..session import materialize
 
 
 def covid_key_counts(covid_claim: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -39,25 +40,31 @@ def ministry_keys(ministry_case: DataFrame) -> DataFrame:
     return ministry_case.selectExpr("id_siniestro AS minsal_key").distinct()
 
 
+def claim_keys(covid_claim: DataFrame, ministry_case: DataFrame, dedupe: bool = False) -> DataFrame:
+    """One row per claim number of either list: ``covid_n`` covid claim rows, ``minsal`` 1 if the ministry has it."""
+    covid = covid_key_counts(covid_claim, dedupe).selectExpr("covid_key AS clave", "covid_n", "0 AS minsal")
+    cases = ministry_keys(ministry_case).selectExpr("minsal_key AS clave", "CAST(0 AS BIGINT) AS covid_n", "1 AS minsal")
+    return (covid.unionByName(cases).where("clave IS NOT NULL")
+            .groupBy("clave").agg(F.sum("covid_n").alias("covid_n"), F.max("minsal").alias("minsal")))
+
+
 def with_claim_flags(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
                      dedupe_claims: bool = False) -> DataFrame:
     """Add ``covid_flag`` and ``minsal_flag`` (0/1) and the row weight ``w``.
 
     ``w`` is how many rows the visit contributes after the covid join
     (1 without a match, the number of matching claim rows otherwise).
-    Both key sets are pre-aggregated, so a claim number repeated many
-    times costs one row, and a hot claim number on the visit side meets
-    at most one row per key on the other side.
+    Both key sets are reduced to one table by claim number and written
+    first. The join's right side is then a plain scan: the planner knows its
+    size, and beyond the broadcast threshold AQE can cut a claim number (or
+    NULL) that holds many visits into several tasks, which it doesn't do
+    where the right side is an aggregate on the join key.
     """
-    covid = covid_key_counts(covid_claim, dedupe_claims)
-    minsal = ministry_keys(ministry_case)
-    out = (
-        visit.join(covid, visit.siniestro == covid.covid_key, "left")
-        .join(minsal, visit.siniestro == minsal.minsal_key, "left")
-    )
+    keys = materialize(claim_keys(covid_claim, ministry_case, dedupe_claims), "claim-keys")
+    out = visit.join(keys, visit.siniestro == keys.clave, "left")
     return out.selectExpr(
         *visit.columns,
-        "CAST(covid_key IS NOT NULL AS INT) AS covid_flag",
-        "CAST(minsal_key IS NOT NULL AS INT) AS minsal_flag",
-        "coalesce(covid_n, CAST(1 AS BIGINT)) AS w",
+        "CAST(coalesce(covid_n, 0) > 0 AS INT) AS covid_flag",
+        "coalesce(minsal, 0) AS minsal_flag",
+        "greatest(coalesce(covid_n, CAST(1 AS BIGINT)), CAST(1 AS BIGINT)) AS w",
     )

@@ -49,8 +49,7 @@ def slot_grid(calendar: DataFrame, hours_wide: DataFrame,
     A weekday without any slot keeps one row with NULL centre, weekday
     and slot (the left joins of the source keep it). The weekday-slot list
     is read off the wide table (a slot exists where any centre cell is
-    set, as after the unpivot), so both inputs of the grid read every
-    column of the hours table and share one scan.
+    set, as after the unpivot).
     """
     key = null_safe_concat("diasem", lit("-"), "mediahora")
     centres = [c for c in hours_wide.columns if c not in keys]
@@ -69,7 +68,7 @@ def slot_grid(calendar: DataFrame, hours_wide: DataFrame,
     return g.select("centro", "fecha", "diasem", "horario", "mediahora")
 
 
-# ------------------------------------------------------------------ weekly SAP load
+# ------------------------------------------------------------------ weekly visit load
 def weekly_load(visit_window: DataFrame) -> DataFrame:
     """Per centre and calendar week: variable / scheduled minutes and visit counts."""
     w = rules.SLOT_WEIGHTS

@@ -4,9 +4,8 @@ Source shape: visit LEFT JOIN covid claims LEFT JOIN distinct ministry
 cases, count per 9 keys, spread counts into 7 measures, sum per 7 keys,
 (P3) four exclusive totals, sum again per 5 keys.
 
-Spark shape: both claim sides are reduced to key sets first (covid keys
-with their multiplicity, distinct ministry ids), joined to the visits,
-then ONE aggregation with conditional sums. Every group-by is a partial
+Spark shape: both claim lists are reduced to one table by claim number
+(written first), joined to the visits once, then ONE aggregation with conditional sums. Every group-by is a partial
 + final hash aggregate, so a hot centre/day is combined map-side before
 the shuffle.
 """

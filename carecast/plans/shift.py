@@ -1,24 +1,23 @@
 """P5 — half-hour weekly demand model for shift planning.
 
-Stages (source temp tables in brackets):
-
-  hours      wide opening hours -> long                     [horario media hora]
-  grid       calendar days x open slots x centres           [serie de tiempo, union]
-  weekly     visits of the last N weeks per centre-week     [percentiles 0, 1]
-  weekly_p75 p75 per centre of the weekly totals            [percentil 75 semanal]
-  first      first attention per ticket and visit centre    [evolucion semanal, atenciones,
-             (ticket and visit sides ranked apart, joined    evolucion 2]
+Stages:
+
+  hours      wide opening hours -> long
+  grid       calendar days x open slots x centres
+  weekly     visits of the last N weeks per centre-week
+  weekly_p75 p75 per centre of the weekly totals
+  first      first attention per ticket and visit centre (sides ranked apart, joined
              once: no ticket x visit pairs)
-  synthetic  visit-based rows for centres without tickets   [sin SGP]
-  union      positional union of first + synthetic          [union]
-  slots      per centre-day-slot totals and times           [union 2]
-  filled     grid left join slots, zeros for gaps           [SGPHC, sin null]
-  slot_p75   p75 per slot over distinct value pairs         [percentil 75 media hora]
-  stddev     per slot std dev of slot times                 [DEVS]
+  synthetic  visit-based rows for centres without tickets
+  union      positional union of first + synthetic
+  slots      per centre-day-slot totals and times
+  filled     grid left join slots, zeros for gaps
+  slot_p75   p75 per slot over distinct value pairs
+  stddev     per slot std dev of slot times
              (both from one pass over ``filled``)
-  curve      slot share of the centre's p75 total           [suma, porcentaje]
-  hourly     share x weekly p75, rounded                    [demanda horaria, union1]
-  result     hourly + std devs + lapse label                [Union_2, 3 Meses]
+  curve      slot share of the centre's p75 total
+  hourly     share x weekly p75, rounded
+  result     hourly + std devs + lapse label
 
 Partitioning: everything after ``filled`` is keyed by centre. ``filled``
 is repartitioned once by centre; the slot std dev (a window), the
@@ -56,8 +55,13 @@ def window_visits(visit: DataFrame, params: Params) -> DataFrame:
 
 def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calendar: DataFrame,
                  opening_hours_wide: DataFrame, params: Params = DEFAULT,
-                 persist: bool = False) -> dict[str, DataFrame]:
-    """All stages as lazy DataFrames (``persist`` writes the reused ones to the shared folder)."""
+                 persist: bool = False, write_centres: bool = True) -> dict[str, DataFrame]:
+    """All stages as DataFrames (``persist`` writes the gap-filled grid to the shared folder).
+
+    ``write_centres`` writes the list of centres that have a queue first, a
+    row per centre, so that the planner knows its size and the visits need no
+    shuffle by centre to leave these out.
+    """
     st: dict[str, DataFrame] = {}
     st["hours"] = reshape.unpivot_hours(opening_hours_wide)
     st["grid"] = slots.slot_grid(calendar, opening_hours_wide)
@@ -70,16 +74,17 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     visit_rows = recent.where(ci_not_in("centro", rules.SHIFT_EXCLUDED_CENTRES))
     st["first"] = slots.first_attention(queue_rows, party, visit_rows, params.box_only)
 
-    st["queue_centres"] = queue_log.select("centro").distinct()
+    centres = queue_log.select("centro").distinct()
+    st["queue_centres"] = materialize(centres, "queue-centres") if write_centres else centres
     synth_source = recent if params.limit_synthetic else visit
     st["synthetic"] = slots.synthetic_attention(synth_source, st["queue_centres"])
     st["union"] = reshape.union_branches(st["first"], st["synthetic"], params.fix_union_order)
     st["slots"] = slots.slot_demand(st["union"])
 
-    filled = slots.gap_fill(st["grid"], st["slots"]).repartition("centro")
+    filled = slots.gap_fill(st["grid"], st["slots"])
     if persist:
-        filled = materialize(filled, "slot_filled").repartition("centro")
-    st["filled"] = filled
+        filled = materialize(filled, "slot_filled")
+    st["filled"] = filled = filled.repartition("centro")
     stats = slots.slot_statistics(filled)
     st["slot_p75"] = stats.select(*slots.SLOT_KEYS, "total_demanda_variable_p75", "total_controles_p75")
     st["stddev"] = stats.select(*slots.SLOT_KEYS, "devest_variable", "devest_controles")

@@ -61,15 +61,16 @@ def visit(t: DomainTables, p: Params) -> DataFrame:
     return visits.classify_visits(t.visit_raw, t.org_unit, p)
 
 
-def visit_table(t: DomainTables, p: Params, columns: list[str]) -> DataFrame:
+def visit_table(t: DomainTables, p: Params, columns: list[str], where: str = "true") -> DataFrame:
     """The visit table as the jobs that read it several times see it: written once.
 
     The source keeps the classified visits as a permanent table that the
     demand jobs scan; here the columns a job reads are written to the
     shared folder and read back, so each branch scans parquet with its own
-    filters pushed down instead of re-running the classification.
+    filters pushed down instead of re-running the classification. ``where``
+    is what all branches ask for; it reaches the scan below the DISTINCT.
     """
-    return materialize(visit(t, p).select(*columns), "visit")
+    return materialize(visit(t, p).where(where).select(*columns), "visit")
 
 
 # ------------------------------------------------------------------ P1 + scalars
@@ -151,7 +152,7 @@ def _covid_flag_join(t, p):
 @query("ministry_flag_join")
 def _ministry_flag_join(t, p):
     v = visit(t, p).select("episodio", "siniestro")
-    keys = ministry_keys(t.ministry_case)
+    keys = materialize(ministry_keys(t.ministry_case), "ministry-keys")  # a plain scan: AQE may split a hot claim
     j = v.join(keys, v.siniestro == keys.minsal_key, "left")
     return j.selectExpr("episodio", "siniestro", "CAST(minsal_key IS NOT NULL AS INT) AS minsal")
 
@@ -195,25 +196,28 @@ def _service_time_pivot(t, p):
 
 @query("demand_vs_capacity")
 def _demand_vs_capacity(t, p):
-    return demand.demand_vs_capacity(t.queue_log, t.party, visit_table(t, p, demand.VISIT_COLUMNS),
-                                     t.capacity, p)
+    v = visit_table(t, p, demand.VISIT_COLUMNS, f"fecha_inicio > {date_literal(p.demand_start)}")
+    return demand.demand_vs_capacity(t.queue_log, t.party, v, t.capacity, p)
 
 
 # ------------------------------------------------------------------ P5
-# Stages computed from the hours and calendar alone (no visit table needed).
-GRID_STAGES = {"hours", "grid"}
+# Stages that read the visits once or not at all: they take them as they are, filters reach the scan.
+SINGLE_READ = {"hours", "grid", "weekly", "weekly_p75", "first", "synthetic"}
+# Stages in front of the synthetic branch, which need no list of the centres that have a queue.
+NO_CENTRES = SINGLE_READ - {"synthetic"}
 
 
-def _stages(t: DomainTables, p: Params, need_visits: bool = True) -> dict[str, DataFrame]:
-    v = visit_table(t, p, shift.VISIT_COLUMNS) if need_visits else visit(t, p)  # unused for grid stages
-    return shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p)
+def _stages(t: DomainTables, p: Params, stage: str) -> dict[str, DataFrame]:
+    v = visit(t, p) if stage in SINGLE_READ else visit_table(t, p, shift.VISIT_COLUMNS)
+    return shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p,
+                              write_centres=stage not in NO_CENTRES)
 
 
 def _stage_query(name: str, stage: str, **overrides):
     @query(name)
     def _q(t, p):
         pp = p.with_(**overrides) if overrides else p
-        return _stages(t, pp, need_visits=stage not in GRID_STAGES)[stage]
+        return _stages(t, pp, stage)[stage]
     return _q
 
 
@@ -237,14 +241,14 @@ _stage_query("shift_demand", "result")
 @query("centres_without_queue")
 def _centres_without_queue(t, p):
     v = visit(t, p)
-    centres = t.queue_log.selectExpr("centro AS q_centro").distinct()
+    centres = materialize(t.queue_log.selectExpr("centro AS q_centro").distinct(), "queue-centres")
     return (v.join(centres, v.centro == centres.q_centro, "left_anti")
             .groupBy("centro").agg(F.count(F.lit(1)).alias("n_visitas")))
 
 
 @query("shift_tool_append")
 def _shift_tool_append(t, p):
-    result = _stages(t, p)["result"]
+    result = _stages(t, p, "result")["result"]
     path = os.path.join(shared_dir(t.spark), f"shift_tool-{uuid.uuid4().hex[:12]}")
     shift.append_shift_tool(result, path)
     return t.spark.read.parquet(path)

@@ -16,14 +16,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Beyond so many shuffle partitions, the bookkeeping of every shuffle outweighs smaller tasks.
+MOST_PARTITIONS = 50_000
+
+
 def cluster_conf(input_bytes: int | None = None, target_partition_bytes: int = 256 << 20) -> dict:
     """Spark settings for a large cluster run.
 
     Shuffle partitions follow the input size (about 256 MB per partition
-    before AQE coalescing); AQE then merges small ones and splits skewed
+    before AQE coalescing, at most ``MOST_PARTITIONS``, which bounds only
+    parallelism); AQE then merges small ones and splits skewed
     ones, so a key holding a third of the rows is cut into several tasks.
     """
-    parts = 2000 if input_bytes is None else max(200, input_bytes // target_partition_bytes)
+    parts = 2000 if input_bytes is None else max(200, min(MOST_PARTITIONS, input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -61,12 +61,14 @@ def test_visit_table_is_written_once_and_scanned(plans):
 
 def test_bucketed_visits_classify_without_shuffle(spark):
     from carecast.plans import visits
+    from carecast.session import materialize
     from carecast.sources import catalog
     from carecast.sources.adapters import DomainTables
 
     t = DomainTables.of(spark, SMALL_SF)
     raw = catalog.write_bucketed(t.visit_raw, "visit_raw_bucketed", 4)
-    df = visits.classify_visits(raw, t.org_unit)
+    units = materialize(t.org_unit, "org-unit")  # stored, as on a cluster: the planner sees that it is the small side
+    df = visits.classify_visits(raw, units)
     df.write.format("noop").mode("overwrite").save()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -90,3 +92,27 @@ def test_bucketed_queue_ranks_tickets_without_shuffle(spark):
         df.explain(mode="formatted")
     assert "hashpartitioning" not in buf.getvalue().split("== Initial Plan ==")[0]
     assert df.count() == slots.first_tickets(t.queue_log).count()
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_claim_is_split(spark, hot):
+    from carecast.operators.joins import with_claim_flags
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    value = "CAST(NULL AS BIGINT)" if hot is None else str(hot)
+    visit = spark.range(0, 400_000, 1, 8).selectExpr(
+        "id", f"CASE WHEN id % 2 = 0 THEN {value} ELSE id END AS siniestro", "sha2(CAST(id AS STRING), 256) AS nota")
+    claims = spark.range(0, 2000).selectExpr("concat('C', id) AS siniestro_covid19")
+    cases = spark.range(0, 2000, 2).selectExpr("id AS id_siniestro")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = with_claim_flags(visit, claims, cases).selectExpr("sum(length(nota)) AS n", "sum(w) AS w")
+        assert df.first() is not None and df.collect()[0]["n"] == 64 * 400_000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -84,7 +84,7 @@ def test_service_time_defaults_fill_missing_types(spark):
 
 def test_limit_synthetic_applies_the_window(spark):
     t = DomainTables.of(spark, SMALL_SF)
-    p = DEFAULT.with_(weeks=3)
+    p = CHECK
     v = visit(t, p)
     plain = shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p)
     limited = shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide,

@@ -68,6 +68,7 @@ def test_incremental_movement_detail_matches_batch(spark):
 def test_cluster_conf_sizes_partitions_from_input():
     from carecast.session import cluster_conf
 
-    assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
+    assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))
+    assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == "50000"
     assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf()["spark.sql.adaptive.skewJoin.enabled"] == "true"
