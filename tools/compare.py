@@ -56,9 +56,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, con, sf_dir, name, sql):
+def compare(spark, con, sf_dir, name, sql, query=None):
     t0 = time.time()
-    sdf = queries()[name](spark, sf_dir)
+    sdf = (query or queries()[name])(spark, sf_dir)
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
