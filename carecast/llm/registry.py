@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ship_package
 from . import chat, lines, mixing, near_duplicates, neighbours, packing, quality_classifier, quality_rules, spans, token_counts
 from .common import read
+from .sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,4 +72,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
