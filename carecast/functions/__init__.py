@@ -14,12 +14,12 @@ from .claims import (
     box_count, claim_cond, claim_number, class_count, classify_movement, decode_claim_type,
     flag_label, measure_flags, synthetic_end_time, time_type,
 )
-from .text import case, ci_contains, ci_eq, ci_in, ci_not_in, col, fold, lit, null_safe_concat, num
+from .text import case, ci_contains, ci_eq, ci_in, ci_not_in, col, fold, key, listed, lit, null_safe_concat, num
 
 __all__ = [
     "add_minutes", "date_literal", "half_hour", "month_name", "slot_label", "ts_literal",
     "week_number", "weekday_label", "weekday_name", "weekday_num", "year_month", "year_week",
     "box_count", "claim_cond", "claim_number", "class_count", "classify_movement",
     "decode_claim_type", "flag_label", "measure_flags", "synthetic_end_time", "time_type",
-    "case", "ci_contains", "ci_eq", "ci_in", "ci_not_in", "col", "fold", "lit", "null_safe_concat", "num",
+    "case", "ci_contains", "ci_eq", "ci_in", "ci_not_in", "col", "fold", "key", "listed", "lit", "null_safe_concat", "num",
 ]

@@ -44,6 +44,17 @@ def _fold_literal(value: str) -> str:
     return lit(value.rstrip(" ").lower())
 
 
+def key(c: str) -> str:
+    """One spelling for all that the source's collation holds equal: capitals, no trailing blanks."""
+    return f"upper(rtrim({c}))"
+
+
+def listed(c: str, values: Iterable[str]) -> str:
+    """A label in the spelling of ``values``; one that isn't among them in the spelling of ``key``."""
+    known = "map(" + ", ".join(f"{_fold_literal(v)}, {lit(v)}" for v in values) + ")"
+    return f"coalesce(try_element_at({known}, {fold(c)}), {key(c)})"
+
+
 def ci_eq(c: str, value: str) -> str:
     return f"({fold(c)} = {_fold_literal(value)})"
 

@@ -20,7 +20,11 @@ from . import covid, demand, shift, visits
 
 @dataclass
 class Tables:
-    """Domain tables of one run (any DataFrames: catalog tables, parquet paths, adapters)."""
+    """Domain tables of one run (any DataFrames: catalog tables, parquet paths, adapters).
+
+    Their keys must have one spelling: ``sources.catalog.load_tables`` sees to
+    it, ``sources.schemas.fold_keys`` does it for other frames.
+    """
 
     visit_raw: DataFrame
     org_unit: DataFrame

@@ -19,6 +19,8 @@ opening_hours_wide  distinct (weekday, half hour) of events, Monday..Saturday,
 =================== ============================================================
 
 The rules are deterministic so the DuckDB oracle spells the same tables.
+Some rows spell their keys in small letters with trailing blanks, which
+``schemas.conform`` folds as a load does.
 
 Size bounds: ``nation`` and ``region`` have 25 and 5 rows at every scale
 factor (fixed by the TPC-H schema), so ``org_unit`` and ``capacity``
@@ -60,6 +62,11 @@ def _pick(values: list, index: str) -> str:
     return f"element_at(array({', '.join(lit(v) for v in values)}), CAST({index} AS INT) + 1)"
 
 
+def _respelled(value: str, where: str) -> str:
+    """The same key for the source's collation: small letters and trailing blanks in some rows."""
+    return f"CASE WHEN {where} THEN concat(lower({value}), '  ') ELSE {value} END"
+
+
 def visit_raw(events: DataFrame) -> DataFrame:
     n = len(MOVEMENT_CODES)
     df = events.selectExpr(
@@ -67,9 +74,9 @@ def visit_raw(events: DataFrame) -> DataFrame:
         "user_id AS bp_paciente",
         "CAST(ts AS DATE) AS fecha_inicio",
         "ts AS hora_inicio",
-        f"{_pick(MOVEMENT_CODES, f'event_id % {n}')} AS cl_mov_desc",
+        f"{_respelled(_pick(MOVEMENT_CODES, f'event_id % {n}'), 'event_id % 7 = 3')} AS cl_mov_desc",
         f"CAST((event_id div {n}) % 6 AS INT) AS tipo_siniestro_orig",
-        f"concat('UO_', CAST(user_id % {N_UNITS} AS STRING)) AS uo_tratamiento",
+        _respelled(f"concat('UO_', CAST(user_id % {N_UNITS} AS STRING))", "event_id % 5 = 1") + " AS uo_tratamiento",
         "CASE event_id % 17 WHEN 0 THEN 'D' WHEN 1 THEN 'X' WHEN 2 THEN NULL ELSE 'N' END"
         " AS ind_anulacion",
         "user_id AS siniestro",
@@ -110,8 +117,8 @@ def party(customer: DataFrame) -> DataFrame:
 def queue_log(events: DataFrame) -> DataFrame:
     centre = f"((user_id % {N_UNITS}) % {N_CENTRES})"
     df = events.where(f"{centre} IN ({', '.join(map(str, QUEUE_CENTRES))})").selectExpr(
-        f"concat('C_', CAST({centre} AS STRING)) AS centro",
-        "concat('R', CAST(user_id AS STRING)) AS rut_paciente",
+        _respelled(f"concat('C_', CAST({centre} AS STRING))", "event_id % 6 = 1") + " AS centro",
+        _respelled("concat('R', CAST(user_id AS STRING))", "event_id % 4 = 1") + " AS rut_paciente",
         "event_id % 3 AS ticket",
         "CAST(ts AS DATE) AS fecha",
         "ts AS hora_inicia",
@@ -135,7 +142,7 @@ def calendar(events: DataFrame) -> DataFrame:
 
 def capacity(nation: DataFrame) -> DataFrame:
     df = nation.selectExpr(
-        f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING)) AS centro",
+        _respelled(f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING))", "n_nationkey % 3 = 1") + " AS centro",
         f"CASE WHEN n_nationkey % 4 = 0 THEN 'Enfermera' ELSE {lit(rules.STAFF_ROLE)} END AS cargo",
         f"CASE WHEN n_nationkey = 9 THEN 'Borrador' ELSE {lit(rules.APPROVED)} END AS estado",
         "CAST(n_nationkey + 1 AS DOUBLE) AS fte",

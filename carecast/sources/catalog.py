@@ -34,18 +34,18 @@ def read_location(spark: SparkSession, location: str, schema=None) -> DataFrame:
 
 
 def load_tables(spark: SparkSession, locations: dict[str, str], opening_hours_wide: str) -> Tables:
-    """Domain tables for ``plans.jobs``; ``opening_hours_wide`` has one column per centre."""
+    """Domain tables for ``plans.jobs``, keys folded; ``opening_hours_wide`` has one column per centre."""
     frames = {}
     for name, schema in schemas.DOMAIN.items():
         df = read_location(spark, locations[name], schema)
-        frames[name] = schemas.check(df, schema).select(*schema.fieldNames())
+        frames[name] = schemas.fold_keys(schemas.check(df, schema).select(*schema.fieldNames()))
     hours = read_location(spark, opening_hours_wide)
     schemas.check(hours, schemas.OPENING_HOURS_KEYS)
-    return Tables(opening_hours_wide=hours, **frames)
+    return Tables(opening_hours_wide=schemas.fold_centres(hours), **frames)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio") -> DataFrame:
-    """Save ``df`` as a catalog table bucketed (and sorted) by ``key``; return it.
+    """Save ``df``, keys folded, as a catalog table bucketed (and sorted) by ``key``; return it.
 
     Use it for the large tables whose group keys all contain one column:
     ``visit_raw`` by ``episodio`` (the classification's DISTINCT runs bucket
@@ -53,5 +53,5 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio
     ``rut_paciente`` (ticket copies are combined and tickets ranked without
     a shuffle).
     """
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    schemas.fold_keys(df).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return df.sparkSession.table(table)

@@ -3,6 +3,11 @@
 The source workload has no DDL; these are reconstructed from column use.
 ``conform`` casts a frame to its schema and ``check`` validates names and
 types without running a job.
+
+The source compares text by a collation that ignores case and trailing
+blanks, in joins, GROUP BY and DISTINCT too. ``fold_keys`` gives key columns
+one spelling when a table is loaded, so that plain equality does the same
+everywhere after it, and a bucketed key stays a plain column.
 """
 
 from __future__ import annotations
@@ -10,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .. import rules
+from ..functions.text import key, listed
+
 S, L, I, D, DT, TS = (
     T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.TimestampNTZType()
 )
@@ -61,13 +69,37 @@ DOMAIN = {
 }
 
 
+#: Columns that are joined, grouped or told apart by, in whatever table they occur.
+KEY_COLUMNS = {"uo_tratamiento", "ind_anulacion", "uo_medica", "territorio_m", "agencia_m", "centro_m",
+               "rut", "rut_paciente", "centro", "tipo_atencion"}
+#: Labels of a known list: they keep its spelling.
+LISTED_COLUMNS = {"cl_mov_desc": list(rules.MOVEMENT_CLASS), "diasem": rules.WEEKDAY_ES}
+
+
+def _folded(name: str) -> str:
+    if name in LISTED_COLUMNS:
+        return listed(name, LISTED_COLUMNS[name])
+    return key(name) if name in KEY_COLUMNS else f"`{name}`"
+
+
+def fold_keys(df: DataFrame) -> DataFrame:
+    """``df`` with its key columns in one spelling (folding again changes nothing)."""
+    return df.selectExpr(*[f"{_folded(c)} AS `{c}`" for c in df.columns])
+
+
+def fold_centres(hours_wide: DataFrame) -> DataFrame:
+    """The wide opening hours with weekdays folded, and the centres, which are column names."""
+    keys = OPENING_HOURS_KEYS.fieldNames()
+    return fold_keys(hours_wide).toDF(*[c if c in keys else c.rstrip(" ").upper() for c in hours_wide.columns])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns in order, cast to the declared types."""
+    """Select the schema's columns in order, cast to the declared types, keys folded."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    return df.selectExpr(*[
+    return fold_keys(df.selectExpr(*[
         f.name if have.get(f.name) == f.dataType else f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schema.fields
-    ])
+    ]))
 
 
 def check(df: DataFrame, schema: T.StructType) -> DataFrame:

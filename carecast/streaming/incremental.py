@@ -33,8 +33,8 @@ def refresh_days(days: DataFrame, visit_raw: DataFrame, org_unit: DataFrame, cov
                  ministry_case: DataFrame, out_path: str, report: str = "covid_daily",
                  params: Params = DEFAULT) -> None:
     """Recompute ``report`` for the dates in ``days`` and overwrite their partitions."""
-    touched = visit_raw.join(days.selectExpr("fecha_inicio").distinct(), "fecha_inicio", "left_semi")
-    out = REPORTS[report](touched, org_unit, covid_claim, ministry_case, params)
+    touched = schemas.fold_keys(visit_raw).join(days.selectExpr("fecha_inicio").distinct(), "fecha_inicio", "left_semi")
+    out = REPORTS[report](touched, schemas.fold_keys(org_unit), covid_claim, ministry_case, params)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("fecha_inicio").parquet(out_path))
 
