@@ -1,21 +1,22 @@
 """Substring dedup by sliding sentence spans.
 
 Every run of ``SPAN`` consecutive sentences of at least ``MIN_WORDS`` words is
-hashed, and, since a passage may have few long sentences, so is every run of
-fewer sentences that holds ``SHORT_RUN_WORDS`` words. Equal hashes are
-joined over the whole corpus; sentences inside a span that occurred before,
-in an earlier document or earlier in the same one, are removed. Each document
-sends a hash once, counts are combined before the shuffle, and the join back
-is an ordinary one that the planner may split at a hot hash.
+hashed. Since a passage may have few long
+sentences, so is every run of fewer sentences that holds ``SHORT_RUN_WORDS``
+words. Equal hashes are joined over the
+whole corpus; words inside a span that occurred before, in an earlier row or
+earlier in the same one, are removed. Each row sends a hash once, counts are
+combined before the shuffle, and the join back is an ordinary one that the
+planner may split at a hot hash.
 
 A sentence ends with a word that closes in ``.``, ``!`` or ``?`` (quotes and
-brackets may follow), or at a line's end. Sentences are compared by their
+brackets may follow), or at a line's end. Spans are compared by their
 words, whatever white space stands between them.
 
-Defined cases: null and wordless texts have no sentences; documents are
-ordered by doc_id, rows that share one count as one document (repeated rows
-lose nothing to each other), null doc_ids come last as one; an empty table
-gives none; only doc_id and text are read.
+Defined cases: null and wordless texts have no sentences; rows are ordered by
+doc_id (null last), then by text hash, so rows that share a doc_id or have none
+are documents of their own, and equal rows are later copies of one of them;
+an empty table gives none; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from .hashing import Words, mix, range_hashes
 SPAN = 3
 MIN_WORDS = 12
 SHORT_RUN_WORDS = {1: 32, 2: 20}
-LAST = (1 << 63) - 1
 
 _CLOSERS = np.zeros(256, bool)
 _CLOSERS[[ord(c) for c in "\"')]}*_"]] = True
@@ -55,102 +55,139 @@ def sentence_ends(w: Words) -> np.ndarray:
 
 
 def spans_of(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """(text, first sentence, sentences, words, hash, check) of every span, and whether it came before in its text."""
+    """(text, first whole sentence, whole sentences, first word, word past it, hash, check, since) of every span.
+
+    ``since``: the first word to remove if the span came before in its text, else -1.
+    """
     w = Words(texts)
     stops = np.flatnonzero(sentence_ends(w)) + 1  # past each sentence's last word
-    starts = np.append(0, stops[:-1]) if len(stops) else stops
+    if not len(stops):
+        return (np.zeros(0, np.int64),) * 8
+    starts = np.append(0, stops[:-1])
     owner = np.searchsorted(w.last, starts, side="right")
-    base = np.searchsorted(starts, w.first)  # each text's first sentence
-    found = []
+    begins, ends = [], []
     for size in range(1, SPAN + 1):
-        n = len(starts) - size + 1
-        if n <= 0:
-            continue
+        n = max(len(starts) - size + 1, 0)
         words = stops[size - 1:] - starts[:n]
-        ok = (owner[:n] == owner[size - 1:]) & (words >= (MIN_WORDS if size == SPAN else SHORT_RUN_WORDS[size]))
-        i = np.flatnonzero(ok)
-        h = range_hashes(w.hashes, starts[i], stops[i + size - 1])
-        check = mix(range_hashes(w.hashes ^ np.uint64(0x5851F42D4C957F2D), starts[i], stops[i + size - 1]))
-        found.append((owner[i], i - base[owner[i]], np.full(len(i), size), words[i], h, check))
-    if not found:
-        return (np.zeros(0, np.int64),) * 7
-    text, first, size, words, h, check = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((first, size, h, text))
-    text, first, size, words, h, check = (x[order] for x in (text, first, size, words, h, check))
+        i = np.flatnonzero((owner[:n] == owner[size - 1:]) & (words >= (MIN_WORDS if size == SPAN else SHORT_RUN_WORDS[size])))
+        begins.append(starts[i])
+        ends.append(stops[i + size - 1])
+    begin, end = np.concatenate(begins), np.concatenate(ends)
+    text = np.searchsorted(w.last, begin, side="right")
+    h = range_hashes(w.hashes, begin, end)
+    check = mix(range_hashes(w.hashes ^ np.uint64(0x5851F42D4C957F2D), begin, end))
+    order = np.lexsort((begin, check, h, text))
+    text, begin, end, h, check = (x[order] for x in (text, begin, end, h, check))
     again = np.zeros(len(text), bool)
     again[1:] = (text[1:] == text[:-1]) & (h[1:] == h[:-1]) & (check[1:] == check[:-1])
-    return text, first, size, words, h, check, again
+    whole = np.searchsorted(starts, begin)
+    size = np.maximum(np.searchsorted(stops, end, side="right") - whole, 0)
+    base = w.first[text]
+    return (text, whole - np.searchsorted(starts, base), size, begin - base, end - base, h, check, np.where(again, begin - base, -1))
+
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with _row, a number of its own for each row."""
+    return docs.withColumn("_row", F.monotonically_increasing_id())
 
-def document_spans(docs: DataFrame) -> DataFrame:
-    """doc (doc_id, null as the last), first, size, words, a, b, again of every span of every row."""
 
+def document_spans(rows: DataFrame) -> DataFrame:
+    """row, doc_id, tie (the text's hash), first, size, begin, end, since, a, b of every span of every row."""
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for part in slices(texts):
-                text, first, size, words, h, check, again = spans_of(texts[part])
+                text, first, size, begin, end, h, check, since = spans_of(texts[part])
                 if len(text):
+                    at = pa.array(text + part.start, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc").take(pa.array(text + part.start, pa.int64())), pa.array(first, pa.int32()), pa.array(size, pa.int32()),
-                         pa.array(words, pa.int32()), pa.array(h.view(np.int64)), pa.array((check >> np.uint64(33)).astype(np.int32)),
-                         pa.array(again)], names=["doc", "first", "size", "words", "a", "b", "again"])
-
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text_column().alias("text"))
-    return rows.mapInArrow(run, "doc long, first int, size int, words int, a long, b int, again boolean")
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, first, size, words, first_doc of every span that occurred before."""
-    spans = document_spans(docs)
-    fresh = spans.where("NOT again")
-    origin = fresh.groupBy("a", "b").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("top")).where("first_doc < top").drop("top")
-    # a document's later spans of its own are repeats wherever else the hash occurs
-    later = spans.join(materialize(origin, "spans-origins"), ["a", "b"], "left").where("again OR first_doc < doc")
-    return later.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "first", "size", "words",
-                        F.coalesce(F.when(F.col("first_doc") != LAST, F.col("first_doc")), F.when(F.col("doc") != LAST, F.col("doc"))).alias("first_doc"))
-
-
-def removals(docs: DataFrame) -> DataFrame:
-    """doc_id, removed (sentence numbers), first_docs (documents that had them before) of documents that lose sentences."""
-    return (repeated_spans(docs).groupBy("doc_id").agg(  # bounded by a document's sentences
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", F.col("first") + F.col("size") - 1))))).alias("removed"),
-        F.array_sort(F.collect_set("first_doc")).alias("first_docs")))
-
-
-def cut_sentences(text: str, removed: list[int]) -> str:
-    """``text`` without the sentences of these numbers; white space before a sentence goes with it."""
+                        [*[batch.column(c).take(at) for c in ("row", "doc_id", "tie")], *[pa.array(x, pa.int32()) for x in (first, size, begin, end, since)],
+                         pa.array(h.view(np.int64)), pa.array((check >> np.uint64(33)).astype(np.int32))],
+                        names=["row", "doc_id", "tie", "first", "size", "begin", "end", "since", "a", "b"])
+
+    keyed = rows.select(F.col("_row").alias("row"), "doc_id", F.xxhash64(text_column()).alias("tie"), text_column().alias("text"))
+    return keyed.mapInArrow(run, f"row long, doc_id {dict(rows.dtypes)['doc_id']}, tie long, first int, size int, begin int, end int, since int, a long, b int")
+
+
+def repeated_spans(rows: DataFrame) -> DataFrame:
+    """row, doc_id, first, size, begin, end, first_doc of every span that occurred before; ``begin``: the first word to remove."""
+    spans = materialize(document_spans(rows), "spans")  # written, so that row numbers stay
+    origin = (spans.where("since < 0").groupBy("a", "b")
+              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "row")).alias("o"), F.count(F.lit(1)).alias("rows"))
+              .where("rows > 1").select("a", "b", F.col("o.doc_id").alias("first_doc"), F.col("o.row").alias("first_row")))
+    # a row's later spans of its own are repeats wherever else the hash occurs
+    later = (spans.drop("tie").join(materialize(origin, "spans-origins"), ["a", "b"], "left")
+             .withColumn("own", F.coalesce(F.col("first_row") == F.col("row"), F.lit(True))).where("NOT own OR since >= 0"))
+    cut = later.withColumn("cut", F.when(F.col("own"), F.col("since")).otherwise(F.col("begin"))).where("cut < end")
+    return cut.select("row", "doc_id", "first", F.when(F.col("cut") > F.col("begin"), 0).otherwise(F.col("size")).alias("size"),
+                      F.col("cut").alias("begin"), "end", F.when(F.col("first_row").isNull(), F.col("doc_id")).otherwise(F.col("first_doc")).alias("first_doc"))
+
+
+def _union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Disjoint ranges of the same places, in order."""
+    order = np.lexsort((end, begin))
+    begin, reach = begin[order], np.maximum.accumulate(end[order])
+    new = np.append(True, begin[1:] > reach[:-1])
+    return begin[new], reach[np.append(new[1:], True)]
+
+
+def removals(rows: DataFrame) -> DataFrame:
+    """row, doc_id, removed (sentences whole in a repeated span), first_docs (documents that had them before), cut (all ranges of words) of rows that lose words."""
+    kind = dict(rows.dtypes)["doc_id"]
+    lost = repeated_spans(rows).groupBy("row").agg(  # bounded by a row's spans
+        F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_set("first_doc")).alias("first_docs"),
+        *[F.collect_list(c).alias(c) for c in ("first", "size", "begin", "end")])
+
+    def merge(batches):
+        for b in batches:
+            removed, cut = [], []
+            for first, size, begin, end in zip(*[b.column(c) for c in ("first", "size", "begin", "end")], strict=True):
+                first, size, begin, end = (x.values.to_numpy() for x in (first, size, begin, end))
+                held = size > 0
+                x, y = _union(first[held], (first + size)[held]) if held.any() else ((), ())
+                removed.append([k for i, j in zip(x, y, strict=True) for k in range(i, j)])
+                cut.append([{"begin": int(i), "end": int(j)} for i, j in zip(*_union(begin, end), strict=True)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), b.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), b.column("first_docs"),
+                 pa.array(cut, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))], names=["row", "doc_id", "removed", "first_docs", "cut"])
+
+    return lost.mapInArrow(merge, f"row long, doc_id {kind}, removed array<int>, first_docs array<{kind}>, cut array<struct<begin: int, end: int>>")
+
+
+def cut_words(text: str, cut: list[tuple[int, int]]) -> str:
+    """``text`` without the words of these ranges; white space before a range goes with it."""
     w = Words([text])
-    stops = np.flatnonzero(sentence_ends(w)) + 1
-    gone, out, at = set(removed), [], 0
+    out, at = [], 0
     data = w.data.tobytes()
-    for k, stop in enumerate(stops.tolist()):
-        end = int(w.ends[stop - 1])
-        if k not in gone:
-            out.append(data[at:end])
-        at = end
+    for begin, end in cut:
+        out.append(data[at:int(w.ends[begin - 1]) if begin else 0])
+        at = int(w.ends[end - 1])
     out.append(data[at:-1])
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
 def remove_repeated_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` without repeated sentences; a document that loses all it had goes; n_chars follows the text."""
-    lost = materialize(removals(docs), "spans-removed").select(F.col("doc_id").alias("_doc"), "removed")
-    found = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    """``docs`` without repeated spans; a row that loses all it had goes; n_chars follows the text."""
+    rows = materialize(numbered(docs), "spans-rows")
+    lost = materialize(removals(rows), "spans-removed").select(F.col("row").alias("_row"), F.col("cut").alias("_cut"))
+    found = rows.join(lost, "_row", "left")
 
     @F.pandas_udf("string")
-    def cut(texts, removed):
+    def cut(texts, ranges):
         import pandas as pd
 
-        return pd.Series([t if r is None or t is None else cut_sentences(t, list(r)) for t, r in zip(texts, removed, strict=True)], dtype=object)
+        return pd.Series([t if r is None or t is None else cut_words(t, [(x["begin"], x["end"]) for x in r])
+                          for t, r in zip(texts, ranges, strict=True)], dtype=object)
 
-    out = found.withColumn("text", cut(F.col("text").cast("string"), "removed"))
+    out = found.withColumn("text", cut(F.col("text").cast("string"), "_cut"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(dict(docs.dtypes)["n_chars"])))
-    left = F.col("removed").isNull() | F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(dict(docs.dtypes)["n_chars"])))
+    left = F.col("_cut").isNull() | F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     return out.where(left).select(*[f"`{c}`" for c in docs.columns])
 
 
 def span_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_removed, removed (sentence numbers), first_docs of documents that lose sentences."""
-    return removals(docs).select("doc_id", F.size("removed").cast("long").alias("n_removed"), "removed", "first_docs")
+    """doc_id, n_removed, removed (sentence numbers), first_docs, n_words and cut (words and ranges of words lost) of every row that loses words."""
+    words = F.aggregate("cut", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    return removals(numbered(docs.select("doc_id", "text"))).select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"), "removed", "first_docs", words.alias("n_words"), "cut")

@@ -221,3 +221,15 @@ def test_near_duplicates(docs):
     assert kept.columns == docs([]).columns
     assert sorted(x["doc_id"] for x in kept.collect()) == sorted(set(group.values()))
     assert near_duplicates.near_duplicate_classes(docs([])).count() == 0
+
+
+def test_span_dedup_tells_rows_of_one_id_apart(docs):
+    passage = " ".join(f"Passage {w} has quite a few words here." for w in ("one", "two", "three", "four", "five", "six", "seven"))
+    rows = [(None, f"{passage} {prose(1)}."), (None, f"{passage} {prose(2)}."), (None, f"{prose(3)}."), (3, f"{passage} {prose(4)}."),
+            (3, f"{passage} {prose(5)}."), (3, f"{prose(6)}."), (4, f"{prose(7)}."), (4, f"{prose(7)}.")]
+    out = Counter((r["doc_id"], r["n_removed"], tuple(r["first_docs"])) for r in spans.span_digest(docs(rows)).collect())
+    assert out == Counter({(None, 7, (3,)): 2, (3, 7, (3,)): 1, (4, 14, (4,)): 1})
+    kept = Counter((r["doc_id"], r["text"].strip()) for r in spans.remove_repeated_spans(docs(rows)).collect())
+    first = [t for t in (rows[3], rows[4]) if kept[t]]
+    assert len(first) == 1 and sum("Passage" in t for _, t in kept.elements()) == 1 and sum(kept.values()) == len(rows) - 1
+    assert all(kept[i, f"{prose(k)}."] == 1 for i, k in ((None, 1), (None, 2), (None, 3), (3, 6), (4, 7)))
