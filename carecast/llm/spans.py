@@ -1,9 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
 Every run of ``SPAN`` consecutive sentences of at least ``MIN_WORDS`` words is
-hashed. Since a passage may have few long
+hashed. Where ``SPAN`` sentences hold fewer words, the run grows, onwards and
+backwards, until it holds them; and, since a passage may have few long
 sentences, so is every run of fewer sentences that holds ``SHORT_RUN_WORDS``
-words. Equal hashes are joined over the
+words. A passage glued into other sentences may hold none of these: windows of
+``WINDOW`` words, wherever sentences end, are hashed too, of every ``CHOICE``
+consecutive ones the one with the smallest hash, so that two texts that share
+``WINDOW + CHOICE - 1`` words share a window. Equal hashes are joined over the
 whole corpus; words inside a span that occurred before, in an earlier row or
 earlier in the same one, are removed. Each row sends a hash once, counts are
 combined before the shuffle, and the join back is an ordinary one that the
@@ -15,7 +19,8 @@ words, whatever white space stands between them.
 
 Defined cases: null and wordless texts have no sentences; rows are ordered by
 doc_id (null last), then by text hash, so rows that share a doc_id or have none
-are documents of their own, and equal rows are later copies of one of them;
+are documents of their own, and equal rows are later copies of one of them; a
+window that overlaps its own first occurrence loses only what lies behind it;
 an empty table gives none; only doc_id and text are read.
 """
 
@@ -32,6 +37,8 @@ from .hashing import Words, mix, range_hashes
 SPAN = 3
 MIN_WORDS = 12
 SHORT_RUN_WORDS = {1: 32, 2: 20}
+WINDOW = 32
+CHOICE = 19
 
 _CLOSERS = np.zeros(256, bool)
 _CLOSERS[[ord(c) for c in "\"')]}*_"]] = True
@@ -54,6 +61,28 @@ def sentence_ends(w: Words) -> np.ndarray:
     return ends
 
 
+def _grown(starts: np.ndarray, stops: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last sentence of the shortest runs of more than ``SPAN`` sentences, from and up to each, that hold ``MIN_WORDS``."""
+    n = np.arange(len(starts))
+    last = np.searchsorted(stops, starts + MIN_WORDS)
+    first = np.searchsorted(starts, stops - MIN_WORDS, side="right") - 1
+    i, j = np.append(n, np.maximum(first, 0)), np.append(np.minimum(last, len(starts) - 1), n)
+    whole = np.append(last < len(starts), first >= 0) & (owner[i] == owner[j]) & (j - i >= SPAN)
+    return i[whole], j[whole]
+
+
+def _windows(w: Words) -> np.ndarray:
+    """The first words of the chosen windows."""
+    n = len(w.hashes) - WINDOW - CHOICE + 2
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    at = np.arange(n + CHOICE - 1)
+    h = range_hashes(w.hashes, at, at + WINDOW)
+    owner = np.searchsorted(w.last, np.arange(len(w.hashes)), side="right")
+    k = np.flatnonzero(owner[:n] == owner[WINDOW + CHOICE - 2:])
+    return np.unique(k + np.lib.stride_tricks.sliding_window_view(h, CHOICE)[k].argmin(axis=1))
+
+
 def spans_of(texts: list[str]) -> tuple[np.ndarray, ...]:
     """(text, first whole sentence, whole sentences, first word, word past it, hash, check, since) of every span.
 
@@ -72,18 +101,26 @@ def spans_of(texts: list[str]) -> tuple[np.ndarray, ...]:
         i = np.flatnonzero((owner[:n] == owner[size - 1:]) & (words >= (MIN_WORDS if size == SPAN else SHORT_RUN_WORDS[size])))
         begins.append(starts[i])
         ends.append(stops[i + size - 1])
-    begin, end = np.concatenate(begins), np.concatenate(ends)
+    i, j = _grown(starts, stops, owner)
+    windows = _windows(w)
+    runs = sum(map(len, begins)) + len(i)
+    # a window that is a run of sentences counts once, as the run
+    begin, end = np.concatenate([*begins, starts[i], windows]), np.concatenate([*ends, stops[j], windows + WINDOW])
+    _, once = np.unique((begin << 32) | (end - begin), return_index=True)
+    begin, end, window = begin[once], end[once], once >= runs
     text = np.searchsorted(w.last, begin, side="right")
     h = range_hashes(w.hashes, begin, end)
     check = mix(range_hashes(w.hashes ^ np.uint64(0x5851F42D4C957F2D), begin, end))
     order = np.lexsort((begin, check, h, text))
-    text, begin, end, h, check = (x[order] for x in (text, begin, end, h, check))
+    text, begin, end, window, h, check = (x[order] for x in (text, begin, end, window, h, check))
     again = np.zeros(len(text), bool)
     again[1:] = (text[1:] == text[:-1]) & (h[1:] == h[:-1]) & (check[1:] == check[:-1])
+    origin = np.maximum.accumulate(np.where(again, 0, np.arange(len(text))))
+    since = np.where(window, np.minimum(np.maximum(begin, end[origin]), end), begin)
     whole = np.searchsorted(starts, begin)
     size = np.maximum(np.searchsorted(stops, end, side="right") - whole, 0)
     base = w.first[text]
-    return (text, whole - np.searchsorted(starts, base), size, begin - base, end - base, h, check, np.where(again, begin - base, -1))
+    return (text, whole - np.searchsorted(starts, base), size, begin - base, end - base, h, check, np.where(again, since - base, -1))
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -223,6 +223,32 @@ def test_near_duplicates(docs):
     assert near_duplicates.near_duplicate_classes(docs([])).count() == 0
 
 
+def glued(seed, n):
+    """Words without a sentence's end."""
+    return prose(seed, n).replace(".", "")
+
+
+def test_span_dedup_finds_glued_and_short_sentences(docs):
+    rows = []
+    for k in range(20):  # 51 words, their ends glued into other sentences, one short sentence or none inside
+        passage = glued(300 + k, 24) + (". " if k % 2 else " ") + glued(400 + k, 27)
+        rows += [(2 * k, f"{glued(500 + k, 30 + k)} {passage} {glued(600 + k, 40)}"), (2 * k + 1, f"{glued(700 + k, 25 + k)} {passage} {glued(800 + k, 33)}")]
+    short = " ".join(w.upper() + "!!" for w in glued(900, 60).split())
+    rows += [(100, short), (101, f"{glued(901, 20)}. {short}")]
+    out = {r["doc_id"]: r for r in spans.span_digest(docs(rows)).collect()}
+    assert set(out) == {2 * k + 1 for k in range(20)} | {101}
+    assert all(out[2 * k + 1]["first_docs"] == [2 * k] and 32 <= out[2 * k + 1]["n_words"] <= 51 for k in range(20))
+    assert out[101]["removed"] == list(range(1, 61)) and out[101]["n_words"] == 60
+    kept = {r["doc_id"]: r["text"] for r in spans.remove_repeated_spans(docs(rows)).collect()}
+    assert kept[101] == rows[-1][1].split(".")[0] + "." and all(kept[i] == t for i, t in rows if i not in out)
+    assert all(kept[i].split()[:25] == t.split()[:25] and kept[i].split()[-33:] == t.split()[-33:] for i, t in rows if i in out and i < 100)
+
+
+def test_window_that_overlaps_itself_keeps_its_first_occurrence(docs):
+    out = {r["doc_id"]: r for r in spans.span_digest(docs([(1, "word " * 600)])).collect()}
+    assert [tuple(r) for r in out[1]["cut"]] == [(32, 582)]
+
+
 def test_span_dedup_tells_rows_of_one_id_apart(docs):
     passage = " ".join(f"Passage {w} has quite a few words here." for w in ("one", "two", "three", "four", "five", "six", "seven"))
     rows = [(None, f"{passage} {prose(1)}."), (None, f"{passage} {prose(2)}."), (None, f"{prose(3)}."), (3, f"{passage} {prose(4)}."),
