@@ -62,6 +62,27 @@ def test_neighbours(spark):
     assert hits >= 0.95 * total and {y["query_id"] for y in out} == set(range(0, 600, 100))
 
 
+def recall(x, out, k=10):
+    """The share of the true k nearest that the answers hold."""
+    hits = 0
+    for q in range(0, len(x), 100):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:k].tolist()) & {y["vec_id"] for y in out if y["query_id"] == q})
+    return hits / (k * len(range(0, len(x), 100)))
+
+
+def test_neighbours_in_a_tight_group(spark):
+    from carecast.session import ship_package
+
+    ship_package(spark)
+    r = np.random.default_rng(3)
+    x = r.normal(size=64)
+    x = x / np.sqrt((x * x).sum()) + 1e-4 * r.normal(size=(1500, 64))
+    out = neighbours.nearest_neighbours(spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    assert recall(x, out) >= 0.9
+
+
 def test_components(spark):
     r = random.Random(8)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(500, 640)]
