@@ -8,6 +8,6 @@ Layout:
   streaming/  incremental (micro-batch) runner for the daily reports
 """
 
-from .params import DEFAULT, Params
+from .params import Params
 
-__all__ = ["DEFAULT", "Params"]
+__all__ = ["Params"]

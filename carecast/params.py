@@ -1,7 +1,8 @@
 """Job parameters.
 
 The source scripts read the wall clock (``getdate()``) and hard-code
-cut-off dates. Here "now" is when the parameters are made unless given, and
+cut-off dates. Here "now" is when the parameters are made unless given (a job, or a
+micro-batch of a stream, makes its own at each call), and
 no lower date applies unless given, so a job drops no visits unasked. The
 registered queries and their oracle use the fixed values in ``CHECK``.
 """
@@ -9,6 +10,9 @@ registered queries and their oracle use the fixed values in ``CHECK``.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import inspect
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from . import rules
@@ -17,7 +21,7 @@ from . import rules
 @dataclass(frozen=True)
 class Params:
     # "now" of the run: visits after it are dropped, trailing windows end here.
-    as_of: dt.datetime = field(default_factory=dt.datetime.now)
+    as_of: dt.datetime = field(default_factory=lambda: dt.datetime.now())
     # strict lower bound on visit dates for the daily reports (``fecha > since``).
     since: dt.date = dt.date(1900, 1, 1)
     # the same for measured demand, which starts later in the source; None: ``since``.
@@ -63,7 +67,19 @@ class Params:
         return self.as_of.date()
 
 
-DEFAULT = Params()
+def now_unless_given(job: Callable) -> Callable:
+    """``job`` with ``Params()`` made at each call that gives no ``params``."""
+    signature = inspect.signature(job)
+
+    @functools.wraps(job)
+    def run(*args, **kw):
+        given = signature.bind(*args, **kw)
+        if given.arguments.get("params") is None:
+            given.arguments["params"] = Params()
+        return job(*given.args, **given.kwargs)
+
+    return run
+
 
 #: For the registered queries and tests: every date filter drops some of the driver's rows.
 CHECK = Params(as_of=dt.datetime(2024, 1, 28, 12, 0, 0), since=dt.date(2024, 1, 5),

@@ -19,7 +19,7 @@ from .. import rules
 from ..functions import date_literal, flag_label
 from ..operators.joins import with_claim_flags
 from ..operators.measures import VISIT_KEYS, measure_sums, total_indicator
-from ..params import DEFAULT, Params
+from ..params import Params, now_unless_given
 
 EXCLUSIVE_TOTALS = [  # output name, covid flag, ministry flag
     ("minsal", 1, 1),
@@ -29,14 +29,16 @@ EXCLUSIVE_TOTALS = [  # output name, covid flag, ministry flag
 ]
 
 
+@now_unless_given
 def flagged_visits(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                   params: Params = DEFAULT) -> DataFrame:
+                   params: Params | None = None) -> DataFrame:
     v = visit.where(f"fecha_inicio > {date_literal(params.since)}")
     return with_claim_flags(v, covid_claim, ministry_case, params.dedupe_claims)
 
 
+@now_unless_given
 def movement_detail(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                    params: Params = DEFAULT) -> DataFrame:
+                    params: Params | None = None) -> DataFrame:
     """Seven movement measures (narrow rules) per centre-day and covid x ministry label."""
     f = flagged_visits(visit, covid_claim, ministry_case, params)
     agg = f.groupBy(*VISIT_KEYS, "covid_flag", "minsal_flag").agg(*measure_sums("narrow", "w"))
@@ -53,8 +55,9 @@ def _exclusive_totals(tot: str) -> list:
     ]
 
 
+@now_unless_given
 def covid_measures(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                   params: Params = DEFAULT) -> DataFrame:
+                   params: Params | None = None) -> DataFrame:
     """Per centre-day and flag pair: four exclusive totals, their sum, 7 measures (wide rules).
 
     Only the total matching the row's flag pair can be non-zero.
@@ -69,8 +72,9 @@ def covid_measures(visit: DataFrame, covid_claim: DataFrame, ministry_case: Data
     return agg.drop("covid_flag", "minsal_flag")
 
 
+@now_unless_given
 def covid_daily(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                params: Params = DEFAULT) -> DataFrame:
+                params: Params | None = None) -> DataFrame:
     """Four mutually exclusive visit totals per centre and day."""
     f = flagged_visits(visit, covid_claim, ministry_case, params)
     tot = f"({total_indicator('wide')} * w)"

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import ci_contains, ci_eq, ci_not_in, date_literal, lit, time_type
 from ..operators.measures import VISIT_KEYS, movement_measures
-from ..params import DEFAULT, Params
+from ..params import Params, now_unless_given
 
 # Visit columns the job reads (a written visit table needs only these).
 VISIT_COLUMNS = ["territorio", "agencia", "centro", "fecha_inicio", "numero_semana", "clasif",
@@ -61,7 +61,8 @@ DEMAND_TERMS = [
 ]
 
 
-def timed_tickets(queue_log: DataFrame, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def timed_tickets(queue_log: DataFrame, params: Params | None = None) -> DataFrame:
     return queue_log.where(
         f"fecha > {date_literal(params.demand_start)}"
         f" AND {ci_not_in('centro', rules.DEMAND_EXCLUDED_CENTRES)}"
@@ -71,8 +72,9 @@ def timed_tickets(queue_log: DataFrame, params: Params = DEFAULT) -> DataFrame:
     )
 
 
+@now_unless_given
 def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
-                 params: Params = DEFAULT) -> DataFrame:
+                 params: Params | None = None) -> DataFrame:
     """Bridge join at the grain of ``BRIDGE_KEYS``.
 
     ``n_pares`` is the number of (ticket, party, visit) row triples the
@@ -99,8 +101,9 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     )
 
 
+@now_unless_given
 def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
-                         params: Params = DEFAULT) -> DataFrame:
+                         params: Params | None = None) -> DataFrame:
     """Ticket groups with their longest minutes, per service-time type of their patient-day.
 
     The source averages, per (centre, type, day), the longest minutes of
@@ -128,8 +131,9 @@ def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFram
                   "inner").select("centro", "fecha", "tipo", "minutos", "k")
 
 
+@now_unless_given
 def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
-                       params: Params = DEFAULT) -> DataFrame:
+                       params: Params | None = None) -> DataFrame:
     """Average measured minutes per centre, service-time type and day: sum(max * k) / sum(k), groups without minutes left out."""
     rows = typed_ticket_minutes(queue_log, party, visit, params)
     return rows.groupBy("centro", "tipo", "fecha").agg(
@@ -137,8 +141,9 @@ def service_time_daily(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     )
 
 
+@now_unless_given
 def service_times(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
-                  params: Params = DEFAULT) -> DataFrame:
+                  params: Params | None = None) -> DataFrame:
     """``service_time_pivot(service_time_daily(..))`` in one aggregation.
 
     The pivot's average of the single value per (centre, type, day) is
@@ -184,8 +189,9 @@ def staffed_capacity(capacity: DataFrame) -> DataFrame:
     ).selectExpr("centro", "fte AS oferta")
 
 
+@now_unless_given
 def demand_vs_capacity(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
-                       capacity: DataFrame, params: Params = DEFAULT) -> DataFrame:
+                       capacity: DataFrame, params: Params | None = None) -> DataFrame:
     times = service_times(queue_log, party, visit, params)
     v = visit.where(f"fecha_inicio > {date_literal(params.demand_start)}")
     demand = demand_minutes(movement_measures(v, VISIT_KEYS, "narrow"), times)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..params import DEFAULT, Params
+from ..params import Params, now_unless_given
 from . import covid, demand, shift, visits
 
 
@@ -37,7 +37,8 @@ class Tables:
     opening_hours_wide: DataFrame
 
 
-def classify_job(tables: Tables, path: str, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def classify_job(tables: Tables, path: str, params: Params | None = None) -> DataFrame:
     """Write the classified visit table to ``path`` (partitioned by day) and return it."""
     v = visits.classify_visits(tables.visit_raw, tables.org_unit, params)
     (v.hint("rebalance", "fecha_inicio")
@@ -45,20 +46,24 @@ def classify_job(tables: Tables, path: str, params: Params = DEFAULT) -> DataFra
     return v.sparkSession.read.parquet(path)
 
 
-def movement_detail_job(visit: DataFrame, tables: Tables, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def movement_detail_job(visit: DataFrame, tables: Tables, params: Params | None = None) -> DataFrame:
     return covid.movement_detail(visit, tables.covid_claim, tables.ministry_case, params)
 
 
-def covid_daily_job(visit: DataFrame, tables: Tables, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def covid_daily_job(visit: DataFrame, tables: Tables, params: Params | None = None) -> DataFrame:
     return covid.covid_daily(visit, tables.covid_claim, tables.ministry_case, params)
 
 
-def demand_job(visit: DataFrame, tables: Tables, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def demand_job(visit: DataFrame, tables: Tables, params: Params | None = None) -> DataFrame:
     return demand.demand_vs_capacity(tables.queue_log, tables.party, visit, tables.capacity, params)
 
 
+@now_unless_given
 def shift_job(visit: DataFrame, tables: Tables, sink_path: str | None = None,
-              params: Params = DEFAULT) -> dict[str, DataFrame]:
+              params: Params | None = None) -> dict[str, DataFrame]:
     """Half-hour model. Returns the two result sets of the source (``demand``:
     slot demand, ``deviation``: slot std devs) and the combined ``result``;
     appends ``result`` to the shift-tool table when ``sink_path`` is given.
@@ -71,8 +76,9 @@ def shift_job(visit: DataFrame, tables: Tables, sink_path: str | None = None,
     return {"demand": st["hourly"], "deviation": st["stddev"], "result": st["result"]}
 
 
+@now_unless_given
 def run_all(spark: SparkSession, tables: Tables, visit_path: str, sink_path: str | None = None,
-            params: Params = DEFAULT) -> dict[str, DataFrame]:
+            params: Params | None = None) -> dict[str, DataFrame]:
     """Classify once, then every report over the written visit table."""
     visit = classify_job(tables, visit_path, params)
     out = {

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from .. import rules
 from ..functions import ci_in, ci_not_in, date_literal, lit
 from ..operators import reshape, slots
-from ..params import DEFAULT, Params
+from ..params import Params, now_unless_given
 from ..session import materialize
 
 # Visit columns the model reads (a written visit table needs only these).
@@ -53,8 +53,9 @@ def window_visits(visit: DataFrame, params: Params) -> DataFrame:
     return visit.where(f"fecha_inicio >= {date_literal(params.window_first_date)}")
 
 
+@now_unless_given
 def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calendar: DataFrame,
-                 opening_hours_wide: DataFrame, params: Params = DEFAULT,
+                 opening_hours_wide: DataFrame, params: Params | None = None,
                  persist: bool = False, write_centres: bool = True) -> dict[str, DataFrame]:
     """All stages as DataFrames (``persist`` writes the gap-filled grid to the shared folder).
 
@@ -104,8 +105,9 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     return st
 
 
+@now_unless_given
 def shift_demand(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calendar: DataFrame,
-                 opening_hours_wide: DataFrame, params: Params = DEFAULT) -> DataFrame:
+                 opening_hours_wide: DataFrame, params: Params | None = None) -> DataFrame:
     return shift_stages(visit, queue_log, party, calendar, opening_hours_wide, params)["result"]
 
 

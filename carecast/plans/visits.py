@@ -22,7 +22,7 @@ from ..functions import (
     ci_contains, ci_in, classify_movement, date_literal, decode_claim_type, half_hour, lit,
     month_name, null_safe_concat, week_number, weekday_name, weekday_num, year_month,
 )
-from ..params import DEFAULT, Params
+from ..params import Params, now_unless_given
 from ..sources import schemas
 
 
@@ -34,7 +34,8 @@ def primary_care_units(org_unit: DataFrame) -> DataFrame:
     )
 
 
-def live_visits(visit_raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def live_visits(visit_raw: DataFrame, params: Params | None = None) -> DataFrame:
     """Drop cancelled rows (NULL flags too, as ``<>`` does), future dates, old years."""
     return visit_raw.where(
         f"NOT {ci_in('ind_anulacion', rules.CANCELLED_FLAGS)}"  # NULL -> unknown -> dropped
@@ -62,7 +63,8 @@ def visit_attributes(d: str = "fecha_inicio", t: str = "hora_inicio") -> list[st
     ]
 
 
-def classify_visits(visit_raw: DataFrame, org_unit: DataFrame, params: Params = DEFAULT) -> DataFrame:
+@now_unless_given
+def classify_visits(visit_raw: DataFrame, org_unit: DataFrame, params: Params | None = None) -> DataFrame:
     """The source's ``SELECT DISTINCT ca.*, <attributes>, <unit columns>``.
 
     Every attribute is a function of the visit and unit columns, so the

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..params import DEFAULT, Params
+from ..params import Params, now_unless_given
 from ..plans import covid, visits
 from ..sources import schemas
 
@@ -29,9 +29,10 @@ REPORTS: dict[str, Report] = {
 }
 
 
+@now_unless_given
 def refresh_days(days: DataFrame, visit_raw: DataFrame, org_unit: DataFrame, covid_claim: DataFrame,
                  ministry_case: DataFrame, out_path: str, report: str = "covid_daily",
-                 params: Params = DEFAULT) -> None:
+                 params: Params | None = None) -> None:
     """Recompute ``report`` for the dates in ``days`` and overwrite their partitions."""
     touched = schemas.fold_keys(visit_raw).join(days.selectExpr("fecha_inicio").distinct(), "fecha_inicio", "left_semi")
     out = REPORTS[report](touched, schemas.fold_keys(org_unit), covid_claim, ministry_case, params)
@@ -41,13 +42,14 @@ def refresh_days(days: DataFrame, visit_raw: DataFrame, org_unit: DataFrame, cov
 
 def start(spark: SparkSession, incoming_dir: str, org_unit: DataFrame, covid_claim: DataFrame,
           ministry_case: DataFrame, out_path: str, checkpoint: str,
-          report: str = "covid_daily", params: Params = DEFAULT,
+          report: str = "covid_daily", params: Params | None = None,
           visit_raw: Callable[[], DataFrame] | None = None,
           available_now: bool = True) -> StreamingQuery:
     """Watch ``incoming_dir`` for new visit_raw parquet files and refresh ``report``.
 
     ``visit_raw`` loads the full visit table (default: every file under
     ``incoming_dir``); it is called per micro-batch so new files are listed.
+    Without ``params``, "now" is the time of each micro-batch.
     """
     arrivals = spark.readStream.schema(schemas.VISIT_RAW).parquet(incoming_dir)
     load = visit_raw or (lambda: spark.read.schema(schemas.VISIT_RAW).parquet(incoming_dir))

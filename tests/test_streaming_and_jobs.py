@@ -1,6 +1,7 @@
 """Incremental refresh equals the batch report; the job layer runs end to end."""
 
 import os
+import time
 import uuid
 
 from carecast.params import CHECK
@@ -72,3 +73,38 @@ def test_cluster_conf_sizes_partitions_from_input():
     assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == "50000"
     assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf()["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_now_is_the_time_of_each_call_and_micro_batch(spark, monkeypatch):
+    import datetime as dt
+
+    from carecast import params
+
+    class Clock(dt.datetime):
+        at = dt.datetime(2024, 1, 12, 12)
+
+        @classmethod
+        def now(cls, tz=None):
+            return cls.at
+
+    monkeypatch.setattr(params.dt, "datetime", Clock)
+    t = DomainTables.of(spark, SMALL_SF)
+    early = visits.live_visits(t.visit_raw).count()
+    base = os.path.join(shared_dir(spark), f"stream-clock-{uuid.uuid4().hex[:8]}")
+    incoming, out, ckpt = (os.path.join(base, x) for x in ("incoming", "out", "ckpt"))
+    t.visit_raw.where("fecha_inicio < DATE '2024-01-10'").write.parquet(os.path.join(incoming, "a"))
+    query = start(spark, incoming + "/*", t.org_unit, t.covid_claim, t.ministry_case, out, ckpt, available_now=False)
+    try:
+        query.processAllAvailable()
+        Clock.at = dt.datetime(2024, 1, 26, 12)  # the session and the stream outlive the day
+        assert visits.live_visits(t.visit_raw).count() > early
+        t.visit_raw.where("fecha_inicio >= DATE '2024-01-10'").write.parquet(os.path.join(incoming, "b"))
+        refreshed = 0
+        for _ in range(75):  # the stream looks for files each minute
+            refreshed = spark.read.parquet(out).where("fecha_inicio > DATE '2024-01-12'").count()
+            if refreshed:
+                break
+            time.sleep(1)
+        assert refreshed
+    finally:
+        query.stop()
