@@ -83,6 +83,22 @@ def test_neighbours_in_a_tight_group(spark):
     assert recall(x, out) >= 0.9
 
 
+def test_beam_widens_until_recall_is_met(spark):
+    from carecast.session import ship_package
+
+    ship_package(spark)
+    x = np.random.default_rng(5).normal(size=(600, 48))
+    nodes = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "node long, v array<double>")
+    packed, graph = neighbours.build(nodes)
+    links = neighbours.linked(graph)
+    queries = spark.createDataFrame([(i, i) for i in range(0, 600, 20)], "query long, at long")
+    truth = neighbours.nearest_of(packed, [{"query": q, "g": neighbours._packed(x[q:q + 1], 8)[0]} for q in (0, 20)], 11)
+    for q, (near, n) in truth.items():
+        assert n == 11 and abs(near - np.sort(((x - x[q]) ** 2).sum(axis=1))[10]) < 1e-9
+    times, recall = neighbours.wide_enough(packed, links, queries, 11, beam=2)
+    assert times > 4 and recall >= neighbours.TARGET
+
+
 def test_components(spark):
     r = random.Random(8)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(500, 640)]
