@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import chat, lines, mixing, near_duplicates, neighbours, packing, quality_classifier, quality_rules, spans, token_counts
+from . import chat, lines, mixing, near_duplicates, neighbours, packing, phrases, quality_classifier, quality_rules, sentence_pieces, spans, spelling, token_counts
 from .common import read
 from .sql import SQL
 
@@ -55,6 +55,18 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip_digest(read(spark, sf_dir, "documents"))
+
+
 def _shipped(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +79,7 @@ def _shipped(f: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = (op1_quality_rules, op2_token_counts, op3_line_dedup, op4_quality_classifier, op5_best_fit_packing,
              op6_chat_formatting, op7_substring_dedup, op8_nearest_neighbours, op9_source_mixing,
-             op10_near_duplicates)
+             op10_near_duplicates, op11_spelling_variants, op12_phrase_collocations, op13_sentence_pieces)
     return {f.__name__: _shipped(f) for f in found}
 
 

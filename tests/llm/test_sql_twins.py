@@ -34,7 +34,7 @@ SELECT doc_id, list_sort(list(DISTINCT gone::INT)) AS removed, list_sort(list(DI
 """
 
 
-def test_chat_formatting_equals_sql(spark):
+def test_queries_equal_sql(spark):
     con = duck(SMALL_SF)
     for name, sql in registry.oracle_sql().items():
         problems, found, *_ = compare(spark, con, SMALL_SF, name, sql, registry.queries()[name])
