@@ -13,7 +13,9 @@ That rule needs an order of merges without ties. The only tied pieces are runs
 of the blank sign, the last to merge of all, and no piece holds the sign after
 another character. So a text splits where a blank sign follows another
 character, one sign goes with the word behind it, and the run before is merged
-by replay. Characters that are no piece become byte pieces.
+by replay. No piece joins letters to other characters either, so words split
+there too (characters for which this fails count as no letters); workers
+remember words and their ids. Characters that are no piece become byte pieces.
 
 Defined cases: a null text is empty and has no ids; ids are those of the
 library without begin, end or control ids (control strings in a text are
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +40,35 @@ from .common import slices, text_column
 
 SIGN = "▁"  # stands for a blank
 WINDOW = 1 << 20  # characters of a text cut into words at once
-REMEMBERED = 16 << 20  # bytes of words and their ids that a worker keeps
+REMEMBERED = 32 << 20  # bytes of words and their ids that a worker keeps, twice: those in use and those before
 LONGEST_REMEMBERED = 64  # characters
+PAIRS_REMEMBERED = 400_000
 
-_WORD = re.compile(f"{SIGN}+[^{SIGN}]*")
+_LETTER = re.compile(r"[^\W\d_]")
 _WORD_START = re.compile(f"(?<!{SIGN}){SIGN}")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6  # fixed values: kinds of pieces in a model file
 
 
+class Words(dict):
+    """The ids of words, found on first use; words not used for a while are forgotten."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find, self.before, self.held = find, {}, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.find(word)
+        if len(word) <= LONGEST_REMEMBERED:
+            self.held += 220 + len(ids)
+            if self.held > REMEMBERED:
+                self.before = dict(self)
+                self.clear()
+                self.held = 0
+            self[word] = ids
+        return ids
+
+
 class Pieces:
     """A model file's pieces: exact encoding of words, and the bytes behind each id."""
 
@@ -81,14 +104,17 @@ class Pieces:
         if any(c not in self.ids for p in self.ids for c in p):
             raise ValueError("a piece holds a character that is no piece")
         self.backwards = ahocorasick.Automaton()
-        for p in [SIGN, *single]:
+        self.standing = {p for p in [SIGN, *single] if self.merged(p) == [p]}
+        for p in self.standing:
             self.backwards.add_word(p[::-1], p)
         self.backwards.make_automaton()
-        self.alone: dict[str, bool] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
         self.shorter: dict[str, str | None] = {}
-        self.words: dict[str, bytes] = {}
-        self.held = 0
+        self.fits: dict[tuple[str, str], bool] = {}
+        mixed = {c for p in single for k in range(1, len(p)) for c in p[k - 1:k + 1]
+                 if p[k - 1] != SIGN and bool(_LETTER.match(p[k - 1])) != bool(_LETTER.match(p[k]))}
+        none = re.escape("".join(sorted(c for c in mixed if _LETTER.match(c))))
+        self.cut = re.compile(rf"{SIGN}*(?:[^\W\d_{none}]+|[\W\d_{none}]+?(?=[^\W\d_{none}]|{SIGN}|\Z))|{SIGN}+")
+        self.words = Words(self.word)
         # surfaces end to end, to decode many ids at once
         self.surface_bytes = np.frombuffer(b"".join(surfaces), np.uint8)
         self.surface_sizes = np.array([len(s) for s in surfaces], np.int64)
@@ -121,74 +147,68 @@ class Pieces:
             offer(i)
         return [p for p in part if p]
 
-    def stands(self, piece: str) -> bool:
-        if piece not in self.alone:
-            self.alone[piece] = self.merged(piece) == [piece]
-        return self.alone[piece]
-
-    def follows(self, left: str, right: str) -> bool:
-        key = (left, right)
-        if key not in self.fits:
-            if len(self.fits) > 200_000:
-                self.fits.clear()
-            self.fits[key] = self.merged(left + right) == [left, right]
-        return self.fits[key]
-
     def next_shorter(self, piece: str) -> str | None:
         if piece not in self.shorter:
-            self.shorter[piece] = next((piece[:k] for k in range(len(piece) - 1, 0, -1) if piece[:k] in self.ids), None)
+            self.shorter[piece] = next((piece[:k] for k in range(len(piece) - 1, 0, -1) if piece[:k] in self.standing), None)
         return self.shorter[piece]
 
+    def follows(self, pair: tuple[str, str]) -> bool:
+        """Whether the two pieces, merged afresh, come out as themselves."""
+        if len(self.fits) > PAIRS_REMEMBERED:
+            self.fits.clear()
+        found = self.fits[pair] = self.merged(pair[0] + pair[1]) == [*pair]
+        return found
+
     # ----------------------------------------------------------------- encoding
     def known(self, text: str) -> list[str]:
         """The pieces of a text all of whose characters are pieces, by backtracking."""
+        if text in self.standing:
+            return [text]
         n = len(text)
         longest: list[str] = [""] * n
         for end, piece in self.backwards.iter(text[::-1]):  # longest first at each end
             if not longest[n - 1 - end]:
                 longest[n - 1 - end] = piece
-        open_ = bytearray(b"\xff" * (n // 8 + 1))  # a bit per place: not known to fail
+        failed = bytearray()  # a bit per place from which nothing fits
         found: list[str] = []
-        place, piece = 0, longest[0]
-        while place < n:
+        fits = self.fits
+        last, place, piece = None, 0, longest[0]
+        while True:
             end = place + len(piece)
-            if open_[end >> 3] >> (end & 7) & 1 and self.stands(piece) and (not found or self.follows(found[-1], piece)):
-                found.append(piece)
-                place = end
-                piece = longest[place] if place < n else ""
-                continue
+            if not (failed and failed[end >> 3] >> (end & 7) & 1):
+                fit = last is None or fits.get((last, piece))
+                if fit is None:
+                    fit = self.follows((last, piece))
+                if fit:
+                    found.append(piece)
+                    if end == n:
+                        return found
+                    last, place, piece = piece, end, longest[end]
+                    continue
             shorter = self.next_shorter(piece)
             while shorter is None:  # nothing fits here: back to the piece before
-                open_[place >> 3] &= ~(1 << (place & 7))
+                failed = failed or bytearray(n // 8 + 1)
+                failed[place >> 3] |= 1 << (place & 7)
                 piece = found.pop()
                 place -= len(piece)
                 shorter = self.next_shorter(piece)
-            piece = shorter
-        return found
+            last, piece = found[-1] if found else None, shorter
 
     def word(self, text: str) -> bytes:
         """The ids (32 bits each) of blank signs and the characters up to the next one."""
-        if text in self.words:
-            return self.words[text]
         body = text.lstrip(SIGN)
-        signs, ids = len(text) - len(body), []
-        for i, run in enumerate(self._runs(SIGN + body)):
-            if run in self.ids or len(run) > 1 or run == SIGN:
-                pieces = self.known(run)
-                if i == 0:  # the signs that stay alone
-                    alone = pieces[0] == SIGN
-                    pieces = self.merged(SIGN * (signs - 1 + alone)) + pieces[alone:]
-                ids.extend(map(self.ids.__getitem__, pieces))
-            else:
+        signs = len(text) - len(body)
+        ids: list[int] = []
+        for i, run in enumerate(self._runs(SIGN + body if signs else body)):
+            if run[0] not in self.ids:
                 ids.extend(map(self.byte_ids.__getitem__, run.encode()))
-        out = np.array(ids, np.int32).tobytes()
-        if len(text) <= LONGEST_REMEMBERED:
-            self.held += 200 + len(out)
-            if self.held > REMEMBERED:
-                self.words.clear()
-                self.held = 0
-            self.words[text] = out
-        return out
+                continue
+            out = self.known(run)
+            if i == 0 and signs > 1:  # signs that go with no other piece merge among themselves
+                alone = out[0] == SIGN
+                out = self.merged(SIGN * (signs - 1 + alone)) + out[alone:]
+            ids.extend(map(self.ids.__getitem__, out))
+        return np.array(ids, np.int32).tobytes()
 
     def _runs(self, text: str) -> Iterator[str]:
         """Runs of characters that are pieces, and each other character by itself."""
@@ -210,7 +230,7 @@ class Pieces:
         while start < len(text):
             cut = _WORD_START.search(text, start + WINDOW)
             stop = cut.start() if cut else len(text)
-            out.append(b"".join([self.word(w) for w in _WORD.findall(text, start, stop)]))
+            out.append(b"".join(map(self.words.__getitem__, self.cut.findall(text, start, stop))))
             start = stop
         return b"".join(out)
 
