@@ -45,6 +45,7 @@ COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 BLOCK_CHARS = 8_000_000  # characters counted together
 SLICE_CHARS = 500_000  # characters hashed together
+BATCH_ROWS = 50_000  # rows sent on together
 FILTER_BYTES = 16 << 20
 FILTER_HASHES = 3
 
@@ -218,8 +219,10 @@ def _mine(rows: DataFrame, sizes: tuple[int, ...], local_support: int, pairs: Fi
                         for k in range(size - 1):
                             first = first[pair[first + k]]
                     h, n = np.unique(_chained(block.hashes, first, size, _STEP, salt), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                     names=["shard", "h", "n"])
+                    for k in range(0, len(h), BATCH_ROWS):
+                        part = h[k:k + BATCH_ROWS].view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), shard, np.int32)), pa.array(part), pa.array(n[k:k + BATCH_ROWS].astype(np.int64))],
+                                                         names=["shard", "h", "n"])
 
     found = rows.mapInArrow(run, "shard int, h long, n long").groupBy("shard", "h").agg(F.sum("n").alias("n"))
     return materialize(found.where(F.col("n") >= local_support).select("h"), "phrases-mined")
@@ -255,7 +258,9 @@ def _counted(rows: DataFrame, candidates: Filter, longest: int) -> DataFrame:
                         order = np.lexsort((check, h))
                         new = np.append(True, (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1]))[:len(h)]
                     start = np.flatnonzero(new)
-                    yield batch(block.texts(first[order][start], size), size, np.diff(np.append(start, len(h))))
+                    one, n = first[order[start]], np.diff(np.append(start, len(h)))
+                    for k in range(0, len(one), BATCH_ROWS):
+                        yield batch(block.texts(one[k:k + BATCH_ROWS], size), size, n[k:k + BATCH_ROWS])
 
     return rows.mapInArrow(run, "lang string, phrase string, size int, n long").groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
