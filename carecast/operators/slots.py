@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..sources.schemas import fold_keys
 from .reshape import HOURS_KEYS, unpivot_hours
 from ..functions import (
     box_count, ci_in, class_count, half_hour, lit, null_safe_concat, num, synthetic_end_time,
@@ -72,7 +73,7 @@ def slot_grid(calendar: DataFrame, hours_wide: DataFrame,
 def weekly_load(visit_window: DataFrame) -> DataFrame:
     """Per centre and calendar week: variable / scheduled minutes and visit counts."""
     w = rules.SLOT_WEIGHTS
-    agg = visit_window.groupBy("centro", F.expr(year_week("fecha_inicio")).alias("anno_semana")).agg(
+    agg = fold_keys(visit_window).groupBy("centro", F.expr(year_week("fecha_inicio")).alias("anno_semana")).agg(
         *[F.expr(f"sum({class_count('clasif', 'tipo_siniestro_origen', cls, cond, '1')})").alias(name)
           for name, cls, cond in ATTENTION_MEASURES]
     )
@@ -132,7 +133,8 @@ def _first_by(df: DataFrame, partition: list[str], order: list[str]) -> DataFram
 
 def first_tickets(queue_rows: DataFrame, box_only: bool = False) -> DataFrame:
     """Per (patient, ticket, day): its first ticket row and how many copies it has (``n_q``)."""
-    q = queue_rows.where(ci_in("estado", rules.BOX_STATES)) if box_only else queue_rows
+    q = fold_keys(queue_rows)
+    q = q.where(ci_in("estado", rules.BOX_STATES)) if box_only else q
     rows = q.groupBy(*TICKET_KEYS, *TICKET_COLUMNS).agg(F.count(F.lit(1)).alias("n_q"))
     return _first_by(rows, TICKET_KEYS, TICKET_ORDER)
 
@@ -145,9 +147,9 @@ def first_visit_classes(party: DataFrame, visit_rows: DataFrame) -> DataFrame:
     visits join as they are and the aggregation right after the join
     combines identical visit classes map-side, before any shuffle.
     """
-    v = visit_rows.withColumnRenamed("media_hora", "media_hora_visita").select(
+    v = fold_keys(visit_rows).withColumnRenamed("media_hora", "media_hora_visita").select(
         "bp_paciente", "fecha_inicio", "centro", *CLASS_COLUMNS)
-    p = party.groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
+    p = fold_keys(party).groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
     classes = (
         v.join(p, v.bp_paciente == p.numero_bp, "inner")
         .groupBy("rut", "fecha_inicio", "centro", *CLASS_COLUMNS)
@@ -182,7 +184,8 @@ def first_attention(queue_rows: DataFrame, party: DataFrame, visit_rows: DataFra
 
 def synthetic_attention(visit: DataFrame, queue_centres: DataFrame) -> DataFrame:
     """Attention rows estimated from visits of centres that have no queue data."""
-    centres = queue_centres.selectExpr("centro AS q_centro")
+    centres = fold_keys(queue_centres).selectExpr("centro AS q_centro")
+    visit = fold_keys(visit)
     v = visit.join(centres, visit.centro == centres.q_centro, "left_anti")
     keys = ["centro", "fecha_inicio", "hora_inicio", "numero_semana", "dia_semana", "uo_medica",
             "clasif", "tipo_siniestro_origen"]

@@ -32,6 +32,7 @@ from .. import rules
 from ..functions import ci_contains, ci_eq, ci_not_in, date_literal, lit, time_type
 from ..operators.measures import VISIT_KEYS, movement_measures
 from ..params import Params, now_unless_given
+from ..sources.schemas import fold_keys
 
 # Visit columns the job reads (a written visit table needs only these).
 VISIT_COLUMNS = ["territorio", "agencia", "centro", "fecha_inicio", "numero_semana", "clasif",
@@ -63,7 +64,7 @@ DEMAND_TERMS = [
 
 @now_unless_given
 def timed_tickets(queue_log: DataFrame, params: Params | None = None) -> DataFrame:
-    return queue_log.where(
+    return fold_keys(queue_log).where(
         f"fecha > {date_literal(params.demand_start)}"
         f" AND {ci_not_in('centro', rules.DEMAND_EXCLUDED_CENTRES)}"
         f" AND NOT {ci_contains('centro', rules.DEMAND_EXCLUDED_PATTERN)}"
@@ -85,7 +86,7 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
         .groupBy("centro", "rut_paciente", "tipo_atencion", "fecha")
         .agg(F.max("minutos").alias("minutos"), F.count(F.lit(1)).alias("n_q"))
     )
-    p = party.groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
+    p = fold_keys(party).groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
     v = (
         visit.where(f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.demand_start)}")
         .groupBy("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
@@ -118,6 +119,7 @@ def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFram
         .groupBy("centro", "rut_paciente", "tipo_atencion", "fecha")
         .agg(F.max("minutos").alias("minutos"))
     )
+    party = fold_keys(party)
     visits = visit.where(
         f"cl_mov_desc IS NOT NULL AND fecha_inicio > {date_literal(params.demand_start)}"
     ).select("bp_paciente", "fecha_inicio", "cl_mov_desc", "tipo_siniestro_origen")
@@ -184,7 +186,7 @@ def demand_minutes(measures: DataFrame, times: DataFrame) -> DataFrame:
 
 
 def staffed_capacity(capacity: DataFrame) -> DataFrame:
-    return capacity.where(
+    return fold_keys(capacity).where(
         f"{ci_eq('cargo', rules.STAFF_ROLE)} AND {ci_eq('estado', rules.APPROVED)}"
     ).selectExpr("centro", "fte AS oferta")
 

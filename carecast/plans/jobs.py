@@ -22,8 +22,8 @@ from . import covid, demand, shift, visits
 class Tables:
     """Domain tables of one run (any DataFrames: catalog tables, parquet paths, adapters).
 
-    Their keys must have one spelling: ``sources.catalog.load_tables`` sees to
-    it, ``sources.schemas.fold_keys`` does it for other frames.
+    Text may be spelled in any way the source's collation holds equal: the jobs
+    fold what ``sources.catalog.load_tables`` hasn't folded yet.
     """
 
     visit_raw: DataFrame

@@ -39,6 +39,7 @@ from ..functions import ci_in, ci_not_in, date_literal, lit
 from ..operators import reshape, slots
 from ..params import Params, now_unless_given
 from ..session import materialize
+from ..sources import schemas
 
 # Visit columns the model reads (a written visit table needs only these).
 VISIT_COLUMNS = ["bp_paciente", "fecha_inicio", "hora_inicio", "centro", "uo_medica", "clasif",
@@ -63,6 +64,8 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
     row per centre, so that the planner knows its size and the visits need no
     shuffle by centre to leave these out.
     """
+    visit, queue_log, party = (schemas.fold_keys(x) for x in (visit, queue_log, party))
+    opening_hours_wide = schemas.fold_centres(opening_hours_wide)
     st: dict[str, DataFrame] = {}
     st["hours"] = reshape.unpivot_hours(opening_hours_wide)
     st["grid"] = slots.slot_grid(calendar, opening_hours_wide)

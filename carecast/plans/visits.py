@@ -72,11 +72,11 @@ def classify_visits(visit_raw: DataFrame, org_unit: DataFrame, params: Params |
     after it: the shuffle carries half the columns and the CASE chains run
     once per distinct row, on the reduce side.
     """
-    units = primary_care_units(org_unit).selectExpr(
+    units = primary_care_units(schemas.fold_keys(org_unit)).selectExpr(
         "uo_tratamiento", "territorio_m AS territorio", "agencia_m AS agencia", "centro_m AS centro",
         "uo_medica",
     )
-    v = live_visits(visit_raw, params)
+    v = live_visits(schemas.fold_keys(visit_raw), params)
     joined = v.join(units, "uo_tratamiento", "inner")  # filtered LEFT JOIN == INNER
     distinct = joined.select(*schemas.VISIT_RAW.fieldNames(), "territorio", "agencia", "centro",
                              "uo_medica").distinct()

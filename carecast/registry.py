@@ -25,6 +25,7 @@ from .operators.measures import VISIT_KEYS, movement_measures
 from .params import CHECK, Params
 from .plans import covid, demand, shift, visits
 from .session import materialize, shared_dir
+from .sources import adapters, schemas
 from .sources.adapters import DomainTables
 
 DOUBLE_SCALE = 6
@@ -137,6 +138,16 @@ def _org_unit_filter(t, p):
     )
 
 
+@query("tickets_as_written")
+def _tickets_as_written(t, p):
+    """Tickets counted by collation keys, which are then shown as the tickets write them."""
+    written = adapters.written_queue_log(t.raw("events"))
+    shown = ["centro", "estado", "cargo", "fila"]
+    names = materialize(schemas.spellings(written, shown), "spellings")
+    counts = schemas.fold_keys(written).groupBy(*shown).agg(F.count(F.lit(1)).alias("n_tickets"))
+    return schemas.respelled(counts, names, {c: c for c in shown})
+
+
 # ------------------------------------------------------------------ P2 / P3
 @query("covid_flag_join")
 def _covid_flag_join(t, p):

@@ -19,8 +19,9 @@ opening_hours_wide  distinct (weekday, half hour) of events, Monday..Saturday,
 =================== ============================================================
 
 The rules are deterministic so the DuckDB oracle spells the same tables.
-Some rows spell their keys in small letters with trailing blanks, which
-``schemas.conform`` folds as a load does.
+Some rows spell their text in small letters or capitals with trailing blanks,
+which ``schemas.conform`` folds as a load does; ``written_org_unit`` and
+``written_queue_log`` are the tables before that.
 
 Size bounds: ``nation`` and ``region`` have 25 and 5 rows at every scale
 factor (fixed by the TPC-H schema), so ``org_unit`` and ``capacity``
@@ -84,15 +85,18 @@ def visit_raw(events: DataFrame) -> DataFrame:
     return schemas.conform(df, schemas.VISIT_RAW)
 
 
-def org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
-    df = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+def written_org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
         "concat('UO_', CAST(n_nationkey AS STRING)) AS uo_tratamiento",
         f"{_pick(UNIT_CODES, f'n_nationkey % {len(UNIT_CODES)}')} AS uo_medica",
-        "r_name AS territorio_m",
+        _respelled("r_name", "n_nationkey % 4 = 2") + " AS territorio_m",
         "n_name AS agencia_m",
-        f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING)) AS centro_m",
+        _respelled(f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING))", "n_nationkey % 3 = 2") + " AS centro_m",
     )
-    return schemas.conform(df, schemas.ORG_UNIT)
+
+
+def org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
+    return schemas.conform(written_org_unit(nation, region), schemas.ORG_UNIT)
 
 
 def covid_claim(customer: DataFrame) -> DataFrame:
@@ -114,26 +118,29 @@ def party(customer: DataFrame) -> DataFrame:
     return schemas.conform(df, schemas.PARTY)
 
 
-def queue_log(events: DataFrame) -> DataFrame:
+def written_queue_log(events: DataFrame) -> DataFrame:
     centre = f"((user_id % {N_UNITS}) % {N_CENTRES})"
-    df = events.where(f"{centre} IN ({', '.join(map(str, QUEUE_CENTRES))})").selectExpr(
+    return events.where(f"{centre} IN ({', '.join(map(str, QUEUE_CENTRES))})").selectExpr(
         _respelled(f"concat('C_', CAST({centre} AS STRING))", "event_id % 6 = 1") + " AS centro",
         _respelled("concat('R', CAST(user_id AS STRING))", "event_id % 4 = 1") + " AS rut_paciente",
         "event_id % 3 AS ticket",
         "CAST(ts AS DATE) AS fecha",
         "ts AS hora_inicia",
         "ts + make_dt_interval(0, 0, 20) AS hora_fin",
-        f"{lit('Médico')} AS cargo",
-        "CASE event_type WHEN 'view' THEN 'admision' WHEN 'signup' THEN 'espera_box_atencion'"
-        " ELSE 'box_atencion' END AS estado",
+        _respelled(lit("Médico"), "event_id % 5 = 2") + " AS cargo",
+        "CASE event_type WHEN 'view' THEN 'admision' WHEN 'signup' THEN 'Espera_Box_Atencion'"
+        " ELSE CASE WHEN event_id % 3 = 1 THEN 'BOX_ATENCION ' ELSE 'box_atencion' END END AS estado",
         "value AS minutos",
         "ts AS hr_inicio",
-        f"{_pick(QUEUE_ROWS, f'event_id % {len(QUEUE_ROWS)}')} AS fila",
+        _respelled(_pick(QUEUE_ROWS, f"event_id % {len(QUEUE_ROWS)}"), "event_id % 10 = 7") + " AS fila",
         "CASE WHEN event_id % 8 = 0 THEN 0 ELSE 1 END AS validacion",
         "concat('T', CAST(event_id % 2 AS STRING)) AS tipo_atencion",
-        "CASE WHEN event_id % 9 = 0 THEN 'otra' ELSE 'atencion' END AS descripcion_tipo",
+        "CASE event_id % 9 WHEN 0 THEN 'otra' WHEN 4 THEN 'Atencion ' ELSE 'atencion' END AS descripcion_tipo",
     )
-    return schemas.conform(df, schemas.QUEUE_LOG)
+
+
+def queue_log(events: DataFrame) -> DataFrame:
+    return schemas.conform(written_queue_log(events), schemas.QUEUE_LOG)
 
 
 def calendar(events: DataFrame) -> DataFrame:
@@ -143,8 +150,8 @@ def calendar(events: DataFrame) -> DataFrame:
 def capacity(nation: DataFrame) -> DataFrame:
     df = nation.selectExpr(
         _respelled(f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING))", "n_nationkey % 3 = 1") + " AS centro",
-        f"CASE WHEN n_nationkey % 4 = 0 THEN 'Enfermera' ELSE {lit(rules.STAFF_ROLE)} END AS cargo",
-        f"CASE WHEN n_nationkey = 9 THEN 'Borrador' ELSE {lit(rules.APPROVED)} END AS estado",
+        f"CASE WHEN n_nationkey % 4 = 0 THEN 'Enfermera' ELSE {_respelled(lit(rules.STAFF_ROLE), 'n_nationkey % 5 = 3')} END AS cargo",
+        f"CASE WHEN n_nationkey = 9 THEN 'Borrador' ELSE {_respelled(lit(rules.APPROVED), 'n_nationkey % 5 = 1')} END AS estado",
         "CAST(n_nationkey + 1 AS DOUBLE) AS fte",
     )
     return schemas.conform(df, schemas.CAPACITY)

@@ -24,7 +24,7 @@ def read_location(spark: SparkSession, location: str, schema=None) -> DataFrame:
     if sep and fmt in FORMATS and not rest.startswith("//"):
         reader = spark.read.format(fmt)
         if fmt not in SELF_DESCRIBING and schema is not None:
-            reader = reader.schema(schema)
+            reader = reader.schema(schemas.plain(schema))
         if fmt == "csv":
             reader = reader.option("header", "true")
         return reader.load(rest)

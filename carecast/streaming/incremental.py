@@ -51,8 +51,8 @@ def start(spark: SparkSession, incoming_dir: str, org_unit: DataFrame, covid_cla
     ``incoming_dir``); it is called per micro-batch so new files are listed.
     Without ``params``, "now" is the time of each micro-batch.
     """
-    arrivals = spark.readStream.schema(schemas.VISIT_RAW).parquet(incoming_dir)
-    load = visit_raw or (lambda: spark.read.schema(schemas.VISIT_RAW).parquet(incoming_dir))
+    arrivals = spark.readStream.schema(schemas.plain(schemas.VISIT_RAW)).parquet(incoming_dir)
+    load = visit_raw or (lambda: spark.read.schema(schemas.plain(schemas.VISIT_RAW)).parquet(incoming_dir))
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         refresh_days(batch, load(), org_unit, covid_claim, ministry_case, out_path, report, params)
