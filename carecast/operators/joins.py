@@ -20,47 +20,40 @@ from ..functions.claims import claim_number
 from ..session import materialize
 
 
-def covid_key_counts(covid_claim: DataFrame, dedupe: bool = False) -> DataFrame:
-    """Claim number -> number of covid claim rows carrying it.
-
-    The source joins every claim row (a repeated claim number multiplies
-    the visit); keeping the multiplicity as a count gives the same totals
-    without materialising the duplicates. ``dedupe`` counts each once.
-    """
-    keys = covid_claim.selectExpr(f"{claim_number('siniestro_covid19')} AS covid_key").where(
-        "covid_key IS NOT NULL"
-    )
-    if dedupe:
-        return keys.distinct().selectExpr("covid_key", "CAST(1 AS BIGINT) AS covid_n")
-    return keys.groupBy("covid_key").agg(F.count(F.lit(1)).alias("covid_n"))
-
-
 def ministry_keys(ministry_case: DataFrame) -> DataFrame:
     """Distinct ministry claim ids (existence flag, no fan-out)."""
     return ministry_case.selectExpr("id_siniestro AS minsal_key").distinct()
 
 
 def claim_keys(covid_claim: DataFrame, ministry_case: DataFrame, dedupe: bool = False) -> DataFrame:
-    """One row per claim number of either list: ``covid_n`` covid claim rows, ``minsal`` 1 if the ministry has it."""
-    covid = covid_key_counts(covid_claim, dedupe).selectExpr("covid_key AS clave", "covid_n", "0 AS minsal")
-    cases = ministry_keys(ministry_case).selectExpr("minsal_key AS clave", "CAST(0 AS BIGINT) AS covid_n", "1 AS minsal")
-    return (covid.unionByName(cases).where("clave IS NOT NULL")
-            .groupBy("clave").agg(F.sum("covid_n").alias("covid_n"), F.max("minsal").alias("minsal")))
+    """One row per claim number of either list: ``covid_n`` covid claim rows, ``minsal`` 1 if the ministry has it.
+
+    The source joins every covid claim row (a repeated claim number multiplies
+    the visit); keeping the multiplicity as a count gives the same totals
+    without materialising the duplicates. ``dedupe`` counts each once. Both
+    lists go through one aggregation, which combines a hot number map-side.
+    """
+    covid = covid_claim.selectExpr(f"{claim_number('siniestro_covid19')} AS clave", "CAST(1 AS BIGINT) AS covid_n", "0 AS minsal")
+    cases = ministry_case.selectExpr("id_siniestro AS clave", "CAST(0 AS BIGINT) AS covid_n", "1 AS minsal")
+    rows = covid.unionByName(cases).where("clave IS NOT NULL")
+    return rows.groupBy("clave").agg((F.max if dedupe else F.sum)("covid_n").alias("covid_n"), F.max("minsal").alias("minsal"))
+
+
+def written_claim_keys(covid_claim: DataFrame, ministry_case: DataFrame, dedupe: bool = False) -> DataFrame:
+    """``claim_keys`` as a written table, which the reports of one run share."""
+    return materialize(claim_keys(covid_claim, ministry_case, dedupe), "claim-keys")
 
 
-def with_claim_flags(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                     dedupe_claims: bool = False) -> DataFrame:
+def with_claim_flags(visit: DataFrame, keys: DataFrame) -> DataFrame:
     """Add ``covid_flag`` and ``minsal_flag`` (0/1) and the row weight ``w``.
 
     ``w`` is how many rows the visit contributes after the covid join
     (1 without a match, the number of matching claim rows otherwise).
-    Both key sets are reduced to one table by claim number and written
-    first. The join's right side is then a plain scan: the planner knows its
-    size, and beyond the broadcast threshold AQE can cut a claim number (or
-    NULL) that holds many visits into several tasks, which it doesn't do
-    where the right side is an aggregate on the join key.
+    ``keys`` comes from ``written_claim_keys``. The join's right side is then a
+    plain scan: the planner knows its size, and beyond the broadcast threshold
+    AQE can cut a claim number (or NULL) that holds many visits into several
+    tasks, which it doesn't do where the right side is an aggregate on the join key.
     """
-    keys = materialize(claim_keys(covid_claim, ministry_case, dedupe_claims), "claim-keys")
     out = visit.join(keys, visit.siniestro == keys.clave, "left")
     return out.selectExpr(
         *visit.columns,

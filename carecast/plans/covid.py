@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import date_literal, flag_label
-from ..operators.joins import with_claim_flags
+from ..operators.joins import with_claim_flags, written_claim_keys
 from ..operators.measures import VISIT_KEYS, measure_sums, total_indicator
 from ..params import Params, now_unless_given
 
@@ -31,16 +31,17 @@ EXCLUSIVE_TOTALS = [  # output name, covid flag, ministry flag
 
 @now_unless_given
 def flagged_visits(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                   params: Params | None = None) -> DataFrame:
+                   params: Params | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """Visits after ``since`` with their flags and weight; ``keys``: the claim table of this run, if already written."""
     v = visit.where(f"fecha_inicio > {date_literal(params.since)}")
-    return with_claim_flags(v, covid_claim, ministry_case, params.dedupe_claims)
+    return with_claim_flags(v, written_claim_keys(covid_claim, ministry_case, params.dedupe_claims) if keys is None else keys)
 
 
 @now_unless_given
 def movement_detail(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                    params: Params | None = None) -> DataFrame:
+                    params: Params | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Seven movement measures (narrow rules) per centre-day and covid x ministry label."""
-    f = flagged_visits(visit, covid_claim, ministry_case, params)
+    f = flagged_visits(visit, covid_claim, ministry_case, params, keys)
     agg = f.groupBy(*VISIT_KEYS, "covid_flag", "minsal_flag").agg(*measure_sums("narrow", "w"))
     return agg.selectExpr(
         *VISIT_KEYS, f"{flag_label('covid_flag', 'minsal_flag')} AS tipo", *rules.MEASURE_ORDER
@@ -57,12 +58,12 @@ def _exclusive_totals(tot: str) -> list:
 
 @now_unless_given
 def covid_measures(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                   params: Params | None = None) -> DataFrame:
+                   params: Params | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Per centre-day and flag pair: four exclusive totals, their sum, 7 measures (wide rules).
 
     Only the total matching the row's flag pair can be non-zero.
     """
-    f = flagged_visits(visit, covid_claim, ministry_case, params)
+    f = flagged_visits(visit, covid_claim, ministry_case, params, keys)
     tot = f"({total_indicator('wide')} * w)"
     agg = f.groupBy(*VISIT_KEYS, "covid_flag", "minsal_flag").agg(
         *_exclusive_totals(tot),
@@ -74,9 +75,9 @@ def covid_measures(visit: DataFrame, covid_claim: DataFrame, ministry_case: Data
 
 @now_unless_given
 def covid_daily(visit: DataFrame, covid_claim: DataFrame, ministry_case: DataFrame,
-                params: Params | None = None) -> DataFrame:
+                params: Params | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Four mutually exclusive visit totals per centre and day."""
-    f = flagged_visits(visit, covid_claim, ministry_case, params)
+    f = flagged_visits(visit, covid_claim, ministry_case, params, keys)
     tot = f"({total_indicator('wide')} * w)"
     return f.groupBy(*VISIT_KEYS).agg(*_exclusive_totals(tot)).select(
         *VISIT_KEYS, "minsal", "minsal_no_covid", "atenciones", "atenciones_covid"

@@ -38,6 +38,7 @@ from ..sources.schemas import fold_keys
 VISIT_COLUMNS = ["territorio", "agencia", "centro", "fecha_inicio", "numero_semana", "clasif",
                  "tipo_siniestro_origen", "bp_paciente", "cl_mov_desc"]
 
+ORDER = ["territorio", "agencia", "centro", "fecha_inicio"]
 BRIDGE_KEYS = ["centro", "rut_paciente", "tipo_atencion", "fecha", "cl_mov_desc",
                "tipo_siniestro_origen"]
 
@@ -204,4 +205,4 @@ def demand_vs_capacity(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
         .selectExpr("territorio", "agencia", "centro", "fecha_inicio",
                     f"tiempo_total / {rules.MINUTES_PER_FTE_DAY} AS tiempo_total", "oferta")
     )
-    return out.orderBy("territorio", "agencia", "centro", "fecha_inicio")
+    return out.orderBy(*ORDER)

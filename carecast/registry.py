@@ -74,6 +74,11 @@ def visit_table(t: DomainTables, p: Params, columns: list[str], where: str = "tr
     return materialize(visit(t, p).where(where).select(*columns), "visit")
 
 
+def shift_visits(t: DomainTables, p: Params) -> DataFrame:
+    """The visits the half-hour model reads, written once, a partition a day, so that window and calendar prune them."""
+    return materialize(shift.needed_visits(visit(t, p), t.calendar, p).select(*shift.VISIT_COLUMNS), "visit", ["fecha_inicio"])
+
+
 # ------------------------------------------------------------------ P1 + scalars
 @query("visit_classification")
 def _visit_classification(t, p):
@@ -219,7 +224,7 @@ NO_CENTRES = SINGLE_READ - {"synthetic"}
 
 
 def _stages(t: DomainTables, p: Params, stage: str) -> dict[str, DataFrame]:
-    v = visit(t, p) if stage in SINGLE_READ else visit_table(t, p, shift.VISIT_COLUMNS)
+    v = visit(t, p) if stage in SINGLE_READ else shift_visits(t, p)
     return shift.shift_stages(v, t.queue_log, t.party, t.calendar, t.opening_hours_wide, p,
                               write_centres=stage not in NO_CENTRES)
 

@@ -9,12 +9,19 @@ bench on one machine.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import contextvars
 import os
+import shutil
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import storage
 
 #: Beyond so many shuffle partitions, the bookkeeping of every shuffle outweighs smaller tasks.
 MOST_PARTITIONS = 50_000
@@ -66,6 +73,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
     conf.update(extra or {})
+    if "spark.checkpoint.dir" not in conf:  # one machine, so its own folder is a shared one
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="carecast-ckpt-")
+        atexit.register(shutil.rmtree, conf["spark.checkpoint.dir"], ignore_errors=True)
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in conf.items():
         b = b.config(k, v)
@@ -78,8 +88,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for materialised stages (``spark.checkpoint.dir``).
 
     Read from the session. Only a local-mode session (tests, one-machine
-    runs) without the setting gets a private folder; on a cluster an unset
-    folder is an error, since a machine-local path is not shared.
+    runs) without the setting gets a private folder, with a warning, which goes
+    when the process ends; on a cluster an unset folder is an error, since a
+    machine-local path is not shared.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -92,19 +103,53 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="carecast-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+        warnings.warn(f"spark.checkpoint.dir is unset: this local session writes its stages to {d}", stacklevel=3)
         sc.setCheckpointDir(d)
     return d
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: The folders written by the job that is running, if it drops them at its end.
+_written: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
+
+
+@contextlib.contextmanager
+def job_scope(spark: SparkSession) -> Iterator[None]:
+    """What ``materialize`` writes inside lives until the job ends, well or not.
+
+    The source's scripts drop their named intermediates; here a job drops the
+    folders once its result is written (inner jobs leave theirs to the outermost one,
+    whose result may still read them). A DataFrame that is handed out lazily must be
+    written inside the scope.
+    """
+    if _written.get() is not None:
+        yield
+        return
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        folders = _written.get() or []
+        _written.reset(token)
+        for path in folders:
+            storage.delete(spark, path)
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and read it back.
 
     Cuts lineage: a lost executor re-reads the written files instead of
-    recomputing the upstream joins. Each call writes a new folder.
+    recomputing the upstream joins. Each call writes a new folder, which
+    ``job_scope`` drops at the end of a job. ``partition_by`` makes one folder a
+    value; the rows of a value are brought together first, so that each has few files.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("error").parquet(path)
+    folders = _written.get()
+    if folders is not None:
+        folders.append(path)
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("error").partitionBy(*partition_by).parquet(path)
     return spark.read.parquet(path)
 
 

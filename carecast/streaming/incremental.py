@@ -4,9 +4,9 @@ The source workload is batch only; this runs the same batch plans from a
 Structured Streaming file source. Each micro-batch only says *which days*
 changed: the daily totals of a (centre, day) depend on that day's visits
 alone, so the batch re-runs the classification and the report for those
-days from the full visit table and overwrites just their partitions
-(dynamic partition overwrite). Replaying a micro-batch after a failure
-rewrites the same partitions, so the sink stays exact.
+days from the full visit table and replaces just their partitions; a day
+that has no visits left loses its partition. Replaying a micro-batch after a
+failure rewrites the same partitions, so the sink stays exact.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..params import Params, now_unless_given
 from ..plans import covid, visits
+from ..plans.jobs import changed_days, overwrite_days
+from ..session import job_scope
 from ..sources import schemas
 
 Report = Callable[[DataFrame, DataFrame, DataFrame, DataFrame, Params], DataFrame]
@@ -34,10 +36,10 @@ def refresh_days(days: DataFrame, visit_raw: DataFrame, org_unit: DataFrame, cov
                  ministry_case: DataFrame, out_path: str, report: str = "covid_daily",
                  params: Params | None = None) -> None:
     """Recompute ``report`` for the dates in ``days`` and overwrite their partitions."""
-    touched = schemas.fold_keys(visit_raw).join(days.selectExpr("fecha_inicio").distinct(), "fecha_inicio", "left_semi")
-    out = REPORTS[report](touched, schemas.fold_keys(org_unit), covid_claim, ministry_case, params)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("fecha_inicio").parquet(out_path))
+    days = changed_days(days)
+    with job_scope(days.sparkSession):
+        touched = visit_raw.join(days, "fecha_inicio", "left_semi")
+        overwrite_days(REPORTS[report](touched, org_unit, covid_claim, ministry_case, params), days, out_path)
 
 
 def start(spark: SparkSession, incoming_dir: str, org_unit: DataFrame, covid_claim: DataFrame,

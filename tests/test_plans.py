@@ -3,10 +3,12 @@
 import contextlib
 import io
 import re
+import uuid
 
 import pytest
 
 from carecast.registry import queries
+from carecast.session import shared_dir
 from tests.conftest import SMALL_SF
 
 
@@ -96,7 +98,7 @@ def test_bucketed_queue_ranks_tickets_without_shuffle(spark):
 
 @pytest.mark.parametrize("hot", [7, None])
 def test_hot_claim_is_split(spark, hot):
-    from carecast.operators.joins import with_claim_flags
+    from carecast.operators.joins import with_claim_flags, written_claim_keys
 
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
@@ -110,9 +112,67 @@ def test_hot_claim_is_split(spark, hot):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = with_claim_flags(visit, claims, cases).selectExpr("sum(length(nota)) AS n", "sum(w) AS w")
+        df = with_claim_flags(visit, written_claim_keys(claims, cases)).selectExpr("sum(length(nota)) AS n", "sum(w) AS w")
         assert df.first() is not None and df.collect()[0]["n"] == 64 * 400_000
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def executed(df) -> str:
+    """The final adaptive plan, after a run."""
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def test_calendar_prunes_the_days_of_a_stored_visit_table(spark):
+    from carecast.params import CHECK
+    from carecast.plans import jobs, shift
+    from carecast.session import materialize
+    from carecast.sources.adapters import DomainTables
+
+    t = DomainTables.of(spark, SMALL_SF)
+    tables = jobs.Tables(*(getattr(t, n) for n in jobs.Tables.__dataclass_fields__))
+    visit = jobs.classify_job(tables, f"{shared_dir(spark)}/visits-{uuid.uuid4().hex}", CHECK)
+    calendar = materialize(t.calendar.where("day(fecha) % 9 = 0"), "calendar")  # three days of the month
+    rows = shift.on_days(visit, calendar, CHECK)
+    collected = rows.collect()
+    assert {r["fecha_inicio"].day % 9 for r in collected} == {0} and len(collected) == visit.where("day(fecha_inicio) % 9 = 0").count()
+    assert re.search(r"PartitionFilters: \[[^\n]*dynamicpruning", executed(rows))
+    stages = shift.shift_stages(visit, t.queue_log, t.party, calendar, t.opening_hours_wide, CHECK)
+    scan = executed(stages["synthetic"])
+    assert re.search(r"PartitionFilters: \[[^\n]*dynamicpruning", scan)
+    days = {r["fecha"] for r in stages["synthetic"].select("fecha").distinct().collect()}
+    assert days and {d.day % 9 for d in days} == {0}
+    # the result is that of a model that reads all days
+    before, shift.on_days = shift.on_days, lambda v, c, p: v
+    try:
+        whole = shift.shift_stages(visit, t.queue_log, t.party, calendar, t.opening_hours_wide, CHECK)
+    finally:
+        shift.on_days = before
+    assert sorted(map(str, whole["filled"].collect())) == sorted(map(str, stages["filled"].collect()))
+
+
+def test_registered_model_writes_only_needed_days(plans):
+    p = plans["shift_demand"]
+    assert re.search(r"PartitionFilters: \[[^\n]*fecha_inicio[^\n]*>= 2024-01-0", p)  # the trailing window
+    assert re.search(r"PartitionFilters: \[[^\n]*dynamicpruning", p)  # the calendar
+
+
+def test_three_result_sets_from_one_pass_over_the_grid(spark):
+    from carecast.params import CHECK
+    from carecast.plans import jobs
+    from carecast.sources.adapters import DomainTables
+
+    t = DomainTables.of(spark, SMALL_SF)
+    tables = jobs.Tables(*(getattr(t, n) for n in jobs.Tables.__dataclass_fields__))
+    visit = jobs.classify_job(tables, f"{shared_dir(spark)}/visits-{uuid.uuid4().hex}", CHECK)
+    sets = jobs.shift_job(visit, tables, None, CHECK)
+    for df in sets.values():
+        p = executed(df)
+        assert p.count("Location: ") == 1 and "slot-statistics" in p and "Exchange" not in p and "Window" not in p
+    assert sets["result"].count() == sets["demand"].count() == sets["deviation"].count() > 0

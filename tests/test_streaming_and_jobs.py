@@ -1,13 +1,18 @@
 """Incremental refresh equals the batch report; the job layer runs end to end."""
 
+import datetime as dt
 import os
 import time
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
+from carecast import storage
 from carecast.params import CHECK
-from carecast.plans import covid, jobs, visits
+from carecast.plans import covid, jobs, shift, visits
 from carecast.registry import round_doubles
-from carecast.session import shared_dir
+from carecast.session import job_scope, materialize, shared_dir
 from carecast.sources.adapters import DomainTables
 from carecast.streaming import start
 from tests.conftest import SMALL_SF
@@ -108,3 +113,76 @@ def test_now_is_the_time_of_each_call_and_micro_batch(spark, monkeypatch):
         assert refreshed
     finally:
         query.stop()
+
+
+def domain(spark):
+    t = DomainTables.of(spark, SMALL_SF)
+    return jobs.Tables(*(getattr(t, n) for n in jobs.Tables.__dataclass_fields__))
+
+
+def test_refreshed_days_equal_a_full_run_and_emptied_days_go(spark):
+    tables = domain(spark)
+    base = os.path.join(shared_dir(spark), f"refresh-{uuid.uuid4().hex[:8]}")
+    path, again = os.path.join(base, "visit"), os.path.join(base, "again")
+    jobs.classify_job(tables, path, CHECK)
+    gone, cancelled, less, new = (dt.date(2024, 1, d) for d in (9, 10, 11, 12))
+    raw = tables.visit_raw.where(f"fecha_inicio <> DATE '{gone}'")  # a day without visits, one all cancelled, one with fewer, one with more
+    raw = raw.withColumn("ind_anulacion", F.when(F.col("fecha_inicio") == cancelled, "D").otherwise(F.col("ind_anulacion")))
+    raw = raw.where(f"fecha_inicio <> DATE '{less}' OR episodio % 2 = 0")
+    extra = raw.where(f"fecha_inicio = DATE '{new}'").withColumn("episodio", F.col("episodio") + 1_000_000)
+    changed = jobs.Tables(**{**vars(tables), "visit_raw": raw.unionByName(extra).unionByName(extra)})
+    days = spark.createDataFrame([(d,) for d in (gone, cancelled, less, new, new, None, dt.date(2030, 1, 1))], "fecha_inicio date")
+    want = jobs.classify_job(changed, again, CHECK)
+    for _ in range(2):  # a repeated refresh changes nothing
+        got = jobs.refresh_visits(changed, path, days, CHECK)
+        assert storage.names(spark, path) == storage.names(spark, again)
+        assert f"fecha_inicio={gone}" not in storage.names(spark, path)
+        assert _rows(got.select(*want.columns)) == _rows(want) and got.count() > 0
+
+
+def test_a_day_emptied_in_the_stream_leaves_the_report(spark):
+    from carecast.streaming.incremental import refresh_days
+
+    t = DomainTables.of(spark, SMALL_SF)
+    out = os.path.join(shared_dir(spark), f"emptied-{uuid.uuid4().hex[:8]}")
+    args = (t.org_unit, t.covid_claim, t.ministry_case, out, "covid_daily", CHECK)
+    refresh_days(t.visit_raw.select("fecha_inicio"), t.visit_raw, *args)
+    day = spark.read.parquet(out).selectExpr("min(fecha_inicio) AS d").first()["d"]
+    refresh_days(spark.createDataFrame([(day,)], "fecha_inicio date"), t.visit_raw.where(f"fecha_inicio <> DATE '{day}'"), *args)
+    left = spark.read.parquet(out)
+    assert left.where(f"fecha_inicio = DATE '{day}'").count() == 0 and left.count() > 0
+
+
+def test_nothing_is_left_of_a_run(spark):
+    base = os.path.join(shared_dir(spark), f"scope-{uuid.uuid4().hex[:8]}")
+    before = storage.names(spark, shared_dir(spark))
+    out = jobs.run_all(spark, domain(spark), f"{base}/visit", f"{base}/shift_tool", CHECK, f"{base}/results")
+    assert storage.names(spark, shared_dir(spark)) == sorted([*before, os.path.basename(base)])
+    assert all(df.count() > 0 for df in out.values()) and storage.names(spark, f"{base}/results") == sorted(out)
+
+
+def test_a_failing_job_drops_its_intermediates(spark):
+    before = storage.names(spark, shared_dir(spark))
+    with pytest.raises(ValueError, match="stop"), job_scope(spark):
+        held = materialize(spark.range(5), "held")
+        with job_scope(spark):  # an inner job leaves its folders to the outer one
+            inner = materialize(spark.range(7), "inner")
+        assert (held.count(), inner.count()) == (5, 7) and len(storage.names(spark, shared_dir(spark))) == len(before) + 2
+        raise ValueError("stop")
+    assert storage.names(spark, shared_dir(spark)) == before
+    assert materialize(spark.range(3), "unscoped").count() == 3
+
+
+def test_append_is_all_or_nothing(spark):
+    path = os.path.join(shared_dir(spark), f"sink-{uuid.uuid4().hex[:8]}")
+    rows = spark.range(0, 1000, 1, 8).selectExpr("CAST(id AS STRING) AS centro", "id * 1.5D AS tdv3")
+    shift.append_shift_tool(rows, path)
+    shift.append_shift_tool(rows.toDF("other", "names"), path)  # by position, not idempotent
+    assert spark.read.parquet(path).count() == 2000 and spark.read.parquet(path).columns == ["centro", "tdv3"]
+    files = storage.names(spark, path)
+    failing = rows.withColumn("tdv3", F.expr("CASE WHEN centro = '777' THEN raise_error('bad row') ELSE tdv3 END"))
+    with pytest.raises(Exception, match="bad row"):
+        shift.append_shift_tool(failing, path)
+    with pytest.raises(ValueError, match="sink has columns"):
+        shift.append_shift_tool(rows.select("centro"), path)
+    assert storage.names(spark, path) == files and spark.read.parquet(path).count() == 2000

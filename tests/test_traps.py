@@ -11,7 +11,7 @@ from carecast.functions import (
     weekday_name,
 )
 from carecast.operators import reshape, slots
-from carecast.operators.joins import with_claim_flags
+from carecast.operators.joins import with_claim_flags, written_claim_keys
 from carecast.params import Params
 from carecast.plans import covid, shift
 from carecast.sources import schemas
@@ -146,7 +146,7 @@ def test_t11_repeated_covid_claim_multiplies(spark):
     assert (r.minsal, r.minsal_no_covid, r.atenciones, r.atenciones_covid) == (2, 0, 0, 0)
     r1 = covid.covid_daily(v, claims, cases, p.with_(dedupe_claims=True)).first()
     assert r1.minsal == 1
-    flags = with_claim_flags(v, claims, cases).first()
+    flags = with_claim_flags(v, written_claim_keys(claims, cases)).first()
     assert (flags.covid_flag, flags.minsal_flag, flags.w) == (1, 1, 2)
 
 
