@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..sources.schemas import fold_keys
+from ..sources.schemas import fold_keys, salt_of
+from .intervals import join_within
 from .reshape import HOURS_KEYS, unpivot_hours
 from ..functions import (
     box_count, ci_in, class_count, half_hour, lit, null_safe_concat, num, synthetic_end_time,
@@ -54,7 +55,7 @@ def slot_grid(calendar: DataFrame, hours_wide: DataFrame,
     """
     key = null_safe_concat("diasem", lit("-"), "mediahora")
     centres = [c for c in hours_wide.columns if c not in keys]
-    slots = (hours_wide.where(f"coalesce({', '.join(centres)}) IS NOT NULL")
+    slots = (hours_wide.where(f"coalesce({', '.join(f'`{c}`' for c in centres)}) IS NOT NULL")
              .select(*keys).distinct())
     # Distinct dates x distinct slots of their weekday are distinct rows, so
     # the source's DISTINCT over the series moves to the (smaller) date list.
@@ -131,52 +132,79 @@ def _first_by(df: DataFrame, partition: list[str], order: list[str]) -> DataFram
     return df.selectExpr("*", f"{rank} AS numerofila").where("numerofila = 1").drop("numerofila")
 
 
-def first_tickets(queue_rows: DataFrame, box_only: bool = False) -> DataFrame:
-    """Per (patient, ticket, day): its first ticket row and how many copies it has (``n_q``)."""
+def ticket_rows(queue_rows: DataFrame, box_only: bool = False) -> DataFrame:
+    """Distinct ticket rows and how many copies each has (``n_q``).
+
+    A log bucketed by patient and salt (``catalog.write_bucketed``) keeps its
+    salt among the keys: it depends on the day, so the rows of a ticket and day
+    stay together, and neither this nor ranking them needs an exchange.
+    """
     q = fold_keys(queue_rows)
     q = q.where(ci_in("estado", rules.BOX_STATES)) if box_only else q
-    rows = q.groupBy(*TICKET_KEYS, *TICKET_COLUMNS).agg(F.count(F.lit(1)).alias("n_q"))
-    return _first_by(rows, TICKET_KEYS, TICKET_ORDER)
+    return q.groupBy(*salt_of(q), *TICKET_KEYS, *TICKET_COLUMNS).agg(F.count(F.lit(1)).alias("n_q"))
 
 
-def first_visit_classes(party: DataFrame, visit_rows: DataFrame) -> DataFrame:
-    """Per (patient rut, day, visit centre): the first visit class and its multiplicity ``m``.
+def first_tickets(queue_rows: DataFrame, box_only: bool = False) -> DataFrame:
+    """Per (patient, ticket, day): its first ticket row and how many copies it has (``n_q``)."""
+    rows = ticket_rows(queue_rows, box_only)
+    salt = salt_of(rows)
+    return _first_by(rows, [*salt, *TICKET_KEYS], TICKET_ORDER).drop(*salt)
 
-    ``m`` counts the (party link, visit) rows behind that class. Party links
+
+def visit_classes(party: DataFrame, visit_rows: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Per (patient rut, day, visit centre): the distinct visit classes and their multiplicity ``m``.
+
+    ``m`` counts the (party link, visit) rows behind a class. Party links
     are pre-counted per (rut, partner), so copies of a link are one row;
     visits join as they are and the aggregation right after the join
     combines identical visit classes map-side, before any shuffle.
+    ``more``: further visit columns that tell classes apart.
     """
     v = fold_keys(visit_rows).withColumnRenamed("media_hora", "media_hora_visita").select(
-        "bp_paciente", "fecha_inicio", "centro", *CLASS_COLUMNS)
+        "bp_paciente", "fecha_inicio", "centro", *CLASS_COLUMNS, *more)
     p = fold_keys(party).groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
-    classes = (
+    return (
         v.join(p, v.bp_paciente == p.numero_bp, "inner")
-        .groupBy("rut", "fecha_inicio", "centro", *CLASS_COLUMNS)
+        .groupBy("rut", "fecha_inicio", "centro", *CLASS_COLUMNS, *more)
         .agg(F.sum("n_p").alias("m"))
     )
-    return _first_by(classes, ["rut", "fecha_inicio", "centro"], CLASS_ORDER)
+
+
+def first_visit_classes(party: DataFrame, visit_rows: DataFrame) -> DataFrame:
+    """Per (patient rut, day, visit centre): the first visit class and its multiplicity ``m``."""
+    return _first_by(visit_classes(party, visit_rows), ["rut", "fecha_inicio", "centro"], CLASS_ORDER)
 
 
 def first_attention(queue_rows: DataFrame, party: DataFrame, visit_rows: DataFrame,
-                    box_only: bool = False) -> DataFrame:
+                    box_only: bool = False, within_minutes: int | None = None) -> DataFrame:
     """First attention per (visit centre, day, patient, ticket), queue branch column order.
 
     The group count of the chosen (ticket row, visit class) pair is the
     product of the two sides' counts, as the source's count over joined
     rows; the six measures are that count where the ticket is in a box
     state and the class matches, else 0.
+
+    With ``within_minutes`` a ticket row meets only the visits that start so
+    close to it. The candidates are no product set then, so the two sides meet by
+    an interval join (distinct rows with counts) before the first pair is chosen.
     """
-    t = first_tickets(queue_rows, box_only)
-    v = first_visit_classes(party, visit_rows)
-    j = t.join(v, (t.rut_paciente == v.rut) & (t.fecha == v.fecha_inicio), "inner")
+    if within_minutes is None:
+        t = first_tickets(queue_rows, box_only)
+        v = first_visit_classes(party, visit_rows)
+        j = t.join(v, (t.rut_paciente == v.rut) & (t.fecha == v.fecha_inicio), "inner").selectExpr("*", "n_q * m AS n")
+    else:
+        t = ticket_rows(queue_rows, box_only)
+        v = visit_classes(party, visit_rows, ("hora_inicio",)).withColumnsRenamed({"rut": "rut_paciente", "fecha_inicio": "fecha"})
+        pairs = join_within(t.drop(*salt_of(t)), v, ["rut_paciente", "fecha"], "hora_inicia", "hora_inicio", within_minutes)
+        counted = pairs.groupBy("centro", *TICKET_KEYS, *TICKET_COLUMNS, *CLASS_COLUMNS).agg(F.sum(F.col("n_q") * F.col("m")).alias("n"))
+        j = _first_by(counted, ["centro", "fecha", "rut_paciente", "ticket"], FIRST_ATTENTION_ORDER)
     cols = {
         "centro": "centro", "rut_paciente": "rut_paciente", "fecha": "fecha",
         "hora_inicia": "hora_inicia", "hora_fin": "hora_fin", "cargo": "cargo", "estado": "estado",
         "minutos": "minutos", "uo_medica": "uo_medica", "clasif": "clasif", "anno": "anno",
         "numero_semana": "numero_semana", "dia_semana_nombre": "dia_semana",
         "media_hora": half_hour("hora_inicia"),
-        **{name: box_count("estado", "clasif", "tipo_siniestro_origen", cls, cond, "n_q * m")
+        **{name: box_count("estado", "clasif", "tipo_siniestro_origen", cls, cond, "n")
            for name, cls, cond in ATTENTION_MEASURES},
     }
     return j.selectExpr(*[f"{cols[c]} AS {c}" for c in QUEUE_BRANCH_ORDER])

@@ -35,6 +35,8 @@ class Params:
     box_only: bool = False          # rank only box states when picking first attention
     dedupe_claims: bool = False     # count a visit once even if its claim repeats
     limit_synthetic: bool = False   # apply the trailing window to synthetic rows too
+    # A ticket meets only visits that start at most so many minutes from it (300 in the source, commented out).
+    within_minutes: int | None = None
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

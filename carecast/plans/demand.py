@@ -32,7 +32,7 @@ from .. import rules
 from ..functions import ci_contains, ci_eq, ci_not_in, date_literal, lit, time_type
 from ..operators.measures import VISIT_KEYS, movement_measures
 from ..params import Params, now_unless_given
-from ..sources.schemas import fold_keys
+from ..sources.schemas import fold_keys, salt_of
 
 # Visit columns the job reads (a written visit table needs only these).
 VISIT_COLUMNS = ["territorio", "agencia", "centro", "fecha_inicio", "numero_semana", "clasif",
@@ -82,9 +82,9 @@ def timed_visits(queue_log: DataFrame, party: DataFrame, visit: DataFrame,
     ``n_pares`` is the number of (ticket, party, visit) row triples the
     plain join would produce for the group; ``minutos`` their maximum.
     """
+    tickets = timed_tickets(queue_log, params)
     q = (
-        timed_tickets(queue_log, params)
-        .groupBy("centro", "rut_paciente", "tipo_atencion", "fecha")
+        tickets.groupBy(*salt_of(tickets), "centro", "rut_paciente", "tipo_atencion", "fecha")
         .agg(F.max("minutos").alias("minutos"), F.count(F.lit(1)).alias("n_q"))
     )
     p = fold_keys(party).groupBy("rut", "numero_bp").agg(F.count(F.lit(1)).alias("n_p"))
@@ -115,9 +115,9 @@ def typed_ticket_minutes(queue_log: DataFrame, party: DataFrame, visit: DataFram
     combinations of a type is its weight. Each ticket group meets at most
     one row per type (7), never the patient-day's combinations one by one.
     """
+    tickets = timed_tickets(queue_log, params)
     q = (
-        timed_tickets(queue_log, params)
-        .groupBy("centro", "rut_paciente", "tipo_atencion", "fecha")
+        tickets.groupBy(*salt_of(tickets), "centro", "rut_paciente", "tipo_atencion", "fecha")
         .agg(F.max("minutos").alias("minutos"))
     )
     party = fold_keys(party)

@@ -108,7 +108,7 @@ def shift_stages(visit: DataFrame, queue_log: DataFrame, party: DataFrame, calen
 
     queue_rows = queue_log.where(f"{ci_in('fila', rules.QUEUE_ROWS)} AND validacion = 1")
     visit_rows = recent.where(ci_not_in("centro", rules.SHIFT_EXCLUDED_CENTRES))
-    st["first"] = slots.first_attention(queue_rows, party, visit_rows, params.box_only)
+    st["first"] = slots.first_attention(queue_rows, party, visit_rows, params.box_only, params.within_minutes)
 
     centres = queue_log.select("centro").distinct()
     st["queue_centres"] = materialize(centres, "queue-centres") if write_centres else centres

@@ -242,6 +242,7 @@ _stage_query("calendar_slot_grid", "grid")
 _stage_query("weekly_load", "weekly")
 _stage_query("weekly_p75", "weekly_p75")
 _stage_query("queue_first_attention", "first")
+_stage_query("first_attention_within", "first", within_minutes=300)
 _stage_query("synthetic_attention", "synthetic")
 _stage_query("union_positional", "union")
 _stage_query("union_by_name", "union", fix_union_order=True)

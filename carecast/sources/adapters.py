@@ -5,13 +5,15 @@ adapters derive tables of the same shape from the driver data so every
 job reads real rows whose volume grows with the scale factor:
 
 =================== ============================================================
-visit_raw           events: one visit per event (movement code, claim type,
-                    treating unit and cancel flag follow from the ids)
+visit_raw           events: one visit per event, every 29th twice (movement code,
+                    claim type, treating unit and cancel flag follow from the ids;
+                    some movements and claim numbers are NULL)
 org_unit            nation x region: one treating unit per nation
-covid_claim         customers whose key is a multiple of 7, coded 'C<key>'
+covid_claim         customers whose key is a multiple of 7, coded 'C<key>', some twice
 ministry_case       orders of customers whose key is a multiple of 3
-party               customers: rut 'R<key>' -> business partner <key>
-queue_log           events of users in centres 1, 2, 3, 5, 7
+party               customers: rut 'R<key>' -> business partner <key>, some twice
+queue_log           events of users in centres 1, 2, 3, 5, 7 (one unit of centre 1 and
+                    of 2 are centres that the demand model leaves out); some minutes NULL
 calendar            distinct event dates
 capacity            all nations, dealt to ten centres, with staffed FTE
 opening_hours_wide  distinct (weekday, half hour) of events, Monday..Saturday,
@@ -44,6 +46,7 @@ MOVEMENT_CODES = list(rules.MOVEMENT_CLASS) + ["X"]  # 12 known codes, then an u
 UNIT_CODES = ["PECMAPRI", "XMAPRI1", "xmapri2", "MAPRI_3", "OTHER"]
 QUEUE_CENTRES = [1, 2, 3, 5, 7]
 QUEUE_ROWS = ["A", "B", "M", "Z"]
+EXCLUDED_CENTRE, PATTERN_CENTRE = "CAA", "Anexo Sel Norte"
 N_UNITS = 25
 N_CENTRES = 10
 # ------------------------------------------------------------ END FIXED VALUES
@@ -68,19 +71,30 @@ def _respelled(value: str, where: str) -> str:
     return f"CASE WHEN {where} THEN concat(lower({value}), '  ') ELSE {value} END"
 
 
+def _twice(df: DataFrame, where: str) -> DataFrame:
+    """``df`` with a second copy of the rows that ``where`` picks."""
+    return df.selectExpr("*", f"explode(sequence(1, CASE WHEN {where} THEN 2 ELSE 1 END)) AS copia").drop("copia")
+
+
+def _centre(unit: str) -> str:
+    """The centre of a treating unit's number: units 21 and 22 belong to centres that are left out by name and by pattern."""
+    return (f"CASE {unit} WHEN 21 THEN {lit(EXCLUDED_CENTRE)} WHEN 22 THEN {lit(PATTERN_CENTRE)} "
+            f"ELSE concat('C_', CAST({unit} % {N_CENTRES} AS STRING)) END")
+
+
 def visit_raw(events: DataFrame) -> DataFrame:
     n = len(MOVEMENT_CODES)
-    df = events.selectExpr(
+    df = _twice(events, "event_id % 29 = 0").selectExpr(
         "event_id AS episodio",
         "user_id AS bp_paciente",
         "CAST(ts AS DATE) AS fecha_inicio",
         "ts AS hora_inicio",
-        f"{_respelled(_pick(MOVEMENT_CODES, f'event_id % {n}'), 'event_id % 7 = 3')} AS cl_mov_desc",
+        f"CASE WHEN event_id % 31 <> 0 THEN {_respelled(_pick(MOVEMENT_CODES, f'event_id % {n}'), 'event_id % 7 = 3')} END AS cl_mov_desc",
         f"CAST((event_id div {n}) % 6 AS INT) AS tipo_siniestro_orig",
         _respelled(f"concat('UO_', CAST(user_id % {N_UNITS} AS STRING))", "event_id % 5 = 1") + " AS uo_tratamiento",
         "CASE event_id % 17 WHEN 0 THEN 'D' WHEN 1 THEN 'X' WHEN 2 THEN NULL ELSE 'N' END"
         " AS ind_anulacion",
-        "user_id AS siniestro",
+        "CASE WHEN event_id % 37 <> 0 THEN user_id END AS siniestro",
     )
     return schemas.conform(df, schemas.VISIT_RAW)
 
@@ -91,7 +105,7 @@ def written_org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
         f"{_pick(UNIT_CODES, f'n_nationkey % {len(UNIT_CODES)}')} AS uo_medica",
         _respelled("r_name", "n_nationkey % 4 = 2") + " AS territorio_m",
         "n_name AS agencia_m",
-        _respelled(f"concat('C_', CAST(n_nationkey % {N_CENTRES} AS STRING))", "n_nationkey % 3 = 2") + " AS centro_m",
+        _respelled(_centre("n_nationkey"), "n_nationkey % 3 = 2") + " AS centro_m",
     )
 
 
@@ -100,7 +114,7 @@ def org_unit(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def covid_claim(customer: DataFrame) -> DataFrame:
-    df = customer.where("c_custkey % 7 = 0").selectExpr(
+    df = _twice(customer.where("c_custkey % 7 = 0"), "c_custkey % 21 = 0").selectExpr(
         "concat('C', CAST(c_custkey AS STRING)) AS siniestro_covid19"
     )
     return schemas.conform(df, schemas.COVID_CLAIM)
@@ -112,7 +126,7 @@ def ministry_case(orders: DataFrame) -> DataFrame:
 
 
 def party(customer: DataFrame) -> DataFrame:
-    df = customer.selectExpr(
+    df = _twice(customer, "c_custkey % 11 = 0").selectExpr(
         "concat('R', CAST(c_custkey AS STRING)) AS rut", "c_custkey AS numero_bp"
     )
     return schemas.conform(df, schemas.PARTY)
@@ -121,7 +135,7 @@ def party(customer: DataFrame) -> DataFrame:
 def written_queue_log(events: DataFrame) -> DataFrame:
     centre = f"((user_id % {N_UNITS}) % {N_CENTRES})"
     return events.where(f"{centre} IN ({', '.join(map(str, QUEUE_CENTRES))})").selectExpr(
-        _respelled(f"concat('C_', CAST({centre} AS STRING))", "event_id % 6 = 1") + " AS centro",
+        _respelled(_centre(f"(user_id % {N_UNITS})"), "event_id % 6 = 1") + " AS centro",
         _respelled("concat('R', CAST(user_id AS STRING))", "event_id % 4 = 1") + " AS rut_paciente",
         "event_id % 3 AS ticket",
         "CAST(ts AS DATE) AS fecha",
@@ -130,7 +144,7 @@ def written_queue_log(events: DataFrame) -> DataFrame:
         _respelled(lit("Médico"), "event_id % 5 = 2") + " AS cargo",
         "CASE event_type WHEN 'view' THEN 'admision' WHEN 'signup' THEN 'Espera_Box_Atencion'"
         " ELSE CASE WHEN event_id % 3 = 1 THEN 'BOX_ATENCION ' ELSE 'box_atencion' END END AS estado",
-        "value AS minutos",
+        "CASE WHEN event_id % 13 <> 5 THEN value END AS minutos",
         "ts AS hr_inicio",
         _respelled(_pick(QUEUE_ROWS, f"event_id % {len(QUEUE_ROWS)}"), "event_id % 10 = 7") + " AS fila",
         "CASE WHEN event_id % 8 = 0 THEN 0 ELSE 1 END AS validacion",

@@ -10,7 +10,10 @@ declared columns and types before any job runs (metadata only, no job).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.jobs import Tables
 from . import schemas
@@ -44,7 +47,7 @@ def load_tables(spark: SparkSession, locations: dict[str, str], opening_hours_wi
     return Tables(opening_hours_wide=schemas.fold_centres(hours), **frames)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio") -> DataFrame:
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio", salt_by: Sequence[str] = (), salts: int = 16) -> DataFrame:
     """Save ``df``, keys folded, as a catalog table bucketed (and sorted) by ``key``; return it.
 
     Use it for the large tables whose group keys all contain one column:
@@ -52,6 +55,18 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "episodio
     by bucket, no shuffle of the visits) and ``queue_log`` by
     ``rut_paciente`` (ticket copies are combined and tickets ranked without
     a shuffle).
+
+    A placeholder patient would fill one bucket. With ``salt_by`` buckets have
+    two levels: the key and a salt computed from these columns, ``salts``
+    values at most a key. Any grouping by the key and these columns finds its rows in one
+    bucket still, so ``queue_log`` takes ``salt_by=["fecha"]``: a patient's days are spread,
+    a ticket's rows of a day are not, and there is nothing to merge afterwards.
     """
-    schemas.fold_keys(df).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    rows = schemas.fold_keys(df)
+    levels = [key]
+    if salt_by:
+        rows = rows.withColumn(schemas.SALT, F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
+        levels = [key, schemas.SALT]
+    # a task per bucket, so that each bucket is one file
+    rows.repartition(buckets, *levels).write.mode("overwrite").bucketBy(buckets, *levels).sortBy(key).saveAsTable(table)
     return df.sparkSession.table(table)

@@ -119,6 +119,15 @@ def fold_keys(df: DataFrame) -> DataFrame:
     return df.select(*[column(c) for c in df.columns])
 
 
+#: A stored table's second bucket level, which spreads the rows of a hot key (``catalog.write_bucketed``).
+SALT = "_sal"
+
+
+def salt_of(df: DataFrame) -> list[str]:
+    """The salt column, if the table has one: kept among the group keys, it saves the exchange."""
+    return [SALT] if SALT in df.columns else []
+
+
 def plain(schema: T.StructType) -> T.StructType:
     """``schema`` with plain strings, for readers of files that know no collations."""
     return T.StructType([T.StructField(f.name, S if f.dataType == TEXT else f.dataType, f.nullable) for f in schema.fields])
