@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["materialize", "map_texts", "read", "text_column", "fingerprint128", "CHUNK_CHARS"]
+__all__ = ["materialize", "map_texts", "read", "text_column", "text_slices", "fingerprint128", "CHUNK_CHARS"]
 
 #: Texts handed to one numpy pass together, in characters; bounds a task's working memory.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 500_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,16 +33,20 @@ def fingerprint128(*cols: Column) -> list[Column]:
     return [F.xxhash64(F.lit(101), *cols), F.xxhash64(F.lit(202), *cols)]
 
 
-def slices(texts: list, limit: int = CHUNK_CHARS) -> Iterator[slice]:
-    """Consecutive slices of ``texts`` of about ``limit`` characters (a longer text stands alone)."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
+def text_ranges(sizes: np.ndarray, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of texts of these sizes that hold about ``limit`` together (a longer text stands alone)."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, side="right")))
+        yield start, stop
+        start = stop
+
+
+def text_slices(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[slice, list[str]]]:
+    """Consecutive slices of a text column of about ``limit`` bytes, and their texts; only these are Python objects at a time."""
+    for start, stop in text_ranges(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), limit):
+        yield slice(start, stop), column.slice(start, stop - start).to_pylist()
 
 
 def map_texts(df: DataFrame, fn: Callable[[list], pd.DataFrame], schema: str) -> DataFrame:
@@ -55,9 +61,8 @@ def map_texts(df: DataFrame, fn: Callable[[list], pd.DataFrame], schema: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for part in slices(texts):
-                out = pa.RecordBatch.from_pandas(fn(texts[part]), preserve_index=False)
+            for part, texts in text_slices(b.column("text")):
+                out = pa.RecordBatch.from_pandas(fn(texts), preserve_index=False)
                 n = part.stop - part.start
                 columns = [b.column(c).slice(part.start, n) for c in keep] + out.columns
                 yield pa.RecordBatch.from_arrays(columns, names=keep + out.schema.names)

@@ -16,15 +16,21 @@ SHINGLE = 5
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Powers that a worker keeps; more are made for one use and dropped.
+HELD = 1 << 20
+#: Bytes of a batch hashed at once.
+WINDOW = 1 << 19
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """P^0 .. P^(n-1) modulo 2^64, or the inverse powers."""
     held = _powers[inverse]
     if len(held) < n:
-        a = np.full(max(n, 2 * len(held)), P_INVERSE if inverse else P, np.uint64)
+        a = np.full(n if n > HELD else min(HELD, max(n, 2 * len(held))), P_INVERSE if inverse else P, np.uint64)
         a[0] = 1
-        held = _powers[inverse] = np.multiply.accumulate(a)
+        held = np.multiply.accumulate(a)
+        if n <= HELD:
+            _powers[inverse] = held
     return held[:n]
 
 
@@ -50,13 +56,29 @@ class Words:
         self.data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
         sizes = np.array([len(p) + 1 for p in parts], np.int64)
         self.text_ends = np.cumsum(sizes)
-        word = ~_SPACE[self.data]
-        edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=0))
-        self.starts, self.ends = edge[0::2], edge[1::2]
-        self.hashes = range_hashes(self.data.astype(np.uint64), self.starts, self.ends)
+        starts, ends, hashes = [], [], []
+        for base, part in self._windows():
+            word = ~_SPACE[part]
+            edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=0))
+            first, last = edge[0::2], edge[1::2]
+            starts.append(first + base)
+            ends.append(last + base)
+            hashes.append(range_hashes(part.astype(np.uint64), first, last))
+        self.starts, self.ends, self.hashes = (np.concatenate(x) for x in (starts, ends, hashes))
         self.last = np.searchsorted(self.starts, self.text_ends)  # past each text's last word
         self.first = np.append(0, self.last[:-1])
 
+    def _windows(self):
+        """The bytes in parts that end with white space, and where each part starts."""
+        start, n = 0, len(self.data)
+        while start < n:
+            stop = min(start + WINDOW, n)
+            while stop < n and not _SPACE[self.data[stop - 1]]:
+                blank = np.flatnonzero(_SPACE[self.data[stop:stop + WINDOW]])
+                stop = stop + int(blank[0]) + 1 if len(blank) else min(stop + WINDOW, n)
+            yield start, self.data[start:stop]
+            start = stop
+
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Hashes of all runs of ``size`` words; a shorter text is one shingle of all its words.

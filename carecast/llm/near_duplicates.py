@@ -33,10 +33,11 @@ from bisect import bisect_left
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fingerprint128, map_texts, materialize, text_column
+from .common import fingerprint128, map_texts, materialize, text_column, text_ranges, text_slices
 from .components import components
 from .hashing import Words, mix, shingles
 
@@ -118,24 +119,22 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             .join(texts.select(F.col("node").alias("v"), F.col("text").alias("y")), "v"))
 
     def check(batches):
-        for pdf in batches:
-            step = 256
-            for k in range(0, len(pdf), step):
-                part = pdf.iloc[k:k + step]
-                w = Words(part["x"].tolist() + part["y"].tolist())
-                n = len(part)
-                sets = [None] * n
-                ok = np.zeros(n, bool)
-                for r in range(n):
-                    if sets[r] is None:
-                        sets[r] = shingles(w.hashes[w.first[r]:w.last[r]])
-                    y = shingles(w.hashes[w.first[n + r]:w.last[n + r]])
-                    ok[r] = aligned_similarity(sets[r], y, threshold) >= threshold
-                if ok.any():
-                    yield part.loc[ok, ["ua", "ub", "va", "vb"]]
+        for batch in batches:
+            ok = np.zeros(batch.num_rows, bool)
+            for part, x in text_slices(batch.column("x")):
+                y = batch.column("y").slice(part.start, len(x))
+                sizes = pc.binary_length(y).to_numpy()
+                for start, stop in text_ranges(sizes):
+                    w = Words(x[start:stop] + y.slice(start, stop - start).to_pylist())
+                    n = stop - start
+                    for r in range(n):
+                        pair = [shingles(w.hashes[w.first[i]:w.last[i]]) for i in (r, n + r)]
+                        ok[part.start + start + r] = aligned_similarity(*pair, threshold) >= threshold
+            if ok.any():
+                yield batch.select(["ua", "ub", "va", "vb"]).filter(pa.array(ok))
 
     flat = wide.selectExpr("u.a AS ua", "u.b AS ub", "v.a AS va", "v.b AS vb", "x", "y")
-    return flat.mapInPandas(check, "ua long, ub long, va long, vb long").selectExpr(
+    return flat.mapInArrow(check, "ua long, ub long, va long, vb long").selectExpr(
         "named_struct('a', ua, 'b', ub) AS u", "named_struct('a', va, 'b', vb) AS v")
 
 
@@ -149,10 +148,10 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFram
     """
 
     def explode(batches):
-        for b in batches:
+        for b, part, texts in ((b, *found) for b in batches for found in text_slices(b.column("text"))):
             at, found, sizes = [], [], []
-            w = Words(b.column("text").to_pylist())
-            for r, (i, j) in enumerate(zip(w.first, w.last, strict=True)):
+            w = Words(texts)
+            for r, (i, j) in enumerate(zip(w.first, w.last, strict=True), part.start):
                 s = shingles(w.hashes[i:j])
                 at.append(np.full(len(s), r))
                 found.append(s)

@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, text_column
+from .common import materialize, text_column, text_slices
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_BYTES = 32 << 20  # of words and their ids that a worker remembers
 # The tokenizer's splitting rule, written out for lower-case Latin-1 texts, and what keeps a text from it.
 PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
                         "|[^ \t\na-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff0-9\u00b2\u00b3\u00b9\u00bc-\u00be]+").findall
@@ -63,11 +63,13 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        self.held = 0
 
     def learn(self, words: list[str], plain: bool) -> None:
         """Remember the ids of ``words``; plain ones are single pre-tokens, normalized already."""
-        if len(self.cache) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.cache.clear()
+            self.held = 0
         if plain:
             tokenize = self.library.model.tokenize
             for w in words:
@@ -75,6 +77,7 @@ class WordEncoder:
         else:
             for w, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False), strict=True):
                 self.cache[w] = array("I", e.ids).tobytes()
+        self.held += sum(170 + 2 * len(w) + len(self.cache[w]) for w in words)
 
     def encode(self, text: str) -> bytes:
         try:
@@ -118,12 +121,11 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def cut(batches):
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for part in slices(texts):
+            for part, texts in text_slices(b.column("text")):
                 enc, rows = encoder(path), []
                 step = 4 * capacity
-                for i in range(part.start, part.stop):
-                    data = enc.encode(texts[i]) + end
+                for i, text in enumerate(texts, part.start):
+                    data = enc.encode(text) + end
                     for k in range(0, len(data), step):
                         own = data[k:k + step]
                         rows.append((i, k // step, k // 4, len(own) // 4, zlib.crc32(own)))

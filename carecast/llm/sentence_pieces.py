@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_column
+from .common import text_column, text_slices
 
 SIGN = "▁"  # stands for a blank
 WINDOW = 1 << 20  # characters of a text cut into words at once
@@ -281,9 +281,8 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(path)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for part in slices(texts):
-                found = [own.encode(t) for t in texts[part]]
+            for part, texts in text_slices(b.column("text")):
+                found = [own.encode(t) for t in texts]
                 ends = np.cumsum([0] + [len(x) // 4 for x in found])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays([*[b.column(c).slice(part.start, part.stop - part.start) for c in keep], ids], names=[*keep, "ids"])

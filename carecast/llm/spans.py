@@ -1,26 +1,28 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of ``SPAN`` consecutive sentences of at least ``MIN_WORDS`` words is
-hashed. Where ``SPAN`` sentences hold fewer words, the run grows, onwards and
-backwards, until it holds them; and, since a passage may have few long
-sentences, so is every run of fewer sentences that holds ``SHORT_RUN_WORDS``
-words. A passage glued into other sentences may hold none of these: windows of
-``WINDOW`` words, wherever sentences end, are hashed too, of every ``CHOICE``
-consecutive ones the one with the smallest hash, so that two texts that share
-``WINDOW + CHOICE - 1`` words share a window. Equal hashes are joined over the
-whole corpus; words inside a span that occurred before, in an earlier row or
-earlier in the same one, are removed. Each row sends a hash once, counts are
-combined before the shuffle, and the join back is an ordinary one that the
-planner may split at a hot hash.
-
-A sentence ends with a word that closes in ``.``, ``!`` or ``?`` (quotes and
-brackets may follow), or at a line's end. Spans are compared by their
-words, whatever white space stands between them.
+A sentence ends with a word that closes in ``. , ; : ! ?`` (quotes and brackets
+may follow) or at a line's end. One of more than ``LONG`` words is cut further, at
+words that its own text chooses: of every ``WINDOW`` consecutive words the
+greatest by its first eight bytes (the last of equal ones) ends a sentence. So a
+passage that was glued into other sentences has the same sentences inside
+wherever it stands.
+
+From each sentence, and up to each, the shortest run of at least ``SPAN``
+sentences that holds ``MIN_WORDS`` words is hashed. Equal hashes are joined over the
+whole corpus; the sentences of a span that occurred before, in an earlier row or
+earlier in the same one, are removed. A passage that two texts share loses all
+its sentences but those cut at its ends, if these hold ``MIN_WORDS`` words.
+
+Hashes are counted first (counts are combined before the shuffle; nothing else
+travels), and the spans of those that occur twice are looked up: a Bloom filter
+of fixed size leaves most others out, an ordinary join, which the planner may split at a
+hot hash, the rest. Spans are compared by their words, whatever white space
+stands between them.
 
 Defined cases: null and wordless texts have no sentences; rows are ordered by
 doc_id (null last), then by text hash, so rows that share a doc_id or have none
 are documents of their own, and equal rows are later copies of one of them; a
-window that overlaps its own first occurrence loses only what lies behind it;
+span that overlaps its own first occurrence loses only what lies behind it;
 an empty table gives none; only doc_id and text are read.
 """
 
@@ -28,22 +30,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, text_column
+from .bloom import FILTER_BYTES, filter_of, rows_held
+from .common import materialize, text_column, text_slices
 from .hashing import Words, mix, range_hashes
 
 SPAN = 3
-MIN_WORDS = 12
-SHORT_RUN_WORDS = {1: 32, 2: 20}
-WINDOW = 32
-CHOICE = 19
+MIN_WORDS = 24
+LONG = 24
+WINDOW = 6
 
 _CLOSERS = np.zeros(256, bool)
 _CLOSERS[[ord(c) for c in "\"')]}*_"]] = True
 _STOPS = np.zeros(256, bool)
-_STOPS[[ord(c) for c in ".!?"]] = True
+_STOPS[[ord(c) for c in ".,;:!?"]] = True
 
 
 def sentence_ends(w: Words) -> np.ndarray:
@@ -58,69 +61,56 @@ def sentence_ends(w: Words) -> np.ndarray:
     following = np.append(w.starts[1:], len(data))
     ends |= feeds[following] > feeds[w.ends]
     ends[w.last[w.last > w.first] - 1] = True
+    n = len(ends) - WINDOW + 1
+    if n > 0:
+        number = np.append(0, np.cumsum(ends)[:-1])
+        whole = number[:n] == number[WINDOW - 1:]  # windows within one sentence
+        s = np.flatnonzero(whole & (np.bincount(number)[number[:n]] > LONG))
+        windows = np.lib.stride_tricks.sliding_window_view(_first_bytes(w), WINDOW)[s]
+        ends[s + WINDOW - 1 - windows[:, ::-1].argmax(axis=1)] = True
     return ends
 
 
-def _grown(starts: np.ndarray, stops: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentence of the shortest runs of more than ``SPAN`` sentences, from and up to each, that hold ``MIN_WORDS``."""
-    n = np.arange(len(starts))
-    last = np.searchsorted(stops, starts + MIN_WORDS)
-    first = np.searchsorted(starts, stops - MIN_WORDS, side="right") - 1
-    i, j = np.append(n, np.maximum(first, 0)), np.append(np.minimum(last, len(starts) - 1), n)
-    whole = np.append(last < len(starts), first >= 0) & (owner[i] == owner[j]) & (j - i >= SPAN)
-    return i[whole], j[whole]
-
-
-def _windows(w: Words) -> np.ndarray:
-    """The first words of the chosen windows."""
-    n = len(w.hashes) - WINDOW - CHOICE + 2
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    at = np.arange(n + CHOICE - 1)
-    h = range_hashes(w.hashes, at, at + WINDOW)
-    owner = np.searchsorted(w.last, np.arange(len(w.hashes)), side="right")
-    k = np.flatnonzero(owner[:n] == owner[WINDOW + CHOICE - 2:])
-    return np.unique(k + np.lib.stride_tricks.sliding_window_view(h, CHOICE)[k].argmin(axis=1))
+def _first_bytes(w: Words) -> np.ndarray:
+    """The first eight bytes of each word as a number that orders words as the bytes do."""
+    out = np.zeros(len(w.starts), np.uint64)
+    for k in range(8):
+        held = w.starts + k < w.ends
+        out = (out << np.uint64(8)) | np.where(held, w.data[np.minimum(w.starts + k, len(w.data) - 1)], 0).astype(np.uint64)
+    return out
 
 
 def spans_of(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """(text, first whole sentence, whole sentences, first word, word past it, hash, check, since) of every span.
+    """(text, first sentence, sentence past it, first word, word past it, hash, check, since, since's sentence) of every span.
 
     ``since``: the first word to remove if the span came before in its text, else -1.
     """
     w = Words(texts)
     stops = np.flatnonzero(sentence_ends(w)) + 1  # past each sentence's last word
     if not len(stops):
-        return (np.zeros(0, np.int64),) * 8
+        return (np.zeros(0, np.int64),) * 9
     starts = np.append(0, stops[:-1])
     owner = np.searchsorted(w.last, starts, side="right")
-    begins, ends = [], []
-    for size in range(1, SPAN + 1):
-        n = max(len(starts) - size + 1, 0)
-        words = stops[size - 1:] - starts[:n]
-        i = np.flatnonzero((owner[:n] == owner[size - 1:]) & (words >= (MIN_WORDS if size == SPAN else SHORT_RUN_WORDS[size])))
-        begins.append(starts[i])
-        ends.append(stops[i + size - 1])
-    i, j = _grown(starts, stops, owner)
-    windows = _windows(w)
-    runs = sum(map(len, begins)) + len(i)
-    # a window that is a run of sentences counts once, as the run
-    begin, end = np.concatenate([*begins, starts[i], windows]), np.concatenate([*ends, stops[j], windows + WINDOW])
-    _, once = np.unique((begin << 32) | (end - begin), return_index=True)
-    begin, end, window = begin[once], end[once], once >= runs
-    text = np.searchsorted(w.last, begin, side="right")
+    n = np.arange(len(starts))
+    last = np.maximum(np.searchsorted(stops, starts + MIN_WORDS), n + SPAN - 1)
+    first = np.minimum(np.searchsorted(starts, stops - MIN_WORDS, side="right") - 1, n - SPAN + 1)
+    i, j = np.append(n, np.maximum(first, 0)), np.append(np.minimum(last, len(starts) - 1), n)
+    whole = np.append(last < len(starts), first >= 0) & (owner[i] == owner[j])
+    runs = np.unique(i[whole] << 32 | j[whole])
+    i, j = runs >> 32, runs & 0xFFFFFFFF
+    begin, end, text = starts[i], stops[j], owner[i]
     h = range_hashes(w.hashes, begin, end)
     check = mix(range_hashes(w.hashes ^ np.uint64(0x5851F42D4C957F2D), begin, end))
     order = np.lexsort((begin, check, h, text))
-    text, begin, end, window, h, check = (x[order] for x in (text, begin, end, window, h, check))
+    i, j, text, begin, end, h, check = (x[order] for x in (i, j, text, begin, end, h, check))
     again = np.zeros(len(text), bool)
     again[1:] = (text[1:] == text[:-1]) & (h[1:] == h[:-1]) & (check[1:] == check[:-1])
     origin = np.maximum.accumulate(np.where(again, 0, np.arange(len(text))))
-    since = np.where(window, np.minimum(np.maximum(begin, end[origin]), end), begin)
-    whole = np.searchsorted(starts, begin)
-    size = np.maximum(np.searchsorted(stops, end, side="right") - whole, 0)
+    since = np.minimum(np.maximum(begin, end[origin]), end)
     base = w.first[text]
-    return (text, whole - np.searchsorted(starts, base), size, begin - base, end - base, h, check, np.where(again, since - base, -1))
+    above = np.searchsorted(starts, base)
+    return (text, i - above, j + 1 - above, begin - base, end - base, h, check,
+            np.where(again, since - base, -1), np.where(again, np.searchsorted(starts, since) - above, -1))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -129,35 +119,41 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def document_spans(rows: DataFrame) -> DataFrame:
-    """row, doc_id, tie (the text's hash), first, size, begin, end, since, a, b of every span of every row."""
+    """row, first, past, begin, end, since, whence, a, b of every span of every row; doc_id and tie (the text's hash) stand with a row's first one."""
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for part in slices(texts):
-                text, first, size, begin, end, h, check, since = spans_of(texts[part])
+            for part, texts in text_slices(batch.column("text")):
+                text, first, past, begin, end, h, check, since, whence = spans_of(texts)
                 if len(text):
                     at = pa.array(text + part.start, pa.int64())
+                    opens = pa.array(np.append(True, text[1:] != text[:-1]))
+                    own = [pc.if_else(opens, batch.column(c).take(at), pa.scalar(None, batch.column(c).type)) for c in ("doc_id", "tie")]
                     yield pa.RecordBatch.from_arrays(
-                        [*[batch.column(c).take(at) for c in ("row", "doc_id", "tie")], *[pa.array(x, pa.int32()) for x in (first, size, begin, end, since)],
-                         pa.array(h.view(np.int64)), pa.array((check >> np.uint64(33)).astype(np.int32))],
-                        names=["row", "doc_id", "tie", "first", "size", "begin", "end", "since", "a", "b"])
+                        [batch.column("row").take(at), *own, *[pa.array(x, pa.int32()) for x in (first, past, begin, end, since, whence)],
+                         pa.array(h.view(np.int64)), pa.array((check >> np.uint64(33)).astype(np.int32)), opens],
+                        names=["row", "doc_id", "tie", "first", "past", "begin", "end", "since", "whence", "a", "b", "opens"])
 
     keyed = rows.select(F.col("_row").alias("row"), "doc_id", F.xxhash64(text_column()).alias("tie"), text_column().alias("text"))
-    return keyed.mapInArrow(run, f"row long, doc_id {dict(rows.dtypes)['doc_id']}, tie long, first int, size int, begin int, end int, since int, a long, b int")
+    return keyed.mapInArrow(run, f"row long, doc_id {dict(rows.dtypes)['doc_id']}, tie long, first int, past int, begin int, end int, since int, whence int, a long, b int, opens boolean")
 
 
-def repeated_spans(rows: DataFrame) -> DataFrame:
-    """row, doc_id, first, size, begin, end, first_doc of every span that occurred before; ``begin``: the first word to remove."""
+def repeated_spans(rows: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """row, doc_id, first, past, begin, end, first_doc of every span that occurred before: the sentences and the words to remove."""
     spans = materialize(document_spans(rows), "spans")  # written, so that row numbers stay
-    origin = (spans.where("since < 0").groupBy("a", "b")
-              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "row")).alias("o"), F.count(F.lit(1)).alias("rows"))
-              .where("rows > 1").select("a", "b", F.col("o.doc_id").alias("first_doc"), F.col("o.row").alias("first_row")))
+    often = materialize(spans.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b"), "spans-often")
+    narrow = spans.drop("doc_id", "tie", "opens")
+    found = rows_held(narrow, "a", filter_of(often.select(F.col("a").alias("h")), filter_bytes)).join(often, ["a", "b"])
+    # a document's name stands with its first span only
+    names = materialize(spans.where("opens").select("row", "doc_id", "tie"), "spans-rows")
+    found = materialize(found.join(names, "row"), "spans-repeated")
+    origin = (found.where("since < 0").groupBy("a", "b")
+              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "row")).alias("o"))
+              .select("a", "b", F.col("o.doc_id").alias("first_doc"), F.col("o.row").alias("first_row")))
     # a row's later spans of its own are repeats wherever else the hash occurs
-    later = (spans.drop("tie").join(materialize(origin, "spans-origins"), ["a", "b"], "left")
-             .withColumn("own", F.coalesce(F.col("first_row") == F.col("row"), F.lit(True))).where("NOT own OR since >= 0"))
-    cut = later.withColumn("cut", F.when(F.col("own"), F.col("since")).otherwise(F.col("begin"))).where("cut < end")
-    return cut.select("row", "doc_id", "first", F.when(F.col("cut") > F.col("begin"), 0).otherwise(F.col("size")).alias("size"),
-                      F.col("cut").alias("begin"), "end", F.when(F.col("first_row").isNull(), F.col("doc_id")).otherwise(F.col("first_doc")).alias("first_doc"))
+    later = (found.drop("tie").join(materialize(origin, "spans-origins"), ["a", "b"])
+             .withColumn("own", F.col("first_row") == F.col("row")).where("NOT own OR since >= 0"))
+    return (later.select("row", "doc_id", F.when(F.col("own"), F.col("whence")).otherwise(F.col("first")).alias("first"), "past",
+                         F.when(F.col("own"), F.col("since")).otherwise(F.col("begin")).alias("begin"), "end", "first_doc").where("begin < end"))
 
 
 def _union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,20 +165,18 @@ def _union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def removals(rows: DataFrame) -> DataFrame:
-    """row, doc_id, removed (sentences whole in a repeated span), first_docs (documents that had them before), cut (all ranges of words) of rows that lose words."""
+    """row, doc_id, removed (sentences in a repeated span), first_docs (documents that had them before), cut (all ranges of words) of rows that lose words."""
     kind = dict(rows.dtypes)["doc_id"]
     lost = repeated_spans(rows).groupBy("row").agg(  # bounded by a row's spans
         F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_set("first_doc")).alias("first_docs"),
-        *[F.collect_list(c).alias(c) for c in ("first", "size", "begin", "end")])
+        *[F.collect_list(c).alias(c) for c in ("first", "past", "begin", "end")])
 
     def merge(batches):
         for b in batches:
             removed, cut = [], []
-            for first, size, begin, end in zip(*[b.column(c) for c in ("first", "size", "begin", "end")], strict=True):
-                first, size, begin, end = (x.values.to_numpy() for x in (first, size, begin, end))
-                held = size > 0
-                x, y = _union(first[held], (first + size)[held]) if held.any() else ((), ())
-                removed.append([k for i, j in zip(x, y, strict=True) for k in range(i, j)])
+            for lists in zip(*[b.column(c) for c in ("first", "past", "begin", "end")], strict=True):
+                first, past, begin, end = (x.values.to_numpy() for x in lists)
+                removed.append([k for i, j in zip(*_union(first, past), strict=True) for k in range(i, j)])
                 cut.append([{"begin": int(i), "end": int(j)} for i, j in zip(*_union(begin, end), strict=True)])
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), b.column("first_docs"),
