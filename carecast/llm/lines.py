@@ -4,18 +4,23 @@ Lines that hold more than white space are numbered through the corpus in
 (doc_id, position) order. The suffixes of the line-ID sequence are bucketed by
 their first line, then by their first 2, 4, 8, ... lines: the bucket of 2^(k+1)
 lines at i is the pair of the 2^k-buckets at i and i + 2^k (prefix doubling).
-Buckets are the suffix array's intervals of longest common prefix >= 2^k, and
-are named by their first place in the corpus, which is all that dedup needs of
-the array's order. Buckets of one suffix are dropped at each round, so a round
-costs only what still repeats.
-
-A suffix that is not the first of its bucket starts a run that occurs earlier.
-Runs of one document that copy the same earlier stretch (equal distance) are
-joined into maximal repeated runs; runs of at least ``min_chars`` characters
-are deleted, the corpus's first occurrence stays.
+Buckets are named by their first place in the corpus, which is all that dedup needs
+of the suffix array's order, and those of one suffix are dropped at each round.
+
+A run of lines is deleted if it holds ``min_chars`` characters and occurs
+earlier, whatever its length. Every such run is the union of its shortest parts
+of ``min_chars`` characters: from each of its lines onwards, and up to each of
+its lines, as far as they fit (a line that fits neither is held by the part that starts
+with the run). So only these parts, one from each line of the corpus and one up
+to each, are looked up. Suffixes share one of n lines if their longest common
+prefix is n or more: an interval of the suffix array, here the pair of
+2^k-buckets at the part's first line and at its 2^k-th last, 2^k being the
+greatest power up to n. All but the interval's first suffix start later copies. The
+doubling ends at the longest part, log2(min_chars) rounds at most.
 
 Defined cases: null and empty texts have no lines; blank lines do not interrupt
-a run, go with a run they stand in and stay elsewhere; lines are compared exactly; rows that share a doc_id are
+a run; those between two deleted lines go, others stay; lines are compared exactly; a run that overlaps its
+own earlier copy is a copy, so of equal lines in a row the first stays; rows that share a doc_id are
 ordered by text hash, repeated rows are later copies of the first; null
 doc_ids come last; an empty table gives none; extra columns ride along.
 """
@@ -38,97 +43,104 @@ def _line_array() -> Column:
                     lambda r: r["line"].rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _tie() -> Column:
-    return F.xxhash64(text_column())
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with _row, a number of its own for each row, written so that it stays."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "lines-rows")
 
 
-def numbered_lines(docs: DataFrame) -> DataFrame:
-    """loc, doc_id, tie, row, at and pos (place among these and among all lines), left (lines to the end), chars, before, a, b.
+def numbered_lines(rows: DataFrame) -> DataFrame:
+    """row, loc, at and pos (place among these and among all lines), left (lines to the end), before, chars, a, b of every line.
 
-    ``loc`` grows with (doc_id, tie, row, at), and by 1 from line to line of a
+    ``loc`` grows with (doc_id, text hash, row, at), and by 1 from line to line of a
     document; ``before`` counts the characters of its lines above.
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a, b = fingerprint128(F.col("r.line"))
-    rows = (docs.select(F.col("doc_id").isNull().alias("last"), "doc_id", _tie().alias("tie"),
-                        F.monotonically_increasing_id().alias("row"), _line_array().alias("lines"))
-            .select("last", "doc_id", "tie", "row", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "r"))
-            .select("last", "doc_id", "tie", "row", "at", F.col("r.pos").alias("pos"), (F.col("n") - F.col("at")).alias("left"),
-                    F.length("r.line").cast("long").alias("chars"), a.alias("a"), b.alias("b")))
+    lines = (rows.select(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(text_column()).alias("tie"),
+                         F.col("_row").alias("row"), _line_array().alias("lines"))
+             .select("last", "doc_id", "tie", "row", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "r"))
+             .select("last", "doc_id", "tie", "row", "at", F.col("r.pos").alias("pos"), (F.col("n") - F.col("at")).alias("left"),
+                     F.length("r.line").cast("long").alias("chars"), a.alias("a"), b.alias("b")))
     document = ["last", "doc_id", "tie", "row"]
     above = Window.partitionBy(*document).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (rows.repartitionByRange(n, *document)
+    placed = (lines.repartitionByRange(n, *document)
               .withColumn("before", F.coalesce(F.sum("chars").over(above), F.lit(0)))
               .sortWithinPartitions(*document, "at").withColumn("loc", F.monotonically_increasing_id()))
-    return materialize(placed.drop("last"), "lines")
+    return materialize(placed.drop("last", "doc_id", "tie"), "lines")
+
+
+def shortest_parts(lines: DataFrame, min_chars: int) -> DataFrame:
+    """loc, size, row, from_at, from_pos, to_pos (included) of the shortest runs of ``min_chars`` characters from and up to each line."""
+    onward = Window.partitionBy("row").orderBy("before").rangeBetween(Window.currentRow, min_chars - 1)
+    back = Window.partitionBy("row").orderBy("upto").rangeBetween(1 - min_chars, Window.currentRow)
+    framed = lines.withColumn("upto", F.col("before") + F.col("chars")).select(
+        "row", "loc", "at", "pos", "before", "upto",
+        F.count(F.lit(1)).over(onward).alias("n_on"), F.max("pos").over(onward).alias("pos_on"), F.max("upto").over(onward).alias("upto_on"),
+        F.count(F.lit(1)).over(back).alias("n_back"), F.min("pos").over(back).alias("pos_back"), F.min("before").over(back).alias("before_back"))
+    on = framed.where(F.col("upto_on") - F.col("before") >= min_chars).select(
+        "loc", F.col("n_on").alias("size"), "row", F.col("at").alias("from_at"), F.col("pos").alias("from_pos"), F.col("pos_on").alias("to_pos"))
+    shift = F.col("n_back") - 1
+    # one that is also the shortest from its first line is there already
+    up = framed.where((F.col("upto") - F.col("before_back") >= min_chars) & (F.col("n_back") > 1)).select(
+        (F.col("loc") - shift).alias("loc"), F.col("n_back").alias("size"), "row", (F.col("at") - shift).alias("from_at"),
+        F.col("pos_back").alias("from_pos"), F.col("pos").alias("to_pos"))
+    return on.unionByName(up)
 
 
 def _named(rows: DataFrame, *by: str) -> DataFrame:
-    """``rows`` in buckets of two or more, with ``name``: the bucket's first loc."""
+    """``rows`` in buckets of two or more, with ``name``: the bucket's first loc.
+
+    The buckets are written first: the join then has a plain scan on its right, so that a
+    bucket that holds many rows may be split.
+    """
     found = rows.groupBy(*by).agg(F.min("loc").alias("name"), F.max("loc").alias("top")).where("name < top").drop("top")
-    return rows.join(found, list(by))
+    return rows.join(materialize(found, "lines-buckets"), list(by))
 
 
-def repeated_runs(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, tie, row, from_at, to_at (excluded), from_pos, to_pos (included), chars, loc, first_loc of every run to delete.
+def repeated_parts(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """row, from_at, to_at (excluded), from_pos, to_pos (included) of every shortest part that occurs earlier.
 
     ``lines``: the table that ``numbered_lines`` gives.
     """
+    parts = materialize(shortest_parts(lines, min_chars), "lines-parts")
+    longest = parts.agg(F.max("size")).first()[0] or 1
     level = materialize(_named(lines.select("loc", "left", "a", "b"), "a", "b").select("loc", "left", "name"), "lines-level")
-    later, size = [], 1
-    while not level.isEmpty():
-        later.append(level.where("name < loc").select("loc", "name", F.lit(size).cast("long").alias("size")))
+    repeated, size = [], 1
+    while True:
+        # parts of size .. 2 * size - 1 lines
+        own = parts.where(F.col("size").between(size, 2 * size - 1)).join(level.select("loc", F.col("name").alias("head")), "loc")
+        if size > 1:
+            tails = level.select(F.col("loc").alias("at_tail"), F.col("name").alias("tail"))
+            own = own.withColumn("at_tail", F.col("loc") + F.col("size") - size).join(tails, "at_tail").drop("at_tail")
+            own = _named(materialize(own, "lines-own"), "size", "head", "tail").withColumn("head", F.col("name"))
+        repeated.append(own.where("head < loc").select("row", "from_at", (F.col("from_at") + F.col("size")).alias("to_at"), "from_pos", "to_pos"))
+        if 2 * size > longest:
+            return reduce(DataFrame.unionByName, repeated)
         ahead = level.select((F.col("loc") - size).alias("loc"), F.col("name").alias("next"))
-        pairs = (level.where(F.col("left") >= 2 * size).join(ahead, "loc")
-                 .select("loc", "left", F.col("name").alias("head"), "next"))
+        pairs = materialize(level.where(F.col("left") >= 2 * size).join(ahead, "loc")
+                            .select("loc", "left", F.col("name").alias("head"), "next"), "lines-pairs")
         level = materialize(_named(pairs, "head", "next").select("loc", "left", "name"), "lines-level")
         size *= 2
-    if not later:
-        later.append(level.select("loc", "name", F.lit(1).cast("long").alias("size")))
-    longest = (reduce(DataFrame.unionByName, later).groupBy("loc")
-               .agg(F.max(F.col("size")).alias("size"), F.max_by("name", "size").alias("first")))
-    starts = (longest.join(lines.select("loc", "doc_id", "tie", "row", "at", "pos", "before"), "loc")
-              .withColumn("shift", F.col("loc") - F.col("first")).withColumn("end", F.col("loc") + F.col("size")))
-    ends = lines.select((F.col("loc") + 1).alias("end"), F.col("pos").alias("end_pos"), (F.col("before") + F.col("chars")).alias("upto"))
-    starts = starts.join(ends, "end")
-    # runs that copy the same earlier stretch and overlap or touch are one
-    run = Window.partitionBy("row", "doc_id", "shift").orderBy("loc")
-    reach = F.max("end").over(run.rowsBetween(Window.unboundedPreceding, -1))
-    starts = starts.withColumn("reach", reach).withColumn("new", F.coalesce(F.col("loc") > F.col("reach"), F.lit(True)).cast("int"))
-    runs = (starts.withColumn("run", F.sum("new").over(run)).groupBy("row", "doc_id", "tie", "shift", "run")
-            .agg(F.min("loc").alias("loc"), F.min("first").alias("first_loc"), F.min("at").alias("from_at"),
-                 (F.min("at") + F.max("end") - F.min("loc")).alias("to_at"), F.min("pos").alias("from_pos"),
-                 F.max("end_pos").alias("to_pos"), (F.max("upto") - F.min("before")).alias("chars")))
-    return runs.where(F.col("chars") >= min_chars)
-
-
-def deletions(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, tie, first_row (of the rows equal in both), lost: disjoint ranges to delete, of documents that have some."""
-    lines = numbered_lines(docs)
+
+
+def deletions(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """row, lost: disjoint ranges (from_pos, to_pos, n lines that aren't blank) to delete, of the rows that have some."""
     by = Window.partitionBy("row").orderBy("from_at", "to_at")
     reach = F.max("to_at").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (repeated_runs(lines, min_chars).withColumn("reach", reach)
+    runs = (repeated_parts(numbered_lines(rows), min_chars).distinct().withColumn("reach", reach)
             .withColumn("new", F.coalesce(F.col("from_at") > F.col("reach"), F.lit(True)).cast("int"))
-            .withColumn("range", F.sum("new").over(by)).groupBy("row", "doc_id", "tie", "range")
+            .withColumn("range", F.sum("new").over(by)).groupBy("row", "range")
             .agg(F.min("from_at").alias("from_at"), F.max("to_at").alias("to_at"),
                  F.min("from_pos").alias("from_pos"), F.max("to_pos").alias("to_pos")))
-    lost = runs.groupBy("row", "doc_id", "tie").agg(F.collect_list(F.struct(  # disjoint places of one document
+    return runs.groupBy("row").agg(F.collect_list(F.struct(  # disjoint places of one document
         "from_pos", "to_pos", (F.col("to_at") - F.col("from_at")).cast("long").alias("n"))).alias("lost"))
-    first = lines.where("at = 0").groupBy(F.col("doc_id").alias("_doc"), F.col("tie").alias("_same")).agg(F.min("row").alias("least"))
-    lost = lost.join(first, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tie") == F.col("_same")))
-    # later rows equal to the first lose the same lines: one entry stands for them all
-    return lost.groupBy("doc_id", "tie", (F.col("row") == F.col("least")).alias("first_row")).agg(F.first("lost").alias("lost"))
 
 
 def with_lost_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with _lost: the ranges (from_pos, to_pos, n lines that aren't blank) to delete from the text's lines."""
-    lost = materialize(deletions(docs, min_chars), "lines-lost").select(
-        F.col("doc_id").alias("_doc"), F.col("tie").alias("_same"), F.col("first_row").alias("_which"), F.col("lost").alias("_lost"))
-    number = F.row_number().over(Window.partitionBy("doc_id", "_tie").orderBy("_tie"))
-    keyed = docs.withColumn("_tie", _tie()).withColumn("_first", number == 1)
-    found = keyed.join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_tie") == F.col("_same"))
-                       & (F.col("_first") == F.col("_which")), "left")
-    return found.select(*[f"`{c}`" for c in docs.columns], "_lost")
+    rows = numbered(docs)
+    lost = materialize(deletions(rows, min_chars), "lines-lost").select(F.col("row").alias("_row"), F.col("lost").alias("_lost"))
+    return rows.join(lost, "_row", "left").select(*[f"`{c}`" for c in docs.columns], "_lost")
 
 
 def _remaining() -> Column:

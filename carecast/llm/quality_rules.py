@@ -70,7 +70,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, directions: list[int], n_trees: int
     roots: list[int] = []
     if n == 0 or y.min() == y.max():
         zero = np.zeros(1, np.int64)
-        return Trees(zero, np.zeros(1), zero, zero, np.zeros(1), np.zeros(1, np.int64), 0, base if n else 5.0)
+        return Trees(zero, np.zeros(1), zero, zero, np.zeros(1), np.zeros(1, np.int64), 0, 5.0)  # keeps all: one kind of label tells nothing
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(d)]
     codes = np.column_stack([np.searchsorted(cuts[j], x[:, j], side="left") for j in range(d)])
     margin = np.full(n, base)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from samples import EDGES, prose
 
 from carecast.llm import lines, mixing, near_duplicates, packing, quality_classifier, quality_rules, spans, token_counts
@@ -259,3 +260,46 @@ def test_span_dedup_tells_rows_of_one_id_apart(docs):
     first = [t for t in (rows[3], rows[4]) if kept[t]]
     assert len(first) == 1 and sum("Passage" in t for _, t in kept.elements()) == 1 and sum(kept.values()) == len(rows) - 1
     assert all(kept[i, f"{prose(k)}."] == 1 for i, k in ((None, 1), (None, 2), (None, 3), (3, 6), (4, 7)))
+
+
+def lines_left(rows, min_chars=20):
+    """Brute force: per row, its lines without every run of lines that occurs earlier and holds ``min_chars`` characters."""
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    texts = [[(p, x) for p, x in enumerate((rows[k][1] or "").split("\n")) if x.strip(" \t\n\r\x0b\x0c")] for k in order]
+    first, lost = {}, [set() for _ in texts]
+    for d, own in enumerate(texts):
+        for s in range(len(own)):
+            for e in range(s + 1, len(own) + 1):
+                run = tuple(x for _, x in own[s:e])
+                if first.setdefault(run, (d, s)) < (d, s) and sum(map(len, run)) >= min_chars:
+                    lost[d].update(p for p, _ in own[s:e])
+        for (p, _), (q, _) in zip(own, own[1:], strict=False):  # blank lines between two deleted ones
+            if {p, q} <= lost[d]:
+                lost[d].update(range(p, q))
+    return {rows[k][0]: "\n".join(x for p, x in enumerate((rows[k][1] or "").split("\n")) if p not in lost[d]) for d, k in enumerate(order)}
+
+
+def test_line_dedup_equals_brute_force(docs):
+    r = random.Random(12)
+    alphabet = ["p" * 8, "q" * 8, "r" * 8, "ab", "c", "a line of twenty-two ch", " ", "", "d" * 19]
+    rows = [(k, "\n".join(r.choice(alphabet) for _ in range(r.randrange(14)))) for k in range(60)] + [(None, "q" * 8 + "\n" + "r" * 8 + "\nab\nc\nc\nc\nc\nc")]
+    for min_chars in (20, 1, 57):
+        want = lines_left(rows, min_chars)
+        found = lines.with_lost_lines(docs(rows), min_chars).selectExpr("doc_id", "text", "_lost")
+        kept = found.withColumn("kept", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(lines._remaining()))
+        assert {x["doc_id"]: x["kept"] for x in kept.collect()} == want
+
+
+def test_a_partial_copy_elsewhere_does_not_save_a_run(docs):
+    p, q, x = "p" * 8, "q" * 8, "r" * 8
+    run = f"{p}\n{q}\n{x}"
+    for rows in ([(2, run), (3, run)], [(1, f"{q}\n{x}"), (2, run), (3, run)], [(2, run), (2, f"z\n{q}\n{x}"), (3, run)]):
+        assert {r["doc_id"]: r["n_deleted"] for r in lines.line_digest(docs(rows)).collect()}[3] == 3
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_labels_of_one_kind_leave_the_base_rule(spark, docs, label):
+    rows = [(k, prose(k)) for k in range(40)] + [(40, "few words"), (41, None)]
+    labels = spark.createDataFrame([(k, label) for k in range(42)], "doc_id long, quality int")
+    out = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(docs(rows), labels).collect()}
+    assert all(kept == (not failed) for failed, kept in out.values()) and out[0] == (False, True) and out[40] == out[41] == (True, False)
