@@ -2,7 +2,8 @@
 
 Every round rewires each node's neighbours to the smallest one it knows
 (large star, then small star); the table is written after each round, so the
-lineage stays short and lost executors reread files.
+lineage stays short and lost executors reread files. The smallest neighbours are
+written before they are joined: a hub's edges may then be split over tasks.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ def _both(edges: DataFrame) -> DataFrame:
 
 def _large(edges: DataFrame) -> DataFrame:
     near = _both(edges)
-    least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    least = materialize(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "components-least")
     return near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "components-least")
     moved = down.join(least, "u")
     return (moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
@@ -39,7 +40,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
     state = None
     for _ in range(max_rounds):
-        now = materialize(_small(_large(now)), "components")
+        now = materialize(_small(materialize(_large(now), "components-large")), "components")
         # equal sums of hashes in two rounds: the stars have settled
         new = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())
         if new == state:

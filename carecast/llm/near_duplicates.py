@@ -4,7 +4,10 @@ A text's five-word shingles are labelled with their occurrence, so that all
 differ. A sketch takes the ``ORDERED`` shingles with the smallest hashes under
 one hash function and keeps them in text order; two texts share it with
 probability about J^ORDERED if their common shingles stand in the same order.
-``SKETCHES`` functions make a pair of similarity 0.8 miss with 3e-5.
+For texts of many shingles, ``SKETCHES`` functions make a pair of similarity 0.8
+miss with 3e-5. Minima are drawn without replacement, so the fewer the shingles, the
+more they miss (1.2 % of pairs of 4 and 5): texts of fewer than ``SHORT`` shingles, and
+what may be similar to them, also go straight through the exact join below.
 
 Texts that are equal form one node before anything else. In each bucket of
 equal sketches, every member is first paired with one central member only, the
@@ -13,7 +16,9 @@ copies). Pairs are verified; members whose components then differ are paired wit
 next central member, and after ``STARS`` rounds the members of buckets that
 still hold several components are joined exactly: two texts of similarity 0.8
 must share one of the rarest fifth of their shingles, so a passage that
-thousands of different texts have in common pairs none of them.
+thousands of different texts have in common pairs none of them. In that join a
+shingle's nodes of its largest component meet only those of others, so a cluster is
+not paired with itself.
 
 Verification aligns the labelled shingles of both texts: common shingles are
 matched, matches off the diagonal band that a similarity of 0.8 allows are
@@ -39,13 +44,15 @@ from pyspark.sql import functions as F
 
 from .common import fingerprint128, map_texts, materialize, text_column, text_ranges, text_slices
 from .components import components
-from .hashing import Words, mix, shingles
+from .hashing import SHINGLE, Words, mix, shingles
 
 SIMILARITY = 0.8
 SKETCHES = 20
 ORDERED = 4
 #: Rounds that pair a bucket with one central member before the remaining members are joined by rare shingles.
 STARS = 2
+#: Texts of fewer shingles are joined exactly, whatever their sketches.
+SHORT = 20
 
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -65,18 +72,19 @@ def sketch(labelled: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, a, b (the text's 128-bit hash), sketches (null for a wordless text) of every row."""
+    """doc_id, a, b (the text's 128-bit hash), sketches (null for a wordless text), n (shingles) of every row."""
 
     def fn(texts: list[str]) -> pd.DataFrame:
         w = Words(texts)
         out = []
         for i, j in zip(w.first, w.last, strict=True):
             out.append(sketch(shingles(w.hashes[i:j])) if j > i else None)
-        return pd.DataFrame({"sketches": pd.Series(out, dtype=object)})
+        words = w.last - w.first
+        return pd.DataFrame({"sketches": pd.Series(out, dtype=object), "n": np.maximum(words - SHINGLE + 1, np.minimum(words, 1))})
 
     rows = docs.select("doc_id", text_column().alias("text"))
     a, b = fingerprint128(F.col("text"))
-    return map_texts(rows.withColumns({"a": a, "b": b}), fn, "sketches array<long>")
+    return map_texts(rows.withColumns({"a": a, "b": b}), fn, "sketches array<long>, n long")
 
 
 def chain(positions: np.ndarray) -> int:
@@ -169,11 +177,15 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFram
             .where((F.col("rank") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("often") > 1))
             .select(F.struct("a", "b").alias("node"), "n", (F.col("n") - F.col("rank") + 1).alias("rest"), "shingle").join(nodes, "node"))
     rare = materialize(rare, "near-duplicates-rare")
+    sizes = rare.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("nodes"))
+    largest = sizes.groupBy("shingle").agg(F.max_by("component", F.struct("nodes", "component")).alias("largest"))
+    some = rare.join(materialize(largest, "near-duplicates-largest"), "shingle").where("component <> largest").drop("largest")
     other = rare.select("shingle", F.col("node").alias("v"), F.col("n").alias("m"), F.col("rest").alias("left"),
                         F.col("component").alias("apart"))
     least = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("m")) - 1e-9
-    return (rare.withColumnRenamed("node", "u").join(other, "shingle")
-            .where(F.expr("u < v AND component <> apart") & (F.col("rest") >= least) & (F.col("left") >= least)).select("u", "v"))
+    return (some.withColumnRenamed("node", "u").join(other, "shingle")
+            .where(F.expr("component <> apart") & (F.col("rest") >= least) & (F.col("left") >= least))
+            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
 
 
 def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -181,27 +193,36 @@ def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) ->
 
     ``written``: the table that ``sketches`` gives for ``docs``, written.
     """
-    nodes = written.where("sketches IS NOT NULL").groupBy("a", "b").agg(F.first("sketches").alias("sketches"))
+    nodes = written.where("sketches IS NOT NULL").groupBy("a", "b").agg(F.first("sketches").alias("sketches"), F.first("n").alias("n"))
+    # what a text of fewer than SHORT shingles may be similar to
+    short = materialize(nodes.where(F.col("n") < SHORT / threshold).select(_node()), "near-duplicates-short")
     entries = nodes.select(_node(), F.posexplode("sketches").alias("t", "sketch")).select(
         "node", F.xxhash64("t", "sketch").alias("bucket"))
     shared = (entries.groupBy("bucket").agg(F.min("node.a").alias("low"), F.max("node.a").alias("high"), F.count(F.lit(1)).alias("size"))
               .where("low < high").select("bucket", "size"))
-    members = materialize(entries.join(shared, "bucket"), "near-duplicates-members")
+    # right sides are written first, here and below, so that the planner may split a hot key
+    members = materialize(entries.join(materialize(shared, "near-duplicates-shared"), "bucket"), "near-duplicates-members")
     meets = members.groupBy("node").agg(F.sum("size").alias("meets"))  # how often a node meets others in buckets
+    meets = materialize(meets, "near-duplicates-meets")
     members = materialize(members.select("bucket", "node").join(meets, "node"), "near-duplicates-buckets")
     a, b = fingerprint128(F.col("text"))
     texts = docs.select(text_column().alias("text")).withColumns({"a": a, "b": b}).select(_node(), "text")
-    texts = materialize(texts.join(meets.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
+    compares = materialize(meets.select("node").unionByName(short).distinct(), "near-duplicates-nodes")
+    texts = materialize(texts.join(compares, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
                         "near-duplicates-texts")
     open_ = members.withColumn("component", F.col("node"))
     compared = every = found = None
     for turn in range(STARS + 1):
+        if 0 < turn < STARS and open_.isEmpty():
+            continue
         if turn < STARS:
-            centre = open_.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), F.struct("meets", "node")).alias("c"))
+            centre = materialize(open_.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), F.struct("meets", "node")).alias("c")), "near-duplicates-centres")
             paired = open_.join(centre, "bucket").where("component <> c.component")
             pairs = paired.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v"))
         else:
-            pairs = rare_pairs(open_.select("node", "component").distinct(), texts, threshold)
+            more = short if found is None else short.join(found, "node", "left")
+            more = more.select("node", F.coalesce("component", "node").alias("component") if found is not None else F.col("node").alias("component"))
+            pairs = rare_pairs(open_.select("node", "component").unionByName(more).distinct(), texts, threshold)
         pairs = pairs.distinct()
         pairs = materialize(pairs if compared is None else pairs.join(compared, ["u", "v"], "left_anti"), "near-duplicates-pairs")
         compared = pairs if compared is None else compared.unionByName(pairs)
@@ -214,9 +235,7 @@ def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) ->
             rest = rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
             mixed = (rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                      .where("x <> y").select("bucket"))
-            open_ = materialize(rest.join(mixed, "bucket"), "near-duplicates-open")
-            if open_.isEmpty():
-                break
+            open_ = materialize(rest.join(materialize(mixed, "near-duplicates-mixed"), "bucket"), "near-duplicates-open")
     return every, found
 
 
@@ -232,8 +251,8 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class), class_size of every row of ``docs``."""
     rows = materialize(_classes(docs, threshold), "near-duplicates-classes")
-    sizes = (rows.where("component IS NOT NULL").groupBy("component")
-             .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
+    sizes = materialize(rows.where("component IS NOT NULL").groupBy("component")
+                        .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-duplicates-sizes")
     alone = rows.where("component IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return rows.join(sizes, "component").select("doc_id", "class_id", "class_size").unionByName(alone)
 

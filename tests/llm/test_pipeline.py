@@ -55,7 +55,10 @@ def test_pipeline(spark, docs, folder):
     assert set(ids.values()) == {1} and sum(i < 200 for i in ids) >= 198 and not any(i >= 3000 for i in ids)
     assert sum(1000 <= i < 2000 for i in ids) <= 2
     assert shared in texts[2000] and shared not in texts[2001]
+    before = set(os.listdir(shared_dir(spark)))
     packed = corpus_pipeline.run(spark, sf_dir).collect()
+    left = set(os.listdir(shared_dir(spark))) - before  # only the result
+    assert len(left) == 1 and left.pop().startswith("pipeline-best-fit-packing-")
     assert {r["doc_id"] for r in packed} <= set(ids)
     filled = Counter()
     for r in packed:

@@ -303,3 +303,18 @@ def test_labels_of_one_kind_leave_the_base_rule(spark, docs, label):
     labels = spark.createDataFrame([(k, label) for k in range(42)], "doc_id long, quality int")
     out = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(docs(rows), labels).collect()}
     assert all(kept == (not failed) for failed, kept in out.values()) and out[0] == (False, True) and out[40] == out[41] == (True, False)
+
+
+def test_short_near_duplicates_are_never_missed(docs):
+    """8 words and one more: 4 of 5 shingles are common, similarity 0.8 exactly; so for other short lengths."""
+    r = random.Random(31)
+    words = [f"w{k}" for k in range(4000)]
+    rows, want = [], {}
+    for k in range(500):
+        n = r.choice([8, 8, 8, 9, 10, 12])
+        own = r.sample(words, n + 1)
+        rows += [(2 * k, " ".join(own[:n])), (2 * k + 1, " ".join(own))]
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k}
+    rows += [(5000, "a b c d e f g"), (5001, "a b c d e f g h")]  # 3 of 4: below
+    got = {x["doc_id"]: x["class_id"] for x in near_duplicates.near_duplicate_classes(docs(rows)).collect()}
+    assert got == want | {5000: 5000, 5001: 5001}
