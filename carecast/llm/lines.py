@@ -140,7 +140,8 @@ def with_lost_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with _lost: the ranges (from_pos, to_pos, n lines that aren't blank) to delete from the text's lines."""
     rows = numbered(docs)
     lost = materialize(deletions(rows, min_chars), "lines-lost").select(F.col("row").alias("_row"), F.col("lost").alias("_lost"))
-    return rows.join(lost, "_row", "left").select(*[f"`{c}`" for c in docs.columns], "_lost")
+    # a merge join at every size: broadcast while few rows lose lines, it would change its ways as the corpus grows
+    return rows.join(lost.hint("merge"), "_row", "left").select(*[f"`{c}`" for c in docs.columns], "_lost")
 
 
 def _remaining() -> Column:

@@ -42,6 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bloom import FILTER_BYTES, filter_of, rows_held
 from .common import fingerprint128, map_texts, materialize, text_column, text_ranges, text_slices
 from .components import components
 from .hashing import SHINGLE, Words, mix, shingles
@@ -206,9 +207,11 @@ def links(docs: DataFrame, written: DataFrame, threshold: float = SIMILARITY) ->
     meets = materialize(meets, "near-duplicates-meets")
     members = materialize(members.select("bucket", "node").join(meets, "node"), "near-duplicates-buckets")
     a, b = fingerprint128(F.col("text"))
-    texts = docs.select(text_column().alias("text")).withColumns({"a": a, "b": b}).select(_node(), "text")
+    texts = docs.select(text_column().alias("text")).withColumns({"a": a, "b": b})
     compares = materialize(meets.select("node").unionByName(short).distinct(), "near-duplicates-nodes")
-    texts = materialize(texts.join(compares, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
+    # most texts are compared with none: a filter of fixed size leaves them out before they travel
+    texts = rows_held(texts, "a", filter_of(compares.select(F.col("node.a").alias("h")), FILTER_BYTES)).select(_node(), "text")
+    texts = materialize(texts.join(compares.hint("merge"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
                         "near-duplicates-texts")
     open_ = members.withColumn("component", F.col("node"))
     compared = every = found = None
