@@ -21,7 +21,7 @@ NAMES = ["visit_classification", "covid_daily", "movement_detail", "demand_vs_ca
 
 
 def formatted(df) -> str:
-    df.write.format("noop").mode("overwrite").save()  # so the adaptive plan is final
+    df.collect()  # runs this frame's own plan, so that explain shows the final adaptive one
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
@@ -29,9 +29,11 @@ def formatted(df) -> str:
 
 
 def summary(plan: str) -> list[str]:
-    final = plan.split("== Initial Plan ==")[0]  # the adaptive plan as executed
-    nodes = re.findall(r"^\((\d+)\) ([A-Za-z][A-Za-z ]*?)\s*(?:\[[^\n]*\])?$\n(.*?)(?=^\(\d+\) |\Z)",
-                       final, re.S | re.M)
+    # the trees of the adaptive plans as executed name the operators by number; what each does follows below
+    trees = re.findall(r"== Final Plan ==(.*?)== Initial Plan ==", plan, re.S) or [plan]
+    ran = {n for tree in trees for n in re.findall(r"\((\d+)\)", tree)}
+    nodes = [x for x in re.findall(r"^\((\d+)\) ([A-Za-z][A-Za-z ]*?)\s*(?:\[[^\n]*\])?$\n(.*?)(?=^\(\d+\) |\Z)",
+                                   plan, re.S | re.M) if x[0] in ran]
     kinds: dict[str, int] = {}
     exchanges: dict[str, int] = {}
     scans = []
@@ -58,11 +60,13 @@ def summary(plan: str) -> list[str]:
     for body in scans:
         loc = re.search(r"Location: \w+ \[([^\]]*)\]", body)
         pushed = re.search(r"PushedFilters: (\[[^\n]*\])", body)
+        pruned = re.search(r"PartitionFilters: \[([^\n]*)\]", body)
         schema = re.search(r"ReadSchema: (struct<[^\n]*>)", body)
         where = os.path.basename(loc.group(1).rstrip("/")) if loc else "?"
         where = re.sub(r"-[0-9a-f]{12}$", "-<run>", where)
         out.append(f"- scan `{where}`: pushed {pushed.group(1) if pushed else '[]'}; "
-                   f"reads {schema.group(1) if schema else '?'}")
+                   f"reads {schema.group(1) if schema else '?'}"
+                   + (f"; partitions {re.sub(r'#[0-9]+L?', '', pruned.group(1))}" if pruned and pruned.group(1) else ""))
     return out
 
 
