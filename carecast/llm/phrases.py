@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import FILTER_BYTES, Filter, filter_of
-from .common import materialize, text_column
+from .common import materialize, text_column, text_slices
 from .hashing import mix, range_hashes
 
 SUPPORT = 30
@@ -44,7 +44,7 @@ LONGEST = 4  # words
 TOP = 2000
 COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
-BLOCK_CHARS = 8_000_000  # characters counted together
+BLOCK_CHARS = 2_500_000  # characters counted together
 SLICE_CHARS = 500_000  # characters hashed together
 BATCH_ROWS = 50_000  # rows sent on together
 
@@ -149,17 +149,19 @@ def _salt(lang: str) -> np.uint64:
     return range_hashes(np.frombuffer(raw, np.uint8).astype(np.uint64), np.zeros(1, np.int64), np.array([len(raw)]))[0]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple[str, int, list[str]]]]:
-    """Blocks of about ``BLOCK_CHARS`` characters, each as (language, shard, texts) groups."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[str, int], list[str]]]:
+    """Blocks of about ``BLOCK_CHARS`` characters: texts by (language, shard)."""
     groups: dict[tuple[str, int], list[str]] = {}
     size = 0
     for b in batches:
-        for lang, shard, text in zip(*[b.column(c).to_pylist() for c in ("lang", "shard", "text")], strict=True):
-            groups.setdefault((lang, shard), []).append(text)
-            size += len(text)
-            if size >= BLOCK_CHARS:
-                yield groups
-                groups, size = {}, 0
+        for part, texts in text_slices(b.column("text")):
+            langs, shards = (b.column(c).slice(part.start, len(texts)).to_pylist() for c in ("lang", "shard"))
+            for lang, shard, text in zip(langs, shards, texts, strict=True):
+                groups.setdefault((lang, shard), []).append(text)
+                size += len(text)
+                if size >= BLOCK_CHARS:
+                    yield groups
+                    groups, size = {}, 0
     if groups:
         yield groups
 
