@@ -3,33 +3,33 @@
 Documents are tokenized word by word and the words' ids remembered: a Latin-1
 text is split by the tokenizer's own rule, whose pieces are encoded alone; any
 other text at its blanks and line feeds, which the tokenizer drops. An end id is appended, and documents longer than a sequence are
-cut. The pieces, a few numbers each, are written once and range-sorted by
-length, longest first, which gives every piece its rank among the pieces of
-its length without a task that holds one length whole.
-
-Packing is bulk-synchronous best-fit decreasing over length classes: a round
-takes all pieces of a band of lengths, finds each class's successor among the
-gaps (the smallest gap that holds it), lets the lower ranks have the gaps when
-several pieces want the same, updates the gaps and repeats until the band is
-placed; what finds no gap opens sequences. Classes are integer lengths, so a
-round works on at most ``capacity`` counts, a bound that does not grow with
-the data; it yields (length, range of ranks) -> (range of sequences, offset)
-moves, which the pieces then join in parallel.
+cut. The pieces, a few numbers each, are written once with a number of their own.
+
+Packing is bulk-synchronous best-fit decreasing. Bands of lengths follow one
+another, longest first, in rounds on Spark: pieces of the band and gaps that may
+hold one are range-sorted together by size; each partition sweeps its rows for
+successors (the smallest gap that holds a piece), a gap that several want going
+to the longest by the nesting of brackets; what a partition has left is matched
+with the others' by rank, for which a pair of counts per partition
+is all that reaches the driver. Gaps are then updated and the rest of the band
+tries again; when no gap holds any of it, sequences are opened.
+
+Memory: a task holds about ``rows_a_task`` pieces and gaps and three slots each.
+Rounds: a few a band, and bands are about 20 whatever the data.
 
 Defined cases: a null text is empty and yields its end id only; repeated rows
-are packed each on its own; equal lengths are ranked by doc_id, text hash and
-piece; an empty table packs to none; only doc_id and text are read.
+are packed each on its own; equal lengths go by their numbers; an empty table
+packs to none; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from array import array
-from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +38,7 @@ from .common import materialize, text_column, text_slices
 
 CAPACITY = 4096
 END_ID = 1
+ROWS_A_TASK = 200_000  # pieces and gaps swept by one task
 CACHE_BYTES = 32 << 20  # of words and their ids that a worker remembers
 # The tokenizer's splitting rule, written out for lower-case Latin-1 texts, and what keeps a text from it.
 PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
@@ -115,7 +116,7 @@ def default_tokenizer() -> str:
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, tie (a hash of the text), piece, start, length, ids_crc32 of every piece of every row."""
+    """doc_id, piece, start, length, ids_crc32 of every piece of every row."""
     path, end = tokenizer or default_tokenizer(), np.array([END_ID], "<u4").tobytes()
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -132,109 +133,164 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 at, piece, start, length, crc = zip(*rows, strict=True)
                 at = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(at), b.column("tie").take(at), pa.array(piece, pa.int32()),
+                    [b.column("doc_id").take(at), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    names=["doc_id", "tie", "piece", "start", "length", "ids_crc32"])
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    rows = docs.select("doc_id", text_column().alias("text"))
+    return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+
 
-    rows = docs.select("doc_id", text_column().alias("text")).withColumn("tie", F.xxhash64("text"))
-    return rows.mapInArrow(cut, f"doc_id {kind}, tie long, piece int, start long, length long, ids_crc32 long")
+def edges(capacity: int) -> list[tuple[int, int, int]]:
+    """Bands of lengths (low, high], longest first, and how many of a band's pieces fit one sequence whatever their lengths (0: it depends)."""
+    parts = [p for p in (1, 2, 3, 4, 5, 6) if p <= capacity]
+    while parts[-1] < capacity:
+        parts.append(min(capacity, parts[-1] * 3 // 2))
+    cuts = sorted({capacity // p for p in parts}, reverse=True)
+    return [(low, high, capacity // high if capacity // high == capacity // (low + 1) else 0)
+            for high, low in zip(cuts, [*cuts[1:], 0], strict=True)]
 
 
-def ranked(items: DataFrame) -> DataFrame:
-    """``items`` with ``rank``: from 0 within each length, by a range sort.
+def nested(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matches pieces (0 slots) with the gaps before them: (pieces, their gaps, pieces left, slots left as gaps), all row numbers.
 
-    The sorted rows are written with a number (partition, place in it) before
-    ranks are taken, so that a recomputed partition cannot change them.
+    Rows come by falling size, so the smallest gap that holds a piece and isn't
+    taken by a longer one is the last open one before it: gaps and pieces pair
+    like brackets. Brackets of one pair have one level, and at a level opening
+    and closing ones take turns.
     """
-    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (items.repartitionByRange(n, F.desc("length"), "doc_id", "tie", "piece")
-               .sortWithinPartitions(F.desc("length"), "doc_id", "tie", "piece", "ids_crc32")
-               .withColumn("at", F.monotonically_increasing_id()))
-    ordered = materialize(ordered, "packing-sorted")
-    # of each partition and length: how many rows, and where they begin (a row per partition, and one per length change)
-    runs = (ordered.groupBy("length", F.shiftright("at", 33).alias("part"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at")))
-    before = runs.withColumn("before", F.sum("n").over(
-        Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.select("length", "part", "first_at", F.coalesce("before", F.lit(0)).alias("before"))
-    return (ordered.withColumn("part", F.shiftright("at", 33)).join(before, ["length", "part"])
-            .withColumn("rank", F.col("before") + F.col("at") - F.col("first_at")).drop("part", "at", "first_at", "before"))
-
-
-def bands(capacity: int) -> list[tuple[int, int]]:
-    """Rounds of lengths (low, high], longest first: as many fit one sequence, then short ones by halves."""
-    edges = [capacity]
-    while edges[-1] > 1:
-        edges.append(max(1, min(edges[-1] - 1, edges[-1] * 3 // 4)))
-    return [(low, high) for high, low in zip(edges, [*edges[1:], 0], strict=True)]
-
-
-def match(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
-    """Moves (length, first rank, past rank, first sequence, sequences step, offset) placing all classes.
-
-    Gaps are held as size -> ranges of sequence numbers. ``step`` is always 1:
-    rank ``first + i`` goes to sequence ``first sequence + i``.
+    row = np.repeat(np.arange(len(slots)), np.maximum(slots, 1))
+    opens = slots[row] > 0
+    level = np.cumsum(np.where(opens, 1, -1)) + ~opens
+    order = np.argsort(level, kind="stable")
+    a, b = order[:-1], order[1:]
+    pair = opens[a] & ~opens[b] & (level[a] == level[b])
+    free = np.ones(len(row), bool)
+    free[a[pair]] = free[b[pair]] = False
+    return row[b[pair]], row[a[pair]], row[free & ~opens], row[free & opens]
+
+
+def between(sums: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """The same among partitions, of which only (partition, pieces left, slots left) are known.
+
+    Gives (partition, first piece, past piece, gaps' partition, top): piece ``i`` of
+    the range gets slot ``top - i``. At most two rows a partition.
     """
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    sizes: list[int] = []
-    opened = 0
-    moves: list[tuple[int, int, int, int, int, int]] = []
-
-    def add(size: int, low: int, high: int) -> None:
-        if size:
-            if size not in gaps:
-                gaps[size] = []
-                insort(sizes, size)
-            gaps[size].append((low, high))
-
-    for low_length, high_length in bands(capacity):
-        for length in range(high_length, low_length, -1):
-            rank, count = 0, counts.get(length, 0)
-            while rank < count:
-                k = bisect_left(sizes, length)  # the successor
-                if k == len(sizes):
-                    fit = capacity // length
-                    new = -(-(count - rank) // fit)
-                    add(capacity, opened, opened + new)
-                    opened += new
-                    continue
-                size = sizes[k]
-                low, high = gaps[size].pop()
-                if not gaps[size]:
-                    del gaps[size], sizes[k]
-                taken = min(high - low, count - rank)
-                moves.append((length, rank, rank + taken, low, 1, capacity - size))
-                if low + taken < high:
-                    add(size, low + taken, high)
-                add(size - length, low, low + taken)
-                rank += taken
+    held: list[list[int]] = []
+    moves = []
+    for part, closing, opening in sorted(sums):
+        at = 0
+        while at < closing and held:
+            other, n = held[-1]
+            took = min(n, closing - at)
+            moves.append((part, at, at + took, other, n - 1 + at))
+            at += took
+            held[-1][1] -= took
+            if not held[-1][1]:
+                held.pop()
+        if opening:
+            held.append([part, opening])
     return moves
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    spark = docs.sparkSession
-    items = ranked(materialize(pieces(docs, tokenizer, capacity), "packing-pieces"))
-    items = materialize(items, "packing-ranked")
+def sweep(left: DataFrame, gaps: DataFrame, high: int, most_slots: int, tasks: int) -> DataFrame:
+    """One round: ``left`` (at, length) with the sequence each piece gets, or null; ``gaps``: sequence, size.
+
+    Pieces and gaps are range-sorted together. A gap that holds several of the
+    longest pieces has as many slots. Each partition matches its own rows; what
+    it has left meets the other partitions' by number.
+    """
+    slots = F.greatest(F.lit(1), F.least(F.floor(F.col("size") / high), F.lit(most_slots))).cast("int")
+    both = left.select("at", F.col("length").alias("size"), F.lit(0).alias("slots")).unionByName(
+        gaps.select(F.col("sequence").alias("at"), "size", slots.alias("slots")))
+    ordered = (both.repartitionByRange(tasks, F.desc("size"), F.desc("slots"), "at")
+               .sortWithinPartitions(F.desc("size"), F.desc("slots"), "at"))
+
+    def match(batches):
+        from pyspark import TaskContext
+
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        at, size, slots = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("at", "size", "slots"))
+        piece, gap, closing, opening = nested(slots)
+        n = np.array([len(piece), len(closing), len(opening)])
+        rows = np.concatenate([piece, closing, opening])
+        known = np.repeat([True, False, False], n)
+        place = np.concatenate([np.full(n[0], -1), np.arange(n[1]), np.arange(n[2])])
+        sequence = np.concatenate([at[gap], np.zeros(n[1], np.int64), at[opening]])
+        part = TaskContext.get().partitionId()
+        for k in range(0, len(rows), 50_000):
+            own = slice(k, k + 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows[own]), part, np.int32)), pa.array(slots[rows[own]] > 0), pa.array(place[own].astype(np.int64)),
+                 pa.array(at[rows[own]]), pa.array(size[rows[own]]), pa.array(np.where(known | (slots[rows] > 0), sequence, -1)[own])],
+                names=["part", "gap", "place", "at", "length", "sequence"])
+
+    met = materialize(ordered.mapInArrow(match, "part int, gap boolean, place long, at long, length long, sequence long"), "packing-swept")
+    own = met.where("NOT gap AND place < 0").select("at", "length", "sequence")
+    rest = met.where("NOT gap AND place >= 0").select("part", "place", "at", "length")
+    sums = [tuple(r) for r in met.where("place >= 0").groupBy("part").agg(
+        F.sum(F.when(F.col("gap"), 0).otherwise(1)), F.sum(F.when(F.col("gap"), 1).otherwise(0))).collect()]  # a row per partition
+    moves = between(sums)
+    if not moves:
+        return own.unionByName(rest.select("at", "length", F.lit(None).cast("long").alias("sequence")))
+    moves = met.sparkSession.createDataFrame(moves, "part int, low long, past long, other int, top long")
+    ways = rest.alias("r").join(moves.alias("m"), F.expr("r.part = m.part AND r.place >= m.low AND r.place < m.past"), "left").selectExpr(
+        "r.at", "r.length", "m.other AS part", "m.top - r.place AS place")
+    open_ = met.where("gap").select("part", "place", "sequence")
+    return own.unionByName(ways.join(open_, ["part", "place"], "left").select("at", "length", "sequence"))
+
+
+def place(items: DataFrame, capacity: int = CAPACITY, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """at, sequence, offset of every piece of ``items`` (at, length; a written table)."""
+    spark = items.sparkSession
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
-    moves = match(counts, capacity)
-    plan: dict[int, list] = {}
-    for m in moves:
-        plan.setdefault(m[0], []).append(m)
-    held = {k: (np.array([m[1] for m in v]), np.array([m[3] for m in v]), np.array([m[5] for m in v])) for k, v in plan.items()}
-    shared = spark.sparkContext.broadcast(held)  # moves: bounded by pairs of a length and a gap size
-
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-        lengths, ranks = length.to_numpy(), rank.to_numpy()
-        for k in np.unique(lengths).tolist():
-            rows = np.flatnonzero(lengths == k)
-            first, to, at = shared.value[k]
-            i = np.searchsorted(first, ranks[rows], side="right") - 1
-            sequence[rows] = to[i] + ranks[rows] - first[i]
-            offset[rows] = at[i]
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
-
-    return items.withColumn("to", place("length", "rank")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "to.sequence_id", "to.offset")
+    opened, step = 0, 0
+    gaps: DataFrame | None = None
+    placed = []
+
+    def figures() -> tuple[int, int]:
+        """How many gaps may hold a piece of the band, and the largest."""
+        if gaps is None:
+            return 0, 0
+        n, most = gaps.where(F.col("size") > low).agg(F.count(F.lit(1)), F.max("size")).first()
+        return n, most or 0
+
+    for low, high, fit in edges(capacity):
+        n = sum(counts.get(k, 0) for k in range(low + 1, high + 1))
+        if not n:
+            continue
+        tokens = sum(k * counts.get(k, 0) for k in range(low + 1, high + 1))
+        least = min(k for k in range(low + 1, high + 1) if k in counts)
+        left = items.where((F.col("length") > low) & (F.col("length") <= high)).select("at", "length")
+        n_gaps, most = figures()
+        while n:
+            if most < least:  # none holds any: open sequences, as many as the band's pieces need at least
+                new = -(-n // fit) if fit else -(-tokens // capacity)
+                fresh = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("size"))
+                gaps = fresh if gaps is None else gaps.unionByName(fresh)
+                opened, n_gaps = opened + new, n_gaps + new
+            most_slots = -(-2 * n // n_gaps)  # so that slots grow with pieces and gaps
+            result = materialize(sweep(left, gaps.where(F.col("size") > low), high, most_slots, -(-(n + n_gaps) // rows_a_task)), "packing-round")
+            got = result.where("sequence IS NOT NULL")
+            placed.append(got.withColumn("round", F.lit(step)))
+            used = got.groupBy("sequence").agg(F.sum("length").alias("used"))
+            gaps = gaps.join(used, "sequence", "left").select("sequence", (F.col("size") - F.coalesce("used", F.lit(0))).alias("size")).where("size > 0")
+            gaps = materialize(gaps, "packing-gaps")
+            left, step = result.where("sequence IS NULL").select("at", "length"), step + 1
+            n, tokens, least = left.agg(F.count(F.lit(1)), F.sum("length"), F.min("length")).first()
+            if n:
+                n_gaps, most = figures()
+    if not placed:
+        return items.selectExpr("at", "CAST(NULL AS BIGINT) AS sequence", "CAST(NULL AS BIGINT) AS offset")
+    before = Window.partitionBy("sequence").orderBy("round", F.desc("length"), "at").rowsBetween(Window.unboundedPreceding, -1)
+    return functools.reduce(DataFrame.unionByName, placed).select(
+        "at", "sequence", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))  # a sequence has at most `capacity` pieces
+
+
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    items = materialize(pieces(docs, tokenizer, capacity).withColumn("at", F.monotonically_increasing_id()), "packing-pieces")
+    return items.join(place(items, capacity, rows_a_task), "at").select(
+        "doc_id", "piece", "start", "length", "ids_crc32", F.col("sequence").alias("sequence_id"), "offset")

@@ -109,17 +109,60 @@ def test_packing(docs):
     assert packing.pack(docs([])).count() == 0
 
 
-def test_best_fit_places_every_rank_once():
+def test_brackets_nest_within_and_between_partitions():
+    r = random.Random(11)
+    for _ in range(60):
+        slots = np.array([r.choice((0, 0, 1, 3)) for _ in range(r.randrange(1, 40))])
+        stack, want, lost = [], set(), []
+        for k, s in enumerate(slots.tolist()):
+            if s:
+                stack += [k] * s
+            elif stack:
+                want.add((k, stack.pop()))
+            else:
+                lost.append(k)
+        piece, gap, closing, opening = packing.nested(slots)
+        assert set(zip(piece.tolist(), gap.tolist(), strict=True)) == want and closing.tolist() == lost and opening.tolist() == stack
+        # the same, cut in parts
+        cuts = sorted(r.sample(range(len(slots) + 1), min(3, len(slots))))
+        bounds = list(zip([0, *cuts], [*cuts, len(slots)], strict=True))
+        parts = [packing.nested(slots[a:b]) for a, b in bounds]
+        got = {(p + a, g + a) for (a, _), x in zip(bounds, parts, strict=True) for p, g in zip(x[0].tolist(), x[1].tolist(), strict=True)}
+        for part, low, past, other, top in packing.between([(k, len(x[2]), len(x[3])) for k, x in enumerate(parts)]):
+            for i in range(low, past):
+                got.add((int(parts[part][2][i]) + bounds[part][0], int(parts[other][3][top - i]) + bounds[other][0]))
+        assert got == want
+
+
+def best_fit_decreasing(lengths, capacity):
+    import bisect
+
+    gaps, opened = [], 0
+    for n in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(gaps, n)
+        if k == len(gaps):
+            opened += 1
+            bisect.insort(gaps, capacity - n)
+        else:
+            bisect.insort(gaps, gaps.pop(k) - n)
+    return opened
+
+
+@pytest.mark.parametrize("kind", ["mixed", "long", "one length", "tiny", "two kinds"])
+def test_rounds_pack_like_best_fit_decreasing(docs, spark, kind):
+    from carecast.session import materialize
+
     r = random.Random(3)
-    counts = Counter(min(4096, int(r.lognormvariate(5.5, 1.2)) + 1) for _ in range(5000))
-    used, placed = Counter(), Counter()
-    for length, first, past, to, _, offset in packing.match(dict(counts)):
-        for k in range(past - first):
-            placed[length, first + k] += 1
-            assert used[to + k] == offset
-            used[to + k] += length
-    assert set(placed.values()) == {1} and len(placed) == sum(counts.values())
-    assert max(used.values()) <= 4096 and len(used) <= -(-sum(k * n for k, n in counts.items()) // 4096) + 1
+    lengths = {"mixed": [min(4096, int(r.lognormvariate(5.5, 1.2)) + 1) for _ in range(4000)], "long": [r.randrange(900, 4097) for _ in range(3000)],
+               "one length": [1400] * 2000, "tiny": [r.randrange(1, 4) for _ in range(9000)], "two kinds": [2100] * 500 + [3] * 5000}[kind]
+    items = materialize(spark.createDataFrame(list(enumerate(lengths)), "at long, length long"), "test-items")
+    rows = packing.place(items, 4096, rows_a_task=700).collect()
+    assert sorted(x["at"] for x in rows) == list(range(len(lengths)))
+    used = Counter()
+    for x in sorted(rows, key=lambda x: (x["sequence"], x["offset"])):
+        assert used[x["sequence"]] == x["offset"]
+        used[x["sequence"]] += lengths[x["at"]]
+    assert max(used.values()) <= 4096 and len(used) <= 1.005 * best_fit_decreasing(lengths, 4096) + 1
 
 
 def test_mixing(docs):
