@@ -9,13 +9,13 @@ Packing is bulk-synchronous best-fit decreasing. Bands of lengths follow one
 another, longest first, in rounds on Spark: pieces of the band and gaps that may
 hold one are range-sorted together by size; each partition sweeps its rows for
 successors (the smallest gap that holds a piece), a gap that several want going
-to the longest by the nesting of brackets; what a partition has left is matched
-with the others' by rank, for which a pair of counts per partition
-is all that reaches the driver. Gaps are then updated and the rest of the band
+to the longest by the nesting of brackets, updates its gaps and sweeps again;
+what it has left is matched with the others' by rank, for which a pair of counts
+per partition is all that reaches the driver. Gaps are then written anew and the rest of the band
 tries again; when no gap holds any of it, sequences are opened.
 
 Memory: a task holds about ``rows_a_task`` pieces and gaps and three slots each.
-Rounds: a few a band, and bands are about 20 whatever the data.
+Rounds: a few a band, and there are seven bands whatever the data.
 
 Defined cases: a null text is empty and yields its end id only; repeated rows
 are packed each on its own; equal lengths go by their numbers; an empty table
@@ -143,12 +143,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
 def edges(capacity: int) -> list[tuple[int, int, int]]:
     """Bands of lengths (low, high], longest first, and how many of a band's pieces fit one sequence whatever their lengths (0: it depends)."""
-    parts = [p for p in (1, 2, 3, 4, 5, 6) if p <= capacity]
-    while parts[-1] < capacity:
-        parts.append(min(capacity, parts[-1] * 3 // 2))
-    cuts = sorted({capacity // p for p in parts}, reverse=True)
-    return [(low, high, capacity // high if capacity // high == capacity // (low + 1) else 0)
-            for high, low in zip(cuts, [*cuts[1:], 0], strict=True)]
+    cuts = [*sorted({c for p in (1, 2, 3, 4, 8, 16, 64) if (c := capacity // p)}, reverse=True), 0]
+    return [(low, high, capacity // high if capacity // high == capacity // (low + 1) else 0) for high, low in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def nested(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -170,11 +166,35 @@ def nested(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return row[b[pair]], row[a[pair]], row[free & ~opens], row[free & opens]
 
 
+def slots_of(size: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """How many of the longest piece each gap holds (one at least), so that slots grow with pieces and gaps."""
+    return np.clip(size // pieces.max(initial=1), 1, -(-2 * len(pieces) // max(1, len(size))))
+
+
+def settle(length: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gap of each piece (row numbers, -1: none) when ``nested`` is repeated until nothing more fits, and the gaps' new sizes."""
+    to, size = np.full(len(length), -1), size.copy()
+    while True:
+        todo = np.flatnonzero(to < 0)
+        able = np.flatnonzero(size >= length[todo].min(initial=1 << 40))
+        if not len(able):
+            return to, size
+        n = len(able)
+        order = np.lexsort((np.append(np.zeros(n), np.ones(len(todo))), -np.append(size[able], length[todo])))
+        slots = np.append(slots_of(size[able], length[todo]), np.zeros(len(todo), np.int64))[order]
+        piece, gap, _, _ = nested(slots)
+        if not len(piece):
+            return to, size
+        piece, gap = todo[order[piece] - n], able[order[gap]]
+        to[piece] = gap
+        np.subtract.at(size, gap, length[piece])
+
+
 def between(sums: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """The same among partitions, of which only (partition, pieces left, slots left) are known.
+    """The same among partitions, of which only (partition, pieces left, gaps left) are known.
 
     Gives (partition, first piece, past piece, gaps' partition, top): piece ``i`` of
-    the range gets slot ``top - i``. At most two rows a partition.
+    the range gets gap ``top - i``. At most two rows a partition.
     """
     held: list[list[int]] = []
     moves = []
@@ -193,18 +213,16 @@ def between(sums: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
     return moves
 
 
-def sweep(left: DataFrame, gaps: DataFrame, high: int, most_slots: int, tasks: int) -> DataFrame:
+def sweep(left: DataFrame, gaps: DataFrame, tasks: int) -> DataFrame:
     """One round: ``left`` (at, length) with the sequence each piece gets, or null; ``gaps``: sequence, size.
 
-    Pieces and gaps are range-sorted together. A gap that holds several of the
-    longest pieces has as many slots. Each partition matches its own rows; what
-    it has left meets the other partitions' by number.
+    Pieces and gaps are range-sorted together, and each partition settles its
+    own rows. Its gaps that are still as large as its last row hold whatever
+    comes after it, so they meet the pieces left in later partitions, by number.
     """
-    slots = F.greatest(F.lit(1), F.least(F.floor(F.col("size") / high), F.lit(most_slots))).cast("int")
-    both = left.select("at", F.col("length").alias("size"), F.lit(0).alias("slots")).unionByName(
-        gaps.select(F.col("sequence").alias("at"), "size", slots.alias("slots")))
-    ordered = (both.repartitionByRange(tasks, F.desc("size"), F.desc("slots"), "at")
-               .sortWithinPartitions(F.desc("size"), F.desc("slots"), "at"))
+    both = left.select("at", F.col("length").alias("size"), F.lit(False).alias("gap")).unionByName(
+        gaps.select(F.col("sequence").alias("at"), "size", F.lit(True).alias("gap")))
+    ordered = both.repartitionByRange(tasks, F.desc("size"), F.desc("gap"), "at").sortWithinPartitions(F.desc("size"), F.desc("gap"), "at")
 
     def match(batches):
         from pyspark import TaskContext
@@ -212,20 +230,20 @@ def sweep(left: DataFrame, gaps: DataFrame, high: int, most_slots: int, tasks: i
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        at, size, slots = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("at", "size", "slots"))
-        piece, gap, closing, opening = nested(slots)
-        n = np.array([len(piece), len(closing), len(opening)])
-        rows = np.concatenate([piece, closing, opening])
-        known = np.repeat([True, False, False], n)
-        place = np.concatenate([np.full(n[0], -1), np.arange(n[1]), np.arange(n[2])])
-        sequence = np.concatenate([at[gap], np.zeros(n[1], np.int64), at[opening]])
+        at, size, gap = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in ("at", "size", "gap"))
+        pieces, gaps = np.flatnonzero(~gap), np.flatnonzero(gap)
+        to, now = settle(size[pieces], size[gaps])
+        done, closing, opening = np.flatnonzero(to >= 0), np.flatnonzero(to < 0), np.flatnonzero(now >= size[-1])
+        opening = opening[np.argsort(-now[opening], kind="stable")]
+        rows = np.concatenate([pieces[done], pieces[closing], gaps[opening]])
+        sequence = np.concatenate([at[gaps[to[done]]], np.full(len(closing), -1), at[gaps[opening]]])
+        place = np.concatenate([np.full(len(done), -1), np.arange(len(closing)), np.arange(len(opening))])
         part = TaskContext.get().partitionId()
         for k in range(0, len(rows), 50_000):
-            own = slice(k, k + 50_000)
+            own = rows[k:k + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows[own]), part, np.int32)), pa.array(slots[rows[own]] > 0), pa.array(place[own].astype(np.int64)),
-                 pa.array(at[rows[own]]), pa.array(size[rows[own]]), pa.array(np.where(known | (slots[rows] > 0), sequence, -1)[own])],
-                names=["part", "gap", "place", "at", "length", "sequence"])
+                [pa.array(np.full(len(own), part, np.int32)), pa.array(gap[own]), pa.array(place[k:k + 50_000]), pa.array(at[own]),
+                 pa.array(size[own]), pa.array(sequence[k:k + 50_000])], names=["part", "gap", "place", "at", "length", "sequence"])
 
     met = materialize(ordered.mapInArrow(match, "part int, gap boolean, place long, at long, length long, sequence long"), "packing-swept")
     own = met.where("NOT gap AND place < 0").select("at", "length", "sequence")
@@ -266,13 +284,12 @@ def place(items: DataFrame, capacity: int = CAPACITY, rows_a_task: int = ROWS_A_
         left = items.where((F.col("length") > low) & (F.col("length") <= high)).select("at", "length")
         n_gaps, most = figures()
         while n:
-            if most < least:  # none holds any: open sequences, as many as the band's pieces need at least
-                new = -(-n // fit) if fit else -(-tokens // capacity)
+            if most < least:  # none holds any: open sequences, about as many as the band's pieces need
+                new = -(-n // fit) if fit else -(-tokens // (capacity - high // 4))
                 fresh = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("size"))
                 gaps = fresh if gaps is None else gaps.unionByName(fresh)
                 opened, n_gaps = opened + new, n_gaps + new
-            most_slots = -(-2 * n // n_gaps)  # so that slots grow with pieces and gaps
-            result = materialize(sweep(left, gaps.where(F.col("size") > low), high, most_slots, -(-(n + n_gaps) // rows_a_task)), "packing-round")
+            result = materialize(sweep(left, gaps.where(F.col("size") > low), -(-(n + n_gaps) // rows_a_task)), "packing-round")
             got = result.where("sequence IS NOT NULL")
             placed.append(got.withColumn("round", F.lit(step)))
             used = got.groupBy("sequence").agg(F.sum("length").alias("used"))
