@@ -214,7 +214,7 @@ def between(sums: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
 
 
 def sweep(left: DataFrame, gaps: DataFrame, tasks: int) -> DataFrame:
-    """One round: ``left`` (at, length) with the sequence each piece gets, or null; ``gaps``: sequence, size.
+    """One round: ``left`` (at, length) with the sequence each piece gets, or null, written; ``gaps``: sequence, size.
 
     Pieces and gaps are range-sorted together, and each partition settles its
     own rows. Its gaps that are still as large as its last row hold whatever
@@ -257,48 +257,42 @@ def sweep(left: DataFrame, gaps: DataFrame, tasks: int) -> DataFrame:
     ways = rest.alias("r").join(moves.alias("m"), F.expr("r.part = m.part AND r.place >= m.low AND r.place < m.past"), "left").selectExpr(
         "r.at", "r.length", "m.other AS part", "m.top - r.place AS place")
     open_ = met.where("gap").select("part", "place", "sequence")
-    return own.unionByName(ways.join(open_, ["part", "place"], "left").select("at", "length", "sequence"))
+    return materialize(own.unionByName(ways.join(open_, ["part", "place"], "left").select("at", "length", "sequence")), "packing-round")
 
 
 def place(items: DataFrame, capacity: int = CAPACITY, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
     """at, sequence, offset of every piece of ``items`` (at, length; a written table)."""
     spark = items.sparkSession
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
-    opened, step = 0, 0
-    gaps: DataFrame | None = None
-    placed = []
+    gaps = materialize(spark.range(0).selectExpr("id AS sequence", "id AS size"), "packing-gaps")
+    opened, placed = 0, []
 
-    def figures() -> tuple[int, int]:
-        """How many gaps may hold a piece of the band, and the largest."""
-        if gaps is None:
-            return 0, 0
-        n, most = gaps.where(F.col("size") > low).agg(F.count(F.lit(1)), F.max("size")).first()
-        return n, most or 0
+    def figures(left: DataFrame) -> tuple[int, int, int, int, int]:
+        """Pieces left, their tokens and the shortest; gaps that may hold a piece of the band, and the largest."""
+        both = left.select("length", F.lit(None).cast("long").alias("size")).unionByName(
+            gaps.where(F.col("size") > low).select(F.lit(None).cast("long").alias("length"), "size"))
+        found = both.agg(F.count("length"), F.sum("length"), F.min("length"), F.count("size"), F.max("size")).first()
+        return tuple(x or 0 for x in found)
 
     for low, high, fit in edges(capacity):
-        n = sum(counts.get(k, 0) for k in range(low + 1, high + 1))
-        if not n:
+        if not any(low < k <= high for k in counts):
             continue
-        tokens = sum(k * counts.get(k, 0) for k in range(low + 1, high + 1))
-        least = min(k for k in range(low + 1, high + 1) if k in counts)
         left = items.where((F.col("length") > low) & (F.col("length") <= high)).select("at", "length")
-        n_gaps, most = figures()
+        n, tokens, least, n_gaps, most = figures(left)
         while n:
+            offered = gaps.where(F.col("size") > low)
             if most < least:  # none holds any: open sequences, about as many as the band's pieces need
                 new = -(-n // fit) if fit else -(-tokens // (capacity - high // 4))
                 fresh = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("size"))
-                gaps = fresh if gaps is None else gaps.unionByName(fresh)
+                gaps, offered = gaps.unionByName(fresh), offered.unionByName(fresh)
                 opened, n_gaps = opened + new, n_gaps + new
-            result = materialize(sweep(left, gaps.where(F.col("size") > low), -(-(n + n_gaps) // rows_a_task)), "packing-round")
+            result = sweep(left, offered, -(-(n + n_gaps) // rows_a_task))
             got = result.where("sequence IS NOT NULL")
-            placed.append(got.withColumn("round", F.lit(step)))
-            used = got.groupBy("sequence").agg(F.sum("length").alias("used"))
-            gaps = gaps.join(used, "sequence", "left").select("sequence", (F.col("size") - F.coalesce("used", F.lit(0))).alias("size")).where("size > 0")
-            gaps = materialize(gaps, "packing-gaps")
-            left, step = result.where("sequence IS NULL").select("at", "length"), step + 1
-            n, tokens, least = left.agg(F.count(F.lit(1)), F.sum("length"), F.min("length")).first()
-            if n:
-                n_gaps, most = figures()
+            used = gaps.unionByName(got.select("sequence", (-F.col("length")).alias("size")))
+            gaps = materialize(used.groupBy("sequence").agg(F.sum("size").alias("size")).where("size > 0"), "packing-gaps")
+            placed.append(got.withColumn("round", F.lit(len(placed))))
+            left = result.where("sequence IS NULL").select("at", "length")
+            n, tokens, least, n_gaps, most = figures(left)
     if not placed:
         return items.selectExpr("at", "CAST(NULL AS BIGINT) AS sequence", "CAST(NULL AS BIGINT) AS offset")
     before = Window.partitionBy("sequence").orderBy("round", F.desc("length"), "at").rowsBetween(Window.unboundedPreceding, -1)
