@@ -12,10 +12,11 @@ successors (the smallest gap that holds a piece), a gap that several want going
 to the longest by the nesting of brackets, updates its gaps and sweeps again;
 what it has left is matched with the others' by rank, for which a pair of counts
 per partition is all that reaches the driver. Gaps are then written anew and the rest of the band
-tries again; when no gap holds any of it, sequences are opened.
+tries again; when no gap holds any of it, sequences are opened. A round that one task
+can hold is the band's last: it isn't range-sorted, and opens what the band still needs.
 
 Memory: a task holds about ``rows_a_task`` pieces and gaps and three slots each.
-Rounds: a few a band, and there are seven bands whatever the data.
+Rounds: a few a band, one if a task can hold it, and there are seven bands whatever the data.
 
 Defined cases: a null text is empty and yields its end id only; repeated rows
 are packed each on its own; equal lengths go by their numbers; an empty table
@@ -190,6 +191,26 @@ def settle(length: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray
         np.subtract.at(size, gap, length[piece])
 
 
+def openings(n: int, tokens: int, high: int, fit: int, capacity: int) -> int:
+    """About as many sequences as ``n`` pieces of a band need, one each at most."""
+    return min(n, -(-n // fit) if fit else -(-tokens // (capacity - high // 4)))
+
+
+def settle_all(length: np.ndarray, size: np.ndarray, high: int, fit: int, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """``settle``, with sequences opened for what no gap holds: the gap of each piece, the sizes of all gaps with those opened at the end.
+
+    No more are opened than there are pieces: some stay empty only if all the rest is placed.
+    """
+    to = np.full(len(length), -1)
+    while True:
+        todo = np.flatnonzero(to < 0)
+        to[todo], size = settle(length[todo], size)
+        todo = todo[to[todo] < 0]
+        if not len(todo):
+            return to, size
+        size = np.append(size, np.full(openings(len(todo), int(length[todo].sum()), high, fit, capacity), capacity))
+
+
 def between(sums: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
     """The same among partitions, of which only (partition, pieces left, gaps left) are known.
 
@@ -213,6 +234,37 @@ def between(sums: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
     return moves
 
 
+def _together(left: DataFrame, gaps: DataFrame) -> DataFrame:
+    """at (a gap's sequence), size, gap of pieces and gaps."""
+    return left.select("at", F.col("length").alias("size"), F.lit(False).alias("gap")).unionByName(
+        gaps.select(F.col("sequence").alias("at"), "size", F.lit(True).alias("gap")))
+
+
+def last_round(left: DataFrame, gaps: DataFrame, opened: int, high: int, fit: int, capacity: int) -> DataFrame:
+    """A round that one task can hold: at, size, gap, sequence, written, of all pieces and of the gaps they leave.
+
+    Sequences are opened from the number ``opened`` on.
+    """
+
+    def place_all(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        at, size, gap = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in ("at", "size", "gap"))
+        order = np.lexsort((at, ~gap, -size))
+        pieces, gaps = order[~gap[order]], order[gap[order]]
+        to, now = settle_all(size[pieces], size[gaps], high, fit, capacity)
+        sequence = np.append(at[gaps], opened + np.arange(len(now) - len(gaps)))
+        rest = np.flatnonzero(now > 0)
+        rows = (np.append(at[pieces], sequence[rest]), np.append(size[pieces], now[rest]),
+                np.arange(len(pieces) + len(rest)) >= len(pieces), np.append(sequence[to], sequence[rest]))
+        for k in range(0, len(rows[0]), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[k:k + 50_000]) for x in rows], names=["at", "size", "gap", "sequence"])
+
+    both = _together(left, gaps).repartition(1)  # at most ``rows_a_task``
+    return materialize(both.mapInArrow(place_all, "at long, size long, gap boolean, sequence long"), "packing-last")
+
+
 def sweep(left: DataFrame, gaps: DataFrame, tasks: int) -> DataFrame:
     """One round: ``left`` (at, length) with the sequence each piece gets, or null, written; ``gaps``: sequence, size.
 
@@ -220,9 +272,7 @@ def sweep(left: DataFrame, gaps: DataFrame, tasks: int) -> DataFrame:
     own rows. Its gaps that are still as large as its last row hold whatever
     comes after it, so they meet the pieces left in later partitions, by number.
     """
-    both = left.select("at", F.col("length").alias("size"), F.lit(False).alias("gap")).unionByName(
-        gaps.select(F.col("sequence").alias("at"), "size", F.lit(True).alias("gap")))
-    ordered = both.repartitionByRange(tasks, F.desc("size"), F.desc("gap"), "at").sortWithinPartitions(F.desc("size"), F.desc("gap"), "at")
+    ordered = _together(left, gaps).repartitionByRange(tasks, F.desc("size"), F.desc("gap"), "at").sortWithinPartitions(F.desc("size"), F.desc("gap"), "at")
 
     def match(batches):
         from pyspark import TaskContext
@@ -264,35 +314,39 @@ def place(items: DataFrame, capacity: int = CAPACITY, rows_a_task: int = ROWS_A_
     """at, sequence, offset of every piece of ``items`` (at, length; a written table)."""
     spark = items.sparkSession
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
-    gaps = materialize(spark.range(0).selectExpr("id AS sequence", "id AS size"), "packing-gaps")
+    gaps = spark.range(0).selectExpr("id AS sequence", "id AS size")
     opened, placed = 0, []
 
-    def figures(left: DataFrame) -> tuple[int, int, int, int, int]:
-        """Pieces left, their tokens and the shortest; gaps that may hold a piece of the band, and the largest."""
-        both = left.select("length", F.lit(None).cast("long").alias("size")).unionByName(
-            gaps.where(F.col("size") > low).select(F.lit(None).cast("long").alias("length"), "size"))
-        found = both.agg(F.count("length"), F.sum("length"), F.min("length"), F.count("size"), F.max("size")).first()
-        return tuple(x or 0 for x in found)
+    def figures(left: DataFrame) -> tuple[int, int, int]:
+        """Pieces left, their tokens and the shortest."""
+        return tuple(x or 0 for x in left.agg(F.count("length"), F.sum("length"), F.min("length")).first())
 
     for low, high, fit in edges(capacity):
-        if not any(low < k <= high for k in counts):
-            continue
+        band = {k: c for k, c in counts.items() if low < k <= high}
         left = items.where((F.col("length") > low) & (F.col("length") <= high)).select("at", "length")
-        n, tokens, least, n_gaps, most = figures(left)
+        n, tokens, least = sum(band.values()), sum(k * c for k, c in band.items()), min(band, default=0)
         while n:
             offered = gaps.where(F.col("size") > low)
-            if most < least:  # none holds any: open sequences, about as many as the band's pieces need
-                new = -(-n // fit) if fit else -(-tokens // (capacity - high // 4))
-                fresh = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("size"))
-                gaps, offered = gaps.unionByName(fresh), offered.unionByName(fresh)
-                opened, n_gaps = opened + new, n_gaps + new
-            result = sweep(left, offered, -(-(n + n_gaps) // rows_a_task))
-            got = result.where("sequence IS NOT NULL")
-            used = gaps.unionByName(got.select("sequence", (-F.col("length")).alias("size")))
-            gaps = materialize(used.groupBy("sequence").agg(F.sum("size").alias("size")).where("size > 0"), "packing-gaps")
+            n_gaps, most = offered.agg(F.count("size"), F.coalesce(F.max("size"), F.lit(0))).first() if opened else (0, 0)
+            new = openings(n, tokens, high, fit, capacity)
+            if n + n_gaps + new <= rows_a_task:
+                result = last_round(left, offered, opened, high, fit, capacity)
+                opened += n  # or fewer; numbers need not follow one another
+                got = result.where("NOT gap").selectExpr("at", "size AS length", "sequence")
+                gaps = gaps.where(F.col("size") <= low).unionByName(result.where("gap").select("sequence", "size"))
+                n = 0
+            else:
+                if most < least:  # none holds any
+                    fresh = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("size"))
+                    gaps, offered = gaps.unionByName(fresh), offered.unionByName(fresh)
+                    opened, n_gaps = opened + new, n_gaps + new
+                result = sweep(left, offered, -(-(n + n_gaps) // rows_a_task))
+                got = result.where("sequence IS NOT NULL")
+                used = gaps.unionByName(got.select("sequence", (-F.col("length")).alias("size")))
+                gaps = materialize(used.groupBy("sequence").agg(F.sum("size").alias("size")).where("size > 0"), "packing-gaps")
+                left = result.where("sequence IS NULL").select("at", "length")
+                n, tokens, least = figures(left)
             placed.append(got.withColumn("round", F.lit(len(placed))))
-            left = result.where("sequence IS NULL").select("at", "length")
-            n, tokens, least, n_gaps, most = figures(left)
     if not placed:
         return items.selectExpr("at", "CAST(NULL AS BIGINT) AS sequence", "CAST(NULL AS BIGINT) AS offset")
     before = Window.partitionBy("sequence").orderBy("round", F.desc("length"), "at").rowsBetween(Window.unboundedPreceding, -1)

@@ -165,6 +165,26 @@ def test_rounds_pack_like_best_fit_decreasing(docs, spark, kind):
     assert max(used.values()) <= 4096 and len(used) <= 1.005 * best_fit_decreasing(lengths, 4096) + 1
 
 
+def test_a_band_that_one_task_holds_takes_one_round(docs, spark):
+    from carecast.session import materialize
+
+    r = random.Random(4)
+    lengths = [min(4096, int(r.lognormvariate(5.5, 1.2)) + 1) for _ in range(4000)]
+    items = materialize(spark.createDataFrame(list(enumerate(lengths)), "at long, length long"), "test-items")
+    spark.sparkContext.setJobGroup("packing-rounds", "packing")
+    try:
+        rows = packing.place(items).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(x["at"] for x in rows) == list(range(len(lengths)))
+    used = Counter()
+    for x in sorted(rows, key=lambda x: (x["sequence"], x["offset"])):
+        assert used[x["sequence"]] == x["offset"]
+        used[x["sequence"]] += lengths[x["at"]]
+    assert max(used.values()) <= 4096 and len(used) <= 1.005 * best_fit_decreasing(lengths, 4096) + 1
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("packing-rounds")) <= 6 * len(packing.edges(4096))
+
+
 def test_mixing(docs):
     rows = [(i, prose(i, 20 + i % 50)) for i in range(900)] + EDGES
     d = docs(rows, sources=("x", "y", None, "z"))
