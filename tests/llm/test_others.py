@@ -109,3 +109,32 @@ def test_components(spark):
             group = {k: low if g == high else g for k, g in group.items()}
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == group
+
+
+def test_components_by_parts(docs, spark):
+    from carecast.session import materialize
+
+    r = random.Random(9)
+    edges = [(r.randrange(400), r.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(500, 640)] + [(1000, k) for k in range(700, 900)]
+    want = {x: x for e in edges for x in e if e[0] != e[1]}
+    for u, v in edges * 2:
+        if u != v:
+            low, high = sorted((want[u], want[v]))
+            want = {k: low if g == high else g for k, g in want.items()}
+    frame = materialize(spark.createDataFrame(edges, "u long, v long"), "test-edges")
+    spark.sparkContext.setJobGroup("components-rounds", "components")
+    try:
+        got = components.components(frame).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == len(want) and {x["node"]: x["component"] for x in got} == want
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("components-rounds")) <= 8
+    got = components.components(frame, edges_a_task=90).collect()  # parts that meet
+    assert len(got) == len(want) and {x["node"]: x["component"] for x in got} == want
+    pair = {"u": "named_struct('a', -u % 7, 'b', u)", "v": "named_struct('a', -v % 7, 'b', v)"}
+    text = {"u": "concat('\u00fc', u)", "v": "concat('\u00fc', v)"}
+    for kind in (pair, text):
+        nodes = materialize(frame.selectExpr(*[f"{e} AS {c}" for c, e in kind.items()]), "test-edges")
+        one, more = (sorted(map(str, components.components(nodes, edges_a_task=n).collect())) for n in (10_000, 90))
+        assert one == more and len(one) == len(want)
+    assert components.components(frame.where("u < 0")).count() == 0
