@@ -172,9 +172,10 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFram
 
     own = nodes.join(texts, "node").selectExpr("node.a AS a", "node.b AS b", "text")
     rows = materialize(own.mapInArrow(explode, "a long, b long, n long, shingle long"), "near-duplicates-shingles")
-    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("often", "shingle"))
-    rare = (rows.join(often, "shingle").withColumn("rank", rank)
+    rare = (rows.join(materialize(often, "near-duplicates-often"), "shingle", "left")
+            .withColumn("often", F.coalesce("often", F.lit(1))).withColumn("rank", rank)
             .where((F.col("rank") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("often") > 1))
             .select(F.struct("a", "b").alias("node"), "n", (F.col("n") - F.col("rank") + 1).alias("rest"), "shingle").join(nodes, "node"))
     rare = materialize(rare, "near-duplicates-rare")

@@ -38,6 +38,17 @@ def test_stage_on_edges(spark, docs, folder, name, stage):
             assert out.columns == df.columns and {r["doc_id"] for r in rows} <= {r["doc_id"] for r in df.collect()}
 
 
+def test_near_duplicates_write_few_tables(spark, docs):
+    texts = [prose(i, 60) for i in range(40)]
+    near = [f"{texts[0]} {prose(700 + k, 3)}" for k in range(30)] + [f"{prose(800 + k, 4)} {texts[1]}" for k in range(30)]
+    frame = docs(list(enumerate(texts + near + texts[:10])))
+    before = set(os.listdir(shared_dir(spark)))
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(40))
+    written = Counter(name.rsplit("-", 1)[0] for name in set(os.listdir(shared_dir(spark))) - before)
+    assert sum(written.values()) <= 32, written
+
+
 def test_pipeline(spark, docs, folder):
     clean = [(i, prose(i, 60)) for i in range(200)]
     junk = [(1000 + i, " ".join(w.upper() + "!!" for w in prose(i, 60).split())) for i in range(60)]
